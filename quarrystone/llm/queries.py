@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quarrystone.llm.language import op4_language
+from quarrystone.llm.ngram_join import op3_ngram_jaccard
 from quarrystone.llm.packing import op5_packing
 from quarrystone.llm.pieces import op7_pieces
 from quarrystone.llm.quality import op8_quality
@@ -16,6 +17,7 @@ from quarrystone.llm.token_files import op2_token_files
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_files": op2_token_files,
+        "op3_ngram_jaccard": op3_ngram_jaccard,
         "op4_language": op4_language,
         "op5_packing": op5_packing,
         "op7_pieces": op7_pieces,
