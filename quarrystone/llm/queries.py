@@ -11,6 +11,7 @@ from quarrystone.llm.ngram_join import op3_ngram_jaccard
 from quarrystone.llm.packing import op5_packing
 from quarrystone.llm.pieces import op7_pieces
 from quarrystone.llm.quality import op8_quality
+from quarrystone.llm.substring_dedup import op6_substring_dedup
 from quarrystone.llm.token_files import op2_token_files
 
 
@@ -20,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_ngram_jaccard": op3_ngram_jaccard,
         "op4_language": op4_language,
         "op5_packing": op5_packing,
+        "op6_substring_dedup": op6_substring_dedup,
         "op7_pieces": op7_pieces,
         "op8_quality": op8_quality,
     }
