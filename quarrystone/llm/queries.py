@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarrystone.llm.embedding_dedup import op10_embedding_dedup
 from quarrystone.llm.language import op4_language
 from quarrystone.llm.ngram_join import op3_ngram_jaccard
 from quarrystone.llm.packing import op5_packing
@@ -24,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_substring_dedup": op6_substring_dedup,
         "op7_pieces": op7_pieces,
         "op8_quality": op8_quality,
+        "op10_embedding_dedup": op10_embedding_dedup,
     }
 
 
