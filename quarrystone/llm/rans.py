@@ -15,7 +15,7 @@ import numpy as np
 
 MAGIC = b"QRA1"
 SLOT_BITS = 20
-LANES = 512
+LANES = 1024
 EVERY = 256
 _LOW = np.uint64(1 << 31)
 _HEAD = struct.Struct("<4sIHHQQII")  # magic, table crc, lanes, every, ids, documents, segments, head crc

@@ -3,11 +3,11 @@
 Null and empty texts have only the end id. Rows that share a doc_id keep their own entries, ordered
 by a hash of their text; a null doc_id comes first and is read back as null. An empty table gives an empty file set. Other input columns are ignored.
 
-A stage of its own tokenises range-partitioned documents and stages raw blocks of whole documents
-(about 256 Ki ids; a longer document makes a longer block with more checkpoints); a second pass over
-the staged blocks counts every id for the shared table; a third encodes. ``part`` and
-``first`` (ids of the part before the block) order the blocks without a global sort, and a part's
-total is one number per task.
+A stage of its own tokenises range-partitioned documents, stages raw blocks of whole documents
+(about 256 Ki ids; a longer document makes a longer block with more checkpoints) and, as each task's last
+row, how often it met every id; the counts of all tasks make the shared table, and a second pass over the
+staged blocks encodes. ``part`` and ``first`` (ids of the part before the block) order the blocks without
+a global sort, and a part's total is one number per task.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from quarrystone.llm import rans, staging, wordbpe
 
 BLOCK_IDS = 1 << 18
-RAW = "part int, first long, docs array<long>, lengths array<long>, ids binary"
+RAW = "part int, first long, docs array<long>, lengths array<long>, ids binary, counts binary"
 FILE = "part int, first long, n_ids long, n_docs long, block binary"
 NULL_DOC = -(1 << 63)
 
@@ -38,11 +38,17 @@ def _raw_blocks(vocabulary: str, batches: Iterator[pa.RecordBatch]) -> Iterator[
     lengths: list[int] = []
     held: list[np.ndarray] = []
     size = 0
+    seen = np.zeros(encoder.vocab_size, np.int64)
+
+    def row(docs, lengths, ids, counts) -> pa.RecordBatch:
+        columns = [pa.array([part], pa.int32()), pa.array([first], pa.int64()), pa.array([docs], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int64())), pa.array([ids], pa.binary()), pa.array([counts], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["part", "first", "docs", "lengths", "ids", "counts"])
 
     def block() -> pa.RecordBatch:
-        ids = np.concatenate(held).astype("<u4").tobytes()
-        columns = [pa.array([part], pa.int32()), pa.array([first], pa.int64()), pa.array([docs], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int64())), pa.array([ids], pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, ["part", "first", "docs", "lengths", "ids"])
+        nonlocal seen
+        ids = np.concatenate(held)
+        seen += np.bincount(ids, minlength=len(seen))
+        return row(docs, lengths, ids.astype("<u4").tobytes(), None)
 
     for batch in batches:
         keys, texts = batch.column(0).to_pylist(), batch.column(1)
@@ -61,6 +67,7 @@ def _raw_blocks(vocabulary: str, batches: Iterator[pa.RecordBatch]) -> Iterator[
             at += len(some)
     if docs:
         yield block()
+    yield row(None, None, None, seen.astype("<i8").tobytes())
 
 
 def write_tokens(documents: DataFrame, path: str, vocabulary: str | None = None, partitions: int | None = None) -> str:
@@ -73,19 +80,19 @@ def write_tokens(documents: DataFrame, path: str, vocabulary: str | None = None,
     ordered.mapInArrow(lambda b: _raw_blocks(vocabulary, b), RAW).write.parquet(raw_path)
     raw = spark.read.schema(RAW).parquet(raw_path)
 
-    size = wordbpe.load(vocabulary).vocab_size
-
-    def count(batches):
-        seen = np.zeros(size, np.int64)
+    def total(batches):
+        seen = None
         for batch in batches:
-            for ids in batch.column(0):
-                seen += np.bincount(np.frombuffer(ids.as_buffer(), "<u4"), minlength=size)
-        used = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(seen[used], pa.int64())], ["id", "n"])
+            for raw_counts in batch.column(0):
+                one = np.frombuffer(raw_counts.as_buffer(), "<i8")
+                seen = one if seen is None else seen + one
+        if seen is not None:
+            used = np.flatnonzero(seen)
+            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(seen[used], pa.int64())], ["id", "n"])
 
     # One row per vocabulary entry at most: the table's size doesn't follow the corpus.
-    counts = np.zeros(size, np.int64)
-    for row in raw.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+    counts = np.zeros(wordbpe.load(vocabulary).vocab_size, np.int64)
+    for row in raw.filter("counts IS NOT NULL").select("counts").mapInArrow(total, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
         counts[row.id] = row.n
     table = rans.Table(counts)
     frozen = table.to_bytes()
@@ -99,7 +106,7 @@ def write_tokens(documents: DataFrame, path: str, vocabulary: str | None = None,
                 columns = [pa.array([part.as_py()], pa.int32()), pa.array([first.as_py()], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([len(docs)], pa.int64()), pa.array([block], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["part", "first", "n_ids", "n_docs", "block"])
 
-    raw.mapInArrow(encode, FILE).write.option("compression", "none").parquet(f"{path}/blocks")
+    raw.filter("ids IS NOT NULL").drop("counts").mapInArrow(encode, FILE).write.option("compression", "none").parquet(f"{path}/blocks")
     spark.createDataFrame([(bytearray(frozen),)], "freq binary").coalesce(1).write.parquet(f"{path}/table")
     staging.drop_stage(spark, raw_path)
     return path
@@ -109,8 +116,8 @@ def read_table(spark: SparkSession, path: str) -> bytes:
     return bytes(spark.read.parquet(f"{path}/table").first().freq)
 
 
-def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """Decode a file set: doc_id, start, n_tokens, ids (little-endian unsigned 32-bit), ids_crc32."""
+def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """Decode a file set: doc_id, start, n_tokens, ids_crc32, ids (little-endian unsigned 32-bit)."""
     blocks = spark.read.schema(FILE).parquet(f"{path}/blocks")
     frozen = read_table(spark, path)
     # One number per writing task.
@@ -127,14 +134,19 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                 ids = block.ids().astype("<u4").tobytes()
                 ends = np.cumsum(block.lengths)
                 starts = ends - block.lengths
-                each = [ids[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist())]
-                columns = [pa.array(block.docs, mask=block.docs == NULL_DOC), pa.array(base[part] + first + starts), pa.array(block.lengths), pa.array(each, pa.binary()), pa.array([zlib.crc32(x) for x in each], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids", "ids_crc32"])
+                view = memoryview(ids)
+                each = [view[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist())]
+                columns = [pa.array(block.docs, mask=block.docs == NULL_DOC), pa.array(base[part] + first + starts), pa.array(block.lengths), pa.array([zlib.crc32(x) for x in each], pa.int64())]
+                if with_ids:
+                    columns.append(pa.array([bytes(x) for x in each], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
-    return blocks.select("part", "first", "block").mapInArrow(decode, "doc_id long, start long, n_tokens long, ids binary, ids_crc32 long")
+    kind = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
+    names = [x.split()[0] for x in kind.split(", ")]
+    return blocks.select("part", "first", "block").mapInArrow(decode, kind)
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the corpus as range-ANS blocks, read them back, and digest every document's ids."""
     path = write_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), staging.new_path(spark, "tokens"))
-    return read_ids(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return read_ids(spark, path, with_ids=False)

@@ -3,8 +3,8 @@
 The vocabulary's pre-tokenizer drops white space and none of its merges crosses it, and its
 normaliser (NFC, per-character lower case) never looks past an ASCII blank. A text's ids are
 therefore the concatenation of the ids of its blank-separated chunks, so every distinct chunk is
-encoded by the library once and looked up afterwards. Splitting, dictionary coding and gathering
-run in Arrow and numpy over about 8 MB of text at a time; only distinct chunks become objects.
+encoded by the library once and looked up afterwards. Splitting, dictionary coding, look-up and
+gathering run in Arrow and numpy over about 8 MB of text at a time; only new chunks become objects.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 END_ID = 2
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 800_000
+MEMO_BYTES = 24 << 20
 LONG_CHUNK = 64
 SLICE_BYTES = 8 << 20
 
@@ -56,33 +57,34 @@ class WordBpe:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.memo: dict[str, bytes] = {"": b""}
+        #: Known chunks, how many ids each has, and the ids of all end to end.
+        self.known = pa.array([""], pa.string())
+        self.sizes = np.zeros(1, np.int64)
+        self.table = np.empty(0, np.uint32)
 
-    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
-        """Encode chunks joined by blanks, then cut the ids where each chunk begins.
+    def _learn(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """An order of the chunks, their numbers of ids in it, and the ids end to end.
 
-        A chunk of stable lower-case letters is one pre-token, so the library's cheap word numbers
-        find its ids; any other chunk is found by character offsets.
+        They are encoded joined by blanks and cut where each begins. A chunk of stable lower-case
+        letters is one pre-token, so the library's cheap word numbers find its ids; any other chunk
+        is found by character offsets.
         """
-        plain, other = [], []
-        for c in chunks:
-            one = c.isalpha() and (c.isascii() or (c == c.lower() and unicodedata.is_normalized("NFC", c)))
-            (plain if one else other).append(c)
-        out: dict[str, bytes] = {}
+        one = [c.isalpha() and (c.isascii() or (c == c.lower() and unicodedata.is_normalized("NFC", c))) for c in chunks]
+        plain = [k for k, p in enumerate(one) if p]
+        other = [k for k, p in enumerate(one) if not p]
+        sizes, ids = [np.empty(0, np.int64)], [np.empty(0, np.uint32)]
         for group, by_word in ((plain, True), (other, False)):
             for at in range(0, len(group), 128):
-                some = group[at : at + 128]
+                some = [chunks[k] for k in group[at : at + 128]]
                 got = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
                 if by_word:
                     owner = np.asarray(got.word_ids)
                 else:
                     ends = np.cumsum([len(t) + 1 for t in some])
                     owner = np.searchsorted(ends, [o[0] for o in got.offsets], "right")
-                cut = (4 * np.searchsorted(owner, np.arange(len(some) + 1))).tolist()
-                ids = np.asarray(got.ids, "<u4").tobytes()
-                for c, i, j in zip(some, cut, cut[1:]):
-                    out[c] = ids[i:j]
-        return out
+                sizes.append(np.bincount(owner.astype(np.int64), minlength=len(some)))
+                ids.append(np.asarray(got.ids, np.uint32))
+        return np.array(plain + other, np.int64), np.concatenate(sizes), np.concatenate(ids)
 
     def encode(self, text: str | None) -> np.ndarray:
         """The ids of one whole text; null is empty."""
@@ -98,7 +100,6 @@ class WordBpe:
         return np.concatenate(flat or [np.empty(0, np.uint32)]), np.concatenate(ends)
 
     def _slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        memo = self.memo
         texts = pc.fill_null(texts, "")
         # The normaliser lower-cases; doing ASCII first lets more chunks share a memo entry.
         low = pc.ascii_lower(texts)
@@ -108,22 +109,27 @@ class WordBpe:
         parts = pc.ascii_split_whitespace(low)
         first = parts.offsets.to_numpy().astype(np.int64)
         coded = parts.values.slice(first[0], first[-1] - first[0]).dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        fresh = [w for w in words if w not in memo]
-        memo.update(self._learn(fresh))
-        pieces = [memo[w] for w in words]
-        for c in fresh:
-            if len(c) > LONG_CHUNK:
-                del memo[c]
-        if len(memo) > MEMO_ENTRIES:
-            # Frequent chunks enter first, so the later half holds the rare ones.
-            for c in list(memo)[MEMO_ENTRIES // 2 :]:
-                del memo[c]
-        size = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
-        begin = np.cumsum(size) - size
-        table = np.frombuffer(b"".join(pieces), "<u4")
-        at = coded.indices.to_numpy()
-        n = size[at]
+        words = coded.dictionary
+        entry = pc.index_in(words, value_set=self.known)
+        missing = entry.is_null().to_numpy(zero_copy_only=False)
+        entry = pc.fill_null(entry, 0).to_numpy().copy()
+        if missing.any():
+            new = words.filter(pa.array(missing)).to_pylist()
+            order, sizes, ids = self._learn(new)
+            entry[np.flatnonzero(missing)[order]] = len(self.sizes) + np.arange(len(order))
+            self.known = pa.concat_arrays([self.known, pa.array([new[k] for k in order], pa.string())])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.table = np.concatenate([self.table, ids])
+        ends = np.cumsum(self.sizes)
+        at = entry[coded.indices.to_numpy()]
+        n = self.sizes[at]
         total = np.concatenate([np.zeros(1, np.int64), np.cumsum(n)])
-        ids = table[np.arange(total[-1]) + np.repeat(begin[at] - total[:-1], n)]
+        ids = self.table[np.arange(total[-1]) + np.repeat((ends - self.sizes)[at] - total[:-1], n)]
+        if len(self.sizes) > MEMO_ENTRIES or pc.sum(pc.binary_length(self.known)).as_py() > MEMO_BYTES:
+            # Frequent chunks enter first, so the rare ones and any long one are behind.
+            keep = np.flatnonzero(pc.binary_length(self.known).to_numpy() <= LONG_CHUNK)[: MEMO_ENTRIES // 2]
+            sizes = self.sizes[keep]
+            last = np.cumsum(sizes)
+            self.table = self.table[np.arange(last[-1] if len(last) else 0) + np.repeat((ends - self.sizes)[keep] - (last - sizes), sizes)]
+            self.known, self.sizes = self.known.take(pa.array(keep)), sizes
         return ids, total[first - first[0]]
