@@ -128,6 +128,17 @@ def quality(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(run, VERDICT)
 
 
+def kept_documents(documents: DataFrame) -> DataFrame:
+    """The rows of ``documents`` whose text is kept, all columns as they were."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text"))
+            yield batch.filter(pa.array([measure(t.as_py())[6] for t in texts], pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judge every whole text of the corpus."""
     return quality(spark.read.parquet(f"{sf_dir}/documents.parquet"))
