@@ -29,7 +29,14 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stage_path = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Give back the storage of a staged frame that no later plan reads."""
+    drop_stage(df.sparkSession, df._stage_path)
 
 
 def drop_stage(spark: SparkSession, path: str) -> None:

@@ -136,6 +136,7 @@ def repeated_ranges(documents: DataFrame) -> DataFrame:
     anchors = staging.staged(rows.filter(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).mapInArrow(_anchors, ANCHORS), "anchors")
     wide = anchors.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select("key")
     shared = staging.staged(anchors.join(wide, "key"), "shared")
+    staging.release(anchors)
 
     bodies = staging.staged(shared.groupBy("key", "body").agg(F.min("doc_id").alias("least")), "bodies")
     forked = bodies.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
