@@ -134,7 +134,8 @@ def repeated_ranges(documents: DataFrame) -> DataFrame:
     ``copy`` is the text's crc32."""
     rows = documents.select(F.col("doc_id").cast("long"), F.crc32(F.col("text").cast("binary")).alias("copy"), "text")
     anchors = staging.staged(rows.filter(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).mapInArrow(_anchors, ANCHORS), "anchors")
-    wide = anchors.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select("key")
+    # Staged, so that both sides of the join are plain exchanges and a hot key's rows can be split.
+    wide = staging.staged(anchors.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select("key"), "keys")
     shared = staging.staged(anchors.join(wide, "key"), "shared")
     staging.release(anchors)
 
