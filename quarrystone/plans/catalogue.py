@@ -244,23 +244,24 @@ def q_holdout_exclusion(s, d):
     return training.holdout_exclusion(b.table(s, d, "documents"), b.table(s, d, "benchmark")).select("doc_id")
 
 
-_BASE = F.concat(F.lit("http://"), F.try_parse_url(F.col("page_url"), F.lit("HOST")))
+def _base():
+    return F.concat(F.lit("http://"), F.try_parse_url(F.col("page_url"), F.lit("HOST")))
 
 
 @query
 def q_links_seen_first(s, d):
-    return links.seen_first(b.links(s, d), _BASE, exclude=["the,"], least_title=3).select("page_url", "pos", "url", "title")
+    return links.seen_first(b.links(s, d), _base(), exclude=["the,"], least_title=3).select("page_url", "pos", "url", "title")
 
 
 @query
 def q_links_title_first(s, d):
-    return links.title_first(b.links(s, d), _BASE, F.col("href").rlike("^/[a-z]+"), 3).select("page_url", "pos", "url", "title")
+    return links.title_first(b.links(s, d), _base(), F.col("href").rlike("^/[a-z]+"), 3).select("page_url", "pos", "url", "title")
 
 
 @query
 def q_link_hosts(s, d):
-    rows = links.resolved(b.links(s, d), _BASE)
-    return rows.select(F.try_parse_url("url", F.lit("HOST")).alias("host"), scalars.same_host(F.col("url"), _BASE).alias("same")).groupBy("host", "same").agg(F.count("*").alias("n"))
+    rows = links.resolved(b.links(s, d), _base())
+    return rows.select(F.try_parse_url("url", F.lit("HOST")).alias("host"), scalars.same_host(F.col("url"), _base()).alias("same")).groupBy("host", "same").agg(F.count("*").alias("n"))
 
 
 @query
@@ -270,7 +271,7 @@ def q_dedupe_items(s, d):
 
 @query
 def q_finding_links(s, d):
-    return links.finding_links(b.links(s, d), _BASE, 5).select("page_url", "url")
+    return links.finding_links(b.links(s, d), _base(), 5).select("page_url", "url")
 
 
 @query
