@@ -45,7 +45,7 @@ def page_count(probe: DataFrame, column: str = "output") -> DataFrame:
 
 def manifest_directories(spark: SparkSession, raw_root: str, chunk_ids: list[str] | None = None) -> DataFrame:
     """(pdf_dir, chunk_id, parsed) of every ``pdf_manifest.json`` below any chunk directory."""
-    rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "pdf_manifest.json").text(raw_root)
+    rows = spark.read.option("pathGlobFilter", "pdf_manifest.json").text(raw_root, wholetext=True, recursiveFileLookup=True)
     rows = rows.select(F.regexp_replace(F.col("_metadata.file_path"), "/pdf_manifest.json$", "").alias("pdf_dir"), F.try_parse_json("value").alias("parsed"))
     rows = rows.withColumn("chunk_id", F.regexp_extract("pdf_dir", r"/((?:chunk|single)_[^/]+)/", 1))
     return rows.filter(F.col("chunk_id").isin(chunk_ids)) if chunk_ids else rows

@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def json_lines(spark: SparkSession, path: str) -> DataFrame:
+def json_lines(spark: SparkSession, path: str, numbered: bool = True) -> DataFrame:
     """(path, line, value, parsed): one row per non-blank line, parsed to VARIANT or null.
 
-    ``line`` is the file's own line number where a file is one split (it is read whole).
+    To number lines each file is read whole; files too large for that are split where not ``numbered``, and
+    ``line`` is null.
     """
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
-    lines = files.select("path", F.posexplode(F.split("value", "\r?\n")).alias("at", "value"))
+    where = F.col("_metadata.file_path").alias("path")
+    if numbered:
+        lines = spark.read.text(path, wholetext=True).select(where, F.posexplode(F.split("value", "\r?\n")).alias("at", "value"))
+    else:
+        lines = spark.read.text(path).select(where, F.lit(None).cast("int").alias("at"), "value")
     return lines.filter(F.col("value").rlike(r"\S")).select("path", (F.col("at") + 1).alias("line"), "value", F.try_parse_json("value").alias("parsed"))
 
 
@@ -21,10 +25,10 @@ def _is_object(c):
     return F.schema_of_variant(c).startswith("OBJECT")
 
 
-def strict_jsonl(spark: SparkSession, path: str, objects_only: bool = True) -> DataFrame:
+def strict_jsonl(spark: SparkSession, path: str, objects_only: bool = True, numbered: bool = True) -> DataFrame:
     """As ``json_lines``; a bad line, or a value that isn't an object, fails with path and line."""
-    rows = json_lines(spark, path)
-    where = F.concat(F.col("path"), F.lit(":"), F.col("line").cast("string"))
+    rows = json_lines(spark, path, numbered)
+    where = F.concat(F.col("path"), F.lit(":"), F.coalesce(F.col("line").cast("string"), F.col("value")))
     good = F.col("parsed").isNotNull()
     checked = F.when(~good, F.raise_error(F.concat(F.lit("invalid JSON at "), where)))
     if objects_only:
@@ -39,7 +43,7 @@ def tolerant_jsonl(spark: SparkSession, path: str, schema: StructType | str) ->
 
 def json_documents(spark: SparkSession, path: str, objects_only: bool = True) -> DataFrame:
     """(path, value, parsed): one JSON document a file."""
-    rows = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     rows = rows.withColumn("parsed", F.try_parse_json("value"))
     bad = F.col("parsed").isNull()
     if objects_only:
