@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from quarrystone.llm import oracles
 from quarrystone.llm.embedding_dedup import op10_embedding_dedup
 from quarrystone.llm.language import op4_language
-from quarrystone.llm.line_dedup import OP9_SQL, op9_line_dedup
+from quarrystone.llm.line_dedup import op9_line_dedup
 from quarrystone.llm.ngram_join import op3_ngram_jaccard
 from quarrystone.llm.packing import op5_packing
 from quarrystone.llm.pieces import op7_pieces
@@ -36,4 +37,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_line_dedup": OP9_SQL}
+    return oracles.oracle_sql()
