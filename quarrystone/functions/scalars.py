@@ -130,6 +130,16 @@ def ocr_kind(path: Column) -> Column:
     return F.when(suffix == ".pdf", "pdf").when(suffix.isin(*IMAGES), "image").otherwise(wrong)
 
 
+def mime_type(path: Column) -> Column:
+    suffix = extension(path)
+    image = F.concat(F.lit("image/"), F.when(suffix == ".jpg", "jpeg").otherwise(F.substr(suffix, F.lit(2))))
+    return F.when(suffix.isin(*IMAGES), image).when(suffix == ".pdf", "application/pdf").otherwise("application/octet-stream")
+
+
+def data_url(path: Column, content: Column) -> Column:
+    return F.concat(F.lit("data:"), mime_type(path), F.lit(";base64,"), F.base64(content))
+
+
 def owner_repo(url: Column) -> Column:
     """``owner/repo`` of a repository URL, null if its path is shorter."""
     parts = F.split(F.btrim(F.try_parse_url(url, F.lit("PATH")), F.lit("/")), "/")

@@ -150,3 +150,8 @@ def follow_next(edges: DataFrame, starts: DataFrame, most: int) -> DataFrame:
         now = now.select("start", F.col("next_url").alias("url"), F.lit(step).alias("step"), F.concat("seen", F.array("next_url")).alias("seen"))
         out = out.unionByName(now)
     return out.drop("seen")
+
+
+def section_bodies(headings: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Headings with the text of the section their id names; headings without one are dropped."""
+    return headings.join(bodies.select("page_url", "section_id", "body"), ["page_url", "section_id"])

@@ -120,3 +120,8 @@ def inverted_index(documents: DataFrame) -> DataFrame:
 def vulnerability_records(rows: DataFrame, fields: list[str]) -> DataFrame:
     """Rows with a content id over the normalised fields."""
     return rows.withColumn("id", F.sha2(F.concat_ws("\u001f", *(F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields)), 256))
+
+
+def candidates(findings: DataFrame) -> DataFrame:
+    """Findings grouped to one candidate per report and matched repository."""
+    return findings.groupBy("pdf_id", "match_id").agg(F.count("*").alias("findings"), F.sort_array(F.collect_set("severity")).alias("severities"))

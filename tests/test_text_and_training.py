@@ -1,9 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from quarrystone.functions import html
+from quarrystone.functions import html, scalars
 from quarrystone.functions.content import canonical_json, content_text
-from quarrystone.operators import links, metrics, runs, training
+from quarrystone.operators import links, metrics, ocr, runs, training
 from quarrystone.sources import registry, sinks
 
 PAGE = """<html><head><title>T</title></head><body><nav><a href="/n.pdf">nav</a></nav><main><h1>Head</h1>
@@ -119,3 +119,41 @@ def test_sinks(spark, tmp_path):
     files = spark.createDataFrame([("a.pdf", 1024, "r"), ("b.pdf", 512, "r")], "path string, size_bytes bigint, source_root string")
     card = sinks.dataset_card(files).first()
     assert (card.file_count, card.total_size) == (2, "1.50 KiB")
+
+
+def test_site_links(spark):
+    schema = "page_url string, pos int, href string, text string, block int, heading string, heading_class string, in_nav boolean"
+    rows = [
+        ("http://h.com/l", 0, "/", "Home", 0, "A story", "entry-title", False), ("http://h.com/l", 1, "/a", "read", 0, "A story", "entry-title", False),
+        ("http://h.com/l", 2, "/b", "", 1, "Second one", "", False), ("http://h.com/l", 3, "/contests/9", "Nine", None, None, None, False),
+        ("http://h.com/l", 4, "/c/7", "Seven", None, None, None, False), ("http://h.com/l", 5, "/bug-bounty/x", "", 2, "Bounty X", "", False), ("http://h.com/l", 6, "/bug-bounty/", "All", None, None, None, True),
+    ]
+    frame, base = spark.createDataFrame(rows, schema), F.lit("http://h.com")
+    titles = lambda d: [(r.href, r.title) for r in d.orderBy("pos").collect()]
+    assert titles(links.article_links(frame, base)) == [("/a", "A story"), ("/b", "Second one"), ("/bug-bounty/x", "Bounty X")]
+    assert titles(links.post_links(frame.filter("block = 0 OR block IS NULL"), base)) == [("/", "A story")]
+    assert titles(links.contest_links(frame, base)) == [("/contests/9", "Nine")]
+    assert titles(links.contest_links(frame, base, with_short=True)) == [("/contests/9", "Nine"), ("/c/7", "Seven")]
+    assert titles(links.bounty_links(frame, base)) == [("/bug-bounty/x", "Bounty X")]
+    assert titles(links.generic_articles(frame, base))[0] == ("/", "Home")
+    sections = spark.createDataFrame([("http://h.com/l", "sc3", "SC3: Thing"), ("http://h.com/l", "x", "Intro")], "page_url string, section_id string, title string")
+    top = links.top_entries(frame, sections, base).collect()
+    assert [(r.sc_id, r.url) for r in top] == [("SC03", "http://h.com/l#sc3")]
+    bodies = spark.createDataFrame([("http://h.com/l", "sc3", "text")], "page_url string, section_id string, body string")
+    assert links.section_bodies(sections, bodies).count() == 1
+    missing = links.with_details(links.contest_links(frame, base), spark.createDataFrame([], "url string, content string"), "site", "audits").first()
+    assert missing.error and missing.listing_title == "Nine"
+
+
+def test_matches_and_names(spark):
+    found = spark.createDataFrame([("p", "m", "High"), ("p", "m", "Low"), ("p", None, "Low")], "pdf_id string, match_id string, severity string")
+    assert {(r.match_id, r.findings) for r in runs.candidates(found).collect()} == {("m", 2), (None, 1)}
+    reports = spark.createDataFrame([("p", "k", "a")], "pdf_id string, key string, name string")
+    repos = spark.createDataFrame([("r1", "k", "b"), ("r2", "k", "a")], "repo_id string, key string, repo_name string")
+    best = runs.scored_matches(reports, repos, "key", {"name": F.col("name") == F.col("repo_name"), "any": F.lit(True)}).first()
+    assert (best.repo_id, best.confidence) == ("r2", "exact")
+    row = spark.range(1).select(scalars.data_url(F.lit("a.JPG"), F.lit("x").cast("binary")), scalars.ocr_kind(F.lit("a.pdf")), scalars.placeholder_null(F.lit("your_key"))).first()
+    assert tuple(row) == ("data:image/jpeg;base64,eA==", "pdf", None)
+    pages = spark.createDataFrame([("p", "x"), ("q", "y")], "pdf_id string, source_pdf_sha256 string")
+    records = spark.createDataFrame([("p", "x"), ("q", "z")], "pdf_id string, sha256 string")
+    assert [r.pdf_id for r in ocr.checksum_mismatches(pages, records).collect()] == ["q"]
