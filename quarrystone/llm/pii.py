@@ -16,7 +16,7 @@ entity that really occurs. Of clashing entities the least keeps its surrogate, t
 loop runs on the distinct entities alone and ends when no clash is left.
 
 Null texts stay null and empty ones empty. Overlapping mentions: the leftmost wins, then the kind listed first.
-All other columns pass through; rows that repeat or share a doc_id are each rewritten by their own text.
+All other columns pass through (one called n_entities is replaced); rows that repeat or share a doc_id are each rewritten by their own text.
 """
 
 from __future__ import annotations
@@ -253,10 +253,6 @@ def render(kind: str, surface: str, new: str) -> str:
     return new
 
 
-def _rows(documents: DataFrame) -> DataFrame:
-    return documents.withColumn("_row_key", F.sha2(F.col("text"), 256))
-
-
 def mentions(documents: DataFrame) -> DataFrame:
     """(row_key, mentions): one row per distinct text that holds an entity; row_key is its SHA-256."""
 
@@ -321,7 +317,8 @@ def replace_pii(documents: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], [*(n for n in at if n != "_plan"), "n_entities"])
 
     kept = documents.drop("n_entities")
-    joined = _rows(kept).join(plan, F.col("_row_key") == F.col("row_key"), "left").drop("_row_key", "row_key")
+    plan = plan.withColumnRenamed("row_key", "_plan_key")
+    joined = kept.withColumn("_row_key", F.sha2("text", 256)).join(plan, F.col("_row_key") == F.col("_plan_key"), "left").drop("_row_key", "_plan_key")
     shape = kept.schema.add("n_entities", "long")
     return joined.mapInArrow(write, shape)
 
