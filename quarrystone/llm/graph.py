@@ -17,26 +17,29 @@ def components(edges: DataFrame) -> DataFrame:
     """
     spark = edges.sparkSession
     maps: list[DataFrame] = []
-    live = staged_edges(edges.filter("a <> b"))
+    live = staged_edges(edges)
     while not live.isEmpty():
-        near = live.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
-        first = near.select("node", F.least("node", "low").alias("up"))
+        # An edge's smaller end comes first: a node that only comes first is a local minimum and stays.
+        first = live.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("up"))
         second = first.select(F.col("node").alias("up"), F.col("up").alias("upper"))
-        up = staging.staged(first.join(second, "up").select("node", F.col("upper").alias("up")), "cc")
+        up = staging.staged(first.join(second, "up", "left").select("node", F.coalesce("upper", "up").alias("up")), "cc")
         maps.append(up)
-        left = live.join(up.select(F.col("node").alias("a"), F.col("up").alias("ua")), "a").select("ua", "b")
+        left = live.join(up.select(F.col("node").alias("a"), F.col("up").alias("ua")), "a", "left").select(F.coalesce("ua", "a").alias("a"), "b")
         both = left.join(up.select(F.col("node").alias("b"), F.col("up").alias("ub")), "b")
-        live = staged_edges(both.select(F.col("ua").alias("a"), F.col("ub").alias("b")).filter("a <> b"))
+        live = staged_edges(both.select("a", F.col("ub").alias("b")))
     if not maps:
         return spark.createDataFrame([], "node long, root long")
     roots = maps[0].select("node", F.col("up").alias("root"))
     for later in maps[1:]:
         step = later.select(F.col("node").alias("root"), F.col("up").alias("next"))
-        roots = roots.join(step, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
-    return staging.staged(roots, "roots")
+        moved = roots.join(step, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+        roots = moved.union(later.select("node", F.col("up").alias("root")).join(roots.select("node"), "node", "left_anti"))
+    roots = staging.staged(roots, "roots")
+    tops = roots.select(F.col("root").alias("node")).distinct()
+    return roots.union(tops.select("node", F.col("node").alias("root")))
 
 
 def staged_edges(edges: DataFrame) -> DataFrame:
-    """Both directions of each edge, once."""
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    return staging.staged(both.distinct(), "edges")
+    """Each edge between two nodes once, smaller end first."""
+    once = edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return staging.staged(once.distinct(), "edges")
