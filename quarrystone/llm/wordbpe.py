@@ -9,6 +9,7 @@ gathering run in Arrow and numpy over about 8 MB of text at a time; only new chu
 
 from __future__ import annotations
 
+import ctypes
 import os
 import unicodedata
 
@@ -50,6 +51,14 @@ def text_slices(texts: pa.Array, most: int = SLICE_BYTES):
         at = end
 
 
+def give_back() -> None:
+    """Return freed memory to the system: an idle worker shouldn't hold a batch's scratch space."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 class WordBpe:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -97,6 +106,7 @@ class WordBpe:
             ids, offsets = self._slice(some)
             flat.append(ids)
             ends.append(offsets[1:] + ends[-1][-1])
+        give_back()
         return np.concatenate(flat or [np.empty(0, np.uint32)]), np.concatenate(ends)
 
     def _slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
