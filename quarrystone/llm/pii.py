@@ -317,7 +317,8 @@ def replace_pii(documents: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], [*(n for n in at if n != "_plan"), "n_entities"])
 
     kept = documents.drop("n_entities")
-    plan = plan.withColumnRenamed("row_key", "_plan_key")
+    # Staged, so that the join is of plain exchanges and the copies of one text can be split.
+    plan = staging.staged(plan.withColumnRenamed("row_key", "_plan_key"), "plans")
     joined = kept.withColumn("_row_key", F.sha2("text", 256)).join(plan, F.col("_row_key") == F.col("_plan_key"), "left").drop("_row_key", "_plan_key")
     shape = kept.schema.add("n_entities", "long")
     return joined.mapInArrow(write, shape)
