@@ -55,10 +55,11 @@ def later_windows(documents: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     """(doc_id, starts): windows that start earlier too."""
     each = staging.staged(windows(documents, min_run), "lines")
     here = F.struct("doc_id", "spot")
-    shared = each.groupBy("mark").agg(F.min(here).alias("low"), F.max(here).alias("high")).filter("low < high").select("mark")
+    # Staged, here and below, so that joins are of plain exchanges and a hot key's rows can be split.
+    shared = staging.staged(each.groupBy("mark").agg(F.min(here).alias("low"), F.max(here).alias("high")).filter("low < high").select("mark"), "marks")
     near = staging.staged(each.join(shared, "mark").select("doc_id", "start", "one", "two"), "near")
     place = F.struct("doc_id", "start")
-    first = near.groupBy("one", "two").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first < last").select("one", "two", "first")
+    first = staging.staged(near.groupBy("one", "two").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first < last").select("one", "two", "first"), "firsts")
     later = near.join(first, ["one", "two"]).filter(place > F.col("first"))
     # A document's own windows: bounded by its lines.
     return later.groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
