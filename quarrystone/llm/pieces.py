@@ -102,6 +102,7 @@ class PieceCodec:
         self.end = spec.trainer_spec.eos_id
         self.unknown = spec.trainer_spec.unk_id
         self.lengths = np.array([1 if p.type == kinds.BYTE else len(p.piece.encode()) for p in spec.pieces], np.int64)
+        self.marked = np.array([p.piece.startswith(MARK) for p in spec.pieces])
         self.memo: dict[str, tuple[int, bytes, str]] = {}
         if self.end < 0:
             raise ValueError("the model has no end id")
@@ -172,6 +173,18 @@ class PieceCodec:
         return mark * bool(self.dummy) + data.replace(b" ", mark), np.concatenate([front, source, [len(raw)]])
 
     def _learn(self, segments: list[str]) -> None:
+        """Encode new segments. Those of one mark and a word are encoded end to end, and cut where a
+        piece starts with a mark, which only the first of a segment does."""
+        plain = [s for s in segments if s[0] == MARK and len(s) > 1 and s.count(MARK) == 1]
+        if self.by_segment:
+            for at in range(0, len(plain), 64):
+                some = plain[at : at + 64]
+                ids = np.asarray(self.inner.encode("".join(some)), "<i4")
+                cuts = np.append(np.flatnonzero(self.marked[ids]), len(ids)).tolist()
+                texts, raw = list(map(str, ids.tolist())), ids.tobytes()
+                for segment, i, j in zip(some, cuts[:-1], cuts[1:], strict=True):
+                    self.memo[segment] = (j - i, raw[4 * i : 4 * j], " ".join(texts[i:j]))
+            segments = [s for s in segments if s not in self.memo]
         for segment, ids in zip(segments, self.inner.encode(segments, num_threads=1)):
             self.memo[segment] = (len(ids), np.asarray(ids, "<i4").tobytes(), " ".join(map(str, ids)))
 
