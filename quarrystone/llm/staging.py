@@ -17,8 +17,19 @@ def stage_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_PATHS: list[str] = []
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{stage_root(spark)}/quarry-{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{stage_root(spark)}/quarry-{label}-{uuid.uuid4().hex[:12]}"
+    _PATHS.append(path)
+    return path
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove every folder this process has staged, once their results have been written elsewhere."""
+    while _PATHS:
+        drop_stage(spark, _PATHS.pop())
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
