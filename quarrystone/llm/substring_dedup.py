@@ -148,7 +148,7 @@ def repeated_ranges(documents: DataFrame) -> DataFrame:
     spans = ends.groupBy("doc_id", "copy").agg(F.collect_list(F.struct("key", "first", "last")).alias("spans"))
     singles = rows.join(spans, ["doc_id", "copy"]).select("doc_id", "copy", "text", "spans").dropDuplicates(["doc_id", "copy"])
     singles = staging.staged(singles.mapInArrow(_window_hashes, "doc_id long, copy long, key long, body long, at int"), "windows")
-    seen = singles.groupBy("key", "body").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select("key", "body", "least")
+    seen = staging.staged(singles.groupBy("key", "body").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select("key", "body", "least"), "seen")
     part = singles.join(seen, ["key", "body"]).filter("doc_id > least").select("doc_id", "copy", F.col("at").alias("first"), F.col("at").alias("last"))
     return whole.union(part).groupBy("doc_id", "copy").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
 
