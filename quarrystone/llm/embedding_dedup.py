@@ -3,7 +3,8 @@
 Vectors are compared when labels are equal and not null (and dimensions equal). A vector that is null,
 zero, or holds null or non-finite components links with nothing. Equal vectors are one class with a count.
 Cells are fitted on a bounded sample (``PER_CELL`` vectors for each of at most ``CELLS`` cells of the
-``FITTED`` largest label groups; other groups are one cell each), but every vector is indexed: it lives in the
+``FITTED`` largest label groups, so some 20,000 vectors on the driver; other groups are one cell each), but
+every vector is indexed: it lives in the
 cell of its most similar centroid c and also visits each cell c' with v.(c - c') <= d |c - c'|, where d is
 the chord of the threshold angle. Two vectors within that chord always meet in either's own cell, so no
 link is lost. A cell is compared in blocks of about ``BLOCK`` rows; a block gives each own vector's links as
@@ -26,10 +27,10 @@ from pyspark.sql import functions as F
 from quarrystone.llm import graph, staging
 
 THRESHOLD = 0.98
-FITTED = 256
+FITTED = 16
 CELLS = 64
 CELL_ROWS = 2000
-PER_CELL = 40
+PER_CELL = 20
 BLOCK = 1024
 ROUNDS = 12
 
@@ -68,12 +69,12 @@ def _fit(classes: DataFrame) -> dict[tuple, np.ndarray]:
     cells = {(r["label"], r["dim"]): (min(CELLS, -(-r["count"] // CELL_ROWS)), r["count"]) for r in sizes}
     if not cells:
         return {}
-    shares = [(*g, min(1.0, 1.5 * PER_CELL * k / n)) for g, (k, n) in cells.items()]
+    shares = [(*g, min(1.0, 1.2 * PER_CELL * k / n)) for g, (k, n) in cells.items()]
     # FITTED rows at most.
     share = F.broadcast(classes.sparkSession.createDataFrame(shares, "label string, dim int, share double"))
     drawn = classes.join(share, ["label", "dim"]).filter(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
     sample: dict[tuple, list] = {}
-    for row in drawn.select("label", "dim", "embedding").limit(2 * PER_CELL * sum(k for k, _ in cells.values())).toLocalIterator():
+    for row in drawn.select("label", "dim", "embedding").limit(PER_CELL * sum(k for k, _ in cells.values())).toLocalIterator():
         sample.setdefault((row["label"], row["dim"]), []).append(row["embedding"])
     out = {}
     for group, rows in sorted(sample.items()):
