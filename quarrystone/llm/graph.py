@@ -11,18 +11,21 @@ from quarrystone.llm import staging
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges(a, b)``; root is the component's smallest node.
 
-    Each round points every node at its smallest neighbour, follows pointers once more, and redraws
-    the edges between the nodes pointed at. A node that isn't a local minimum leaves, so at most half
-    of them stay; a star needs one round. Rounds are staged, so lineage stays short.
+    Each round points every node at its smallest neighbour if that is smaller, follows the pointers to their
+    ends by doubling, and redraws the edges between those ends. Only local minima are ends, so at most half of
+    the nodes stay in a round; a path takes one round of a few doublings. Rounds are staged, so lineage stays short.
     """
     spark = edges.sparkSession
     maps: list[DataFrame] = []
     live = staged_edges(edges)
     while not live.isEmpty():
         # An edge's smaller end comes first: a node that only comes first is a local minimum and stays.
-        first = live.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("up"))
-        second = first.select(F.col("node").alias("up"), F.col("up").alias("upper"))
-        up = staging.staged(first.join(second, "up", "left").select("node", F.coalesce("upper", "up").alias("up")), "cc")
+        up = staging.staged(live.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("up")), "cc")
+        while True:
+            hop = up.select(F.col("node").alias("up"), F.col("up").alias("upper"))
+            if up.join(hop, "up", "left_semi").isEmpty():
+                break
+            up = staging.staged(up.join(hop, "up", "left").select("node", F.coalesce("upper", "up").alias("up")), "cc")
         maps.append(up)
         left = live.join(up.select(F.col("node").alias("a"), F.col("up").alias("ua")), "a", "left").select(F.coalesce("ua", "a").alias("a"), "b")
         both = left.join(up.select(F.col("node").alias("b"), F.col("up").alias("ub")), "b")
