@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 DROPPED = frozenset("script style nav footer header aside".split())
 DROPPED_MARKDOWN = frozenset("script style nav footer header".split())
-_BODY = re.compile("content|main|article|post|entry", re.I)
+_BODY = re.compile("content|post|article|entry", re.I)
+_PROSE = re.compile("markdown|prose|content", re.I)
+_BLOCK = frozenset("post entry hentry".split())
 
 
 class Node:
@@ -93,15 +95,12 @@ def parse(html: str | None) -> Node:
     return builder.root
 
 
-def main_content(root: Node) -> Node:
+def main_content(root: Node, telling: re.Pattern = _BODY, by_id: bool = True) -> Node:
     """main, else article, else an element of a telling class or id, else the body, else all."""
-    tests = (
-        lambda n: n.name == "main",
-        lambda n: n.name == "article",
-        lambda n: n.name in ("div", "section") and _BODY.search(n.attributes.get("class", "")),
-        lambda n: n.name in ("div", "section") and _BODY.search(n.attributes.get("id", "")),
-        lambda n: n.name == "body",
-    )
+    tests = [lambda n: n.name == "main", lambda n: n.name == "article", lambda n: telling.search(n.attributes.get("class", ""))]
+    if by_id:
+        tests.append(lambda n: telling.search(n.attributes.get("id", "")))
+    tests.append(lambda n: n.name == "body")
     return next((found for t in tests if (found := root.first(t))), root)
 
 
@@ -114,30 +113,30 @@ def markdown_of(root: Node, nested_twice: bool = False) -> str:
     written once unless ``nested_twice``."""
     blocks = {"p", "li", "pre", "code", "blockquote"}
     out = []
-    for node in main_content(root).walk():
-        inside = node.within(blocks)
-        if inside and not nested_twice:
+    for node in main_content(root, _PROSE, by_id=False).walk():
+        if not nested_twice and node.within(blocks):
             continue
-        text = node.lines(" ")
+        text = node.lines("")
         if not text:
             continue
         if node.name in ("h1", "h2", "h3", "h4"):
             out.append(f"\n{'#' * int(node.name[1])} {text}\n")
         elif node.name == "p":
-            out.append(f"{text}\n")
+            out.append(f"\n{text}\n")
         elif node.name == "li":
             out.append(f"- {text}")
         elif node.name in ("pre", "code"):
-            out.append(f"```\n{''.join(node.strings()).strip()}\n```\n")
+            code = "".join(node.strings())
+            out.append(f"\n```\n{code}\n```\n" if "\n" in code else f"`{code}`")
         elif node.name == "blockquote":
-            out.append(f"> {text}\n")
+            out += [f"> {line}" for line in text.split("\n")]
     return re.sub(r"\n{3,}", "\n\n", "\n".join(out)).strip()
 
 
 def title_of(root: Node) -> str:
     for name in ("h1", "title"):
         node = root.first(lambda n, name=name: n.name == name)
-        if node and (text := node.lines(" ")):
+        if node and (text := node.lines("")):
             return text
     return ""
 
@@ -156,13 +155,14 @@ def links_of(root: Node) -> list[dict]:
         block, heading = None, None
         at = node.parent
         while at:
-            if at.name in ("article", "li", "section") and block is None:
+            if block is None and (at.name == "article" or _BLOCK & set(at.attributes.get("class", "").split())):
                 block = blocks.setdefault(id(at), len(blocks))
-                heading = at.first(lambda n: n.name in ("h1", "h2", "h3", "h4"))
+                heading = at.first(lambda n: n.name in ("h1", "h2", "h3"))
             at = at.parent
+        heading = heading or node.parent.first(lambda n: n.name in ("h1", "h2", "h3"))
         out.append({
-            "pos": len(out), "href": node.attributes["href"].strip(), "text": node.lines(" "), "block": block,
-            "heading": heading.lines(" ") if heading else None, "heading_class": heading.attributes.get("class", "") if heading else None,
+            "pos": len(out), "href": node.attributes["href"].strip(), "text": node.lines(""), "block": block,
+            "heading": heading.lines("") if heading else None, "heading_class": heading.attributes.get("class", "") if heading else None,
             "in_nav": node.within({"nav", "header", "footer", "aside"}),
         })
     return out

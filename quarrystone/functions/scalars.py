@@ -86,15 +86,22 @@ def window_file(begin: Column, end: Column) -> Column:
     return F.format_string("pages_%04d_%04d.raw.json", begin, end)
 
 
+# Directory names of the bucket rules, in lower case, and the buckets' names.
+EXCLUDED_DIRECTORY, EXCLUDED_BUCKET = "coverage-agreements", "excluded/coverage-agreements"
+PUBLIC_DIRECTORY, PUBLIC_PREFIX = "publicreports", "public_reports/"
+AUDIT_DIRECTORIES, AUDIT_BUCKET = ("sherlock-reports", "audits"), "sherlock_reports/audits"
+OTHER_BUCKET = "other_audit_repo_pdfs"
+
+
 def path_bucket(path: Column) -> Column:
     """The inventory bucket of a relative path; the first rule that holds decides."""
     parts = F.split(path, "/")
     low = F.transform(parts, F.lower)
     return (
-        F.when(F.array_contains(low, "coverage-agreements"), "excluded/coverage-agreements")
-        .when((F.get(low, F.lit(0)) == "publicreports") & (F.size(parts) >= 2), F.concat(F.lit("public_reports/"), F.get(parts, F.lit(1))))
-        .when((F.size(parts) >= 3) & (F.get(low, F.lit(0)) == "sherlock-reports") & (F.get(low, F.lit(1)) == "audits"), "sherlock_reports/audits")
-        .otherwise("other_audit_repo_pdfs")
+        F.when(F.array_contains(low, EXCLUDED_DIRECTORY), EXCLUDED_BUCKET)
+        .when((F.get(low, F.lit(0)) == PUBLIC_DIRECTORY) & (F.size(parts) >= 2), F.concat(F.lit(PUBLIC_PREFIX), F.get(parts, F.lit(1))))
+        .when((F.size(parts) >= 3) & (F.slice(low, 1, 2) == F.array(*map(F.lit, AUDIT_DIRECTORIES))), AUDIT_BUCKET)
+        .otherwise(OTHER_BUCKET)
     )
 
 
@@ -113,8 +120,8 @@ def extension(path: Column) -> Column:
 
 # File kinds by suffix.
 SOLIDITY = (".sol",)
-DOCUMENTS = (".md", ".pdf", ".txt", ".html", ".rst")
-DATA = (".json", ".csv", ".parquet", ".jsonl")
+DOCUMENTS = (".md", ".pdf", ".txt", ".html")
+DATA = (".json", ".csv", ".yaml", ".yml")
 IMAGES = (".png", ".jpg", ".jpeg", ".webp")
 
 

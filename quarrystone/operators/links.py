@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from quarrystone.functions import scalars
 from quarrystone.operators import ordering
 
-FINDING_WORDS = ("/issues/", "/findings/", "/vulnerabilities/", "finding")
+# What a finding's address holds, and addresses of a news site that are no articles.
+FINDING_WORDS = ("/issues/", "/findings/", "/checklist/", "/report/")
+NO_ARTICLES = ("/", "/leaderboard", "/about")
 
 
 def page_links(pages: DataFrame) -> DataFrame:
@@ -66,26 +68,25 @@ def finding_links(links: DataFrame, base: Column, most: int = 100) -> DataFrame:
     return ordering.first_n(rows, ["page_url"], ["pos"], most)
 
 
-def block_links(links: DataFrame, base: Column, drop: list[str], least_title: int, heading_class: str | None = None) -> DataFrame:
-    """One link a block: its first that isn't dropped, titled by the block's heading; where a page has
-    no such block, the generic links."""
-    rows = resolved(links, base).filter(F.col("block").isNotNull() & ~F.lower("href").isin(*drop))
+def block_links(links: DataFrame, base: Column, drop: Column, least_title: int, heading_class: str | None = None) -> DataFrame:
+    """One link a block: its first, unless that is to be dropped, titled by the block's heading; where a page
+    has no such block, the generic links."""
+    rows = resolved(links, base).filter(F.col("block").isNotNull())
     heading = F.nullif("heading", F.lit(""))
     if heading_class:
         heading = F.when(F.col("heading_class").rlike(heading_class), heading)
     rows = ordering.keep_first(rows.withColumn("title", F.coalesce(heading, F.col("title"))), ["page_url", "block"], ["pos"])
-    rows = ordering.keep_first(rows.filter(F.length("title") >= least_title), ["page_url", "url"], ["pos"])
+    rows = ordering.keep_first(rows.filter(~drop & (F.length("title") >= least_title)), ["page_url", "url"], ["pos"])
     rest = seen_first(links, base, least_title=least_title).join(rows.select("page_url").distinct(), "page_url", "left_anti")
     return rows.unionByName(rest.select(rows.columns))
 
 
 def article_links(links: DataFrame, base: Column) -> DataFrame:
-    return block_links(links, base, ["/", "/leaderboard", "/about"], 4)
+    return block_links(links, base, F.col("href").isin(*NO_ARTICLES), 4)
 
 
 def post_links(links: DataFrame, base: Column) -> DataFrame:
-    rows = links.filter(~F.col("href").contains("/category/") & ~F.col("href").contains("/tag/"))
-    return block_links(rows, base, [], 6, r"(?:entry|post)-title")
+    return block_links(links, base, F.col("href").contains("/category/") | F.col("href").contains("/tag/"), 6, r"(?:entry|post)-title")
 
 
 def bounty_links(links: DataFrame, base: Column) -> DataFrame:

@@ -153,7 +153,7 @@ ORACLES: dict[str, str] = {
       SELECT page_url, pos, url, title FROM r WHERE turn = 1""",
     "dedupe_items": f"WITH {LINKS} SELECT href, page_url, pos FROM (SELECT *, row_number() OVER (PARTITION BY href ORDER BY page_url, pos) AS turn FROM links WHERE href <> '') WHERE turn = 1",
     "finding_links": f"""WITH {LINKS}, f AS (SELECT *, row_number() OVER (PARTITION BY page_url, url ORDER BY pos) AS turn FROM resolved
-        WHERE length(title) >= 3 AND (contains(lower(href), '/issues/') OR contains(lower(href), '/findings/') OR contains(lower(href), '/vulnerabilities/') OR contains(lower(href), 'finding'))),
+        WHERE length(title) >= 3 AND (contains(lower(href), '/issues/') OR contains(lower(href), '/findings/') OR contains(lower(href), '/checklist/') OR contains(lower(href), '/report/'))),
       g AS (SELECT *, row_number() OVER (PARTITION BY page_url ORDER BY pos) AS place FROM f WHERE turn = 1) SELECT page_url, url FROM g WHERE place <= 5""",
     "report_envelope": "SELECT regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS source, count(*) AS count, string_agg(page_id::VARCHAR, ',' ORDER BY page_id) AS page_ids FROM pages GROUP BY 1",
     "raw_landing_names": r"""SELECT page_id, 'page_' || left(md5(url), 12) || '.html' AS landing_name, left(trim(regexp_replace(url, '[<>:"/\\|?*]', '_', 'g'), '. '), 255) AS file_name FROM pages""",
