@@ -142,7 +142,7 @@ def title_of(root: Node) -> str:
 
 
 #: A link with what the site-specific filters look at: where it stands, and the heading around it.
-LINK = "struct<pos:int,href:string,text:string,block:int,heading:string,heading_class:string,in_nav:boolean>"
+LINK = "struct<pos:int,href:string,text:string,block:int,heading:string,heading_class:string,under:string,in_nav:boolean>"
 PAGE = f"title string, content string, markdown string, links array<{LINK}>, pdf_links array<string>, next_href string, section_ids array<string>"
 
 
@@ -152,9 +152,10 @@ def links_of(root: Node) -> list[dict]:
     for node in root.walk():
         if node.name != "a" or not node.attributes.get("href"):
             continue
-        block, heading = None, None
+        block, heading, under = None, None, None
         at = node.parent
         while at:
+            under = under or (at.name if at.name in ("h1", "h2", "h3", "h4") else None)
             if block is None and (at.name == "article" or _BLOCK & set(at.attributes.get("class", "").split())):
                 block = blocks.setdefault(id(at), len(blocks))
                 heading = at.first(lambda n: n.name in ("h1", "h2", "h3"))
@@ -163,7 +164,7 @@ def links_of(root: Node) -> list[dict]:
         out.append({
             "pos": len(out), "href": node.attributes["href"].strip(), "text": node.lines(""), "block": block,
             "heading": heading.lines("") if heading else None, "heading_class": heading.attributes.get("class", "") if heading else None,
-            "in_nav": node.within({"nav", "header", "footer", "aside"}),
+            "under": under, "in_nav": node.within({"nav", "header", "footer", "aside"}),
         })
     return out
 

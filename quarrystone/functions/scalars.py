@@ -47,6 +47,7 @@ def human_size(c: Column) -> Column:
 
 def short_text(c: Column, length: int) -> Column:
     """The tail behind an ellipsis where the text is longer than ``length``."""
+    c = F.coalesce(c, F.lit(""))
     return F.when(F.length(c) <= length, c).otherwise(F.concat(F.lit("..."), F.right(c, F.lit(length - 3))))
 
 

@@ -91,14 +91,17 @@ def post_links(links: DataFrame, base: Column) -> DataFrame:
 
 def bounty_links(links: DataFrame, base: Column) -> DataFrame:
     title = F.when(F.length(scalars.stripped(F.coalesce("text", F.lit("")))) < 2, F.col("heading")).otherwise(F.col("text"))
-    keep = F.col("href").contains("/bug-bounty/") & ~F.rtrim("href", F.lit("/")).endswith("/bug-bounty")
-    return title_first(links.withColumn("text", title), base, keep, 3)
+    keep = F.col("href").contains("/bug-bounty/") & ~F.col("href").isin("/bug-bounty/", "/bug-bounty")
+    return seen_first(links.withColumn("text", title).filter(keep), base, least_title=3)
 
 
 def generic_articles(links: DataFrame, base: Column) -> DataFrame:
-    """Links in blocks before others, de-duplicated by href."""
-    rows = resolved(links, base).filter(F.length("title") >= 3).withColumn("rank", F.when(F.col("block").isNotNull(), 0).otherwise(1))
-    return ordering.keep_first(rows, ["page_url", "href"], ["rank", "pos"]).drop("rank")
+    """Links of the base's host in headings of blocks, in other headings, then elsewhere in blocks;
+    de-duplicated by href, not by URL."""
+    inside = F.col("block").isNotNull()
+    rank = F.when(inside & (F.col("under") == "h2"), 0).when(inside & (F.col("under") == "h1"), 1).when(F.col("under").isin("h1", "h2"), 2).when(inside, 3)
+    rows = resolved(links, base).filter((F.length("title") >= 3) & scalars.same_host(F.col("url"), base)).withColumn("rank", rank)
+    return ordering.keep_first(rows.filter(F.col("rank").isNotNull()), ["page_url", "href"], ["rank", "pos"]).drop("rank")
 
 
 def documentation_links(links: DataFrame, base: Column, patterns: list[str]) -> DataFrame:
@@ -114,11 +117,13 @@ def swc_entries(links: DataFrame, base: Column, known: DataFrame | None = None)
 
 
 def top_entries(links: DataFrame, sections: DataFrame, base: Column) -> DataFrame:
-    """Numbered list entries and headings with ids (``page_url, section_id, title``)."""
-    rows = resolved(links, base).withColumn("sc_id", scalars.sc_id(F.col("title"))).filter(F.col("sc_id").isNotNull())
+    """Links numbered in their text (which gives the id) or address, and headings with an id of their own
+    (``page_url, section_id, title``) that no link names."""
+    rows = resolved(links, base).filter("title <> ''").withColumn("sc_id", scalars.sc_id(F.col("title")))
+    rows = rows.filter(F.col("sc_id").isNotNull() | F.col("href").rlike(r"(?i)SC\d+"))
     linked = ordering.keep_first(rows, ["page_url", "url"], ["pos"]).select("sc_id", "title", "url")
-    headed = sections.withColumn("sc_id", scalars.sc_id(F.col("title"))).filter(F.col("sc_id").isNotNull())
-    return linked.unionByName(headed.select("sc_id", "title", F.concat("page_url", F.lit("#"), "section_id").alias("url")))
+    headed = sections.filter("title <> ''").select(F.lit(None).cast("string").alias("sc_id"), "title", F.concat("page_url", F.lit("#"), "section_id").alias("url"))
+    return linked.unionByName(headed.join(linked.select("url"), "url", "left_anti"))
 
 
 def pdf_links(links: DataFrame, base: Column) -> DataFrame:

@@ -122,11 +122,11 @@ def test_sinks(spark, tmp_path):
 
 
 def test_site_links(spark):
-    schema = "page_url string, pos int, href string, text string, block int, heading string, heading_class string, in_nav boolean"
+    schema = "page_url string, pos int, href string, text string, block int, heading string, heading_class string, under string, in_nav boolean"
     rows = [
-        ("http://h.com/l", 0, "/", "Home", 0, "A story", "entry-title", False), ("http://h.com/l", 1, "/a", "read", 0, "A story", "entry-title", False),
-        ("http://h.com/l", 2, "/b", "", 1, "Second one", "", False), ("http://h.com/l", 3, "/contests/9", "Nine", None, None, None, False),
-        ("http://h.com/l", 4, "/c/7", "Seven", None, None, None, False), ("http://h.com/l", 5, "/bug-bounty/x", "", 2, "Bounty X", "", False), ("http://h.com/l", 6, "/bug-bounty/", "All", None, None, None, True),
+        ("http://h.com/l", 0, "/", "Home", 0, "A story", "entry-title", "h2", False), ("http://h.com/l", 1, "/a", "read", 0, "A story", "entry-title", "h2", False),
+        ("http://h.com/l", 2, "/b", "", 1, "Second one", "", None, False), ("http://h.com/l", 3, "/contests/9", "Nine", None, None, None, None, False),
+        ("http://h.com/l", 4, "/c/7", "Seven", None, None, None, None, False), ("http://h.com/l", 5, "/bug-bounty/x", "", 2, "Bounty X", "", None, False), ("http://h.com/l", 6, "/bug-bounty/", "All", None, None, None, None, True),
     ]
     frame, base = spark.createDataFrame(rows, schema), F.lit("http://h.com")
     titles = lambda d: [(r.href, r.title) for r in d.orderBy("pos").collect()]
@@ -135,10 +135,12 @@ def test_site_links(spark):
     assert titles(links.contest_links(frame, base)) == [("/contests/9", "Nine")]
     assert titles(links.contest_links(frame, base, with_short=True)) == [("/contests/9", "Nine"), ("/c/7", "Seven")]
     assert titles(links.bounty_links(frame, base)) == [("/bug-bounty/x", "Bounty X")]
-    assert titles(links.generic_articles(frame, base))[0] == ("/", "Home")
+    assert titles(links.generic_articles(frame, base)) == [("/", "Home"), ("/a", "read")]
     sections = spark.createDataFrame([("http://h.com/l", "sc3", "SC3: Thing"), ("http://h.com/l", "x", "Intro")], "page_url string, section_id string, title string")
     top = links.top_entries(frame, sections, base).collect()
-    assert [(r.sc_id, r.url) for r in top] == [("SC03", "http://h.com/l#sc3")]
+    assert {(r.sc_id, r.url) for r in top} == {(None, "http://h.com/l#sc3"), (None, "http://h.com/l#x")}
+    numbered = _links(spark, [("/top/SC04", "SC4 Thing"), ("/top/SC05", "Other"), ("/x", "none")])
+    assert {(r.sc_id, r.title) for r in links.top_entries(numbered, sections.limit(0), base).collect()} == {("SC04", "SC4 Thing"), (None, "Other")}
     bodies = spark.createDataFrame([("http://h.com/l", "sc3", "text")], "page_url string, section_id string, body string")
     assert links.section_bodies(sections, bodies).count() == 1
     missing = links.with_details(links.contest_links(frame, base), spark.createDataFrame([], "url string, content string"), "site", "audits").first()
