@@ -156,7 +156,11 @@ def exact_dedup(documents: DataFrame, text: str = "text", key: str = "doc_id") -
 
 
 def _window_hash(words: int):
-    return lambda start: F.xxhash64(F.array_join(F.slice("_w", start, words), " "))
+    return lambda start: F.xxhash64(F.slice("_w", start, words))
+
+
+def _word_hashes(text: Column) -> Column:
+    return F.transform(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: F.xxhash64(w))
 
 
 def holdout_exclusion(documents: DataFrame, held: DataFrame, words: int = 8) -> DataFrame:
@@ -165,11 +169,10 @@ def holdout_exclusion(documents: DataFrame, held: DataFrame, words: int = 8) ->
     Candidates share a held-out text's first ``words`` words as a shingle; the held texts (an evaluation
     set) are the small side, and only candidates are searched in full.
     """
-    blank = r"[\x20\x09-\x0D]+"
     held = held.select(F.col("text").alias("_gold")).filter(F.col("_gold") != "").distinct()
-    key = F.array_join(F.slice(F.split(F.col("_gold"), blank), 1, words), " ")
-    gold = held.withColumn("_key", F.xxhash64(key)).withColumn("_n", F.least(F.lit(words), F.size(F.split("_gold", blank))))
-    tokens = documents.select("doc_id", "text", F.split("text", blank).alias("_w"))
+    hashed = held.withColumn("_w", _word_hashes(F.col("_gold")))
+    gold = hashed.select("_gold", F.xxhash64(F.slice("_w", 1, words)).alias("_key"), F.least(F.lit(words), F.size("_w")).alias("_n"))
+    tokens = documents.select("doc_id", "text", _word_hashes(F.col("text")).alias("_w"))
     # Texts shorter than ``words`` words are looked for by their own length.
     sizes = [r["_n"] for r in gold.select("_n").distinct().orderBy("_n").limit(words).collect()]
     marks = None

@@ -159,3 +159,10 @@ def test_matches_and_names(spark):
     pages = spark.createDataFrame([("p", "x"), ("q", "y")], "pdf_id string, source_pdf_sha256 string")
     records = spark.createDataFrame([("p", "x"), ("q", "z")], "pdf_id string, sha256 string")
     assert [r.pdf_id for r in ocr.checksum_mismatches(pages, records).collect()] == ["q"]
+
+
+def test_holdout_by_whole_text(spark):
+    held = spark.createDataFrame([("one two three",), ("a b c d e f g h i j",), ("",), (None,)], "text string")
+    docs = [(1, "zero one two three four"), (2, "one two\nthree"), (3, "x a b c d e f g h i j y"), (4, "a b c d e f g h i"), (5, None), (6, ""), (7, "one two three")]
+    kept = training.holdout_exclusion(spark.createDataFrame(docs, "doc_id int, text string"), held)
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 4, 5, 6]
