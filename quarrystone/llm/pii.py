@@ -15,6 +15,9 @@ Distinct entities of the whole corpus are checked: no two share a surrogate, and
 entity that really occurs. Of clashing entities the least keeps its surrogate, the others try again; this
 loop runs on the distinct entities alone and ends when no clash is left.
 
+A run of digits or capitals may hold more than the number it starts with: a card is looked for among its groups (Luhn
+digit and issuer's length first), a telephone number or IBAN that isn't valid as matched at its earlier ends and later starts.
+
 Null texts stay null and empty ones empty. Overlapping mentions: the leftmost wins, then the kind listed first.
 All other columns pass through (one called n_entities is replaced); rows that repeat or share a doc_id are each rewritten by their own text.
 """
@@ -65,13 +68,18 @@ PATTERNS = [
     ("token", None, re.compile(r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35})(?![A-Za-z0-9])")),
     ("secret", "=:", re.compile(r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s*[=:]\s*[\"']?((?=[^\s\"']*\d)[^\s\"',;]{7,}[A-Za-z0-9])")),
     ("iban", None, re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")),
-    ("card", None, re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])")),
+    ("card", None, re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,}(?![\w-])")),
     ("phone", None, re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])|(?<![\w.])\+\d{1,3}(?:[ .-]?\(?\d{2,5}\)?){2,5}(?![\w-])")),
     ("ssn", "-", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")),
     ("ip", ".", re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)")),
     ("name", None, re.compile(rf"\b(?:{'|'.join(sorted(_GENDER, key=len, reverse=True))})\b\.? +({_WORD}(?: +{_WORD}){{0,2}})")),
 ]
 _DIGIT = re.compile(r"\d")
+_GROUP = re.compile(r"\d+")
+_GAP = re.compile(r"(?<![ .-])[ .-]")
+_PLAIN_CARD = re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])")
+# Lengths that issuers give to numbers with these first digits.
+_ISSUED = re.compile(r"4(?:\d{12}|\d{15})|(?:5[1-5]|222[1-9]|22[3-9]\d|2[3-6]\d\d|27[01]\d|2720)\d+|3[47]\d{13}|3[0689]\d{12}|35\d{14}|(?:6|50|5[6-8])\d{11,18}")
 _TITLED = re.compile(rf"\b(?:{'|'.join(sorted(_GENDER, key=len, reverse=True))})\b")
 
 
@@ -122,6 +130,83 @@ def _normal(kind: str, surface: str, match: re.Match) -> str | None:
     return surface
 
 
+def _card_rank(digits: str, sizes: list[int], first: bool, whole: bool) -> int | None:
+    """How sure it is that groups of digits are a card number (0: most), None where they aren't."""
+    laid_out = len(sizes) == 1 or sizes in ([4, 6, 5], [4, 6, 4]) or (len(sizes) > 3 and set(sizes[:-1]) == {4} and sizes[-1] <= 4)
+    if luhn(digits) == 0:
+        issued = _ISSUED.fullmatch(digits) and (digits[0] not in "25" or len(digits) == 16 or re.match("50|5[6-8]", digits))
+        return 0 if laid_out and issued else 1 if whole or (first and laid_out) else None
+    if len(digits) == 16 and (laid_out or whole):
+        return 2 if digits[0] in "3456" else 3 if digits[0] == "2" and first else None
+    return None
+
+
+def _cards(text: str, begin: int, end: int) -> Iterator[tuple[int, int, str]]:
+    """Card numbers among the groups of a run of digits, which may hold other numbers too."""
+    groups = [g.span() for g in _GROUP.finditer(text, begin, end)]
+    found = []
+    for i in range(len(groups)):
+        digits, sizes = "", []
+        for j in range(i, len(groups)):
+            digits += text[slice(*groups[j])]
+            sizes.append(groups[j][1] - groups[j][0])
+            if len(digits) > 19:
+                break
+            if len(digits) >= 13 and (rank := _card_rank(digits, sizes, i == 0, len(sizes) == len(groups))) is not None:
+                found.append((rank, i, -j, digits))
+    owner = [0] * len(groups)
+    for _, i, j, digits in sorted(found):
+        if not any(owner[i : 1 - j]):
+            owner[i : 1 - j] = [1] * (1 - j - i)
+            yield groups[i][0], groups[-j][1], digits
+    # What is left, in any layout.
+    i = 0
+    while i < len(groups):
+        j = i
+        while j < len(groups) and not owner[j]:
+            j += 1
+        for m in _PLAIN_CARD.finditer(text, groups[i][0], groups[j - 1][1]) if j > i else ():
+            if (norm := _normal("card", m.group(), m)) is not None:
+                yield *m.span(), norm
+        i = j + 1
+
+
+def _shorter(kind: str, pattern: re.Pattern, text: str, begin: int, end: int) -> tuple[int, str] | None:
+    """End and normal form of the longest valid number that ends at a gap inside a match."""
+    stops = [g.start() for g in _GAP.finditer(text, begin, end)][::-1]
+    # Rather not into another number.
+    inner = pattern.search(text, begin + 1)
+    limit = inner.start() if inner else end
+    for stop in [s for s in stops if s <= limit] + [s for s in stops if s > limit]:
+        m = pattern.fullmatch(text, begin, stop)
+        if m and (norm := _normal(kind, m.group(), m)) is not None:
+            return stop, norm
+    return None
+
+
+def _found(kind: str, pattern: re.Pattern, text: str) -> Iterator[tuple[int, int, str]]:
+    """(begin, end, normal form) of a kind's mentions."""
+    at = 0
+    while m := pattern.search(text, at):
+        group = m.lastindex or 0
+        begin, at = m.start(group), m.end()
+        if kind == "card":
+            yield from _cards(text, begin, at)
+            continue
+        surface = m.group(group)
+        norm = _normal(kind, surface, m)
+        if norm is not None:
+            length = _name_length(surface, int(norm.split("|")[1])) if kind == "name" else len(surface)
+            yield begin, begin + length, norm
+        elif kind in ("iban", "phone"):
+            # A neighbouring number or word may have been taken along, or an entity may start later.
+            if cut := _shorter(kind, pattern, text, begin, at):
+                at = cut[0]
+                yield begin, *cut
+            else:
+                at = begin + 1
+
+
 def detect(text: str | None) -> list[tuple[int, int, str, str]]:
     """(begin, end, kind, normal form) of disjoint mentions in code points, in order."""
     if not text:
@@ -131,15 +216,7 @@ def detect(text: str | None) -> list[tuple[int, int, str, str]]:
     for rank, (kind, needs, pattern) in enumerate(PATTERNS):
         if (needs and not any(c in text for c in needs)) or (not digits and kind not in ("email", "name")) or (kind == "name" and not titled):
             continue
-        for m in pattern.finditer(text):
-            group = m.lastindex or 0
-            surface, begin = m.group(group), m.start(group)
-            norm = _normal(kind, surface, m)
-            if norm is None:
-                continue
-            if kind == "name":
-                surface = surface[: _name_length(surface, int(norm.split("|")[1]))]
-            found.append((begin, rank, begin + len(surface), kind, norm))
+        found += [(begin, rank, end, kind, norm) for begin, end, norm in _found(kind, pattern, text)]
     out, last = [], 0
     for begin, _, end, kind, norm in sorted(found):
         if begin >= last:

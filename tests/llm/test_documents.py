@@ -195,6 +195,18 @@ def test_surrogates(spark, documents):
             assert shape(text[a:b]) == shape(new[c:d])
 
 
+def test_neighbouring_numbers_hide_no_entity():
+    card, phone, iban = "4111 1111 1111 1111", "+49 30 12345678", "BE68 5390 0754 7034"
+    for text, wanted in [
+        (f"{card} 12/25 cvv 123", card), (f"{card} 123", card), (f"2024 {card}", card), ("order 12 4111111111111111", "4111111111111111"), ("4111111111111111 10 euros", "4111111111111111"),
+        ("3782 822463 10005 1234", "3782 822463 10005"), (f"{phone} 2024", phone), (f"{iban} BIC", iban), (f"AB13 {iban}", iban), ("ES9121000418450200051332 EUR", "ES9121000418450200051332"),
+    ]:
+        assert [text[b:e] for b, e, _, _ in pii.detect(text)] == [wanted], text
+    several = f"{card} 5500 0000 0000 0004 77, 917 555 2670 {card}, {phone} 212 555 2670"
+    assert [several[b:e] for b, e, _, _ in pii.detect(several)] == [card, "5500 0000 0000 0004", "917 555 2670", card, phone, "212 555 2670"]
+    assert pii.detect("1 2 3 4 5 6 7 8 9 10 11 12 13 14 15, 1999 2000 2001 2002 2003") == []
+
+
 def test_surrogates_of_many_names_stay_distinct(spark, monkeypatch):
     monkeypatch.setitem(pii.SYLLABLES, "latin", "ba be")
     names = spark.createDataFrame([("name", f"f|1|n{i}") for i in range(40)] + [("name", "f|1|baba"), ("name", "f|1|bebe")], "kind string, norm string")
