@@ -347,8 +347,13 @@ def mentions(documents: DataFrame) -> DataFrame:
     return documents.select("text").mapInArrow(run, MENTIONS).dropDuplicates(["row_key"])
 
 
+def _written(form: str):
+    """What a normal form looks like in a text: a name without its gender and number of words."""
+    return F.when(F.col("kind") == "name", F.substring_index(form, "|", -1)).otherwise(F.col(form))
+
+
 def surrogates(entities: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
-    """(kind, norm, new) for distinct ``entities(kind, norm)``, free of collisions."""
+    """(kind, norm, new) for distinct ``entities(kind, norm)``, free of collisions as written."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -357,10 +362,11 @@ def surrogates(entities: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
 
     shape = "kind string, norm string, attempt int, new string"
     given = staging.staged(entities.withColumn("attempt", F.lit(0)).mapInArrow(make, shape), "surrogates")
-    real = given.select("kind", F.col("norm").alias("new"), F.lit(True).alias("real"))
+    real = given.select("kind", _written("norm").alias("written"), F.lit(True).alias("real")).distinct()
     for _ in range(ATTEMPTS):
-        first = given.groupBy("kind", "new").agg(F.min("norm").alias("first"))
-        judged = given.join(first, ["kind", "new"]).join(real, ["kind", "new"], "left")
+        named = given.withColumn("written", _written("new"))
+        first = named.groupBy("kind", "written").agg(F.min("norm").alias("first"))
+        judged = named.join(first, ["kind", "written"]).join(real, ["kind", "written"], "left")
         judged = judged.withColumn("clash", F.col("real").isNotNull() | (F.col("norm") != F.col("first")))
         bad = staging.staged(judged.filter("clash").select("kind", "norm", (F.col("attempt") + 1).alias("attempt")), "clashes")
         if bad.isEmpty():

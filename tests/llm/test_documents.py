@@ -216,6 +216,12 @@ def test_surrogates_of_many_names_stay_distinct(spark, monkeypatch):
     assert first != {r.norm: r.new for r in pii.surrogates(names, "another key").collect()}
 
 
+def test_surrogates_differ_as_written(spark):
+    names = [("name", f"{g}|1|n{i}") for g in "fmn" for i in range(500)] + [("name", f"n|1|ba{x}") for x in pii.SYLLABLES["latin"].split()]
+    new = {r.norm: r.new.split("|")[2] for r in pii.surrogates(spark.createDataFrame(names, "kind string, norm string")).collect()}
+    assert len(new) == len(set(new.values())) == len(names) and not set(new.values()) & {n.split("|")[2] for _, n in names}
+
+
 def test_pipeline(spark, sf):
     import corpus_pipeline
     from quarrystone.llm import staging, wordbpe
