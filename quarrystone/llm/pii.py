@@ -6,7 +6,8 @@ lower case, a number's digits, a name without its title's case) is what corefers
 the corpus gets one surrogate, rendered in that mention's own layout. Surrogates come from HMAC-SHA256 of
 key, kind, normal form and attempt, so they need the key to be undone or linked, and keep
 
-* layout: punctuation, spacing, letter case, hexadecimal or alphanumeric alphabet, length;
+* layout: punctuation, spacing, letter case, hexadecimal or alphanumeric alphabet, length (addresses, names, tokens and
+  secrets get longer by one character or syllable for every eight attempts that clash);
 * validity: Luhn digits of cards, check digits of IBANs, octet ranges, never-issued social security areas,
   reserved mail domains;
 * gender and script of names, both read from the title and the given name.
@@ -263,11 +264,13 @@ class _Stream:
 def surrogate(key: str, kind: str, norm: str, attempt: int = 0) -> str:
     """The normal form of the replacement."""
     s = _Stream(key, kind, norm, attempt)
+    # Later attempts widen the space: the own one may be full of real and given forms.
+    wider = attempt // 8
     if kind == "email":
         local, domain = norm.rsplit("@", 1)
         host = _Stream(key, "domain", domain, 0)
         name = "".join(host.like("a") for _ in range(8))
-        return "".join(s.like(c) for c in local) + f"@{name}.example.{('com', 'net', 'org')[host.below(3)]}"
+        return "".join(s.like(c) for c in local + "a" * wider) + f"@{name}.example.{('com', 'net', 'org')[host.below(3)]}"
     if kind == "ip":
         first = 1 + s.below(222)
         return ".".join(map(str, (first + (first >= 127), s.below(256), s.below(256), 1 + s.below(254))))
@@ -277,9 +280,9 @@ def surrogate(key: str, kind: str, norm: str, attempt: int = 0) -> str:
         check = next(str(d) for d in range(10) if luhn(f"{body}{d}") == 0)
         return body + (check if valid else str((int(check) + 1 + s.below(9)) % 10))
     if kind == "phone":
-        # Ten digits: an area and an exchange, neither of which starts with 0 or 1. Else the country stays.
+        # Ten digits: an area and an exchange, neither of which starts with 0 or 1. Else the country stays, at first.
         leads = (0, 3) if len(norm) == 10 else (2,)
-        keep = 0 if len(norm) == 10 else 2
+        keep = 0 if len(norm) == 10 or wider else 2
         return norm[:keep] + "".join(str(2 + s.below(8) if k in leads else s.below(10)) for k in range(keep, len(norm)))
     if kind == "ssn":
         return f"9{s.below(100):02d}{1 + s.below(99):02d}{1 + s.below(9999):04d}"
@@ -288,17 +291,17 @@ def surrogate(key: str, kind: str, norm: str, attempt: int = 0) -> str:
         return f"{norm[:2]}{98 - iban_rest(norm[:2] + '00' + body):02d}{body}"
     if kind == "token":
         head = re.match(r"AKIA|gh._|sk-|xox.-|AIza", norm).end()
-        return norm[:head] + "".join(s.like(c) for c in norm[head:])
+        return norm[:head] + "".join(s.like(c) for c in norm[head:] + "a" * wider)
     if kind == "name":
         gender, words, name = norm.split("|")
         script = _script(name)
         chosen = GIVEN[script].get(gender) or " ".join(GIVEN[script].values())
         given = [chosen.split()[s.below(len(chosen.split()))] for _ in range(int(words) - 1)]
         syllables = SYLLABLES[script].split()
-        family = "".join(syllables[s.below(len(syllables))] for _ in range(2 + s.below(3) + attempt // 8)) + ENDINGS[script][gender]
+        family = "".join(syllables[s.below(len(syllables))] for _ in range(2 + s.below(3) + wider)) + ENDINGS[script][gender]
         return f"{gender}|{words}|{' '.join([*given, family]).lower()}"
     hexadecimal = re.fullmatch(r"[0-9a-fA-F]+", norm) is not None
-    return "".join(s.like(c, hexadecimal) for c in norm)
+    return "".join(s.like(c, hexadecimal) for c in norm + "a" * wider)
 
 
 def _script(name: str) -> str:

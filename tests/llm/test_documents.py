@@ -222,6 +222,12 @@ def test_surrogates_differ_as_written(spark):
     assert len(new) == len(set(new.values())) == len(names) and not set(new.values()) & {n.split("|")[2] for _, n in names}
 
 
+def test_surrogates_of_full_spaces(spark):
+    full = [("email", f"{c}@x.com") for c in "abcdefghijklmnopqrstuvwxyz"] + [("secret", f"*******{d}") for d in range(10)]
+    new = {(r.kind, r.norm): r.new for r in pii.surrogates(spark.createDataFrame(full, "kind string, norm string")).collect()}
+    assert len(new) == len(set(new.values())) == 36 and not set(new.values()) & {n for _, n in full}
+
+
 def test_pipeline(spark, sf):
     import corpus_pipeline
     from quarrystone.llm import staging, wordbpe
