@@ -160,28 +160,34 @@ def _window_hash(words: int):
 
 
 def _word_hashes(text: Column) -> Column:
-    return F.transform(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: F.xxhash64(w))
+    """Hashes of the runs of letters and digits; the first and the last may be empty."""
+    return F.transform(F.split(text, r"[^\p{L}\p{N}]+", -1), lambda w: F.xxhash64(w))
 
 
 def holdout_exclusion(documents: DataFrame, held: DataFrame, words: int = 8) -> DataFrame:
-    """Documents that hold none of the held-out texts, whole and word for word.
+    """Documents that hold none of the held-out texts, whole and character for character.
 
-    Candidates share a held-out text's first ``words`` words as a shingle; the held texts (an evaluation
-    set) are the small side, and only candidates are searched in full.
+    Candidates share a held-out text's first ``words`` inner words as a shingle. The first and the last run of a text
+    are left out, since a document may glue other characters to them. The held texts (an evaluation set) are the small
+    side; only candidates are searched in full. Texts without an inner word are looked for in every document.
     """
     held = held.select(F.col("text").alias("_gold")).filter(F.col("_gold") != "").distinct()
-    hashed = held.withColumn("_w", _word_hashes(F.col("_gold")))
+    hashed = held.withColumn("_w", _word_hashes(F.col("_gold"))).withColumn("_w", F.slice("_w", 2, F.greatest(F.lit(0), F.size("_w") - 2)))
     gold = hashed.select("_gold", F.xxhash64(F.slice("_w", 1, words)).alias("_key"), F.least(F.lit(words), F.size("_w")).alias("_n"))
     tokens = documents.select("doc_id", "text", _word_hashes(F.col("text")).alias("_w"))
     # Texts shorter than ``words`` words are looked for by their own length.
-    sizes = [r["_n"] for r in gold.select("_n").distinct().orderBy("_n").limit(words).collect()]
-    marks = None
+    sizes = [r["_n"] for r in gold.select("_n").distinct().orderBy("_n").limit(words + 1).collect()]
+    holds = F.col("text").contains(F.col("_gold"))
+    leaking = None
     for n in sizes:
-        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("_w") - n + 1))
-        windows = F.transform(starts, _window_hash(n))
-        one = tokens.select("doc_id", "text", F.explode(F.array_distinct(windows)).alias("_key"), F.lit(n).alias("_n"))
-        marks = one if marks is None else marks.union(one)
-    if marks is None:
+        if n:
+            starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("_w") - n + 1))
+            windows = F.transform(starts, _window_hash(n))
+            one = tokens.select("doc_id", "text", F.explode(F.array_distinct(windows)).alias("_key"))
+            found = one.join(gold.filter(F.col("_n") == n), "_key").filter(holds)
+        else:
+            found = documents.join(F.broadcast(gold.filter("_n = 0")), holds)
+        leaking = found.select("doc_id") if leaking is None else leaking.union(found.select("doc_id"))
+    if leaking is None:
         return documents
-    leaking = marks.join(gold, ["_key", "_n"]).filter(F.col("text").contains(F.col("_gold"))).select("doc_id").distinct()
-    return documents.join(leaking, "doc_id", "left_anti")
+    return documents.join(leaking.distinct(), "doc_id", "left_anti")

@@ -166,3 +166,14 @@ def test_holdout_by_whole_text(spark):
     docs = [(1, "zero one two three four"), (2, "one two\nthree"), (3, "x a b c d e f g h i j y"), (4, "a b c d e f g h i"), (5, None), (6, ""), (7, "one two three")]
     kept = training.holdout_exclusion(spark.createDataFrame(docs, "doc_id int, text string"), held)
     assert sorted(r.doc_id for r in kept.collect()) == [2, 4, 5, 6]
+
+
+def test_holdout_glued_to_other_characters(spark):
+    held = spark.createDataFrame([("What is the sum of one and two and three?",), ("one two three",), (" lead and trail ",), ("Yes",), ("a-b",), ("(!)",)], "text string")
+    long = "What is the sum of one and two and three?"
+    docs = [
+        (1, f'"{long}"'), (2, f"({long})"), (3, f">{long}<"), (4, f"x{long}y"), (5, "zone two threes."), (6, "they lead and trail off"), (7, "oh,Yes."), (8, "Yesterday"), (9, "aa-bb"), (10, "so(!)"),
+        (11, "What is the sum of one and two and four?"), (12, "one  two three"), (13, "lead and trail"), (14, "yes"), (15, "a b"), (16, None), (17, ""),
+    ]
+    kept = training.holdout_exclusion(spark.createDataFrame(docs, "doc_id int, text string"), held)
+    assert sorted(r.doc_id for r in kept.collect()) == [11, 12, 13, 14, 15, 16, 17]
