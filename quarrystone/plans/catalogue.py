@@ -479,7 +479,7 @@ def q_pagination_template(s, d):
 
 @query
 def q_severity_counts(s, d):
-    tagged = b.table(s, d, "documents").select("doc_id", F.concat(F.lit("H-0"), (F.col("doc_id") % 7).cast("string"), F.lit(" then M-1 and "), F.left("text", F.lit(40))).alias("text"))
+    tagged = b.table(s, d, "documents").select("doc_id", F.concat(F.lit("H-0"), (F.col("doc_id") % 7).cast("string"), F.lit(" then M-1 and "), F.col("text")).alias("text"))
     return runs.severity_counts(tagged, "doc_id", "text")
 
 

@@ -177,3 +177,11 @@ def test_holdout_glued_to_other_characters(spark):
     ]
     kept = training.holdout_exclusion(spark.createDataFrame(docs, "doc_id int, text string"), held)
     assert sorted(r.doc_id for r in kept.collect()) == [11, 12, 13, 14, 15, 16, 17]
+
+
+def test_severity_counts_reads_whole_texts(spark, tmp_path):
+    from quarrystone.plans import catalogue
+
+    spark.createDataFrame([(8, "word " * 30 + "H-02 and L-1, then H-3")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.severity: r.n for r in catalogue.QUERIES["severity_counts"](spark, str(tmp_path)).collect()}
+    assert got == {"H": 3, "M": 1, "L": 1}
