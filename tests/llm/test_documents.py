@@ -228,6 +228,15 @@ def test_surrogates_of_full_spaces(spark):
     assert len(new) == len(set(new.values())) == 36 and not set(new.values()) & {n for _, n in full}
 
 
+def test_jaccard_stage_keeps_rows_without_id(spark, sf, documents):
+    import corpus_pipeline
+
+    docs = documents([(4, "a b c d e f g"), (9, "a b c d e f g"), (None, "p q r s t u"), (None, "v w x y z"), (11, "h i j k l")])
+    found = corpus_pipeline.ngram_jaccard(spark, docs, sf)
+    assert found.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text) for r in found.collect()) == [("11", "h i j k l"), ("4", "a b c d e f g"), ("None", "p q r s t u"), ("None", "v w x y z")]
+
+
 def test_pipeline(spark, sf):
     import corpus_pipeline
     from quarrystone.llm import staging, wordbpe
