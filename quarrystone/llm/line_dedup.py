@@ -2,8 +2,8 @@
 
 The lines of a text that hold a word are hashed. In every window of ``min_run`` such lines the least hash
 (rightmost on ties) is a fingerprint, so a run of at least ``min_run`` lines that stands in two places has
-a fingerprint in common, at the same line. Positions that share a fingerprint are joined; the match is
-extended over the windows on either side that hold it, by a 128-bit hash of each whole window;
+a fingerprint in common, at the same line. Fingerprints only narrow the windows to those that can repeat:
+no positions are joined and no match is extended, but the windows left are grouped by a 128-bit hash of each whole window;
 a line is removed when a window over it starts earlier too, in a smaller doc_id or further up the same
 text. Windows are judged on the input. Runs shorter than ``min_run`` stay: a lone common line ("All
 rights reserved.") is no evidence of a copied passage, and removing it would tear clean texts.
