@@ -16,7 +16,7 @@ import numpy as np
 MAGIC = b"QRA1"
 SLOT_BITS = 20
 LANES = 1024
-EVERY = 256
+EVERY = 128
 _LOW = np.uint64(1 << 31)
 _HEAD = struct.Struct("<4sIHHQQII")  # magic, table crc, lanes, every, ids, documents, segments, head crc
 _SEGMENT = struct.Struct("<QII")  # word offset, words, crc of the words
@@ -100,6 +100,25 @@ def encode_block(table: Table, ids: np.ndarray, docs: list[int], lengths: list[i
     return head + fixed + b"".join(body)
 
 
+def decode_words(table: Table, states: np.ndarray, words: np.ndarray, lanes: int, steps: int) -> np.ndarray:
+    """The ids of one segment, with those that fill its last step."""
+    state, words = states.astype(np.uint64), words.astype(np.uint64)
+    symbol, freq, start = table.symbol, table.freq, table.start
+    mask, shift, word = np.uint64((1 << SLOT_BITS) - 1), np.uint64(SLOT_BITS), np.uint64(32)
+    out = np.empty((steps, lanes), np.uint32)
+    at = 0
+    for t in range(steps):
+        slot = state & mask
+        ids = symbol[slot]
+        out[t] = ids
+        state = freq[ids] * (state >> shift) + slot - start[ids]
+        low = np.flatnonzero(state < _LOW)
+        if len(low):
+            state[low] = (state[low] << word) | words[at : at + len(low)]
+            at += len(low)
+    return out.reshape(-1)
+
+
 class Block:
     """A parsed block; ``segment(k)`` decodes one checkpointed part alone."""
 
@@ -117,29 +136,19 @@ class Block:
         self.words = self.index + size
         self.raw, self.table = raw, table
 
-    def segment(self, k: int) -> np.ndarray:
+    def piece(self, k: int) -> tuple[int, int, int, int, bytes, bytes]:
+        """Of segment k: ids before it, its ids, its steps, checksum, entry states and words."""
         at = self.index + k * (_SEGMENT.size + 8 * self.lanes)
         offset, count, crc = _SEGMENT.unpack_from(self.raw, at)
-        begin = self.words + 4 * offset
-        if zlib.crc32(self.raw[begin : begin + 4 * count]) != crc:
+        begin, states = self.words + 4 * offset, at + _SEGMENT.size
+        before, steps = k * self.every * self.lanes, min(self.every, -(-self.n // self.lanes) - k * self.every)
+        return before, min(steps * self.lanes, self.n - before), steps, crc, self.raw[states : states + 8 * self.lanes], self.raw[begin : begin + 4 * count]
+
+    def segment(self, k: int) -> np.ndarray:
+        _, n, steps, crc, states, words = self.piece(k)
+        if zlib.crc32(words) != crc:
             raise ValueError(f"segment {k}: checksum differs")
-        words = np.frombuffer(self.raw, "<u4", count, begin).astype(np.uint64)
-        state = np.frombuffer(self.raw, "<u8", self.lanes, at + _SEGMENT.size).astype(np.uint64)
-        symbol, freq, start = self.table.symbol, self.table.freq, self.table.start
-        mask, shift, word = np.uint64((1 << SLOT_BITS) - 1), np.uint64(SLOT_BITS), np.uint64(32)
-        steps = min(self.every, -(-self.n // self.lanes) - k * self.every)
-        out = np.empty((steps, self.lanes), np.uint32)
-        at = 0
-        for t in range(steps):
-            slot = state & mask
-            ids = symbol[slot]
-            out[t] = ids
-            state = freq[ids] * (state >> shift) + slot - start[ids]
-            low = np.flatnonzero(state < _LOW)
-            if len(low):
-                state[low] = (state[low] << word) | words[at : at + len(low)]
-                at += len(low)
-        return out.reshape(-1)[: max(0, self.n - k * self.every * self.lanes)]
+        return decode_words(self.table, np.frombuffer(states, "<u8"), np.frombuffer(words, "<u4"), self.lanes, steps)[:n]
 
     def ids(self) -> np.ndarray:
         return np.concatenate([self.segment(k) for k in range(self.segments)] or [np.empty(0, np.uint32)])

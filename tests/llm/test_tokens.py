@@ -63,6 +63,40 @@ def test_token_files(spark, documents, monkeypatch):
         start += r.n_tokens
 
 
+def test_segments_decode_alone(spark, documents):
+    """Blocks of several checkpoints, cut apart and dealt over tasks, hold the ids that the library gives."""
+    path = token_files.write_tokens(documents(EDGES), staging.new_path(spark, "t"), partitions=2, lanes=16, every=8)
+    got = sorted((r.part, r.start, bytes(r.ids)) for r in token_files.read_segments(spark, path, 5).collect())
+    assert len(got) > 50
+    flat = b"".join(x for _, _, x in got)
+    want = {d: np.array(ids, "<u4").tobytes() for d, ids in _expected(EDGES)}
+    assert flat == b"".join(want[d] for d in sorted((d for d, _ in EDGES), key=lambda d: (d is not None, d or 0)))
+    before = {}
+    for part, start, ids in got:
+        assert start == before.get(part, 0)
+        before[part] = start + len(ids) // 4
+
+
+def test_one_id_with_many_rows_is_spread(spark, documents):
+    rows = [(7, f"text number {i % 5}") for i in range(90)] + [(3, "a"), (9, "b")]
+    path = token_files.write_tokens(documents(rows), staging.new_path(spark, "t"), partitions=4)
+    blocks = spark.read.parquet(f"{path}/blocks").collect()
+    assert len({r.part for r in blocks}) == 4 and max(r.n_docs for r in blocks) < 60
+    got = sorted((r.start, r.doc_id, bytes(r.ids)) for r in token_files.read_ids(spark, path).collect())
+    assert [d for _, d, _ in got] == [3] + [7] * 90 + [9]
+    assert sorted((d, x) for _, d, x in got) == sorted((d, np.array(ids, "<u4").tobytes()) for d, ids in _expected(rows))
+
+
+def test_token_query_equals_library(spark, sf, texts):
+    """The query of operator 2 over its whole table: ids, places and checksums."""
+    start = 0
+    got = {r.doc_id: r for r in token_files.op2_token_files(spark, sf).collect()}
+    assert set(got) == set(texts)
+    for d, ids in _expected(sorted(texts.items())):
+        assert (got[d].start, got[d].n_tokens, got[d].ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+
+
 def test_token_files_of_nothing(spark, documents):
     path = token_files.write_tokens(documents(EDGES).limit(0), staging.new_path(spark, "t"))
     assert token_files.read_ids(spark, path).count() == 0
