@@ -1,15 +1,19 @@
 """Operator 9, line deduplication by winnowing over line hashes. DataFrame functions only.
 
 The lines of a text that hold a word are hashed. In every window of ``min_run`` such lines the least hash
-(rightmost on ties) is a fingerprint, so a run of at least ``min_run`` lines that stands in two places has
-a fingerprint in common, at the same line. Fingerprints only narrow the windows to those that can repeat:
-no positions are joined and no match is extended, but the windows left are grouped by a 128-bit hash of each whole window;
-a line is removed when a window over it starts earlier too, in a smaller doc_id or further up the same
-text. Windows are judged on the input. Runs shorter than ``min_run`` stay: a lone common line ("All
-rights reserved.") is no evidence of a copied passage, and removing it would tear clean texts.
-
-Lines without a word are kept as they are. Null text counts as empty. Rows that share a doc_id
-are one document. A first occurrence always stays.
+(rightmost on ties) is selected as a fingerprint, so a run of ``min_run`` lines that stands in two places has
+a fingerprint in common, at the same line. Only selected lines are staged, each with its extensions: 128-bit hashes
+of the k lines before it through the ``min_run`` - 1 - k after it, for every k whose window selected it.
+Positions that share a fingerprint are joined through the first place (doc_id, text hash, line) of each extension, not
+pair by pair, so a line in millions of texts costs one row each; a window that stands earlier too is a later repeat, and
+overlapping ones make up the whole repeated run. Windows are judged on the input; a first occurrence always stays.
+Runs shorter than ``min_run`` stay: a lone common line ("All rights reserved.") is no evidence of a copied passage, and
+removing it would tear clean texts.
+
+Lines without a word are kept as they are. Null text counts as empty. Rows without a doc_id stay as they are and
+are no one's first occurrence. Rows that share a doc_id but not a text are judged apart, the smaller text hash first;
+rows equal in both are cut alike. An empty table gives no row. All columns pass through, whatever their names; only
+``text`` is cut, and columns called n_lines or n_removed are replaced.
 """
 
 from __future__ import annotations
@@ -33,49 +37,68 @@ def _spots(lines):
     return F.transform(F.filter(numbered, lambda x: x["line"].rlike(_WORD)), lambda x: x["at"])
 
 
-def windows(documents: DataFrame, min_run: int) -> DataFrame:
-    """doc_id, start (among lines with a word), spot and mark (the fingerprint), one and two (window hash)."""
+def _copy():
+    """Tells rows of one doc_id apart."""
+    return F.xxhash64("text")
+
+
+def fingerprints(documents: DataFrame, min_run: int) -> DataFrame:
+    """doc_id, copy, spot (among lines with a word), mark, and the extensions: lines back, lines, window hash one and two."""
     real = F.filter(_lines(F.col("text")), lambda line: line.rlike(_WORD))
     hashed = documents.filter(F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").cast("long"),
+        F.col("doc_id").cast("long").alias("doc_id"), _copy().alias("copy"),
         F.transform(real, lambda line: F.struct(F.xxhash64(line).alias("one"), F.xxhash64(F.lit(min_run), line).alias("two"))).alias("h"),
-    ).filter(F.size("h") >= min_run)
+    ).filter(F.size("h") >= min_run)
 
-    def window(i):
-        part = F.slice("h", i + 1, min_run)
+    def selected(i):
         # The least hash, and of equals the last: a later line has the smaller negated offset.
-        low = F.array_min(F.transform(part, lambda x, j: F.struct(x["one"].alias("mark"), (-j).alias("back"))))
-        return F.struct(i.alias("start"), (i - low["back"]).alias("spot"), low["mark"].alias("mark"), F.xxhash64(F.transform(part, lambda x: x["one"])).alias("one"), F.xxhash64(F.transform(part, lambda x: x["two"])).alias("two"))
+        low = F.array_min(F.transform(F.slice("h", i + 1, min_run), lambda x, j: F.struct(x["one"].alias("mark"), (-j).alias("back"))))
+        return i - low["back"]
+
+    chosen = hashed.withColumn("chosen", F.transform(F.sequence(F.lit(0), F.size("h") - min_run), selected))
+
+    def extension(spot, k):
+        part = F.slice("h", spot - k + 1, min_run)
+        whole = (F.xxhash64(F.transform(part, lambda x: x[name])).alias(name) for name in ("one", "two"))
+        return F.struct(k.alias("back"), F.lit(min_run).alias("lines"), *whole)
+
+    def position(x, spot):
+        reach = F.filter(F.sequence(F.lit(0), F.lit(min_run - 1)), lambda k: F.get("chosen", spot - k) == spot)
+        return F.struct(spot.alias("spot"), x["one"].alias("mark"), F.transform(reach, lambda k: extension(spot, k)).alias("extensions"))
 
-    starts = F.sequence(F.lit(0), F.size("h") - min_run)
-    return hashed.select("doc_id", F.inline(F.transform(starts, window)))
+    return chosen.select("doc_id", "copy", F.inline(F.filter(F.transform("h", position), lambda p: F.size(p["extensions"]) > 0)))
 
 
 def later_windows(documents: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
-    """(doc_id, starts): windows that start earlier too."""
-    each = staging.staged(windows(documents, min_run), "lines")
-    here = F.struct("doc_id", "spot")
+    """(doc_id, copy, starts): windows, as first line and number of lines, that start earlier too."""
+    each = staging.staged(fingerprints(documents, min_run), "marks")
     # Staged, here and below, so that joins are of plain exchanges and a hot key's rows can be split.
-    shared = staging.staged(each.groupBy("mark").agg(F.min(here).alias("low"), F.max(here).alias("high")).filter("low < high").select("mark"), "marks")
-    near = staging.staged(each.join(shared, "mark").select("doc_id", "start", "one", "two"), "near")
-    place = F.struct("doc_id", "start")
+    shared = staging.staged(each.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").select("mark"), "shared")
+    near = each.join(shared, "mark").select("doc_id", "copy", "spot", F.inline("extensions"))
+    near = staging.staged(near.select("doc_id", "copy", (F.col("spot") - F.col("back")).alias("start"), "lines", "one", "two"), "near")
+    staging.release(each)
+    place = F.struct("doc_id", "copy", "start")
     first = staging.staged(near.groupBy("one", "two").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first < last").select("one", "two", "first"), "firsts")
     later = near.join(first, ["one", "two"]).filter(place > F.col("first"))
     # A document's own windows: bounded by its lines.
-    return later.groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
+    return later.groupBy("doc_id", "copy").agg(F.collect_set(F.struct("start", "lines")).alias("starts"))
 
 
 def remove_repeated_lines(documents: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     """All columns of ``documents`` with ``text`` cut, and n_lines (with a word) and n_removed."""
-    later = later_windows(documents, min_run).withColumnsRenamed({"doc_id": "_doc_id", "starts": "_starts"})
-    joined = documents.join(later, F.col("doc_id").cast("long") == F.col("_doc_id"), "left").withColumn("_lines", _lines(F.col("text"))).withColumn("_spots", _spots(F.col("_lines")))
-    gone = F.array_distinct(F.flatten(F.transform("_starts", lambda s: F.slice("_spots", s + 1, min_run))))
-    marked = joined.withColumn("_gone", F.coalesce(gone, F.array().cast("array<int>")))
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
-    cut = F.array_join(F.transform(left, lambda i: F.element_at("_lines", i + 1)), "\n")
-    text = F.when(F.size("_gone") > 0, cut).otherwise(F.col("text"))
-    counted = marked.withColumn("n_lines", F.size("_spots").cast("long")).withColumn("n_removed", F.size("_gone").cast("long")).withColumn("text", text)
-    return counted.drop("_doc_id", "_starts", "_lines", "_spots", "_gone")
+    named = documents.drop("n_lines", "n_removed")
+    doc, copy, starts, mine, lines, spots, gone = staging.fresh(named.columns, "doc", "copy", "starts", "mine", "lines", "spots", "gone")
+    later = later_windows(documents, min_run).withColumnsRenamed({"doc_id": doc, "copy": copy, "starts": starts})
+    keyed = named.withColumn(mine, _copy())
+    joined = keyed.join(later, (F.col("doc_id").cast("long") == F.col(doc)) & (F.col(mine) == F.col(copy)), "left")
+    split = joined.withColumn(lines, _lines(F.col("text"))).withColumn(spots, _spots(F.col(lines)))
+    found = F.array_distinct(F.flatten(F.transform(starts, lambda s: F.slice(spots, s["start"] + 1, s["lines"]))))
+    marked = split.withColumn(gone, F.coalesce(found, F.array().cast("array<int>")))
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+    cut = F.array_join(F.transform(left, lambda i: F.element_at(lines, i + 1)), "\n")
+    text = F.when(F.size(gone) > 0, cut).otherwise(F.col("text"))
+    counted = marked.withColumn("n_lines", F.size(spots).cast("long")).withColumn("n_removed", F.size(gone).cast("long")).withColumn("text", text)
+    return counted.drop(doc, copy, starts, mine, lines, spots, gone)
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

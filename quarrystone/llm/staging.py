@@ -57,5 +57,16 @@ def drop_stage(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """``names``, with underscores behind those that a caller's columns already have."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        out.append(name)
+    return out
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -134,6 +134,29 @@ def test_line_runs(documents):
     assert line_dedup.remove_repeated_lines(frame.limit(0)).count() == 0
 
 
+def test_lines_of_repeated_ids(spark):
+    """Rows are judged by id and text: lines that stand once stay, whatever else has the id."""
+    rows = [(3, "a\nb"), (5, "a\nb\nc"), (5, "x\ny\nz"), (5, "x\ny\nz"), (None, "a\nb"), (None, "a\nb"), (7, "q\na\nb"), (8, None)]
+    names = ["lines", "spots", "gone", "starts", "doc", "copy", "mine", "one", "two", "n_lines", "_lines"]
+    frame = spark.createDataFrame([(*r, *range(len(names))) for r in rows], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names)).repartition(3)
+    found = line_dedup.remove_repeated_lines(frame)
+    assert found.columns == [c for c in frame.columns if c != "n_lines"] + ["n_lines", "n_removed"]
+    got = sorted((str(r.doc_id), r.text or "", r.n_lines, r.n_removed, r.lines, r.gone, r._lines) for r in found.collect())
+    want = [(3, "a\nb", 2, 0), (5, "c", 3, 2), (5, "x\ny\nz", 3, 0), (5, "x\ny\nz", 3, 0), (None, "a\nb", 2, 0), (None, "a\nb", 2, 0), (7, "q", 3, 2), (8, "", 0, 0)]
+    assert got == sorted((str(d), t, n, k, 0, 2, 10) for d, t, n, k in want)
+
+
+def test_random_line_runs(documents):
+    rng = random.Random(11)
+    docs = {d: "\n".join(rng.choice(["", " ", *"abcdefgh"]) for _ in range(rng.randint(0, 14))) for d in range(120)}
+    for least in (2, 3, 4):
+        got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in line_dedup.remove_repeated_lines(documents(list(docs.items())), least).collect()}
+        assert got == brute.line_runs(docs, least)
+    # Winnowing: of the lines of a long text without repeats, only some are selected.
+    long = documents([(1, "\n".join(f"line {i}" for i in range(3000)))])
+    assert 1800 < line_dedup.fingerprints(long, 2).count() < 2200 and line_dedup.fingerprints(long, 4).count() < 1400
+
+
 def test_line_dedup_runs_no_python(documents):
     plan = line_dedup.remove_repeated_lines(documents([(1, "a\nb")]))._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
