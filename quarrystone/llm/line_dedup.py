@@ -8,7 +8,8 @@ Positions that share a fingerprint are joined through the first place (doc_id, t
 pair by pair, so a line in millions of texts costs one row each; a window that stands earlier too is a later repeat, and
 overlapping ones make up the whole repeated run. Windows are judged on the input; a first occurrence always stays.
 Runs shorter than ``min_run`` stay: a lone common line ("All rights reserved.") is no evidence of a copied passage, and
-removing it would tear clean texts.
+removing it would tear clean texts. A line of ``LONG_LINE`` words or more is a passage by itself, though: it is
+always a fingerprint, and a run of one such line counts.
 
 Lines without a word are kept as they are. Null text counts as empty. Rows without a doc_id stay as they are and
 are no one's first occurrence. Rows that share a doc_id but not a text are judged apart, the smaller text hash first;
@@ -24,7 +25,10 @@ from pyspark.sql import functions as F
 from quarrystone.llm import staging
 
 MIN_RUN = 2
+LONG_LINE = 20
 _WORD = r"[^\x20\x09-\x0D]"
+# Possessive and anchored, so that no line is scanned twice.
+_LONG = rf"^[\x20\x09-\x0D]*+(?:{_WORD}++[\x20\x09-\x0D]++){{{LONG_LINE - 1}}}{_WORD}"
 
 
 def _lines(text):
@@ -45,28 +49,29 @@ def _copy():
 def fingerprints(documents: DataFrame, min_run: int) -> DataFrame:
     """doc_id, copy, spot (among lines with a word), mark, and the extensions: lines back, lines, window hash one and two."""
     real = F.filter(_lines(F.col("text")), lambda line: line.rlike(_WORD))
-    hashed = documents.filter(F.col("doc_id").isNotNull()).select(
+    hashed = documents.filter(F.col("doc_id").isNotNull() & F.col("text").rlike(_WORD)).select(
         F.col("doc_id").cast("long").alias("doc_id"), _copy().alias("copy"),
-        F.transform(real, lambda line: F.struct(F.xxhash64(line).alias("one"), F.xxhash64(F.lit(min_run), line).alias("two"))).alias("h"),
-    ).filter(F.size("h") >= min_run)
+        F.transform(real, lambda line: F.struct(F.xxhash64(line).alias("one"), F.xxhash64(F.lit(min_run), line).alias("two"), line.rlike(_LONG).alias("long"))).alias("h"),
+    )
 
-    def selected(i):
-        # The least hash, and of equals the last: a later line has the smaller negated offset.
-        low = F.array_min(F.transform(F.slice("h", i + 1, min_run), lambda x, j: F.struct(x["one"].alias("mark"), (-j).alias("back"))))
-        return i - low["back"]
+    def selects(start, spot):
+        """Whether the window at ``start`` has its least hash at ``spot``: of equals the last, which has the smaller negated offset."""
+        low = F.array_min(F.transform(F.slice("h", start + 1, min_run), lambda x, j: F.struct(x["one"].alias("mark"), (-j).alias("back"))))
+        return (start <= F.size("h") - min_run) & (start - low["back"] == spot)
 
-    chosen = hashed.withColumn("chosen", F.transform(F.sequence(F.lit(0), F.size("h") - min_run), selected))
-
-    def extension(spot, k):
-        part = F.slice("h", spot - k + 1, min_run)
+    def extension(spot, k, lines=min_run):
+        part = F.slice("h", spot - k + 1, lines)
         whole = (F.xxhash64(F.transform(part, lambda x: x[name])).alias(name) for name in ("one", "two"))
-        return F.struct(k.alias("back"), F.lit(min_run).alias("lines"), *whole)
+        return F.struct(k.alias("back"), F.lit(lines).alias("lines"), *whole)
 
     def position(x, spot):
-        reach = F.filter(F.sequence(F.lit(0), F.lit(min_run - 1)), lambda k: F.get("chosen", spot - k) == spot)
-        return F.struct(spot.alias("spot"), x["one"].alias("mark"), F.transform(reach, lambda k: extension(spot, k)).alias("extensions"))
+        reach = F.filter(F.sequence(F.lit(0), F.least(F.lit(min_run - 1), spot)), lambda k: selects(spot - k, spot))
+        extensions = F.transform(reach, lambda k: extension(spot, k))
+        if min_run > 1:
+            extensions = F.when(x["long"], F.array_append(extensions, extension(spot, F.lit(0), 1))).otherwise(extensions)
+        return F.struct(spot.alias("spot"), x["one"].alias("mark"), extensions.alias("extensions"))
 
-    return chosen.select("doc_id", "copy", F.inline(F.filter(F.transform("h", position), lambda p: F.size(p["extensions"]) > 0)))
+    return hashed.select("doc_id", "copy", F.inline(F.filter(F.transform("h", position), lambda p: F.size(p["extensions"]) > 0)))
 
 
 def later_windows(documents: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
@@ -102,7 +107,7 @@ def remove_repeated_lines(documents: DataFrame, min_run: int = MIN_RUN) -> DataF
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Remove later repeated runs of lines from the whole corpus."""
+    """Remove later repeated runs of lines, and long lines that stand earlier, from the whole corpus."""
     found = remove_repeated_lines(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
@@ -117,13 +122,16 @@ spoken AS (
   SELECT doc_id, pos, line, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i
   FROM lines WHERE regexp_matches(line, '{_WORD}')
 ),
-pairs AS (
-  SELECT a.doc_id, a.i, a.line AS x, b.line AS y
+windows AS (
+  SELECT a.doc_id, a.i, 2 AS width, a.line AS x, b.line AS y
   FROM spoken a JOIN spoken b ON a.doc_id = b.doc_id AND b.i = a.i + 1
+  UNION ALL
+  SELECT doc_id, i, 1, line, '' FROM spoken
+  WHERE len(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda w: w <> '')) >= {LONG_LINE}
 ),
-ranked AS (SELECT doc_id, i, row_number() OVER (PARTITION BY x, y ORDER BY doc_id, i) AS turn FROM pairs),
+ranked AS (SELECT doc_id, i, width, row_number() OVER (PARTITION BY width, x, y ORDER BY doc_id, i) AS turn FROM windows),
 gone AS (
-  SELECT DISTINCT doc_id, i + d AS i FROM ranked, (VALUES (0), (1)) AS t(d) WHERE turn > 1
+  SELECT DISTINCT doc_id, i + d AS i FROM ranked, (VALUES (0), (1)) AS t(d) WHERE turn > 1 AND d < width
 ),
 marked AS (
   SELECT l.doc_id, l.pos, l.line, s.i IS NOT NULL AS spoken, g.i IS NOT NULL AS gone

@@ -58,18 +58,20 @@ def repeats(docs, width=50):
     return out
 
 
-def line_runs(docs, least=2):
+def line_runs(docs, least=2, long=20):
+    """Runs of ``least`` lines with a word, and lines of ``long`` words, that start earlier too."""
     seen, out = {}, {}
     split = {d: (t or "").split("\n") for d, t in docs.items()}
     real = {d: [i for i, line in enumerate(lines) if WORD.search(line)] for d, lines in split.items()}
-    places = [(d, i) for d in sorted(docs) for i in range(len(real[d]) - least + 1)]
-    run = lambda d, i: tuple(split[d][k] for k in real[d][i : i + least])
+    places = [(d, i, least) for d in sorted(docs) for i in range(len(real[d]) - least + 1)]
+    places += [(d, i, 1) for d in sorted(docs) for i, k in enumerate(real[d]) if least > 1 and len(words(split[d][k])) >= long]
+    run = lambda d, i, size: tuple(split[d][k] for k in real[d][i : i + size])
     for p in places:
         seen.setdefault(run(*p), p)
     gone = {d: set() for d in docs}
-    for d, i in places:
-        if seen[run(d, i)] != (d, i):
-            gone[d].update(real[d][i : i + least])
+    for d, i, size in places:
+        if seen[run(d, i, size)] != (d, i, size):
+            gone[d].update(real[d][i : i + size])
     for d, lines in split.items():
         out[d] = (len(real[d]), len(gone[d]), "\n".join(x for i, x in enumerate(lines) if i not in gone[d]))
     return out

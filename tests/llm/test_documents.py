@@ -152,6 +152,10 @@ def test_random_line_runs(documents):
     for least in (2, 3, 4):
         got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in line_dedup.remove_repeated_lines(documents(list(docs.items())), least).collect()}
         assert got == brute.line_runs(docs, least)
+    # Lines of 19 and 20 words, in odd white space.
+    wide = {d: "\n".join(rng.choice(["a", "b", *(f" {k}" + "\t w" * (18 + k % 2) + "  " for k in range(12))]) for _ in range(rng.randint(0, 6))) for d in range(60)}
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in line_dedup.remove_repeated_lines(documents(list(wide.items()))).collect()}
+    assert got == brute.line_runs(wide) != brute.line_runs(wide, long=19)
     # Winnowing: of the lines of a long text without repeats, only some are selected.
     long = documents([(1, "\n".join(f"line {i}" for i in range(3000)))])
     assert 1800 < line_dedup.fingerprints(long, 2).count() < 2200 and line_dedup.fingerprints(long, 4).count() < 1400
