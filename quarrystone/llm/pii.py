@@ -12,32 +12,47 @@ key, kind, normal form and attempt, so they need the key to be undone or linked,
   reserved mail domains;
 * gender and script of names, both read from the title and the given name.
 
-Distinct entities of the whole corpus are checked: no two share a surrogate, and none equals an
-entity that really occurs. Of clashing entities the least keeps its surrogate, the others try again; this
-loop runs on the distinct entities alone and ends when no clash is left.
+Distinct entities of the whole corpus are checked as they are written: no two share a surrogate, and none equals an
+entity that really occurs; for names the family name is what must differ, since it may stand alone. Of clashing entities
+the least keeps its surrogate, the others try again. A round reads settled forms but rewrites only what it retries. Later
+attempts draw from ever wider spaces (numbers too, after ``FINITE`` attempts: only then do they outgrow their layout), so
+rounds end even where all forms of a kind are taken.
+
+Within a text, a person named in full behind a title corefers with the same full name without one, with another title of
+no other gender, and with the title and family name alone where only one full name of that gender fits: "Mrs Jane Roe",
+"Dr Jane Roe", "Jane Roe" and "Mrs Roe" get one surrogate, of which short mentions show the family name. Between texts, equal normal forms corefer.
+
+The key is ``key``, or the setting ``spark.quarrystone.pii.key``; without either the operator refuses to run. The query
+and the pipeline draw a random key for the application where none is set: surrogates then agree within it, and can't be traced back or reproduced.
 
 A run of digits or capitals may hold more than the number it starts with: a card is looked for among its groups (Luhn
 digit and issuer's length first), a telephone number or IBAN that isn't valid as matched at its earlier ends and later starts.
 
 Null texts stay null and empty ones empty. Overlapping mentions: the leftmost wins, then the kind listed first.
-All other columns pass through (one called n_entities is replaced); rows that repeat or share a doc_id are each rewritten by their own text.
+All other columns pass through whatever their names (one called n_entities is replaced); an empty table gives no row; rows that repeat or share a doc_id are each rewritten by their own text.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import hmac
 import re
-from collections.abc import Iterator
+import secrets
+import warnings
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarrystone.llm import staging
 
-DEFAULT_KEY = "quarrystone-surrogates"
-ATTEMPTS = 64
+KEY_SETTING = "spark.quarrystone.pii.key"
+#: Attempts of one length, and attempts after which numbers may outgrow their layout.
+SAME_WIDTH = 8
+FINITE = 48
 MENTION = "begin int, end int, kind string, norm string"
 MENTIONS = f"row_key string, mentions array<struct<{', '.join(x.split()[0] + ':' + x.split()[1] for x in MENTION.split(', ')) }>>"
 
@@ -218,14 +233,58 @@ def detect(text: str | None) -> list[tuple[int, int, str, str]]:
         if (needs and not any(c in text for c in needs)) or (not digits and kind not in ("email", "name")) or (kind == "name" and not titled):
             continue
         found += [(begin, rank, end, kind, norm) for begin, end, norm in _found(kind, pattern, text)]
+    out = _disjoint((begin, end, kind, norm) for begin, _, end, kind, norm in sorted(found))
+    return _coreferent(text, out) if any(m[2] == "name" for m in out) else out
+
+
+def _disjoint(found: Iterable[tuple]) -> list[tuple]:
+    """Of ordered mentions, those that don't begin inside one before."""
     out, last = [], 0
-    for begin, _, end, kind, norm in sorted(found):
-        if begin >= last:
-            out.append((begin, end, kind, norm))
-            last = end
+    for m in found:
+        if m[0] >= last:
+            out.append(m)
+            last = m[1]
     return out
 
 
+def _coreferent(text: str, found: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
+    """The mentions with one normal form for each person of a text, and full names that stand without a title."""
+    genders: dict[str, set[str]] = {}
+    for _, _, kind, norm in found:
+        if kind == "name":
+            gender, words, name = norm.split("|")
+            if words != "1":
+                genders.setdefault(name, set()).add(gender)
+    if not genders:
+        return found
+    # Titles without a gender join the one gender that a name has; a name of both stays apart.
+    told = {name: (next(iter(g - {"n"})) if len(g - {"n"}) == 1 else "n") for name, g in genders.items()}
+    full = {name: f"{told[name]}|{len(name.split())}|{name}" for name in genders}
+    families: dict[str, list[str]] = {}
+    for name in genders:
+        families.setdefault(name.split()[-1], []).append(name)
+
+    def person(norm: str) -> str:
+        gender, words, name = norm.split("|")
+        if words != "1":
+            return full[name] if gender in ("n", told[name]) or len(genders[name] - {"n"}) == 1 else norm
+        fits = [n for n in families.get(name, []) if gender == "n" or gender in genders[n] or genders[n] == {"n"}]
+        return full[fits[0]] if len(fits) == 1 else norm
+
+    out = [(b, e, kind, person(norm) if kind == "name" else norm) for b, e, kind, norm in found]
+    written = {tuple(text[b:e].split()) for b, e, kind, norm in out if kind == "name" and len(text[b:e].split()) > 1}
+    untitled = []
+    bare = re.compile("|".join(rf"(?<!\w){r'[ ]+'.join(map(re.escape, w))}(?!\w)" for w in sorted(written, key=lambda w: (-len(w), w))))
+    starts = [m[0] for m in out]
+    for m in bare.finditer(text):
+        begin, end = m.span()
+        at = bisect.bisect_right(starts, begin)
+        free = (not at or out[at - 1][1] <= begin) and (at == len(starts) or starts[at] >= end)
+        if free:
+            untitled.append((begin, end, "name", full[" ".join(m.group().split()).lower()]))
+    return sorted(out + untitled)
+
+
 def _name_length(surface: str, words: int) -> int:
     return [m.end() for m in re.finditer(r"\S+", surface)][words - 1]
 
@@ -265,7 +324,8 @@ def surrogate(key: str, kind: str, norm: str, attempt: int = 0) -> str:
     """The normal form of the replacement."""
     s = _Stream(key, kind, norm, attempt)
     # Later attempts widen the space: the own one may be full of real and given forms.
-    wider = attempt // 8
+    wider = attempt // SAME_WIDTH
+    more = "".join(str(s.below(10)) for _ in range(max(0, attempt - FINITE + SAME_WIDTH) // SAME_WIDTH))
     if kind == "email":
         local, domain = norm.rsplit("@", 1)
         host = _Stream(key, "domain", domain, 0)
@@ -273,9 +333,9 @@ def surrogate(key: str, kind: str, norm: str, attempt: int = 0) -> str:
         return "".join(s.like(c) for c in local + "a" * wider) + f"@{name}.example.{('com', 'net', 'org')[host.below(3)]}"
     if kind == "ip":
         first = 1 + s.below(222)
-        return ".".join(map(str, (first + (first >= 127), s.below(256), s.below(256), 1 + s.below(254))))
+        return ".".join([*map(str, (first + (first >= 127), s.below(256), s.below(256), 1 + s.below(254))), *more])
     if kind == "card":
-        body = norm[0] + "".join(str(s.below(10)) for _ in norm[2:])
+        body = norm[0] + "".join(str(s.below(10)) for _ in norm[2:]) + more
         valid = luhn(norm) == 0
         check = next(str(d) for d in range(10) if luhn(f"{body}{d}") == 0)
         return body + (check if valid else str((int(check) + 1 + s.below(9)) % 10))
@@ -283,11 +343,11 @@ def surrogate(key: str, kind: str, norm: str, attempt: int = 0) -> str:
         # Ten digits: an area and an exchange, neither of which starts with 0 or 1. Else the country stays, at first.
         leads = (0, 3) if len(norm) == 10 else (2,)
         keep = 0 if len(norm) == 10 or wider else 2
-        return norm[:keep] + "".join(str(2 + s.below(8) if k in leads else s.below(10)) for k in range(keep, len(norm)))
+        return norm[:keep] + "".join(str(2 + s.below(8) if k in leads else s.below(10)) for k in range(keep, len(norm))) + more
     if kind == "ssn":
-        return f"9{s.below(100):02d}{1 + s.below(99):02d}{1 + s.below(9999):04d}"
+        return f"9{s.below(100):02d}{1 + s.below(99):02d}{1 + s.below(9999):04d}{more}"
     if kind == "iban":
-        body = "".join(s.like(c) for c in norm[4:])
+        body = "".join(s.like(c) for c in norm[4:]) + more
         return f"{norm[:2]}{98 - iban_rest(norm[:2] + '00' + body):02d}{body}"
     if kind == "token":
         head = re.match(r"AKIA|gh._|sk-|xox.-|AIza", norm).end()
@@ -319,11 +379,11 @@ def render(kind: str, surface: str, new: str) -> str:
     if kind in ("card", "phone", "ssn", "iban"):
         slots = [i for i, c in enumerate(surface) if c.isalnum()]
         out = list(surface)
-        for i, c in zip(slots[len(slots) - len(new) :], new):
+        for i, c in zip(slots[max(0, len(slots) - len(new)) :], new):
             out[i] = c
-        return "".join(out)
+        return "".join(out) + new[len(slots) :]
     if kind == "name":
-        words = new.split("|")[2].split()
+        words = new.split("|")[2].split()[-len(surface.split()) :]
         upper = surface.isupper() and len(surface) > 1
         gaps = re.findall(r"\s+", surface)
         shaped = [w.upper() if upper else w[0].upper() + w[1:] for w in words]
@@ -351,11 +411,11 @@ def mentions(documents: DataFrame) -> DataFrame:
 
 
 def _written(form: str):
-    """What a normal form looks like in a text: a name without its gender and number of words."""
-    return F.when(F.col("kind") == "name", F.substring_index(form, "|", -1)).otherwise(F.col(form))
+    """What of a normal form must be found nowhere else: of a name, the last word."""
+    return F.when(F.col("kind") == "name", F.substring_index(F.substring_index(form, "|", -1), " ", -1)).otherwise(F.col(form))
 
 
-def surrogates(entities: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
+def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """(kind, norm, new) for distinct ``entities(kind, norm)``, free of collisions as written."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -364,52 +424,75 @@ def surrogates(entities: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(new, pa.string())], ["kind", "norm", "attempt", "new"])
 
     shape = "kind string, norm string, attempt int, new string"
-    given = staging.staged(entities.withColumn("attempt", F.lit(0)).mapInArrow(make, shape), "surrogates")
-    real = given.select("kind", _written("norm").alias("written"), F.lit(True).alias("real")).distinct()
-    for _ in range(ATTEMPTS):
-        named = given.withColumn("written", _written("new"))
-        first = named.groupBy("kind", "written").agg(F.min("norm").alias("first"))
-        judged = named.join(first, ["kind", "written"]).join(real, ["kind", "written"], "left")
-        judged = judged.withColumn("clash", F.col("real").isNotNull() | (F.col("norm") != F.col("first")))
-        bad = staging.staged(judged.filter("clash").select("kind", "norm", (F.col("attempt") + 1).alias("attempt")), "clashes")
-        if bad.isEmpty():
-            return given.select("kind", "norm", "new")
-        kept = given.join(bad.select("kind", "norm"), ["kind", "norm"], "left_anti")
-        given = staging.staged(kept.unionByName(bad.mapInArrow(make, shape)), "surrogates")
-    raise ValueError(f"surrogates still clash after {ATTEMPTS} attempts")
-
-
-def replace_pii(documents: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
+    named = staging.staged(entities.select("kind", "norm"), "entities")
+    taken = named.select("kind", _written("norm").alias("written"))
+    open_, settled = named.withColumn("attempt", F.lit(0)), None
+    while True:
+        tried = staging.staged(open_.mapInArrow(make, shape).withColumn("written", _written("new")), "tried")
+        if settled is not None and tried.isEmpty():
+            return settled.select("kind", "norm", "new")
+        first = tried.groupBy("kind", "written").agg(F.min("norm").alias("first"))
+        # Forms that are real or settled, of those tried now: the few retried are the side that can be broadcast.
+        met = taken.join(tried.select("kind", "written"), ["kind", "written"], "left_semi").distinct()
+        judged = tried.join(first, ["kind", "written"]).join(met.withColumn("met", F.lit(True)), ["kind", "written"], "left")
+        judged = staging.staged(judged.withColumn("clash", F.col("met").isNotNull() | (F.col("norm") != F.col("first"))), "judged")
+        won = judged.filter("NOT clash")
+        settled = won if settled is None else settled.union(won)
+        taken = taken.union(won.select("kind", "written"))
+        open_ = judged.filter("clash").select("kind", "norm", (F.col("attempt") + 1).alias("attempt"))
+
+
+_DRAWN: list[str] = []
+
+
+def configured_key(spark: SparkSession) -> str | None:
+    return spark.conf.get(KEY_SETTING, None) or None
+
+
+def application_key(spark: SparkSession) -> str:
+    """The configured key, or a random one that this application keeps."""
+    if key := configured_key(spark):
+        return key
+    if not _DRAWN:
+        warnings.warn(f"{KEY_SETTING} isn't set: surrogates use a random key and can't be reproduced", stacklevel=2)
+        _DRAWN.append(secrets.token_hex(32))
+    return _DRAWN[0]
+
+
+def replace_pii(documents: DataFrame, key: str | None = None) -> DataFrame:
     """All columns of ``documents`` with ``text`` rewritten, and n_entities."""
+    key = key or configured_key(documents.sparkSession)
+    if not key:
+        raise ValueError(f"surrogates need a key: pass one or set {KEY_SETTING}")
     found = staging.staged(mentions(documents), "mentions")
     each = found.select("row_key", F.inline("mentions"))
     new = surrogates(each.select("kind", "norm").distinct(), key)
+    kept = documents.drop("n_entities")
+    steps, own, theirs = staging.fresh([*kept.columns, "n_entities"], "plan", "row_key", "plan_key")
     # A text's own mentions: bounded by its length.
-    plan = each.join(new, ["kind", "norm"]).groupBy("row_key").agg(F.sort_array(F.collect_list(F.struct("begin", "end", "kind", "new"))).alias("_plan"))
+    plan = each.join(new, ["kind", "norm"]).groupBy(F.col("row_key").alias(theirs)).agg(F.sort_array(F.collect_list(F.struct("begin", "end", "kind", "new"))).alias(steps))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = {name: i for i, name in enumerate(batch.schema.names)}
             texts, counts = [], []
-            for text, steps in zip(batch.column(at["text"]), batch.column(at["_plan"])):
-                text, steps = text.as_py(), steps.as_py() or []
+            for text, plan in zip(batch.column(at["text"]), batch.column(at[steps])):
+                text, plan = text.as_py(), plan.as_py() or []
                 out, last = [], 0
-                for s in steps:
+                for s in plan:
                     out += [text[last : s["begin"]], render(s["kind"], text[s["begin"] : s["end"]], s["new"])]
                     last = s["end"]
-                texts.append("".join([*out, text[last:]]) if steps else text)
-                counts.append(len(steps))
-            columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(i) for n, i in at.items() if n != "_plan"]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], [*(n for n in at if n != "_plan"), "n_entities"])
+                texts.append("".join([*out, text[last:]]) if plan else text)
+                counts.append(len(plan))
+            columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(i) for n, i in at.items() if n != steps]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], [*(n for n in at if n != steps), "n_entities"])
 
-    kept = documents.drop("n_entities")
     # Staged, so that the join is of plain exchanges and the copies of one text can be split.
-    plan = staging.staged(plan.withColumnRenamed("row_key", "_plan_key"), "plans")
-    joined = kept.withColumn("_row_key", F.sha2("text", 256)).join(plan, F.col("_row_key") == F.col("_plan_key"), "left").drop("_row_key", "_plan_key")
-    shape = kept.schema.add("n_entities", "long")
-    return joined.mapInArrow(write, shape)
+    plan = staging.staged(plan, "plans")
+    joined = kept.withColumn(own, F.sha2("text", 256)).join(plan, F.col(own) == F.col(theirs), "left").drop(own, theirs)
+    return joined.mapInArrow(write, T.StructType([*kept.schema.fields, T.StructField("n_entities", T.LongType())]))
 
 
 def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole corpus with personal data and secrets replaced."""
-    return replace_pii(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return replace_pii(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), application_key(spark))
