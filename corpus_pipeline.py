@@ -36,7 +36,7 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pii_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and secrets are replaced."""
-    return _counted(pii.replace_pii(docs).select(docs.columns))
+    return _counted(pii.replace_pii(docs, pii.application_key(spark)).select(docs.columns))
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
