@@ -1,17 +1,20 @@
 """Operator 10, embedding near-dedup: spherical k-means cells, blocked cosines inside cells.
 
 Vectors are compared when labels are equal and not null (and dimensions equal). A vector that is null,
-zero, or holds null or non-finite components links with nothing. Equal vectors are one class with a count.
-Cells are fitted on a bounded sample (``PER_CELL`` vectors for each of at most ``CELLS`` cells of the
-``FITTED`` largest label groups, so some 20,000 vectors on the driver; other groups are one cell each), but
+zero, or holds null or non-finite components links with nothing. Rows equal in label and vector (128-bit hash) are one
+class with a count and a number of its own, so a vec_id that repeats with other vectors or labels joins nothing.
+Groups of a label up to ``CELL_ROWS`` classes are one cell. Larger ones are cut into cells fitted on a bounded sample
+(``PER_CELL`` vectors a cell, ``TOTAL_CELLS`` cells in all, so some 20,000 vectors on the driver), but
 every vector is indexed: it lives in the
-cell of its most similar centroid c and also visits each cell c' with v.(c - c') <= d |c - c'|, where d is
-the chord of the threshold angle. Two vectors within that chord always meet in either's own cell, so no
-link is lost. A cell is compared in blocks of about ``BLOCK`` rows; a block gives each own vector's links as
-one count and the block's components as edges to their least members, never the pairs.
+cell of its most similar centroid c and also visits each later cell c' with v.(c - c') <= d |c - c'|, where d is
+the chord of the threshold angle. Two vectors within that chord always meet in the later of their cells, so no
+link is lost. A cell is compared in blocks of about ``BLOCK`` rows, every two blocks once, visitors only with those that
+live there; a pair of blocks gives each vector's links as one count and its components as edges to their least members, never
+the pairs. A cell of n vectors costs n(n + 1) / 2 products, and each vector travels n / ``BLOCK`` times, as it came (single
+precision); products are in double.
 
 Output, one row per input row: vec_id, n_links, component_id, kept (vec_id = component_id; true for a null
-vec_id, which is in no component). Further columns are ignored; an empty table gives no row.
+vec_id, which is in no component of its own). Further columns are ignored; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -23,15 +26,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarrystone.llm import graph, staging
 
 THRESHOLD = 0.98
-FITTED = 16
+FITTED = 256
 CELLS = 64
-CELL_ROWS = 2000
+TOTAL_CELLS = 1024
+CELL_ROWS = 8192
 PER_CELL = 20
-BLOCK = 1024
+BLOCK = 8192
+TILE = 1024
 ROUNDS = 12
 
 
@@ -53,10 +59,9 @@ def spherical_kmeans(vectors: np.ndarray, k: int, rounds: int = ROUNDS) -> np.nd
     return centroids
 
 
-def _valid():
-    plain = F.col("embedding").cast("array<double>")
-    sound = F.forall(plain, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return F.coalesce(F.col("label").isNotNull() & (F.size("embedding") > 0) & sound & F.exists(plain, lambda x: x != 0), F.lit(False))
+def _valid(vector):
+    sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.coalesce(F.col("label").isNotNull() & (F.size(vector) > 0) & sound & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -65,14 +70,15 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 def _fit(classes: DataFrame) -> dict[tuple, np.ndarray]:
     """Centroids of the largest groups, from a bounded sample chosen by hash."""
-    sizes = classes.groupBy("label", "dim").count().orderBy(F.desc("count"), "label", "dim").limit(FITTED).filter(F.col("count") > CELL_ROWS).collect()
-    cells = {(r["label"], r["dim"]): (min(CELLS, -(-r["count"] // CELL_ROWS)), r["count"]) for r in sizes}
-    if not cells:
+    sizes = classes.groupBy("label", "dim").count().filter(F.col("count") > CELL_ROWS).orderBy(F.desc("count"), "label", "dim").limit(FITTED).collect()
+    if not sizes:
         return {}
+    most = min(CELLS, max(2, TOTAL_CELLS // len(sizes)))
+    cells = {(r["label"], r["dim"]): (min(most, -(-r["count"] // CELL_ROWS)), r["count"]) for r in sizes}
     shares = [(*g, min(1.0, 1.2 * PER_CELL * k / n)) for g, (k, n) in cells.items()]
     # FITTED rows at most.
     share = F.broadcast(classes.sparkSession.createDataFrame(shares, "label string, dim int, share double"))
-    drawn = classes.join(share, ["label", "dim"]).filter(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    drawn = classes.join(share, ["label", "dim"]).filter(F.pmod("one", F.lit(1 << 20)) < F.col("share") * (1 << 20))
     sample: dict[tuple, list] = {}
     for row in drawn.select("label", "dim", "embedding").limit(PER_CELL * sum(k for k, _ in cells.values())).toLocalIterator():
         sample.setdefault((row["label"], row["dim"]), []).append(row["embedding"])
@@ -84,10 +90,8 @@ def _fit(classes: DataFrame) -> dict[tuple, np.ndarray]:
     return out
 
 
-PLACED = "label string, dim int, cell int, home boolean, vec_id long, n long, embedding array<double>"
-
-
 def _place(centroids: dict[tuple, np.ndarray], threshold: float):
+    """Rows of label, dim, class, n and embedding, with the cell that each lives in and those that it visits."""
     chord = math.sqrt(2 - 2 * threshold) + 1e-9
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,26 +115,20 @@ def _place(centroids: dict[tuple, np.ndarray], threshold: float):
                 home = np.argmax(near, axis=1)
                 apart = np.sqrt(np.maximum(0, 2 - 2 * (c @ c.T)))
                 visit = near[np.arange(len(v)), home][:, None] - near <= chord * apart[home] + 1e-9
-                i, cell = np.nonzero(visit)
+                i, cell = np.nonzero(visit & (np.arange(len(c)) >= home[:, None]))
                 rows.append(at[i])
                 cells.append(cell.astype(np.int32))
                 homes.append(home[i] == cell)
             if rows:
                 some = batch.take(pa.array(np.concatenate(rows)))
-                columns = [some.column(0), some.column(1), pa.array(np.concatenate(cells), pa.int32()), pa.array(np.concatenate(homes)), *some.columns[2:]]
-                yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in PLACED.split(", ")])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells), pa.int32()), pa.array(np.concatenate(homes)), *some.columns], ["cell", "home", *batch.schema.names])
 
     return run
 
 
-def block_links(own: np.ndarray, own_ids: np.ndarray, other: np.ndarray, other_ids: np.ndarray, weights: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each own row the weight linked among ``other``; then nodes and the least node they reach."""
-    cosine = (own @ other.T) / (np.linalg.norm(own, axis=1)[:, None] * np.linalg.norm(other, axis=1)[None, :])
-    linked = (cosine >= threshold) & (own_ids[:, None] != other_ids[None, :])
-    i, j = np.nonzero(linked)
-    nodes, index = np.unique(np.concatenate([own_ids[i], other_ids[j]]), return_inverse=True)
-    a, b = index[: len(i)], index[len(i) :]
-    low = np.arange(len(nodes))
+def _least(nodes: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least index that each of ``nodes`` indices reaches over the edges (a, b)."""
+    low = np.arange(nodes)
     while True:
         least = np.minimum(low[a], low[b])
         new = low.copy()
@@ -138,26 +136,60 @@ def block_links(own: np.ndarray, own_ids: np.ndarray, other: np.ndarray, other_i
         np.minimum.at(new, b, least)
         new = new[new]
         if (new == low).all():
-            break
+            return low
         low = new
-    return linked @ weights, nodes, nodes[low]
+
+
+def block_links(vectors: np.ndarray, weights: np.ndarray, first: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the weight linked with it, and the least row that it reaches.
+
+    The ``first`` rows are compared with the others, or with each other where there are no others. Tiles bound the
+    pairs that are held at a time, however many link.
+    """
+    n, unit = len(vectors), np.linalg.norm(vectors, axis=1)
+    links = np.zeros(n, np.int64)
+    alone = first == n
+    left: list[np.ndarray] = [np.empty(0, np.int64)]
+    right: list[np.ndarray] = [np.empty(0, np.int64)]
+    for s in range(0, first, TILE):
+        own = slice(s, min(s + TILE, first))
+        for t in range(s if alone else first, n, TILE):
+            other = slice(t, min(t + TILE, n))
+            linked = (vectors[own] @ vectors[other].T) / (unit[own, None] * unit[None, other]) >= threshold
+            if s == t:
+                np.fill_diagonal(linked, False)
+            if not linked.any():
+                continue
+            links[own] += linked @ weights[other]
+            if s != t:
+                links[other] += weights[own] @ linked
+            i, j = np.nonzero(linked)
+            i, j = i + s, j + t
+            nodes, index = np.unique(np.concatenate([i, j]), return_inverse=True)
+            low = nodes[_least(len(nodes), index[: len(i)], index[len(i) :])]
+            left.append(nodes[low != nodes])
+            right.append(low[low != nodes])
+    return links, _least(n, np.concatenate(left), np.concatenate(right))
 
 
 def _compare(threshold: float):
+    """Links of rows (key, part, class, n, embedding), sorted by key: of parts 0 and 1, or inside part 0 where the key starts with a point."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
 
         def give() -> Iterator[pa.RecordBatch]:
             table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            own = table.column(1).to_numpy(zero_copy_only=False)
-            ids, n, v = table.column(2).to_numpy(), table.column(3).to_numpy(), _matrix(table.column(4))
-            if own.any() and not own.all():
-                links, nodes, lows = block_links(v[own], ids[own], v[~own], ids[~own], n[~own], threshold)
-                a = np.concatenate([ids[own], nodes])
-                low = np.concatenate([ids[own], lows])
-                count = np.concatenate([links, np.zeros(len(nodes), np.int64)])
-                keep = (count > 0) | (a != low)
-                yield pa.RecordBatch.from_arrays([pa.array(a[keep], pa.int64()), pa.array(low[keep], pa.int64()), pa.array(count[keep].astype(np.int64), pa.int64())], ["a", "b", "links"])
+            part = table.column(1).to_numpy()
+            order = np.argsort(part, kind="stable")
+            first = int((part == 0).sum())
+            if not first or (first == len(part)) != key.startswith("."):
+                return
+            ids, n, v = table.column(2).to_numpy()[order], table.column(3).to_numpy()[order], _matrix(table.column(4))[order]
+            links, low = block_links(v, n, first, threshold)
+            keep = links > 0
+            if keep.any():
+                yield pa.RecordBatch.from_arrays([pa.array(ids[keep], pa.int64()), pa.array(ids[low[keep]], pa.int64()), pa.array(links[keep], pa.int64())], ["a", "b", "links"])
 
         for batch in batches:
             keys = np.array(batch.column(0).to_pylist(), object)
@@ -176,30 +208,51 @@ def _compare(threshold: float):
     return run
 
 
+def _block_pairs(placed: DataFrame) -> DataFrame:
+    """(key, part, class, n, embedding): every two blocks of those that live in a cell once, and each with every block of visitors."""
+    cell = ["label", "dim", "cell"]
+    blocks = lambda own: F.ceil(F.count_if(own) / BLOCK)
+    sized = placed.groupBy(*cell).agg(blocks(F.col("home")).alias("homes"), blocks(~F.col("home")).alias("guests"))
+    dealt = placed.join(sized, cell).withColumn("block", F.pmod(F.xxhash64("class"), F.when(F.col("home"), F.col("homes")).otherwise(F.col("guests"))))
+    block, homes, guests = F.col("block"), F.col("homes"), F.col("guests")
+    numbers = lambda n: F.when(n > 0, F.sequence(F.lit(0).cast("long"), n - 1)).otherwise(F.array().cast("array<long>"))
+    name = lambda kind, i, j: F.concat_ws("/", kind, *cell, i, j)
+    pair = lambda key, part: F.struct(key.alias("key"), part.cast("int").alias("part"))
+    lived = F.transform(numbers(homes), lambda o: pair(name(F.when(o == block, F.lit(".")).otherwise(F.lit("")), F.least(o, block), F.greatest(o, block)), block > o))
+    hosted = F.transform(numbers(guests), lambda o: pair(name(F.lit("g"), block, o), F.lit(0)))
+    visited = F.transform(numbers(homes), lambda o: pair(name(F.lit("g"), o, block), F.lit(1)))
+    pairs = F.when(F.col("home"), F.concat(lived, hosted)).otherwise(visited)
+    return dealt.select(F.inline(pairs), "class", "n", "embedding")
+
+
 def embedding_components(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of ``vectors(vec_id, embedding, label)``."""
     spark = vectors.sparkSession
-    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"), F.col("label").cast("string"))
-    sound = rows.filter(_valid())
-    grouped = sound.groupBy("label", "embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("n"))
-    classes = staging.staged(grouped.filter(F.col("vec_id").isNotNull()).select("label", F.size("embedding").alias("dim"), "vec_id", "n", "embedding"), "classes")
+    element = vectors.schema["embedding"].dataType.elementType
+    kind = T.ArrayType(element if isinstance(element, T.FloatType) else T.DoubleType())
+    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast(kind), F.col("label").cast("string"))
+    valid = _valid(F.col("embedding"))
+    key = ["one", "two"]
+    sound = rows.filter(valid).withColumn("one", F.xxhash64("label", "embedding")).withColumn("two", F.xxhash64(F.lit(1), "label", "embedding"))
+    grouped = sound.groupBy(*key).agg(F.min("vec_id").alias("least"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
+    numbered = grouped.filter(F.col("least").isNotNull()).select("label", F.size("embedding").alias("dim"), F.monotonically_increasing_id().alias("class"), "n", "embedding", "least", *key)
+    classes = staging.staged(numbered, "classes")
+
+    plain = classes.select("label", "dim", "class", "n", "embedding")
     centroids = _fit(classes)
-    placed = staging.staged(classes.mapInArrow(_place(centroids, threshold), PLACED), "cells")
-
-    sized = placed.groupBy("label", "dim", "cell").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    dealt = placed.join(sized, ["label", "dim", "cell"]).withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    name = ["label", "dim", "cell"]
-    own = dealt.filter("home").select(F.concat_ws("/", *name, "block", "other").alias("key"), F.lit(True).alias("own"), "vec_id", "n", "embedding")
-    met = dealt.select(F.concat_ws("/", *name, "other", "block").alias("key"), F.lit(False).alias("own"), "vec_id", "n", "embedding")
-    met = own.union(met).repartition(staging.shuffle_partitions(spark), "key").sortWithinPartitions("key")
+    placed = plain.mapInArrow(_place(centroids, threshold), T.StructType([T.StructField("cell", T.IntegerType()), T.StructField("home", T.BooleanType()), *plain.schema.fields])) if centroids else plain.withColumns({"cell": F.lit(0), "home": F.lit(True)})
+    met = _block_pairs(staging.staged(placed, "cells") if centroids else placed).repartition(staging.shuffle_partitions(spark), "key").sortWithinPartitions("key")
     found = staging.staged(met.mapInArrow(_compare(threshold), "a long, b long, links long"), "links")
 
-    links = found.groupBy(F.col("a").alias("least")).agg(F.sum("links").alias("links"))
-    roots = graph.components(found.select("a", "b")).withColumnRenamed("node", "least")
-    named = classes.select("label", "embedding", "n", F.col("vec_id").alias("least")).join(links, "least", "left").join(roots, "least", "left")
-    known = named.select("label", "embedding", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "least").alias("component_id"))
-    linked = sound.join(known, ["label", "embedding"], "left").select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "component_id")
-    alone = rows.filter(~_valid()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    links = found.groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links"))
+    roots = staging.staged(graph.components(found.select("a", "b")).join(classes.select(F.col("class").alias("node"), "least"), "node"), "roots")
+    lows = roots.groupBy("root").agg(F.min("least").alias("component_id"))
+    linked = links.join(roots.join(lows, "root").select(F.col("node").alias("class"), "component_id"), "class")
+    named = classes.select("class", "n", "least", *key).join(linked, "class", "left")
+    # Staged, so that the join is of plain exchanges and the rows of a common vector can be split.
+    known = staging.staged(named.select(*key, (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component_id", "least").alias("component_id")), "known")
+    linked = sound.select("vec_id", *key).join(known, key, "left").select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "component_id")
+    alone = rows.filter(~valid).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.union(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
 

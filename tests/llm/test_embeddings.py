@@ -55,6 +55,41 @@ def test_repeated_rows_and_nothing(spark):
     assert e.embedding_components(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_repeated_ids_of_other_labels_and_vectors(spark):
+    """A vec_id is no class: what has one id but another label or vector stays apart."""
+    rows = [(1, [1.0, 0.0], 0), (1, [1.0, 0.0], 1), (2, [1.0, 0.01], 0), (3, [1.0, 0.02], 1), (4, [1.0, 0.03], 1), (1, [0.0, 1.0], 1), (5, [0.01, 1.0], 1), (None, [0.0, 1.0], 1)]
+    got = sorted((str(r.vec_id), r.n_links, r.component_id) for r in e.embedding_components(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA).repartition(3)).collect())
+    assert got == [("1", 1, 1), ("1", 2, 1), ("1", 2, 1), ("2", 1, 1), ("3", 2, 1), ("4", 2, 1), ("5", 2, 1), ("None", 2, 1)]
+
+
+def test_dense_groups_over_many_tiles_and_cells(spark, monkeypatch):
+    """Blocks, tiles and cells that cut one group of copies give the links and components of the whole."""
+    for name, value in {"CELL_ROWS": 30, "BLOCK": 16, "TILE": 5}.items():
+        monkeypatch.setattr(e, name, value)
+    rng = np.random.default_rng(5)
+    rows = [(i, (np.eye(5)[i % 2] + 0.09 * rng.normal(size=5)).tolist(), 0) for i in range(140)]
+    got = e.embedding_components(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA.replace("float", "double")).repartition(3)).collect()
+    links, comps = expected(rows)
+    assert {r.vec_id: r.n_links for r in got} == links and {r.vec_id: r.component_id for r in got} == comps and max(links.values()) > 15
+
+
+def test_block_links_in_tiles(monkeypatch):
+    rng = np.random.default_rng(6)
+    v = np.concatenate([np.eye(3)[k % 3] + 0.08 * rng.normal(size=(1, 3)) for k in range(50)])
+    weights = rng.integers(1, 5, 50)
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    for first in (50, 20):
+        linked = unit @ unit.T >= 0.98
+        np.fill_diagonal(linked, False)
+        if first < 50:
+            linked[:first, :first] = linked[first:, first:] = False
+        for tile in (7, 1024):
+            monkeypatch.setattr(e, "TILE", tile)
+            links, low = e.block_links(v, weights, first, 0.98)
+            assert links.tolist() == (linked @ weights).tolist()
+            assert dict(enumerate(low.tolist())) == brute.components(range(50), lambda a, b: linked[a, b])
+
+
 def test_spherical_kmeans_finds_directions():
     rng = np.random.default_rng(2)
     axes = np.eye(4)
