@@ -43,6 +43,14 @@ def test_wide_buckets_and_blocks(documents, monkeypatch):
     assert got == brute.jaccard_components(docs)[1]
 
 
+def test_sets_whose_names_are_equal_stay_apart(documents):
+    """With names of six bits most of them are shared; the digests tell the sets apart."""
+    docs = near_copies(5, 8, 10, 60)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(documents(list(docs.items())), name_bits=6).collect()}
+    sizes, comps = brute.jaccard_components(docs)
+    assert got == {d: (sizes[d], comps[d]) for d in docs}
+
+
 def test_partenum_covers_every_linked_pair():
     """Any two sets at the threshold share as many signatures as either needs."""
     import numpy as np
