@@ -7,7 +7,10 @@ the rank differences, ``RANKS`` for an n-gram that the profile lacks. Ties rank
 
 Learning counts every whole text with a non-null language: each task sums its rows per language, the
 sums meet by n-gram, and profiles (``RANKS`` rows a language) are the only thing sent to all tasks.
-A null text, or one without a letter, is ``und`` with score 0, as is everything when nothing is learned.
+A null text, or one without a letter, is ``und`` with score 0, as is everything when nothing is learned. Of languages
+at one distance the first by name wins. Rows that repeat each count in learning and get the same prediction; a null doc_id
+stays null; other columns, whatever their names, are ignored; an empty table gives no row. ``MAX_LANGUAGES`` bounds what
+reaches the driver (``RANKS`` rows each); a column with more values isn't one of languages, and learning fails on it.
 """
 
 from __future__ import annotations

@@ -129,7 +129,8 @@ def pack(documents: DataFrame, vocabulary: str | None = None, window: int = WIND
                     whole = total - total % window
                     for start in range(0, whole, window):
                         emit([(keys[at + k], start, ids[start : start + window], total)])
-                    if whole < total and (done := packer.add((keys[at + k], whole, ids[whole:], total))):
+                    # A copy: a view would keep its whole document while the window is open.
+                    if whole < total and (done := packer.add((keys[at + k], whole, ids[whole:].copy(), total))):
                         emit(done)
                 at += len(some)
                 yield flush()

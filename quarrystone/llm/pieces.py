@@ -8,7 +8,8 @@ is encoded once by the library (with the model's own normaliser switched off). P
 through the alignment to spans of original UTF-8 bytes: span i runs from the source of its first
 normalised byte to the source of the byte after its last.
 
-Null and empty texts have only the end id. A model whose pieces could cross a cut is encoded whole.
+Null and empty texts have only the end id; rows that repeat are encoded once each; other columns are ignored and an empty
+table gives no row. A model with user-defined pieces and a map is refused. A model whose pieces could cross a cut is encoded whole.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 MARK = "▁"
 MEMO_ENTRIES = 400_000
 LONG_SEGMENT = 96
-DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_bytes long"
+DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_bytes long, spans_sha256 string"
 
 _LOADED: dict[str, "PieceCodec"] = {}
 
@@ -106,6 +107,8 @@ class PieceCodec:
         self.memo: dict[str, tuple[int, bytes, str]] = {}
         if self.end < 0:
             raise ValueError("the model has no end id")
+        if self.user and (self.map.units or self.squeeze):
+            raise ValueError("user-defined pieces, which the library's normaliser protects, aren't supported with a map")
 
     def normalize(self, text: str) -> tuple[bytes, np.ndarray]:
         """Normalised bytes, and for each of them (and the end) the original byte offset."""
@@ -245,8 +248,13 @@ def encode_pieces(documents: DataFrame, model: str | None = None) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>, begin array<long>, end array<long>")
 
 
+def span_digest(begin: np.ndarray, end: np.ndarray) -> str:
+    return hashlib.sha256(begin.astype("<i8").tobytes() + end.astype("<i8").tobytes()).hexdigest()
+
+
 def digest_pieces(documents: DataFrame, model: str | None = None) -> DataFrame:
-    """Encode and decode every whole text; keep digests. n_bytes is where the last span ends."""
+    """Encode and decode every whole text; keep digests. n_bytes is where the last span ends; spans_sha256 is that of
+    every piece's begin and end as little-endian signed 64-bit integers, all begins first."""
     model = model or default_model()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,10 +266,10 @@ def digest_pieces(documents: DataFrame, model: str | None = None) -> DataFrame:
                 if np.any(begin[1:] < begin[:-1]) or np.any(end < begin):
                     raise ValueError("spans run backwards")
                 decoded = codec.decode(ids)
-                rows.append((doc, len(ids), hashlib.sha256(decimal.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), int(end[-1])))
-            columns = list(zip(*rows)) if rows else [[]] * 5
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_bytes"])
+                rows.append((doc, len(ids), hashlib.sha256(decimal.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), int(end[-1]), span_digest(begin, end)))
+            columns = list(zip(*rows)) if rows else [[]] * 6
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [x.split()[0] for x in DIGEST.split(", ")])
 
     return documents.select("doc_id", "text").mapInArrow(run, DIGEST)
 

@@ -7,7 +7,8 @@ characters inside the most frequent n-gram, for 5 to 10 at the characters inside
 twice or more, for lines at the characters inside lines equal to an earlier one, each as a share of the
 word characters. A text also fails when symbols are frequent against its words.
 
-Null and empty texts have no words and fail the base rule. Rows that repeat are judged alike.
+Null and empty texts have no words and fail the base rule. Rows that repeat are judged alike; a null doc_id stays null.
+``quality`` ignores other columns, ``kept_documents`` passes them through whatever their names; an empty table gives no row.
 """
 
 from __future__ import annotations

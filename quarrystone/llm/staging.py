@@ -9,9 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def stage_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a private one only where that is unset (tests)."""
+    """The folder named by spark.checkpoint.dir; a private one only where that is unset and all runs in one process.
+
+    On a cluster every executor would write to a disk of its own, so there a missing setting fails.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that the executors of {master} share")
         root = "file://" + tempfile.mkdtemp(prefix="quarry-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

@@ -90,3 +90,30 @@ def base_quality(text):
             dup += line in seen
             seen.add(line)
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), dup, sum(cover), len(w) < 50 or 100 * sum(cover) > 50 * len(w)
+
+
+def ngram_counts(text):
+    """Runs of letters, lower-cased and padded with a blank on either side: n-grams of one to three characters."""
+    out = Counter()
+    for run in re.findall(r"[^\W\d_]+", (text or "").lower()):
+        padded = f" {run} "
+        for n in (1, 2, 3):
+            out.update(g for g in (padded[i : i + n] for i in range(len(padded) - n + 1)) if g != " ")
+    return out
+
+
+def profile(counts, ranks=400):
+    return sorted(counts, key=lambda g: (-counts[g], len(g), g))[:ranks]
+
+
+def language(text, profiles, ranks=400):
+    """The nearest profile by out-of-place distance (ties by name) and 1 less the share of the largest distance."""
+    own = profile(ngram_counts(text), ranks)
+    if not own or not profiles:
+        return "und", 0.0
+    away = {}
+    for lang in sorted(profiles):
+        place = {g: i for i, g in enumerate(profiles[lang])}
+        away[lang] = sum(abs(place[g] - i) if g in place else ranks for i, g in enumerate(own))
+    best = min(away, key=lambda x: (away[x], x))
+    return best, 1.0 - away[best] / (ranks * len(own))

@@ -199,6 +199,71 @@ def test_language(spark, sf, documents):
     assert nothing == {} and language.identify(documents([(4, "the")]), nothing).first().lang_pred == "und"
 
 
+def test_language_query_equals_brute_force(spark, sf):
+    """Folds, profiles and distances of the query of operator 4, in plain Python over the whole table."""
+    import zlib
+
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").collect()
+    held = {r.doc_id: zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in rows}
+    counts = {}
+    for r in rows:
+        if r.lang is not None and not held[r.doc_id]:
+            counts.setdefault(r.lang, brute.Counter()).update(brute.ngram_counts(r.text))
+    profiles = {lang: brute.profile(n) for lang, n in counts.items()}
+    got = {r.doc_id: (r.held_out, r.lang_pred, r.score) for r in language.op4_language(spark, sf).collect()}
+    want = {r.doc_id: (held[r.doc_id], *brute.language(r.text, profiles)) for r in rows}
+    assert {d: g[:2] for d, g in got.items()} == {d: w[:2] for d, w in want.items()} and len(profiles) > 2
+    assert all(abs(got[d][2] - w[2]) < 1e-9 for d, w in want.items())
+
+
+def test_language_ties_repeats_and_long_texts(spark):
+    schema = "doc_id long, text string, lang string, rank int, code int, n int"
+    learned = language.learn(spark.createDataFrame([(1, "aa bb", "yy", 1, 1, 1), (1, "aa bb", "yy", 1, 1, 1), (2, "bb aa", "xx", 1, 1, 1), (3, "qq", None, 1, 1, 1)], schema))
+    assert sorted(learned) == ["xx", "yy"] and learned["xx"].tolist() == learned["yy"].tolist()
+    long = "aa " * 300_000
+    frame = spark.createDataFrame([(4, "aa", "zz", 1, 1, 1), (4, "aa", None, 1, 1, 1), (None, long, None, 1, 1, 1), (5, None, None, 1, 1, 1)], schema)
+    got = sorted((str(r.doc_id), r.lang_pred, round(r.score, 9)) for r in language.identify(frame, learned).collect())
+    profiles = {k: brute.profile(brute.ngram_counts("aa bb aa bb")) for k in ("xx", "yy")}
+    short, far = (round(brute.language(t, profiles)[1], 9) for t in ("aa", long))
+    assert got == [("4", "xx", short), ("4", "xx", short), ("5", "und", 0.0), ("None", "xx", far)]
+    assert language.identify(frame.limit(0), learned).count() == 0
+
+
+def test_quality_of_repeated_rows_and_clashing_columns(spark):
+    text = " ".join(f"word{i}" for i in range(80))
+    frame = spark.createDataFrame([(1, text, 5, False), (1, text, 5, False), (None, text, 6, True), (2, "x", 7, True)], "doc_id long, text string, n_words int, kept boolean")
+    got = sorted((str(r.doc_id), r.n_words, r.kept) for r in quality.quality(frame).collect())
+    assert got == [("1", 80, True), ("1", 80, True), ("2", 1, False), ("None", 80, True)]
+    kept = quality.kept_documents(frame)
+    assert kept.columns == frame.columns and sorted((str(r.doc_id), r.n_words, r.kept) for r in kept.collect()) == [("1", 5, False), ("1", 5, False), ("None", 6, True)]
+
+
+def test_pipeline_stages_on_odd_tables(spark, sf):
+    """Nulls, empty and repeated rows, a long text and clashing columns through all stages; then no rows at all."""
+    import corpus_pipeline
+    from quarrystone.llm import staging
+
+    good = "\n".join(" ".join(f"w{i}{j}" for j in range(9)) for i in range(12))
+    other = good.replace("w", "v")
+    rows = [(1, good), (1, good), (1, other), (2, None), (3, ""), (None, good.replace("w", "u")), (4, good + "\nmore"), (5, " ".join(f"k{i}" for i in range(90_000))), (6, "short")]
+    names = ["lang", "source", "n_chars", "lines", "copy", "node", "plan", "kept"]
+    docs = spark.createDataFrame([(*r, *["x"] * 2, len(r[1] or ""), *["y"] * 5) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names[3:])).repartition(3)
+    assert docs.columns == ["doc_id", "text", *names]
+    for some in (docs, docs.limit(0)):
+        tables = [some]
+        for name, stage in corpus_pipeline.STAGES:
+            tables.append(staging.staged(stage(spark, tables[-1], sf), name))
+        assert all(t.columns == docs.columns for t in tables[:-1])
+        ids = [sorted(str(r.doc_id) for r in t.collect()) for t in tables]
+        if some is docs:
+            assert ids[1] == ["1", "1", "1", "4", "5", "None"]  # too short or empty texts fail the base rule
+            assert ids[2] == ["1", "1", "1", "4", "5", "None"]  # of document 4 only its own last line is left
+            assert [r.text for r in tables[2].filter("doc_id = 4").collect()] == ["more"]
+            assert ids[4] == ids[3] and set(ids[5]) == set(ids[4])
+        else:
+            assert ids == [[]] * 6
+
+
 def test_out_of_place_distance_by_hand():
     import numpy as np
 

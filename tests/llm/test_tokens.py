@@ -176,3 +176,48 @@ def test_compiled_map_is_read_like_the_library(tmp_path):
         ids, begin, end, _ = codec.encode(text)
         assert ids.tolist() == codec.outer.encode(text, add_eos=True)
         assert (end >= begin).all() and (begin[1:] >= begin[:-1]).all() and end[-1] <= len(text.encode())
+
+
+def test_packing_query_equals_library(spark, sf, texts):
+    """The query of operator 5: every id of every document once, in order, in gapless sequences."""
+    got = {}
+    for r in packing.op5_packing(spark, sf).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    assert set(got) == set(texts)
+    for d, ids in _expected(texts.items()):
+        at = 0
+        for r in sorted(got[d], key=lambda r: r.start):
+            assert (r.start, r.doc_tokens) == (at, len(ids)) and r.ids_crc32 == zlib.crc32(np.array(ids[at : at + r.length], "<u4").tobytes())
+            at += r.length
+        assert at == len(ids)
+    fill = {}
+    for r in sorted((r for rows in got.values() for r in rows), key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == fill.get(r.sequence_id, 0)
+        fill[r.sequence_id] = r.offset + r.length
+    assert max(fill.values()) <= 4096
+
+
+def test_piece_query_equals_library(spark, sf, texts):
+    """The query of operator 7: ids, decoded text and, piece by piece, the library's own surfaces as spans of source bytes."""
+    import hashlib
+
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.default_model())
+    got = {r.doc_id: r for r in pieces.op7_pieces(spark, sf).collect()}
+    assert set(got) == set(texts)
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    compared = 0
+    for d, t in texts.items():
+        t = t or ""
+        ids = library.encode(t, add_eos=True)
+        r = got[d]
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256, r.n_bytes) == (len(ids), sha(" ".join(map(str, ids)).encode()), sha(library.decode(ids).encode()), len(t.encode()))
+        found = library.encode(t, return_type="proto").pieces
+        if any(library.is_byte(p.id) and p.begin == p.end for p in found):
+            continue  # of the pieces of a character of several bytes the library spans only the last
+        compared += 1
+        begin = np.array([p.begin for p in found] + [len(t.encode())], np.int64)
+        end = np.array([p.end for p in found] + [len(t.encode())], np.int64)
+        assert r.spans_sha256 == pieces.span_digest(begin, end), d
+    assert compared > 50
