@@ -83,6 +83,37 @@ def chunk_id(c: Column) -> Column:
     return F.when(number != "", F.format_string("chunk_%04d", number.cast("int")))
 
 
+def run_id(at: Column, prefix: str = "chunk_plan") -> Column:
+    """The id of a run that starts ``at`` a time (UTC)."""
+    return F.concat(F.lit(f"{prefix}_"), F.date_format(at, "yyyyMMdd'T'HHmmss'Z'"))
+
+
+# Folders below a run's root, by what they hold.
+RUN_FOLDERS = {"plan": "", "raw": "raw/", "artifacts": "artifacts/"}
+
+
+def run_root(root: str, run: Column, kind: str) -> Column:
+    """Where a run keeps its plan, raw responses or artifacts."""
+    return F.concat(F.lit(f"{root.rstrip('/')}/{RUN_FOLDERS[kind]}"), run)
+
+
+def artifact_root(raw_root: Column, at: Column) -> Column:
+    """The artifact folder that belongs to a raw folder: beside ``raw`` a new run's, else the run's of the same name."""
+    parts = F.split(F.rtrim(raw_root, F.lit("/")), "/")
+    above = lambda n: F.array_join(F.slice(parts, 1, F.size(parts) - n), "/")
+    own = F.element_at(parts, -1)
+    return F.when(own == "raw", F.concat(above(1), F.lit("/artifacts/"), run_id(at, "materialized"))).otherwise(F.concat(above(2), F.lit("/artifacts/"), own))
+
+
+def log_file(root: str, chunk: Column) -> Column:
+    return F.concat(F.lit(f"{root.rstrip('/')}/logs/ocr_modal_run_"), chunk, F.lit(".log"))
+
+
+def window_errors(start: Column, end: Column, width: Column) -> Column:
+    """What is wrong with a page range and window size: the first rule that fails, else null."""
+    return F.when(~F.coalesce(start > 0, F.lit(False)), "page start must be positive").when(end < start, "page end lies before page start").when(~F.coalesce(width > 0, F.lit(False)), "window size must be positive")
+
+
 def window_file(begin: Column, end: Column) -> Column:
     return F.format_string("pages_%04d_%04d.raw.json", begin, end)
 

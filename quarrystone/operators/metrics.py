@@ -95,16 +95,28 @@ def temporal_holdout(rows: DataFrame, time: str, share: float) -> DataFrame:
 
 
 def mix_quota(rows: DataFrame, source: str, key: str, quota: dict[str, float], total: int) -> DataFrame:
-    """At most each source's share of ``total`` rows, smallest digests of keys first."""
+    """At most each source's share of ``total`` rows, smallest digests of keys first.
+
+    Digests fall into 4,096 ranges. Running sums over the ranges' counts say which are in whole and which holds a source's last
+    row; only that one is ranked, so no task orders a source.
+    """
     items = list(quota.items())
     share = F.coalesce(F.create_map(*(F.lit(x) for kv in items for x in kv))[F.col(source)], F.lit(0.0))
-    order = Window.partitionBy(source).orderBy(F.md5(F.col(key).cast("string").cast("binary")), key)
-    return rows.withColumn("_turn", F.row_number().over(order)).filter(F.col("_turn") <= F.floor(share * total)).drop("_turn")
+    digest = F.md5(F.col(key).cast("string").cast("binary"))
+    dealt = rows.filter(F.col(source).isNotNull()).withColumn("_range", F.conv(F.substring(digest, 1, 3), 16, 10).cast("int"))
+    sizes = dealt.groupBy(source, "_range").agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(source).orderBy("_range"))
+    sizes = sizes.withColumns({"_upto": upto, "_most": F.floor(share * total)}).filter(F.col("_upto") - F.col("_n") < F.col("_most"))
+    near = dealt.join(sizes, [source, "_range"])
+    whole = near.filter("_upto <= _most").select(*rows.columns)
+    turn = F.row_number().over(Window.partitionBy(source, "_range").orderBy(digest, key))
+    last = near.filter("_upto > _most").withColumn("_turn", turn).filter("_turn + _upto - _n <= _most").select(*rows.columns)
+    return whole.union(last)
 
 
 def acceptance_gates(metrics: DataFrame, gates: DataFrame) -> DataFrame:
     """``metrics(metric, value)`` against ``gates(metric, op, threshold)``; a missing metric fails."""
-    rows = F.broadcast(gates).join(metrics, "metric", "left")
+    rows = gates.join(metrics, "metric", "left")
     passed = F.when(F.col("op") == ">=", F.col("value") >= F.col("threshold")).otherwise(F.col("value") <= F.col("threshold"))
     return rows.withColumn("passed", F.coalesce(passed, F.lit(False)))
 
@@ -123,15 +135,25 @@ def admitted(rows: DataFrame, evaluation_splits: list[str]) -> DataFrame:
     return rows.filter((F.col("review_state") == "approved_for_admission") & ~F.col("split").isin(*evaluation_splits))
 
 
+def dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
+
+
+def norm(a: Column) -> Column:
+    return F.sqrt(dot(a, a))
+
+
 def cosine(a: Column, b: Column) -> Column:
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
-    return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+    return dot(a, b) / (norm(a) * norm(b))
 
 
 def embedding_topk(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     """The k most similar other vectors of every query (ties by id): queries are a stated small set,
     sent to all tasks only while they are few, each against all rows."""
-    q = queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("_q"))
-    rows = vectors.join(q, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", cosine(F.col("_q"), F.col("embedding")).alias("cosine"))
+    q = queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("_q"), norm(F.col("embedding")).alias("_qn"))
+    # A norm is computed once a vector, not once a pair.
+    v = vectors.select("vec_id", "embedding", norm(F.col("embedding")).alias("_vn"))
+    value = dot(F.col("_q"), F.col("embedding")) / (F.col("_qn") * F.col("_vn"))
+    rows = v.join(q, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", value.alias("cosine"))
     turn = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("cosine"), "vec_id"))
     return rows.withColumn("rank", turn).filter(F.col("rank") <= k)

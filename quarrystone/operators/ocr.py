@@ -114,10 +114,10 @@ def status_counts(events: DataFrame, group: list[str] = []) -> DataFrame:  # noq
     return named.groupBy(*group, "status").agg(F.count("*").alias("n"))
 
 
-def progress(events: DataFrame, total: int) -> DataFrame:
-    """One row: completed (at most ``total``), and the label of the latest event."""
+def progress(events: DataFrame, total: int, order: list[str] = ["ts"]) -> DataFrame:  # noqa: B006
+    """One row: completed (at most ``total``), and the label of the latest event by ``order``."""
     done = F.count_if(F.col("status").isin("ok", "skipped_existing"))
-    return events.agg(F.least(done, F.lit(total)).alias("completed"), F.max_by("rel_path", "ts").alias("last_label"))
+    return events.agg(F.least(done, F.lit(total)).alias("completed"), F.max_by("rel_path", F.struct(*order)).alias("last_label"))
 
 
 def pdf_status(events: DataFrame, group: list[str]) -> DataFrame:
@@ -166,8 +166,11 @@ def generation_rollup(results: DataFrame, group: list[str], position: str) -> Da
 
 
 def merged_totals(*maps: Column) -> Column:
-    """Maps merged in order, later keys winning (needs the LAST_WIN policy of ``session``)."""
-    return F.map_concat(*maps)
+    """Maps merged in order, later keys winning, whatever the session's policy for repeated keys; null maps are left out."""
+    out = maps[0]
+    for later in maps[1:]:
+        out = F.coalesce(F.map_zip_with(out, later, lambda _, old, new: F.coalesce(new, old)), out, later)
+    return out
 
 
 def checksum_mismatches(pages: DataFrame, records: DataFrame) -> DataFrame:

@@ -44,10 +44,19 @@ def before_first_error(rows: DataFrame, group: list[str], position: str, bad: Co
 
 
 def until_errors(rows: DataFrame, group: list[str], order: list[str], bad: Column, most: int) -> DataFrame:
-    """Each group's rows up to and including its ``most``-th bad one."""
-    frame = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    earlier = F.coalesce(F.sum(F.when(bad, 1).otherwise(0)).over(frame), F.lit(0))
-    return rows.withColumn("_errors", earlier).filter(F.col("_errors") < most).drop("_errors")
+    """Each group's rows up to and including its ``most``-th bad one by ``order`` (which tells a group's rows apart).
+
+    Only the first ``most`` bad rows of a group are ranked, of each task's rows first; the rest meet that one by a join.
+    """
+    turn = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    place = F.struct(*order)
+    ends = rows.filter(bad).withColumn("_turn", turn).filter(F.col("_turn") <= most).filter(F.col("_turn") == most)
+    ends = ends.select(*(F.col(g).alias(f"_{g}") for g in group), place.alias("_end"))
+    same = F.lit(True)
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_{g}"))
+    joined = rows.join(ends, same, "left").filter(F.col("_end").isNull() | (place <= F.col("_end")))
+    return joined.drop("_end", *(f"_{g}" for g in group))
 
 
 def offset_limit(rows: DataFrame, order: list[str], start: int, count: int | None) -> DataFrame:

@@ -71,11 +71,16 @@ def budget_table(phases: DataFrame, rate: float) -> DataFrame:
 
 def rate_limited(calls: DataFrame, service: str, seconds: Column, period: int, calls_allowed: int, burst: int = 0) -> DataFrame:
     """Earlier calls of the same service inside the trailing period, whether this one may proceed, and how
-    long it would wait. The call itself doesn't count; equal seconds count for each other. The window is
-    bounded by the period, not by the service's history."""
+    long it would wait. The call itself doesn't count; equal seconds count for each other.
+
+    A service's calls are dealt by periods, each with the one before for context, so no task holds its history.
+    """
     at = calls.withColumn("_s", seconds)
-    frame = Window.partitionBy(service).orderBy("_s").rangeBetween(-period + 1, 0)
-    rows = at.withColumns({"earlier": F.count("*").over(frame) - 1, "_oldest": F.min("_s").over(frame)})
+    now = F.floor(F.col("_s") / period)
+    spread = at.withColumn("_period", F.explode(F.array(now, now + 1)))
+    frame = Window.partitionBy(service, "_period").orderBy("_s").rangeBetween(-period + 1, 0)
+    rows = spread.withColumns({"earlier": F.count("*").over(frame) - 1, "_oldest": F.min("_s").over(frame)})
+    rows = rows.filter(F.col("_period") == now).drop("_period")
     allowed = F.col("earlier") < calls_allowed + burst
     wait = F.when(allowed, F.lit(0)).otherwise(F.greatest(F.lit(0), F.col("_oldest") + period - F.col("_s")))
     return rows.withColumns({"can_proceed": allowed, "wait_seconds": wait}).drop("_s", "_oldest")
@@ -117,6 +122,46 @@ def inverted_index(documents: DataFrame) -> DataFrame:
     return terms.groupBy("term", "doc_id").agg(F.count("*").alias("n")).groupBy("term").agg(F.count("*").alias("documents"), F.sum("n").alias("occurrences"))
 
 
+def category_overlay(sources: DataFrame, results: DataFrame, category: str, priority: str | None = None) -> DataFrame:
+    """The sources of one category (and priority) with what their clone came to; those without a result are null."""
+    wanted = sources.filter(F.col("category") == category)
+    if priority:
+        wanted = wanted.filter(F.col("priority") == priority)
+    return wanted.join(results.select("url", "status", "error"), "url", "left")
+
+
+# The fields of a normalised record behind its id, in order.
+RECORD_FIELDS = ("source", "type", "swc_id", "cwe_id", "severity", "title", "description", "code_snippet", "file_path", "line_numbers", "tags", "timestamp")
+_RECORD_LISTS = {"line_numbers": "array<int>", "tags": "array<string>"}
+
+
+def normalized_records(rows: DataFrame, kind: str = "vulnerability") -> DataFrame:
+    """The thirteen fields of a normalised record: those that ``rows`` has, cleaned, and nulls (empty lists) for the others.
+
+    Severities are in lower case, weakness ids as ``SWC-n`` and ``CWE-n``, lists sorted and distinct, the timestamp in UTC; ``id``
+    is the digest of the other fields.
+    """
+    there = set(rows.columns)
+
+    def field(name: str) -> Column:
+        if name in _RECORD_LISTS:
+            given = F.col(name).cast(_RECORD_LISTS[name]) if name in there else F.lit(None).cast(_RECORD_LISTS[name])
+            return F.sort_array(F.array_distinct(F.coalesce(given, F.array().cast(_RECORD_LISTS[name]))))
+        if name not in there:
+            return F.lit(kind if name == "type" else None).cast("string")
+        if name == "timestamp":
+            return F.date_format(F.col(name).cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+        text = F.nullif(scalars.stripped(F.col(name).cast("string")), F.lit(""))
+        if name in ("swc_id", "cwe_id"):
+            number = F.nullif(F.regexp_extract(text, r"(\d+)", 1), F.lit(""))
+            return F.concat(F.lit(f"{name[:3].upper()}-"), number)
+        return F.lower(text) if name == "severity" else text
+
+    fields = rows.select(*(field(name).alias(name) for name in RECORD_FIELDS))
+    texts = [F.array_join(name, ",") if name in _RECORD_LISTS else F.coalesce(F.col(name), F.lit("")) for name in RECORD_FIELDS]
+    return fields.select(F.sha2(F.concat_ws("\u001f", *texts), 256).alias("id"), "*")
+
+
 def vulnerability_records(rows: DataFrame, fields: list[str]) -> DataFrame:
     """Rows with a content id over the normalised fields."""
     return rows.withColumn("id", F.sha2(F.concat_ws("\u001f", *(F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields)), 256))

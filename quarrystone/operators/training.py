@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -155,8 +157,10 @@ def exact_dedup(documents: DataFrame, text: str = "text", key: str = "doc_id") -
     return documents.groupBy(F.sha2(F.col(text), 256).alias("text_sha256")).agg(F.min(key).alias(key), F.count("*").alias("copies"))
 
 
-def _window_hash(words: int):
-    return lambda start: F.xxhash64(F.slice("_w", start, words))
+def _window_keys(words: int) -> Column:
+    """Keys of all windows of so many word hashes; a text that is shorter gives itself."""
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("_w") - words + 1))
+    return F.transform(starts, lambda start: F.xxhash64(F.lit(words), F.slice("_w", start, words)))
 
 
 def _word_hashes(text: Column) -> Column:
@@ -173,21 +177,19 @@ def holdout_exclusion(documents: DataFrame, held: DataFrame, words: int = 8) ->
     """
     held = held.select(F.col("text").alias("_gold")).filter(F.col("_gold") != "").distinct()
     hashed = held.withColumn("_w", _word_hashes(F.col("_gold"))).withColumn("_w", F.slice("_w", 2, F.greatest(F.lit(0), F.size("_w") - 2)))
-    gold = hashed.select("_gold", F.xxhash64(F.slice("_w", 1, words)).alias("_key"), F.least(F.lit(words), F.size("_w")).alias("_n"))
-    tokens = documents.select("doc_id", "text", _word_hashes(F.col("text")).alias("_w"))
+    size = F.least(F.lit(words), F.size("_w"))
+    gold = hashed.select("_gold", F.xxhash64(size, F.slice("_w", 1, words)).alias("_key"), size.alias("_n"))
     # Texts shorter than ``words`` words are looked for by their own length.
     sizes = [r["_n"] for r in gold.select("_n").distinct().orderBy("_n").limit(words + 1).collect()]
     holds = F.col("text").contains(F.col("_gold"))
-    leaking = None
-    for n in sizes:
-        if n:
-            starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("_w") - n + 1))
-            windows = F.transform(starts, _window_hash(n))
-            one = tokens.select("doc_id", "text", F.explode(F.array_distinct(windows)).alias("_key"))
-            found = one.join(gold.filter(F.col("_n") == n), "_key").filter(holds)
-        else:
-            found = documents.join(F.broadcast(gold.filter("_n = 0")), holds)
-        leaking = found.select("doc_id") if leaking is None else leaking.union(found.select("doc_id"))
-    if leaking is None:
+    # Texts without an inner word (0) are looked for everywhere; windows of all other lengths come from one scan, without the text.
+    found = [documents.join(gold.filter("_n = 0"), holds).select("doc_id")] if 0 in sizes else []
+    if lengths := [n for n in sizes if n]:
+        tokens = documents.select("doc_id", _word_hashes(F.col("text")).alias("_w"))
+        each = tokens.select("doc_id", F.explode(F.array_distinct(F.concat(*map(_window_keys, lengths)))).alias("_key"))
+        pairs = each.join(gold.filter("_n > 0"), "_key").select("doc_id", "_gold").distinct()
+        found.append(documents.select("doc_id", "text").join(pairs, "doc_id").filter(holds).select("doc_id"))
+    if not found:
         return documents
+    leaking = functools.reduce(DataFrame.union, found)
     return documents.join(leaking.distinct(), "doc_id", "left_anti")

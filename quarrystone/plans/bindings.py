@@ -93,3 +93,47 @@ def registry_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(F.col("p_partkey") % 3 == 0, "github").when(F.col("p_partkey") % 3 == 1, "web").otherwise("kaggle")
     priority = F.when(F.col("p_size") >= 34, "high").when(F.col("p_size") >= 17, "medium").otherwise("low")
     return table(spark, sf_dir, "part").select(F.col("p_name").alias("name"), kind.alias("source_type"), F.col("p_brand").alias("category"), priority.alias("priority"), F.col("p_partkey").alias("position"))
+
+
+def raw_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of ``raw_pages`` as window responses: sources that are missing or hold empty values, times of a page here and there."""
+    doc = F.col("doc_id").cast("string")
+    page = F.struct(
+        "page_number", F.lit(None).cast("string").alias("image_sha256"), "text", F.when(F.col("doc_id") % 4 == 0, F.create_map(F.lit("total"), F.col("position").cast("bigint"))).alias("timing_ms"),
+        F.lit(None).cast("map<string,string>").alias("usage"), F.lit(None).cast("map<string,string>").alias("throughput"),
+    )
+    # A file's pages: bounded by the window.
+    files = raw_pages(spark, sf_dir).groupBy("doc_id", "raw_file").agg(F.sort_array(F.collect_list(F.struct("position", "page_number", "text"))).alias("rows"))
+    flat = files.select("doc_id", "raw_file", F.posexplode("rows").alias("at", "row")).select("doc_id", "raw_file", "row.*")
+    pages = flat.groupBy("doc_id", "raw_file").agg(F.collect_list(F.struct("position", page.alias("page"))).alias("pages"))
+    ordered = F.transform(F.array_sort("pages", lambda x, y: x["position"] - y["position"]), lambda x: x["page"])
+    source = F.struct(F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("f"), doc)).otherwise("").alias("filename"), F.lit(None).cast("string").alias("sha256"), F.lit(0).alias("page_count"), F.lit(None).cast("array<int>").alias("selected_pages"))
+    return pages.select(
+        F.concat(F.lit("d"), doc).alias("pdf_dir"), F.concat(F.lit("/raw/d"), doc, F.lit("/"), F.col("raw_file")).alias("raw_file"), doc.alias("id"), F.lit("m").alias("model"),
+        F.when(F.col("doc_id") % 2 == 0, "m-1").otherwise("").alias("model_id"), F.lit("b").alias("backend"), F.lit(None).cast("string").alias("endpoint_version"), F.when(F.col("doc_id") % 3 != 0, source).alias("source"),
+        F.lit(None).cast("map<string,string>").alias("settings"), F.when(F.col("doc_id") % 5 == 0, F.create_map(F.lit("total"), F.lit(7).cast("bigint"))).alias("timing_ms"), F.lit(None).cast("array<string>").alias("warnings"), ordered.alias("pages"),
+    )
+
+
+def manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    doc = F.col("doc_id").cast("string")
+    name = F.concat(F.lit("doc_"), doc, F.lit(".pdf"))
+    return files(spark, sf_dir).select(F.concat(F.lit("d"), doc).alias("pdf_dir"), F.concat(F.lit("p"), doc).alias("pdf_id"), "rel_path", F.concat(F.lit("/audits/"), F.col("rel_path")).alias("abs_path"), name.alias("filename"), F.lit("b").alias("bucket"), "page_count", F.sha2("rel_path", 256).alias("sha256"))
+
+
+def site_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages' links with addresses as audit and news sites have them, in blocks of three with headings; some without a title."""
+    at = F.col("pos")
+    href = (
+        F.when(at % 6 == 0, F.concat(F.lit("/reports/r"), (at % 4).cast("string")))
+        .when(at % 6 == 1, F.concat(F.lit("/contests/c"), at.cast("string")))
+        .when(at % 6 == 2, F.lit("/contests/"))
+        .when(at % 6 == 3, F.concat(F.lit("/c/"), at.cast("string")))
+        .when(at % 6 == 4, F.concat(F.lit("/bug-bounty/b"), (at % 3).cast("string")))
+        .otherwise(F.concat(F.lit("/docs/page"), at.cast("string"), F.lit(".PDF")))
+    )
+    heading = F.when(at % 4 != 0, F.concat(F.lit("Heading "), at.cast("string")))
+    return links(spark, sf_dir).select(
+        "page_url", "pos", href.alias("href"), F.when(at % 5 != 0, F.col("text")).otherwise("").alias("text"), F.when(at % 7 != 6, F.floor(at / 3)).alias("block"),
+        heading.alias("heading"), F.lit(None).cast("string").alias("heading_class"), F.when(at % 3 == 0, "h1").when(at % 3 == 1, "h2").alias("under"),
+    )

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrystone.functions import html, scalars
-from quarrystone.functions.content import render_messages
+from quarrystone.functions.content import content_text, render_messages
 from quarrystone.operators import inventory, links, metrics, ocr, ordering, runs, training
 from quarrystone.plans import bindings as b
+from quarrystone.sources import files as file_sources
 from quarrystone.sources import registry, sinks
 from quarrystone.streaming import progress
 
@@ -149,7 +150,7 @@ def q_status_counts(s, d):
 
 @query
 def q_progress(s, d):
-    return ocr.progress(b.progress_events(s, d), 5000)
+    return ocr.progress(b.progress_events(s, d), 5000, ["ts", "event_id"])
 
 
 @query
@@ -469,7 +470,7 @@ def q_pagination_chain(s, d):
     pages = b.table(s, d, "pages").select("page_id", "url")
     nexts = pages.select(((F.col("page_id") + 200) % 250).alias("page_id"), F.col("url").alias("next_url"))
     edges = pages.join(nexts, "page_id").select("url", "next_url")
-    return links.follow_next(edges, pages.filter("page_id % 25 = 0").select("url"), 6)
+    return links.follow_next(edges, pages.select("url"), 6)
 
 
 @query
@@ -485,7 +486,7 @@ def q_severity_counts(s, d):
 
 @query
 def q_inverted_index(s, d):
-    return runs.inverted_index(b.table(s, d, "benchmark").select(F.col("item_id").alias("doc_id"), "text"))
+    return runs.inverted_index(b.table(s, d, "documents").select("doc_id", "text"))
 
 
 @query
@@ -510,3 +511,215 @@ def q_stream_status_counts(s, d):
     status = F.when(kind == "view", "skipped_existing").when(kind == "error", "error").when(kind == "signup", "partial_error").otherwise("ok")
     name = f"quarry_status_{uuid.uuid4().hex}"
     return progress.run_to_table(progress.running_counts(events.select(status.alias("status"))), name)
+
+
+@query
+def q_page_records(s, d):
+    """Raw responses of windows and their manifests as page rows."""
+    rows = ocr.page_records(b.raw_responses(s, d), b.manifests(s, d), "/raw")
+    return rows.select("pdf_id", "page_number", "source_filename", "source_page_count", "source_pdf_sha256", "ocr_model_version", F.sha2("ocr_text", 256).alias("text_sha256"), F.size("warnings").alias("n_warnings"), "raw_response_ref", F.coalesce(F.element_at("timing_ms", F.lit("total")), F.lit(-1)).alias("total_ms"))
+
+
+@query
+def q_content_text(s, d):
+    """Content values of every kind as text."""
+    text, turn = F.col("text"), F.col("turn") % 5
+    parts = F.array(F.struct(F.col("text").alias("text")), F.struct(F.lit("").alias("text")), F.struct(F.col("role").alias("text")))
+    value = F.when(turn == 0, F.to_json(F.to_variant_object(F.array(text, F.col("role"))))).when(turn == 1, F.to_json(parts)).when(turn == 2, F.lit(None)).when(turn == 3, F.concat(F.lit("["), F.col("turn").cast("string"), F.lit("]"))).otherwise(F.concat(F.lit('"'), F.col("role"), F.lit('"')))
+    return b.table(s, d, "conversations").select("conv_id", "turn", content_text(value).alias("content"))
+
+
+@query
+def q_report_links(s, d):
+    return links.report_links(b.site_links(s, d), _base()).select("page_url", "pos", "url", "title")
+
+
+@query
+def q_contest_links(s, d):
+    return links.contest_links(b.site_links(s, d), _base()).select("page_url", "pos", "url", "title")
+
+
+@query
+def q_contest_links_short(s, d):
+    return links.contest_links(b.site_links(s, d), _base(), with_short=True).select("page_url", "pos", "url", "title")
+
+
+@query
+def q_bounty_links(s, d):
+    return links.bounty_links(b.site_links(s, d), _base()).select("page_url", "pos", "url", "title")
+
+
+@query
+def q_documentation_links(s, d):
+    return links.documentation_links(b.site_links(s, d), _base(), ["^/docs/", "/reports/r[01]"]).select("page_url", "pos", "url", "title")
+
+
+@query
+def q_pdf_links(s, d):
+    return links.pdf_links(b.site_links(s, d), _base()).select("page_url", F.array_join("pdf_links", " ").alias("pdf_links"))
+
+
+@query
+def q_article_links(s, d):
+    return links.article_links(b.site_links(s, d), _base()).select("page_url", "pos", "url", "title")
+
+
+@query
+def q_generic_articles(s, d):
+    return links.generic_articles(b.site_links(s, d), _base()).select("page_url", "pos", "url", "title")
+
+
+@query
+def q_link_details(s, d):
+    found = links.report_links(b.site_links(s, d), _base())
+    pages = found.filter("url LIKE '%0' OR url LIKE '%2'").select("url").distinct().withColumn("content", F.length("url"))
+    return links.with_details(found.select("page_url", "url", "title"), pages, "site", "audits").select("page_url", "url", "source", "category", "listing_title", "content", "error")
+
+
+@query
+def q_set_scores(s, d):
+    sets = b.table(s, d, "lineitem").groupBy("l_orderkey").agg(F.collect_set(F.col("l_partkey") % 7).alias("expected"), F.collect_set(F.col("l_suppkey") % 7).alias("actual"))
+    return metrics.set_scores(sets, "expected", "actual").select("l_orderkey", *(F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")))
+
+
+@query
+def q_simulator_rewards(s, d):
+    """Weighted distance, fidelity and mistake weight of every line."""
+    price = F.col("l_extendedprice")
+    away = scalars.weighted_distance({"price": 0.7, "tax": 0.3}, {"price": scalars.normalized_error(price, price * (1 - F.col("l_discount"))), "tax": F.col("l_tax")})
+    weight = scalars.mistake_weight([(F.col("l_discount") > 0.05, 0.5), (F.col("l_returnflag") == "R", 0.25)])
+    return b.table(s, d, "lineitem").select("l_orderkey", "l_linenumber", F.round(away, 6).alias("distance"), F.round(scalars.fidelity(away, 2.0), 6).alias("fidelity"), weight.alias("weight"))
+
+
+@query
+def q_detection_rewards(s, d):
+    number = F.col("l_linenumber")
+    rows = b.table(s, d, "lineitem").groupBy("l_orderkey").agg(F.collect_set(F.when(F.col("l_quantity") > 20, number)).alias("lines"), F.collect_set(F.when(F.col("l_discount") > 0.04, number)).alias("real"), (F.max("l_returnflag") == "R").alias("correct"), (F.count("*") > 3).alias("validated"))
+    return rows.select("l_orderkey", F.round(scalars.detection_reward(F.col("correct"), F.col("lines"), F.col("real"), F.col("validated")), 6).alias("reward"))
+
+
+@query
+def q_cache_keys(s, d):
+    return b.table(s, d, "customer").select("c_custkey", scalars.cache_key(F.col("c_custkey"), F.col("c_name"), F.col("c_mktsegment")).alias("cache_key"))
+
+
+@query
+def q_admitted(s, d):
+    state = F.when(F.col("doc_id") % 3 == 0, "approved_for_admission").otherwise("needs_review")
+    split = F.when(F.col("doc_id") % 5 == 0, "evaluation").otherwise("train")
+    return metrics.admitted(b.table(s, d, "documents").select("doc_id", state.alias("review_state"), split.alias("split")), ["evaluation"]).select("doc_id", "split")
+
+
+@query
+def q_minimum_quality(s, d):
+    rows = b.table(s, d, "documents").select("doc_id", (F.col("n_chars") > 100).alias("long"), (F.col("lang") == "en").alias("english"), F.when(F.col("doc_id") % 7 != 0, True).alias("checked"))
+    return metrics.minimum_quality(rows, ["long", "english", "checked"]).select("doc_id", "admissible")
+
+
+@query
+def q_scored_matches(s, d):
+    reports = b.table(s, d, "customer").select(F.col("c_custkey").alias("pdf_id"), F.col("c_nationkey").alias("nation"), "c_acctbal")
+    repositories = b.table(s, d, "supplier").select(F.col("s_suppkey").alias("repo_id"), F.col("s_nationkey").alias("nation"), "s_acctbal")
+    evidence = {"rich": F.col("s_acctbal") > 5000, "close": F.abs(F.col("c_acctbal") - F.col("s_acctbal")) < 1000, "even": F.col("repo_id") % 2 == 0}
+    return runs.scored_matches(reports, repositories, "nation", evidence).select("pdf_id", "repo_id", F.round("score", 6).alias("score"), "confidence")
+
+
+@query
+def q_finding_candidates(s, d):
+    findings = b.table(s, d, "lineitem").select(F.col("l_orderkey").alias("pdf_id"), (F.col("l_suppkey") % 3).alias("match_id"), F.col("l_returnflag").alias("severity"))
+    return runs.candidates(findings).select("pdf_id", "match_id", "findings", F.array_join("severities", ",").alias("severities"))
+
+
+@query
+def q_normalized_records(s, d):
+    part = b.table(s, d, "part")
+    rows = part.select(F.col("p_brand").alias("source"), F.concat(F.lit(" swc "), F.col("p_size").cast("string")).alias("swc_id"), F.upper("p_type").alias("severity"), F.concat(F.lit("  "), F.col("p_name")).alias("title"), F.array(F.col("p_size"), F.lit(3), F.lit(3)).alias("line_numbers"), F.lit(" ").alias("description"))
+    return runs.normalized_records(rows).select("id", "source", "type", "swc_id", "cwe_id", "severity", "title", "description", F.array_join("line_numbers", ",").alias("line_numbers"), F.size("tags").alias("n_tags"), "timestamp")
+
+
+@query
+def q_vulnerability_ids(s, d):
+    return runs.vulnerability_records(b.table(s, d, "part"), ["p_name", "p_brand", "p_size"]).select("p_partkey", "id")
+
+
+@query
+def q_category_overlay(s, d):
+    sources = b.registry_sources(s, d).withColumn("url", F.concat(F.lit("https://example.com/"), F.col("position").cast("string")))
+    results = b.table(s, d, "supplier").select(F.concat(F.lit("https://example.com/"), F.col("s_suppkey").cast("string")).alias("url"), F.when(F.col("s_acctbal") > 0, "cloned").otherwise("failed").alias("status"), F.when(F.col("s_acctbal") <= 0, "timed out").alias("error"))
+    return runs.category_overlay(sources, results, "Brand#7", "high").select("name", "url", "status", "error")
+
+
+@query
+def q_window_errors(s, d):
+    start, end, width = F.col("event_id") % 5, F.when(F.col("event_id") % 3 != 0, F.col("user_id") % 7), F.col("event_id") % 4
+    return b.table(s, d, "events").select("event_id", scalars.window_errors(start, end, width).alias("error"))
+
+
+@query
+def q_run_paths(s, d):
+    run = scalars.run_id(F.col("ts"))
+    raw = F.when(F.col("event_id") % 2 == 0, F.lit("/ocr/raw")).otherwise(F.concat(F.lit("/ocr/raw/run_"), F.col("user_id").cast("string"), F.lit("/")))
+    return b.table(s, d, "events").select(
+        "event_id", run.alias("run_id"), *(scalars.run_root("/ocr/", run, kind).alias(kind) for kind in ("plan", "raw", "artifacts")),
+        scalars.artifact_root(raw, F.col("ts")).alias("artifact_root"), scalars.log_file("/ocr", scalars.chunk_id((F.col("event_id") % 40).cast("string"))).alias("log_file"),
+    )
+
+
+@query
+def q_file_functions(s, d):
+    """Kinds, types, names and ids of files with every kind of suffix."""
+    suffix = F.get(F.array(*(F.lit(x) for x in (".sol", ".md", ".json", ".PNG", ".jpg", ".yml", ".pdf", ""))), (F.col("doc_id") % 8).cast("int"))
+    path = F.concat(F.lit("src/"), F.col("source"), F.lit("/f"), F.col("doc_id").cast("string"), suffix)
+    setting = F.when(F.col("doc_id") % 3 == 0, F.lit("your_token")).when(F.col("doc_id") % 3 == 1, F.lit("  ")).otherwise(F.col("source"))
+    return b.table(s, d, "documents").select(
+        "doc_id", scalars.file_kind(path).alias("kind"), scalars.mime_type(path).alias("mime"), scalars.path_ref(path, F.when(F.col("doc_id") % 2 == 0, F.lit("src/")).otherwise(F.lit("sr"))).alias("ref"),
+        scalars.dataset_directory(F.concat(F.col("source"), F.lit("/a:b/"), F.col("doc_id").cast("string"))).alias("directory"), scalars.stable_pdf_id(F.sha2(path, 256)).alias("stable_id"),
+        scalars.base_url(F.concat(path, F.lit("//"))).alias("base_url"), scalars.placeholder_null(setting).alias("setting"), scalars.owner_repo(F.concat(F.lit("https://example.com/"), F.col("source"), F.lit("/r"), F.col("doc_id").cast("string"), F.lit(".git/"))).alias("repository"),
+    )
+
+
+@query
+def q_matching_files(s, d):
+    return file_sources.matching_any(b.files(s, d), ["PublicReports/*/doc_1*.pdf", "misc/?*7.pdf"], "rel_path").select("rel_path")
+
+
+@query
+def q_dataset_listing(s, d):
+    line = F.concat(F.lit("  "), F.when(F.col("p_partkey") % 10 == 0, F.lit("ref")).otherwise(F.concat(F.lit("owner/"), F.col("p_partkey").cast("string"))), F.lit("   some title"))
+    return file_sources.dataset_listing(b.table(s, d, "part").select(line.alias("value")))
+
+
+@query
+def q_merged_totals(s, d):
+    one, two = F.create_map(F.lit("a"), F.col("o_custkey"), F.lit("b"), F.lit(1).cast("long")), F.when(F.col("o_orderkey") % 2 == 0, F.create_map(F.lit("b"), F.col("o_orderkey")))
+    merged = ocr.merged_totals(one, two)
+    return b.table(s, d, "orders").select("o_orderkey", F.element_at(merged, F.lit("a")).alias("a"), F.element_at(merged, F.lit("b")).alias("b"))
+
+
+@query
+def q_checksum_mismatches(s, d):
+    docs = b.table(s, d, "documents")
+    own = F.sha2("text", 256)
+    pages = docs.select(F.col("doc_id").alias("pdf_id"), F.when(F.col("doc_id") % 9 == 0, F.sha2(F.lit("other"), 256)).when(F.col("doc_id") % 9 != 1, own).alias("source_pdf_sha256"))
+    return ocr.checksum_mismatches(pages, docs.select(F.col("doc_id").alias("pdf_id"), own.alias("sha256"))).select("pdf_id")
+
+
+@query
+def q_phase_summary(s, d):
+    rows = runs.phase_summary([b.table(s, d, "nation").select(F.lit("nation").alias("phase"), F.col("n_name").alias("name")), b.table(s, d, "supplier").select(F.lit("supplier").alias("phase"), "s_acctbal"), b.table(s, d, "region").select(F.lit("region").alias("phase"))])
+    return rows.groupBy("phase").agg(F.count("*").alias("n"), F.count("name").alias("names"), F.count("s_acctbal").alias("balances"))
+
+
+@query
+def q_dataset_card(s, d):
+    files = b.files(s, d).select(F.col("rel_path").alias("path"), "size_bytes", F.lit("/audits").alias("source_root"))
+    return sinks.dataset_card(files, "Audits", "All reports.", "/audits", at="2024-05-06 07:08:09").select("file_count", "total_size", "card")
+
+
+@query
+def q_stream_sliding_calls(s, d):
+    """Calls in sliding windows over event files as a stream; its final table."""
+    events = s.readStream.schema(b.table(s, d, "events").schema).format("parquet").load(f"{d}/events.parquet*")
+    calls = progress.sliding_calls(events.withColumn("at", F.col("ts").cast("timestamp")), "at", "event_type", "1 hour", "30 minutes")
+    counts = calls.select("event_type", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("start"), "calls")
+    return progress.run_to_table(counts, f"quarry_calls_{uuid.uuid4().hex}")

@@ -54,6 +54,14 @@ resolved AS (
     regexp_replace(text, '^\s+|\s+$', '', 'g') AS title
   FROM links WHERE href <> '' AND NOT starts_with(href, '#') AND NOT starts_with(lower(href), 'mailto:') AND NOT starts_with(lower(href), 'javascript:'))"""
 
+SITE = LINKS + r""",
+site AS (
+  SELECT page_url, pos, base, CASE pos % 6 WHEN 0 THEN '/reports/r' || pos % 4 WHEN 1 THEN '/contests/c' || pos WHEN 2 THEN '/contests/' WHEN 3 THEN '/c/' || pos
+      WHEN 4 THEN '/bug-bounty/b' || pos % 3 ELSE '/docs/page' || pos || '.PDF' END AS href,
+    CASE WHEN pos % 5 <> 0 THEN text ELSE '' END AS text, CASE WHEN pos % 7 <> 6 THEN pos // 3 END AS block, CASE WHEN pos % 4 <> 0 THEN 'Heading ' || pos END AS heading,
+    CASE pos % 3 WHEN 0 THEN 'h1' WHEN 1 THEN 'h2' END AS under FROM links),
+here AS (SELECT *, base || href AS url, regexp_replace(text, '^\s+|\s+$', '', 'g') AS title FROM site)"""
+
 PRED = """pred AS (
   SELECT doc_id, lang, source, quality, toxic, ((doc_id * 7919) % 1000) / 1000.0::DOUBLE AS score FROM labels JOIN documents USING (doc_id))"""
 
@@ -115,7 +123,7 @@ ORACLES: dict[str, str] = {
     "sample_summary": f"""WITH {EVENTS}, r AS (SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN client_elapsed_ms + 10 ELSE client_elapsed_ms END / 1000.0::DOUBLE / greatest(1, event_id % 2 * 3) AS per, rel_path FROM e)
       SELECT event_id, round(per, 3) AS seconds_per_page, round(per * 40, 3) AS estimated_full_seconds, left(rel_path, 500) AS text_preview FROM r""",
     "status_counts": f"WITH {EVENTS} SELECT chunk_id, status, count(*) AS n FROM e GROUP BY 1, 2",
-    "progress": f"WITH {EVENTS} SELECT least(count(*) FILTER (WHERE status IN ('ok', 'skipped_existing')), 5000) AS completed, arg_max(rel_path, ts) AS last_label FROM e",
+    "progress": f"WITH {EVENTS} SELECT least(count(*) FILTER (WHERE status IN ('ok', 'skipped_existing')), 5000) AS completed, last(rel_path ORDER BY ts, event_id) AS last_label FROM e",
     "pdf_status": f"""WITH {EVENTS} SELECT chunk_id, pdf_id, CASE WHEN count(*) FILTER (WHERE status = 'error') > 0 THEN 'partial_error' ELSE 'ok' END AS status, count(*) AS window_count,
       count(*) FILTER (WHERE status = 'ok') AS completed_windows, count(*) FILTER (WHERE status = 'skipped_existing') AS skipped_existing_windows, count(*) FILTER (WHERE status = 'error') AS error_count,
       coalesce(sum(text_length) FILTER (WHERE status = 'ok'), 0)::BIGINT AS total_text_length, coalesce(sum(client_elapsed_ms) FILTER (WHERE status = 'ok'), 0)::BIGINT AS total_client_elapsed_ms FROM e GROUP BY 1, 2""",
@@ -207,17 +215,86 @@ ORACLES: dict[str, str] = {
     "link_hosts": f"WITH {LINKS}, h AS (SELECT regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host, regexp_extract(base, '^[a-z]+://([^/?#]*)', 1) AS own FROM resolved) SELECT host, host = own AS same, count(*) AS n FROM h GROUP BY 1, 2",
     "offset_limit": "SELECT doc_id, n_chars FROM documents ORDER BY doc_id LIMIT 20 OFFSET 30",
     "pagination_chain": """WITH RECURSIVE edges AS (SELECT a.url, b.url AS next_url FROM pages a JOIN pages b ON a.page_id = (b.page_id + 200) % 250),
-      c AS (SELECT url AS start, url, 1 AS step, [url] AS seen FROM pages WHERE page_id % 25 = 0
+      c AS (SELECT url AS start, url, 1 AS step, [url] AS seen FROM pages
         UNION ALL SELECT start, next_url, step + 1, list_append(seen, next_url) FROM c JOIN edges USING (url) WHERE step < 6 AND NOT list_contains(seen, next_url))
       SELECT start, url, step FROM c""",
     "pagination_template": "SELECT 'https://example.com/list?page=' || i AS url, i AS page FROM range(1, 13) t(i)",
-    "severity_counts": r"""WITH t AS (SELECT doc_id, unnest(regexp_extract_all('H-0' || doc_id % 7 || ' then M-1 and ' || left(text, 40), '\b([HMLQG])-\d{1,3}\b', 1)) AS severity FROM documents)
+    "severity_counts": r"""WITH t AS (SELECT doc_id, unnest(regexp_extract_all('H-0' || doc_id % 7 || ' then M-1 and ' || text, '\b([HMLQG])-\d{1,3}\b', 1)) AS severity FROM documents)
       SELECT doc_id, severity, count(*) AS n FROM t GROUP BY 1, 2""",
-    "inverted_index": r"""WITH t AS (SELECT item_id, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) AS term FROM benchmark)
-      SELECT term, count(DISTINCT item_id) AS documents, count(*) AS occurrences FROM t WHERE term <> '' GROUP BY 1""",
+    "inverted_index": r"""WITH t AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) AS term FROM documents)
+      SELECT term, count(DISTINCT doc_id) AS documents, count(*) AS occurrences FROM t WHERE term <> '' GROUP BY 1""",
     "evidence_pages": f"""WITH {FILES}, {PAGES}, f AS (SELECT doc_id AS pdf_id, unnest([1, page_count]) AS page_number FROM files WHERE page_count > 1)
       SELECT pdf_id, count(*) AS pages, sum(length(text))::BIGINT AS chars FROM f JOIN store ON pdf_id = doc_id AND f.page_number = store.page_number GROUP BY 1""",
     "distances": """WITH x AS (SELECT l_returnflag, l_extendedprice AS a, l_extendedprice * (1 - l_discount) AS b FROM lineitem)
       SELECT l_returnflag, round(avg(least(1.0, abs(a - b) / greatest(1.0, abs(a)))), 8) AS error, round(avg(abs(a - b) / greatest(1.0, abs(a))), 8) AS relative, count(*) FILTER (WHERE sign(a) = sign(b)) AS same_sign FROM x GROUP BY 1""",
     "stream_status_counts": f"WITH {EVENTS} SELECT status, count(*) AS n FROM e GROUP BY 1",
+    "page_records": f"""WITH {FILES}, {PAGES} SELECT 'p' || s.doc_id AS pdf_id, page_number, CASE WHEN s.doc_id % 3 <> 0 AND s.doc_id % 2 = 0 THEN 'f' || s.doc_id ELSE 'doc_' || s.doc_id || '.pdf' END AS source_filename,
+      page_count AS source_page_count, sha256(rel_path) AS source_pdf_sha256, CASE WHEN s.doc_id % 2 = 0 THEN 'm-1' ELSE 'm' END AS ocr_model_version, sha256(coalesce(text, '')) AS text_sha256, 0 AS n_warnings,
+      'd' || s.doc_id || '/' || raw_file AS raw_response_ref, (CASE WHEN s.doc_id % 4 = 0 THEN position WHEN s.doc_id % 5 = 0 THEN 7 ELSE -1 END)::BIGINT AS total_ms FROM store s JOIN files f ON s.doc_id = f.doc_id""",
+    "content_text": """SELECT conv_id, turn, CASE turn % 5 WHEN 0 THEN CASE WHEN text = '' THEN role ELSE text || chr(10) || role END WHEN 1 THEN CASE WHEN text = '' THEN role ELSE text || chr(10) || role END
+      WHEN 2 THEN '' WHEN 3 THEN turn::VARCHAR ELSE role END AS content FROM conversations""",
+    "report_links": f"""WITH {SITE}, r AS (SELECT *, row_number() OVER (PARTITION BY page_url, url ORDER BY pos) AS turn FROM here WHERE title <> '' AND starts_with(href, '/reports/'))
+      SELECT page_url, pos, url, title FROM r WHERE turn = 1""",
+    "contest_links": f"""WITH {SITE}, r AS (SELECT *, row_number() OVER (PARTITION BY page_url, url ORDER BY pos) AS turn FROM here WHERE length(title) >= 3 AND starts_with(href, '/contests/') AND href <> '/contests/')
+      SELECT page_url, pos, url, title FROM r WHERE turn = 1""",
+    "contest_links_short": f"""WITH {SITE}, r AS (SELECT *, row_number() OVER (PARTITION BY page_url, url ORDER BY pos) AS turn FROM here WHERE length(title) >= 3 AND (starts_with(href, '/contests/c') OR starts_with(href, '/c/')))
+      SELECT page_url, pos, url, title FROM r WHERE turn = 1""",
+    "bounty_links": f"""WITH {SITE}, n AS (SELECT page_url, pos, url, regexp_replace(CASE WHEN length(title) < 2 THEN coalesce(heading, '') ELSE text END, '^\\s+|\\s+$', '', 'g') AS title FROM here WHERE starts_with(href, '/bug-bounty/')),
+      r AS (SELECT *, row_number() OVER (PARTITION BY page_url, url ORDER BY pos) AS turn FROM n) SELECT page_url, pos, url, title FROM r WHERE turn = 1 AND length(title) >= 3""",
+    "documentation_links": f"""WITH {SITE}, r AS (SELECT *, row_number() OVER (PARTITION BY page_url, url ORDER BY pos) AS turn FROM here WHERE title <> '' AND (starts_with(href, '/docs/') OR href IN ('/reports/r0', '/reports/r1')))
+      SELECT page_url, pos, url, title FROM r WHERE turn = 1""",
+    "pdf_links": f"WITH {SITE} SELECT page_url, string_agg(DISTINCT url, ' ' ORDER BY url) AS pdf_links FROM here WHERE ends_with(href, '.PDF') GROUP BY 1",
+    "article_links": f"""WITH {SITE}, one AS (SELECT page_url, pos, url, coalesce(nullif(heading, ''), title) AS title, row_number() OVER (PARTITION BY page_url, block ORDER BY pos) AS turn FROM here WHERE block IS NOT NULL),
+      kept AS (SELECT page_url, pos, url, title FROM (SELECT *, row_number() OVER (PARTITION BY page_url, url ORDER BY pos) AS place FROM one WHERE turn = 1 AND length(title) >= 4) WHERE place = 1),
+      plain AS (SELECT page_url, pos, url, title FROM (SELECT *, row_number() OVER (PARTITION BY page_url, url ORDER BY pos) AS turn FROM here) WHERE turn = 1 AND length(title) >= 4)
+      SELECT * FROM kept UNION ALL SELECT * FROM plain WHERE page_url NOT IN (SELECT page_url FROM kept)""",
+    "generic_articles": f"""WITH {SITE}, k AS (SELECT *, CASE WHEN block IS NOT NULL AND under = 'h2' THEN 0 WHEN block IS NOT NULL AND under = 'h1' THEN 1 WHEN under IS NOT NULL THEN 2 WHEN block IS NOT NULL THEN 3 END AS rank FROM here WHERE length(title) >= 3),
+      r AS (SELECT *, row_number() OVER (PARTITION BY page_url, href ORDER BY rank, pos) AS turn FROM k WHERE rank IS NOT NULL) SELECT page_url, pos, url, title FROM r WHERE turn = 1""",
+    "link_details": f"""WITH {SITE}, r AS (SELECT *, row_number() OVER (PARTITION BY page_url, url ORDER BY pos) AS turn FROM here WHERE title <> '' AND starts_with(href, '/reports/'))
+      SELECT page_url, url, 'site' AS source, 'audits' AS category, title AS listing_title, CASE WHEN right(url, 1) IN ('0', '2') THEN length(url)::INT END AS content,
+        CASE WHEN right(url, 1) NOT IN ('0', '2') THEN 'detail page missing' END AS error FROM r WHERE turn = 1""",
+    "set_scores": """WITH s AS (SELECT l_orderkey, list(DISTINCT l_partkey % 7) AS e, list(DISTINCT l_suppkey % 7) AS a FROM lineitem GROUP BY 1),
+      p AS (SELECT l_orderkey, len(list_intersect(e, a)) / greatest(1, len(a))::DOUBLE AS p, len(list_intersect(e, a)) / greatest(1, len(e))::DOUBLE AS r FROM s)
+      SELECT l_orderkey, round(p, 6) AS precision, round(r, 6) AS recall, round(2 * p * r / greatest(1e-9, p + r), 6) AS f1 FROM p""",
+    "simulator_rewards": """WITH x AS (SELECT *, 0.7::DOUBLE * least(1.0::DOUBLE, abs(l_extendedprice - l_extendedprice * (1 - l_discount)) / greatest(1.0::DOUBLE, abs(l_extendedprice))) + 0.3::DOUBLE * l_tax AS away FROM lineitem)
+      SELECT l_orderkey, l_linenumber, round(away, 6) AS distance, round(1 - away / 2.0::DOUBLE, 6) AS fidelity,
+        1.0::DOUBLE + CASE WHEN l_discount > 0.05::DOUBLE THEN 0.5 ELSE 0 END + CASE WHEN l_returnflag = 'R' THEN 0.25 ELSE 0 END AS weight FROM x""",
+    "detection_rewards": """WITH s AS (SELECT l_orderkey, coalesce(list(DISTINCT l_linenumber) FILTER (WHERE l_quantity > 20), []) AS a, coalesce(list(DISTINCT l_linenumber) FILTER (WHERE l_discount > 0.04::DOUBLE), []) AS b,
+        max(l_returnflag) = 'R' AS correct, count(*) > 3 AS validated FROM lineitem GROUP BY 1),
+      r AS (SELECT *, CASE WHEN correct THEN 1.0::DOUBLE ELSE -1 END + CASE WHEN len(a) + len(b) = 0 THEN 0 ELSE len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b)))::DOUBLE END AS base FROM s)
+      SELECT l_orderkey, round(CASE WHEN validated THEN (base + 0.5) / 3 ELSE base / 2 END, 6) AS reward FROM r""",
+    "cache_keys": "SELECT c_custkey, sha256(length(c_custkey::VARCHAR) || ':' || c_custkey || '|' || length(c_name) || ':' || c_name || '|' || length(c_mktsegment) || ':' || c_mktsegment) AS cache_key FROM customer",
+    "admitted": "SELECT doc_id, 'train' AS split FROM documents WHERE doc_id % 3 = 0 AND doc_id % 5 <> 0",
+    "minimum_quality": "SELECT doc_id, coalesce(n_chars > 100, false) AND coalesce(lang = 'en', false) AND doc_id % 7 <> 0 AS admissible FROM documents",
+    "scored_matches": """WITH m AS (SELECT c_custkey AS pdf_id, s_suppkey AS repo_id, (s_acctbal > 5000)::INT + (abs(c_acctbal - s_acctbal) < 1000)::INT + (s_suppkey % 2 = 0)::INT AS n FROM customer JOIN supplier ON c_nationkey = s_nationkey),
+      r AS (SELECT *, row_number() OVER (PARTITION BY pdf_id ORDER BY n DESC, repo_id) AS turn FROM m)
+      SELECT pdf_id, repo_id, round(n / 3.0::DOUBLE, 6) AS score, CASE n WHEN 3 THEN 'exact' WHEN 2 THEN 'probable' ELSE 'weak' END AS confidence FROM r WHERE turn = 1""",
+    "finding_candidates": "SELECT l_orderkey AS pdf_id, l_suppkey % 3 AS match_id, count(*) AS findings, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS severities FROM lineitem GROUP BY 1, 2",
+    "normalized_records": """WITH r AS (SELECT p_brand AS source, 'vulnerability' AS type, 'SWC-' || p_size AS swc_id, NULL::VARCHAR AS cwe_id, lower(upper(p_type)) AS severity, trim(p_name) AS title, NULL::VARCHAR AS description,
+        CASE WHEN p_size = 3 THEN '3' WHEN p_size < 3 THEN p_size || ',3' ELSE '3,' || p_size END AS line_numbers, 0 AS n_tags, NULL::VARCHAR AS timestamp FROM part)
+      SELECT sha256(source || chr(31) || type || chr(31) || swc_id || chr(31) || chr(31) || severity || chr(31) || title || chr(31) || chr(31) || chr(31) || chr(31) || line_numbers || chr(31) || chr(31)) AS id, * FROM r""",
+    "vulnerability_ids": "SELECT p_partkey, sha256(p_name || chr(31) || p_brand || chr(31) || p_size) AS id FROM part",
+    "category_overlay": f"""WITH {PARTS}, c AS (SELECT 'https://example.com/' || s_suppkey AS url, CASE WHEN s_acctbal > 0 THEN 'cloned' ELSE 'failed' END AS status, CASE WHEN s_acctbal <= 0 THEN 'timed out' END AS error FROM supplier)
+      SELECT name, 'https://example.com/' || position AS url, status, error FROM parts LEFT JOIN c ON c.url = 'https://example.com/' || position WHERE category = 'Brand#7' AND priority = 'high'""",
+    "window_errors": """SELECT event_id, CASE WHEN event_id % 5 <= 0 THEN 'page start must be positive' WHEN event_id % 3 <> 0 AND user_id % 7 < event_id % 5 THEN 'page end lies before page start'
+      WHEN event_id % 4 <= 0 THEN 'window size must be positive' END AS error FROM events""",
+    "run_paths": """WITH r AS (SELECT event_id, user_id, strftime(ts, '%Y%m%dT%H%M%SZ') AS stamp FROM events)
+      SELECT event_id, 'chunk_plan_' || stamp AS run_id, '/ocr/chunk_plan_' || stamp AS plan, '/ocr/raw/chunk_plan_' || stamp AS raw, '/ocr/artifacts/chunk_plan_' || stamp AS artifacts,
+        CASE WHEN event_id % 2 = 0 THEN '/ocr/artifacts/materialized_' || stamp ELSE '/ocr/artifacts/run_' || user_id END AS artifact_root, '/ocr/logs/ocr_modal_run_' || printf('chunk_%04d', event_id % 40) || '.log' AS log_file FROM r""",
+    "file_functions": """WITH f AS (SELECT doc_id, source, 'src/' || source || '/f' || doc_id || (['.sol', '.md', '.json', '.PNG', '.jpg', '.yml', '.pdf', ''])[doc_id % 8 + 1] AS path FROM documents)
+      SELECT doc_id, (['solidity', 'document', 'data', 'image', 'image', 'data', 'document', 'other'])[doc_id % 8 + 1] AS kind,
+        (['application/octet-stream', 'application/octet-stream', 'application/octet-stream', 'image/png', 'image/jpeg', 'application/octet-stream', 'application/pdf', 'application/octet-stream'])[doc_id % 8 + 1] AS mime,
+        CASE WHEN doc_id % 2 = 0 THEN substr(path, 5) ELSE path END AS ref, source || '_a_b_' || doc_id AS directory, 'pdf_' || left(sha256(path), 16) AS stable_id, path AS base_url,
+        CASE WHEN doc_id % 3 = 2 THEN source END AS setting, source || '/r' || doc_id AS repository FROM f""",
+    "matching_files": f"WITH {FILES} SELECT rel_path FROM files WHERE regexp_full_match(rel_path, 'PublicReports/.*/doc_1.*[.]pdf') OR regexp_full_match(rel_path, 'misc/..*7[.]pdf')",
+    "dataset_listing": "SELECT 'owner/' || p_partkey AS dataset_id FROM part WHERE p_partkey % 10 <> 0",
+    "merged_totals": "SELECT o_orderkey, o_custkey AS a, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey ELSE 1 END AS b FROM orders",
+    "checksum_mismatches": "SELECT doc_id AS pdf_id FROM documents WHERE doc_id % 9 IN (0, 1)",
+    "phase_summary": """SELECT 'nation' AS phase, count(*) AS n, count(n_name) AS names, 0 AS balances FROM nation UNION ALL SELECT 'supplier', count(*), 0, count(s_acctbal) FROM supplier UNION ALL SELECT 'region', count(*), 0, 0 FROM region""",
+    "dataset_card": f"""WITH {FILES}, t AS (SELECT count(*) AS file_count, sum(size_bytes)::BIGINT AS total FROM files), u AS (SELECT file_count, {SIZE.format('total')} AS total_size FROM t)
+      SELECT file_count, total_size, array_to_string(['---', 'license: other', 'tags:', '- smart-contracts', '- security', '- audits', '- vulnerability-detection', '---', '', '# Audits', '', 'All reports.', '', '## Contents', '',
+        '- Files: ' || file_count, '- Total size: ' || total_size, '- Local source root: `/audits`', '- Upload include pattern: `**/*.pdf`', '- Manifest: `manifest.csv`', '- Generated: 2024-05-06 07:08:09 UTC', '', '## Notes', '',
+        'This dataset card was generated from the local crawler output. Confirm licensing and redistribution terms for the original sources before making the dataset public.', ''], chr(10)) AS card FROM u""",
+    "stream_sliding_calls": """WITH w AS (SELECT event_type, time_bucket(INTERVAL 30 MINUTE, ts) - h * INTERVAL 30 MINUTE AS start FROM events, (VALUES (0), (1)) v(h))
+      SELECT event_type, strftime(start, '%Y-%m-%d %H:%M:%S') AS start, count(*) AS calls FROM w GROUP BY 1, 2""",
 }

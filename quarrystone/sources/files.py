@@ -17,6 +17,15 @@ def list_files(spark: SparkSession, root: str, suffix: str = "pdf", any_case: bo
     return files.select("path", rel.alias("rel_path"), F.element_at(F.split("path", "/"), -1).alias("filename"), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"))
 
 
+def file_hashes(spark: SparkSession, root: str, suffix: str = "*") -> DataFrame:
+    """(path, size_bytes, sha256, md5) of the files below ``root``, each read once by one task, which holds it whole.
+
+    The reader refuses files beyond 2 GB by name rather than cutting them.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", suffix).option("recursiveFileLookup", True).load(root)
+    return files.select("path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"), F.md5("content").alias("md5"))
+
+
 def file_manifest(spark: SparkSession, roots: list[str], suffix: str = "pdf") -> DataFrame:
     """(path, size_bytes, source_root) of all roots, ordered by root and path text."""
     out = None

@@ -1,25 +1,49 @@
-"""Sinks: atomic directories by Spark's commit protocol, small documents as one-row frames."""
+"""Sinks: directories written aside and renamed, small documents as one-row frames."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quarrystone.functions import scalars
 
 
+def replace_directory(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Let ``write`` fill a folder beside ``path`` and put it in its place: a job that fails leaves the old one as it was."""
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    aside, before = (files.Path(f"{path.rstrip('/')}.{word}-{uuid.uuid4().hex[:12]}") for word in ("new", "old"))
+    target = files.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        write(aside.toString())
+        there = system.exists(target)
+        if there and not system.rename(target, before):
+            raise OSError(f"can't move {path} aside")
+        if not system.rename(aside, target):
+            if there:
+                system.rename(before, target)
+            raise OSError(f"can't put {path} in place")
+        if there:
+            system.delete(before, True)
+    finally:
+        system.delete(aside, True)
+
+
 def write_jsonl(rows: DataFrame, path: str, partition_by: str | None = None, keep_nulls: bool = False) -> int:
-    """Rows as JSON lines with sorted keys; the number written. Replaces ``path`` in one commit."""
+    """Rows as JSON lines with sorted keys; the number written. Replaces ``path`` once all is written."""
     seen = Observation()
     ordered = rows.select(*sorted(rows.columns)).observe(seen, F.count("*").alias("n"))
-    writer = ordered.write.mode("overwrite").option("ignoreNullFields", not keep_nulls)
-    (writer.partitionBy(partition_by) if partition_by else writer).json(path)
+    writer = ordered.write.option("ignoreNullFields", not keep_nulls)
+    replace_directory(rows.sparkSession, path, (writer.partitionBy(partition_by) if partition_by else writer).json)
     return seen.get["n"]
 
 
 def write_document(row: DataFrame, path: str) -> None:
     """A one-row frame as one JSON document."""
-    row.select(*sorted(row.columns)).coalesce(1).write.mode("overwrite").json(path)
+    replace_directory(row.sparkSession, path, row.select(*sorted(row.columns)).coalesce(1).write.json)
 
 
 def append_events(events: DataFrame, path: str) -> None:
@@ -28,13 +52,25 @@ def append_events(events: DataFrame, path: str) -> None:
 
 def write_manifest(files: DataFrame, path: str) -> None:
     """The CSV manifest: path, size_bytes, source_root."""
-    files.select("path", "size_bytes", "source_root").write.mode("overwrite").option("header", True).csv(path)
+    replace_directory(files.sparkSession, path, files.select("path", "size_bytes", "source_root").write.option("header", True).csv)
+
+
+# The front matter and the closing note of a dataset card.
+CARD_LICENSE = "other"
+CARD_TAGS = ("smart-contracts", "security", "audits", "vulnerability-detection")
+CARD_NOTE = "This dataset card was generated from the local crawler output. Confirm licensing and redistribution terms for the original sources before making the dataset public."
 
 
-def dataset_card(files: DataFrame) -> DataFrame:
-    """(file_count, total_size, pattern) of a manifest."""
+def dataset_card(files: DataFrame, title: str = "", description: str = "", source_root: str = "", pattern: str = "**/*.pdf", at: str | None = None) -> DataFrame:
+    """One row (file_count, total_size, pattern, card) of a manifest; ``card`` is the Markdown document."""
     total = F.coalesce(F.sum("size_bytes"), F.lit(0))
-    return files.agg(F.count("*").alias("file_count"), scalars.human_size(total).alias("total_size"), F.lit("**/*.pdf").alias("pattern"))
+    made = F.date_format(F.lit(at).cast("timestamp") if at else F.current_timestamp(), "yyyy-MM-dd HH:mm:ss 'UTC'")
+    facts = {"Files": F.col("file_count").cast("string"), "Total size": F.col("total_size"), "Local source root": F.lit(f"`{source_root}`"), "Upload include pattern": F.lit(f"`{pattern}`"), "Manifest": F.lit("`manifest.csv`"), "Generated": made}
+    front = "\n".join(["---", f"license: {CARD_LICENSE}", "tags:", *(f"- {t}" for t in CARD_TAGS), "---"])
+    contents = F.concat_ws("\n", *(F.concat(F.lit(f"- {name}: "), value) for name, value in facts.items()))
+    card = F.concat_ws("\n\n", F.lit(front), F.lit(f"# {title}"), F.lit(description), F.lit("## Contents"), contents, F.lit("## Notes"), F.lit(CARD_NOTE + "\n"))
+    counted = files.agg(F.count("*").alias("file_count"), scalars.human_size(total).alias("total_size"), F.lit(pattern).alias("pattern"))
+    return counted.withColumn("card", card)
 
 
 def envelope(items: DataFrame, source: str = "source") -> DataFrame:

@@ -25,18 +25,19 @@ def sliding_calls(events: DataFrame, time: str, service: str, period: str = "60
     return events.withWatermark(time, late).groupBy(service, F.window(time, period, slide)).agg(F.count("*").alias("calls"))
 
 
-def land_once(events: DataFrame, path: str, checkpoint: str, keys: list[str]) -> StreamingQuery:
-    """Append every key once: a batch that runs again, or repeats a key already landed, adds nothing."""
+def land_once(events: DataFrame, path: str, checkpoint: str, keys: list[str], time: str | None = None, late: str = "10 minutes") -> StreamingQuery:
+    """Land every key once, in folders ``batch=<number>``.
+
+    Keys that were seen are the stream's own state, so no batch reads what has landed; the state is dropped ``late`` behind
+    the watermark of ``time``, and kept for ever without one. A batch replaces its own folder, so one that runs again, or was
+    cut off half-way, adds nothing.
+    """
+    once = events.withWatermark(time, late).dropDuplicatesWithinWatermark(keys) if time else events.dropDuplicates(keys)
 
     def land(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        first = batch.dropDuplicates(keys)
-        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        if where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
-            first = first.join(spark.read.schema(batch.schema).parquet(path).select(*keys), keys, "left_anti")
-        first.write.mode("append").parquet(path)
-
-    return events.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return once.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def run_to_table(counts: DataFrame, name: str, checkpoint: str | None = None) -> DataFrame:

@@ -3,8 +3,8 @@ from pyspark.sql import functions as F
 
 from quarrystone.functions import html, scalars
 from quarrystone.functions.content import canonical_json, content_text
-from quarrystone.operators import links, metrics, ocr, runs, training
-from quarrystone.sources import registry, sinks
+from quarrystone.operators import links, metrics, ocr, ordering, runs, training
+from quarrystone.sources import files, registry, sinks
 
 PAGE = """<html><head><title>T</title></head><body><nav><a href="/n.pdf">nav</a></nav><main><h1>Head</h1>
 <p>One <b>two</b></p><ul><li><p>item</p></li></ul><pre><code>x = 1</code></pre><aside><a href="/aside.pdf">a</a></aside>
@@ -114,6 +114,7 @@ def test_registry_and_envelope(spark):
 def test_sinks(spark, tmp_path):
     rows = spark.createDataFrame([("é", 1, None), ("b", 2, 3.0)], "z string, a int, n double")
     assert sinks.write_jsonl(rows, str(tmp_path / "out"), keep_nulls=True) == 2
+    assert sinks.write_jsonl(rows, str(tmp_path / "out"), keep_nulls=True) == 2 and [p.name for p in tmp_path.iterdir()] == ["out"]
     text = "".join(p.read_text() for p in (tmp_path / "out").glob("*.json"))
     assert '{"a":1,"n":null,"z":"é"}' in text
     files = spark.createDataFrame([("a.pdf", 1024, "r"), ("b.pdf", 512, "r")], "path string, size_bytes bigint, source_root string")
@@ -185,3 +186,31 @@ def test_severity_counts_reads_whole_texts(spark, tmp_path):
     spark.createDataFrame([(8, "word " * 30 + "H-02 and L-1, then H-3")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.severity: r.n for r in catalogue.QUERIES["severity_counts"](spark, str(tmp_path)).collect()}
     assert got == {"H": 3, "M": 1, "L": 1}
+
+
+def test_a_failed_write_leaves_the_old_output(spark, tmp_path):
+    path = str(tmp_path / "out")
+    sinks.write_jsonl(spark.createDataFrame([(1,)], "a int"), path)
+    bad = spark.range(3).select(F.when(F.col("id") == 1, F.raise_error(F.lit("no"))).otherwise(F.lit("x")).alias("a"))
+    with pytest.raises(Exception, match="no"):
+        sinks.write_jsonl(bad, path)
+    assert [r.a for r in spark.read.json(path).collect()] == [1] and [p.name for p in tmp_path.iterdir()] == ["out"]
+
+
+def test_file_hashes(spark, tmp_path):
+    import hashlib
+
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.pdf").write_bytes(b"abc" * 1000)
+    (tmp_path / "y.txt").write_bytes(b"")
+    got = {r.path.split("/")[-1]: (r.size_bytes, r.sha256, r.md5) for r in files.file_hashes(spark, str(tmp_path)).collect()}
+    assert got == {n: (len(c), hashlib.sha256(c).hexdigest(), hashlib.md5(c).hexdigest()) for n, c in (("x.pdf", b"abc" * 1000), ("y.txt", b""))}
+    assert [r.path.split("/")[-1] for r in files.file_hashes(spark, str(tmp_path), "*.pdf").collect()] == ["x.pdf"]
+
+
+def test_prefixes_and_quotas_with_nulls(spark):
+    rows = spark.createDataFrame([(None, 1, True), (None, 2, None), (None, 3, True), (None, 4, False), ("a", 1, False)], "g string, at int, bad boolean")
+    assert sorted((str(r.g), r["at"]) for r in ordering.until_errors(rows, ["g"], ["at"], F.col("bad"), 2).collect()) == [("None", 1), ("None", 2), ("None", 3), ("a", 1)]
+    many = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, "x").when(F.col("id") % 3 == 1, "y").alias("s"))
+    got = metrics.mix_quota(many, "s", "id", {"x": 0.5, "y": 0.01}, 1001)
+    assert got.columns == ["id", "s"] and {r.s: r.n for r in got.groupBy("s").agg(F.count("*").alias("n")).collect()} == {"x": 500, "y": 10}
