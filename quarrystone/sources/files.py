@@ -9,7 +9,7 @@ from quarrystone.functions import scalars
 
 
 def list_files(spark: SparkSession, root: str, suffix: str = "pdf", any_case: bool = True) -> DataFrame:
-    """(path, rel_path, filename, size_bytes, modified) below ``root``, recursively."""
+    """(path, rel_path, filename, size_bytes, modified) of the files that aren't empty below ``root``, recursively."""
     glob = "".join(f"[{c.lower()}{c.upper()}]" if any_case and c.isalpha() else c for c in suffix)
     files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{glob}").option("recursiveFileLookup", True).load(root)
     base = root.rstrip("/").split("://")[-1].lstrip("/")
@@ -20,7 +20,7 @@ def list_files(spark: SparkSession, root: str, suffix: str = "pdf", any_case: bo
 def file_hashes(spark: SparkSession, root: str, suffix: str = "*") -> DataFrame:
     """(path, size_bytes, sha256, md5) of the files below ``root``, each read once by one task, which holds it whole.
 
-    The reader refuses files beyond 2 GB by name rather than cutting them.
+    The reader refuses files beyond 2 GB by name rather than cutting them, and leaves out empty files, as ``list_files`` does.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", suffix).option("recursiveFileLookup", True).load(root)
     return files.select("path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"), F.md5("content").alias("md5"))
