@@ -2,9 +2,10 @@
 
 A document's ids (end id included; null and empty texts have only that) are cut into whole windows
 and a rest. A rest goes to the fill level that minimises the sum of squared counts of partially
-filled windows, read from an array of counts by level. When a task's input ends, the windows still
-below ``FULL`` are taken apart and their pieces laid end to end into new windows, cutting freely, so
-a task pads one window by more than a few per cent. Each task packs its own rows, online and with
+filled windows, read from an array of counts by level. When a task's input ends, some windows are still below
+``FULL``: the fullest of them, as many as can hold all their ids, stay as they were placed, and only the
+others are taken apart, their pieces cut freely to fill the gaps. So a task pads nearly full windows by one per
+cent at most, and the others by less than one window in all. Each task packs its own rows, online and with
 bounded memory: at most ``OPEN`` windows wait, and beyond that the fullest are closed.
 
 Rows that repeat are packed once each. An empty table gives no piece. Other columns are ignored.
@@ -74,23 +75,25 @@ class Packer:
         return None
 
     def finish(self) -> Iterator[list]:
-        """Close what is nearly full; lay the rest end to end."""
-        window, room = [], self.window
+        """Close what is nearly full, then let the emptiest windows fill the gaps of the fullest."""
+        rest = []
         for level in range(self.window, 0, -1):
-            for pieces in self.levels[level]:
-                if level >= FULL * self.window // WINDOW:
-                    yield pieces
-                    continue
-                for doc, start, ids, total in pieces:
-                    while len(ids):
-                        window.append((doc, start, ids[:room], total))
-                        start += len(window[-1][2])
-                        ids, room = ids[room:], room - len(window[-1][2])
-                        if not room:
-                            yield window
-                            window, room = [], self.window
-        if window:
-            yield window
+            if level >= FULL * self.window // WINDOW:
+                yield from self.levels[level]
+            else:
+                rest += [(level, pieces) for pieces in self.levels[level]]
+        # As many windows stay as hold all ids; what the others hold fits their gaps, all but the last one's.
+        stay = -(-sum(level for level, _ in rest) // self.window)
+        given = iter([piece for _, pieces in rest[stay:] for piece in pieces])
+        doc, start, ids, total = next(given, (None, 0, (), 0))
+        for level, pieces in rest[:stay]:
+            room = self.window - level
+            while room and len(ids):
+                pieces.append((doc, start, ids[:room], total))
+                start, room, ids = start + len(ids[:room]), room - len(ids[:room]), ids[room:]
+                if not len(ids):
+                    doc, start, ids, total = next(given, (None, 0, (), 0))
+            yield pieces
 
 
 def pack(documents: DataFrame, vocabulary: str | None = None, window: int = WINDOW) -> DataFrame:

@@ -221,3 +221,34 @@ def test_piece_query_equals_library(spark, sf, texts):
         end = np.array([p.end for p in found] + [len(t.encode())], np.int64)
         assert r.spans_sha256 == pieces.span_digest(begin, end), d
     assert compared > 50
+
+
+def test_only_the_emptiest_windows_are_taken_apart():
+    packer, rng, placed = packing.Packer(64), random.Random(9), []
+    for d in range(300):
+        size = rng.randint(1, 63)
+        done = packer.add((d, 0, np.full(size, d, np.uint32), size))
+        if done:
+            placed.append(done)
+    before = [(level, [p[0] for p in w]) for level in range(64, 0, -1) for w in packer.levels[level]]
+    full = packing.FULL * 64 // packing.WINDOW
+    rest = sum(level for level, _ in before if level < full)
+    stay = sum(level >= full for level, _ in before) + -(-rest // 64)
+    finished = list(packer.finish())
+    assert len(finished) == stay
+    # The fullest keep what was placed there; the gaps of all that weren't nearly full come to less than one window.
+    assert all([p[0] for p in w][: len(own)] == own for w, (_, own) in zip(finished, before))
+    gaps = [64 - sum(len(p[2]) for p in w) for w, (level, _) in zip(finished, before) if level < full]
+    assert sum(gaps) < 64
+    parts = {}
+    for w in placed + finished:
+        assert sum(len(p[2]) for p in w) <= 64
+        for d, start, ids, total in w:
+            assert (ids == d).all()
+            parts.setdefault(d, []).append((start, len(ids), total))
+    for cut in parts.values():
+        at = 0
+        for start, length, total in sorted(cut):
+            assert start == at
+            at += length
+        assert at == total
