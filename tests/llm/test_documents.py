@@ -421,6 +421,19 @@ def test_jaccard_stage_keeps_rows_without_id(spark, sf, documents):
     assert sorted((str(r.doc_id), r.text) for r in found.collect()) == [("11", "h i j k l"), ("4", "a b c d e f g"), ("None", "p q r s t u"), ("None", "v w x y z")]
 
 
+def test_jaccard_stage_tells_rows_of_one_id_apart(spark, sf):
+    """A copy under an id that another text keeps goes; repeated rows stay once; rows without words or id all stay."""
+    import corpus_pipeline
+
+    a, b, c = "a b c d e f g", "p q r s t u v", "k l m n o"
+    rows = [(3, a), (5, a), (5, b), (5, b), (5, c), (5, c.upper()), (9, b), (7, ""), (7, ""), (8, None), (None, a), (None, a), (None, b)]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id int, text string, copy int").repartition(3)
+    found = corpus_pipeline.ngram_jaccard(spark, docs, sf)
+    assert found.columns == docs.columns
+    got = sorted((str(r.doc_id), (r.text or "").lower()) for r in found.collect())
+    assert got == sorted([("3", a), ("5", b), ("5", c), ("7", ""), ("7", ""), ("8", ""), ("None", a), ("None", a), ("None", b)])
+
+
 def test_pipeline(spark, sf):
     import corpus_pipeline
     from quarrystone.llm import staging, wordbpe
