@@ -30,8 +30,7 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, that of the smallest doc_id. Rows without a doc_id stay."""
-    kept = ngram_join.jaccard_components(docs.select("doc_id", "text")).filter("kept").select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    return ngram_join.without_near_copies(docs)
 
 
 def pii_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
