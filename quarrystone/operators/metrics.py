@@ -133,27 +133,3 @@ def minimum_quality(rows: DataFrame, checks: list[str]) -> DataFrame:
 def admitted(rows: DataFrame, evaluation_splits: list[str]) -> DataFrame:
     """Reviewed and approved rows outside evaluation splits."""
     return rows.filter((F.col("review_state") == "approved_for_admission") & ~F.col("split").isin(*evaluation_splits))
-
-
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
-
-
-def norm(a: Column) -> Column:
-    return F.sqrt(dot(a, a))
-
-
-def cosine(a: Column, b: Column) -> Column:
-    return dot(a, b) / (norm(a) * norm(b))
-
-
-def embedding_topk(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
-    """The k most similar other vectors of every query (ties by id): queries are a stated small set,
-    sent to all tasks only while they are few, each against all rows."""
-    q = queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("_q"), norm(F.col("embedding")).alias("_qn"))
-    # A norm is computed once a vector, not once a pair.
-    v = vectors.select("vec_id", "embedding", norm(F.col("embedding")).alias("_vn"))
-    value = dot(F.col("_q"), F.col("embedding")) / (F.col("_qn") * F.col("_vn"))
-    rows = v.join(q, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", value.alias("cosine"))
-    turn = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("cosine"), "vec_id"))
-    return rows.withColumn("rank", turn).filter(F.col("rank") <= k)

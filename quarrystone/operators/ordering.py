@@ -6,20 +6,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def path_ordinal(files: DataFrame, path: str = "rel_path", depth: int = 3, name: str = "ordinal") -> DataFrame:
+SHARD_ROWS = 250_000
+DRAWN = 16
+
+
+def path_ordinal(files: DataFrame, path: str = "rel_path", depth: int = 3, name: str = "ordinal", shard_rows: int = SHARD_ROWS) -> DataFrame:
     """1-based position in path-component order without one global window.
 
-    Rows are numbered inside directories (the first ``depth`` components, a prefix of the sort key), and a
-    directory's offset is a running sum over directories, of which there are few against files.
+    Rows are numbered inside ranges of directories (the first ``depth`` components, a prefix of the sort key), and a
+    range's offset is a running sum over ranges, of which there are few against files. A directory is cut at
+    every ``DRAWN``-th path of a sample chosen by hash, so that a range has about ``shard_rows`` rows, however many files lie
+    side by side. The sample only cuts: every row is numbered.
     """
     parts = F.split(path, "/")
-    shard = files.withColumn("_shard", F.slice(parts, 1, depth))
-    sizes = shard.groupBy("_shard").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_shard", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("_shard").orderBy(parts)
-    numbered = shard.withColumn("_row", F.row_number().over(inside)).join(offsets, "_shard")
-    return numbered.withColumn(name, F.col("_row") + F.col("_before")).drop("_shard", "_row", "_before")
+    placed = files.withColumn("_shard", F.slice(parts, 1, depth))
+    drawn = placed.filter(F.pmod(F.xxhash64(path), F.lit(max(1, shard_rows // DRAWN))) == 0)
+    sample = drawn.groupBy("_shard").agg(F.sort_array(F.collect_list(parts)).alias("_drawn")).filter(F.size("_drawn") > DRAWN)
+    every = F.sequence(F.lit(DRAWN + 1), F.size("_drawn"), F.lit(DRAWN))
+    cuts = sample.select("_shard", F.transform(every, lambda i: F.element_at("_drawn", i)).alias("_cuts"))
+    passed = F.size(F.filter(F.coalesce("_cuts", F.array().cast("array<array<string>>")), lambda cut: cut <= parts))
+    shard = placed.join(cuts, "_shard", "left").withColumn("_range", passed).drop("_cuts")
+    sizes = shard.groupBy("_shard", "_range").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_shard", "_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_shard", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_shard", "_range").orderBy(parts)
+    numbered = shard.withColumn("_row", F.row_number().over(inside)).join(offsets, ["_shard", "_range"])
+    return numbered.withColumn(name, F.col("_row") + F.col("_before")).drop("_shard", "_range", "_row", "_before")
 
 
 def keep_first(rows: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:

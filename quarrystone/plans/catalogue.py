@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quarrystone.functions import html, scalars
 from quarrystone.functions.content import content_text, render_messages
-from quarrystone.operators import inventory, links, metrics, ocr, ordering, runs, training
+from quarrystone.operators import inventory, links, metrics, ocr, ordering, retrieval, runs, training
 from quarrystone.plans import bindings as b
 from quarrystone.sources import files as file_sources
 from quarrystone.sources import registry, sinks
@@ -451,7 +451,7 @@ def q_split_counts(s, d):
 @query
 def q_embedding_topk(s, d):
     vectors = b.table(s, d, "embeddings")
-    rows = metrics.embedding_topk(vectors.filter("vec_id % 100 = 0"), vectors.select("vec_id", "embedding"), 5)
+    rows = retrieval.embedding_topk(vectors.filter("vec_id % 100 = 0"), vectors.select("vec_id", "embedding"), 5)
     return rows.select("query_id", "rank", "vec_id", F.round("cosine", 6).alias("cosine"))
 
 

@@ -35,6 +35,13 @@ def test_component_order_differs_from_text_order(spark):
     assert [r.ordinal for r in ordering.path_ordinal(files, depth=2).orderBy("ordinal").collect()] == [1, 2, 3, 4]
 
 
+def test_a_flat_directory_is_cut_into_ranges(spark):
+    paths = [f"one/{'long-' * (i % 3)}{i * 7919 % 3000}.pdf" for i in range(3000)] + ["two/x.pdf", "a.pdf"]
+    numbered = ordering.path_ordinal(spark.createDataFrame([(p,) for p in paths], "rel_path string").repartition(5), depth=1, shard_rows=160)
+    got = {r.rel_path: r.ordinal for r in numbered.collect()}
+    assert got == {p: i for i, p in enumerate(sorted(paths, key=lambda p: p.split("/")), 1)}
+
+
 def test_windows_of_known_unknown_and_short_files(spark):
     rows = spark.createDataFrame([("a", 10), ("b", 3), ("c", None)], "rel_path string, page_count int")
     got = inventory.page_windows(rows, 4, 2, 9).groupBy("rel_path").count().collect()
