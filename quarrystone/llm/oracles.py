@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from quarrystone.llm.collocations import OP12_SQL
+from quarrystone.llm.kmeans import OP13_SQL
 from quarrystone.llm.line_dedup import OP9_SQL
+from quarrystone.llm.url_rules import OP11_SQL
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce({0}, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _LOW = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -127,4 +130,4 @@ FROM embeddings e JOIN (SELECT vec_id, min(root) AS component_id FROM reach GROU
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_ngram_jaccard": OP3_SQL, "op6_substring_dedup": OP6_SQL, "op8_quality": OP8_SQL, "op9_line_dedup": OP9_SQL, "op10_embedding_dedup": OP10_SQL}
+    return {"op3_ngram_jaccard": OP3_SQL, "op6_substring_dedup": OP6_SQL, "op8_quality": OP8_SQL, "op9_line_dedup": OP9_SQL, "op10_embedding_dedup": OP10_SQL, "op11_url_rules": OP11_SQL, "op12_collocations": OP12_SQL, "op13_centroids": OP13_SQL}

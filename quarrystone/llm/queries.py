@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from quarrystone.llm import oracles
+from quarrystone.llm.collocations import op12_collocations
 from quarrystone.llm.embedding_dedup import op10_embedding_dedup
+from quarrystone.llm.kmeans import op13_centroids
 from quarrystone.llm.language import op4_language
 from quarrystone.llm.line_dedup import op9_line_dedup
 from quarrystone.llm.ngram_join import op3_ngram_jaccard
@@ -18,6 +20,7 @@ from quarrystone.llm.pii import op1_pii_surrogates
 from quarrystone.llm.quality import op8_quality
 from quarrystone.llm.substring_dedup import op6_substring_dedup
 from quarrystone.llm.token_files import op2_token_files
+from quarrystone.llm.url_rules import op11_url_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -32,6 +35,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_line_dedup": op9_line_dedup,
         "op10_embedding_dedup": op10_embedding_dedup,
+        "op11_url_rules": op11_url_rules,
+        "op12_collocations": op12_collocations,
+        "op13_centroids": op13_centroids,
         "pipeline": lambda spark, sf_dir: corpus_pipeline.run(spark, sf_dir),
     }
 

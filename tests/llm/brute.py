@@ -117,3 +117,53 @@ def language(text, profiles, ranks=400):
         away[lang] = sum(abs(place[g] - i) if g in place else ranks for i, g in enumerate(own))
     best = min(away, key=lambda x: (away[x], x))
     return best, 1.0 - away[best] / (ranks * len(own))
+
+
+def url_verdict(url, rules, default="allow"):
+    """host, path, rule and verdict by trying every rule (host, path, verdict)."""
+    host = path = ""
+    if url is not None and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.match("[^/?#]*", rest).group()
+        path = re.match("[^?#]*", rest[len(host) :]).group()
+        host = re.sub("[A-Z]", lambda m: m.group().lower(), host)
+    fits = [(len(h + p), len(h), v == "block", v, h + p) for h, p, v in rules if h and p is not None and v and host and (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return (host, path, max(fits)[4], max(fits)[3]) if fits else (host, path, None, default)
+
+
+def collocations(docs, max_n=5, min_count=100, top=2000, keep_below=100):
+    """(lang, rank, phrase, a, l, r, n, score) of ``docs`` (lang, text)."""
+    counts, totals = Counter(), Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\n-\r]", re.sub("[A-Z]", lambda m: m.group().lower(), text or "")):
+            w = tuple(re.findall("[^ \t]+", piece))
+            totals[lang] += len(w)
+            for k in range(1, max_n + 1):
+                counts.update((lang, w[i : i + k]) for i in range(len(w) - k + 1))
+    found = {key: a for key, a in counts.items() if len(key[1]) > 1 and a >= min_count}
+    inside = lambda p, q: len(q) > len(p) and any(q[i : i + len(p)] == p for i in range(len(q)))
+    rows = {}
+    for (lang, p), a in found.items():
+        if any(m == lang and inside(p, q) and 100 * b >= keep_below * a for (m, q), b in found.items()):
+            continue
+        cuts = [(1000 * a * totals[lang] // (counts[lang, p[:k]] * counts[lang, p[k:]]), k, counts[lang, p[:k]], counts[lang, p[k:]]) for k in range(1, len(p))]
+        score, _, left, right = min(cuts)
+        rows.setdefault(lang, []).append((-score, -a, " ".join(p).encode(), left, right))
+    return sorted((lang, i, p.decode(), -a, x, y, totals[lang], -s) for lang, each in rows.items() for i, (s, a, p, x, y) in enumerate(sorted(each)[:top], 1))
+
+
+def lloyd(vectors, k=8, dim=64, rounds=10):
+    """vec_id -> (cluster, distance) and the centroids, for distinct ids."""
+    import hashlib
+    import math
+
+    ok = {i: [math.floor(1024 * float(x)) for x in v] for i, v in vectors if v is not None and len(v) == dim and all(x is not None and math.isfinite(x) for x in v)}
+    cents = [ok[i] for i in sorted((i for i in ok if i is not None), key=lambda i: hashlib.sha256(f"3:{i}".encode()).hexdigest())[:k]]
+    near = lambda v: min((sum((a - b) ** 2 for a, b in zip(v, c)), j) for j, c in enumerate(cents))
+    for _ in range(rounds):
+        own = {}
+        for i, v in ok.items():
+            own.setdefault(near(v)[1], []).append(v)
+        cents = [[sum(x) // len(own[j]) for x in zip(*own[j])] if j in own else c for j, c in enumerate(cents)]
+    return {i: near(v)[::-1] for i, v in ok.items()}, cents

@@ -9,7 +9,7 @@ from quarrystone.llm import queries
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_against_sql(spark, sf, name):
     c = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "pages"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     frame = queries.queries()[name](spark, sf)
     columns = sorted(frame.columns)
