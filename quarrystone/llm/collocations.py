@@ -103,21 +103,21 @@ def _bit(lang: str, *hashes: np.ndarray) -> np.ndarray:
     return code >> np.uint64(64 - FILTER_BITS)
 
 
-def _runs(texts: Iterator[str | None]) -> Iterator[bytes]:
-    """Texts, joined by line ends and cut at piece ends, in runs of about ``CHUNK`` bytes."""
+def _runs(texts: Iterator[str | None], chunk: int) -> Iterator[bytes]:
+    """Texts, joined by line ends and cut at piece ends, in runs of about ``chunk`` bytes."""
     held, size = [], 0
     for text in texts:
         raw = text.encode() if text else b""
-        while len(raw) > CHUNK:
-            cut = max(raw.rfind(b, 0, CHUNK) for b in (BREAKS[i : i + 1] for i in range(len(BREAKS))))
+        while len(raw) > chunk:
+            cut = max(raw.rfind(b, 0, chunk) for b in (BREAKS[i : i + 1] for i in range(len(BREAKS))))
             if cut < 0:
-                later = [raw.find(BREAKS[i : i + 1], CHUNK) for i in range(len(BREAKS))]
+                later = [raw.find(BREAKS[i : i + 1], chunk) for i in range(len(BREAKS))]
                 cut = min((x for x in later if x >= 0), default=len(raw))
             yield raw[:cut]
             raw = raw[cut + 1 :]
         held.append(raw)
         size += len(raw) + 1
-        if size > CHUNK:
+        if size > chunk:
             yield b"\n".join(held)
             held, size = [], 0
     if held:
@@ -128,7 +128,7 @@ def _set(table: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return (table[bits >> np.uint64(6)] >> (bits & np.uint64(63))) & np.uint64(1) == 1
 
 
-def _ngrams(orders: range, frequent=None):
+def _ngrams(orders: range, frequent, chunk: int):
     """Rows (lang, phrase, words, n) of the n-grams in a run: of words that are set, or of pairs that are; with words a null phrase has the total."""
 
     def wanted(words: Words, lang: str, order: int, table: np.ndarray | None) -> np.ndarray:
@@ -148,7 +148,7 @@ def _ngrams(orders: range, frequent=None):
             langs = batch.column(0)
             for lang in pc.unique(langs).to_pylist():
                 texts = batch.column(1).filter(pc.equal(langs, lang))
-                for raw in _runs(t.as_py() for t in texts):
+                for raw in _runs((t.as_py() for t in texts), chunk):
                     words = Words(raw)
                     for order in orders:
                         at = wanted(words, lang, order, table)
@@ -188,7 +188,7 @@ def phrase_counts(documents: DataFrame, max_n: int = MAX_N, min_count: int = MIN
     texts = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text").filter(F.col("text") != "")
 
     def counted(orders: range, frequent, label: str) -> DataFrame:
-        rows = texts.mapInArrow(_ngrams(orders, frequent), COUNTED).groupBy("lang", "phrase").agg(F.first("words").alias("words"), F.sum("n").alias("n"))
+        rows = texts.mapInArrow(_ngrams(orders, frequent, CHUNK), COUNTED).groupBy("lang", "phrase").agg(F.first("words").alias("words"), F.sum("n").alias("n"))
         return staging.staged(rows.filter((F.col("n") >= min_count) | F.col("phrase").isNull()), label)
 
     every = counted(range(1, 2), None, "words")

@@ -79,10 +79,9 @@ def test_no_phrases(spark):
     assert c.collocations(spark.createDataFrame([("en", None), (None, "a b"), ("en", " \n ")], none.schema)).count() == 0
 
 
-def test_long_texts_are_cut_at_piece_ends(monkeypatch):
-    monkeypatch.setattr(c, "CHUNK", 40)
+def test_long_texts_are_cut_at_piece_ends():
     text = "aa bb, " * 50 + "c" * 90 + " d" + ". e f" * 9
-    runs = list(c._runs(iter([text, None, "g h", "i"])))
+    runs = list(c._runs(iter([text, None, "g h", "i"]), 40))
     assert [p.split() for r in runs for p in r.decode().replace(",", ".").replace("\n", ".").split(".") if p.split()] == [p.split() for p in text.replace(",", ".").split(".") if p.split()] + [["g", "h"], ["i"]]
     assert max(map(len, runs)) <= 95
 
