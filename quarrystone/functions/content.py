@@ -47,6 +47,29 @@ def content_text(values: pd.Series) -> pd.Series:
     return values.map(lambda raw: _text(None if raw is None else json.loads(raw)))
 
 
+def _reference(raw: str) -> str:
+    try:
+        parsed = json.loads(raw)
+    except ValueError:
+        return raw
+    if isinstance(parsed, dict):
+        if "content" in parsed:
+            return _text(parsed["content"])
+        if isinstance(parsed.get("messages"), list):
+            asked = [(str(m.get("role", "user")), _text(m.get("content"))) for m in parsed["messages"] if isinstance(m, dict)]
+            return "\n\n".join(f"{role}: {text}" for role, text in asked if role != "assistant" and text)
+        if "prompt" in parsed:
+            return _text(parsed["prompt"])
+    return _text(parsed)
+
+
+@F.pandas_udf(StringType())
+def reference_text(values: pd.Series) -> pd.Series:
+    """The text that a referenced JSON file stands for: its content, else its messages without the assistant's, else its prompt, else
+    all of it, as content text; a file that isn't JSON as it is."""
+    return values.map(lambda raw: None if raw is None else _reference(raw))
+
+
 def render_messages(messages: Column, include_assistant: bool = True) -> Column:
     """``role: content`` blocks parted by blank lines; empty contents are left out, a missing role is user."""
     role = lambda m: F.coalesce(m["role"], F.lit("user"))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarrystone import shared
 from quarrystone.functions import scalars
 
 
@@ -86,6 +89,49 @@ def rate_limited(calls: DataFrame, service: str, seconds: Column, period: int, c
     return rows.withColumns({"can_proceed": allowed, "wait_seconds": wait}).drop("_s", "_oldest")
 
 
+def carried(blocks: DataFrame, keys: list[str], block: str, value: str, how: Callable[[Column], Column], join: Callable[[Column, Column], Column], group: int = 1024) -> DataFrame:
+    """``blocks`` with ``before``: ``how`` over the values of the key's earlier blocks (null for none).
+
+    In two levels, inside groups of ``group`` blocks and over groups, so no window sees all blocks of a key.
+    """
+    rows = blocks.withColumn("_group", F.floor(F.col(block) / group))
+    inner = Window.partitionBy(*keys, "_group").orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    outer = Window.partitionBy(*keys).orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = rows.groupBy(*keys, "_group").agg(how(F.col(value)).alias("_all")).withColumn("_groups", how(F.col("_all")).over(outer)).drop("_all")
+    inside = rows.withColumn("_inside", how(F.col(value)).over(inner)).join(groups, [*keys, "_group"])
+    both = F.when(F.col("_inside").isNull(), F.col("_groups")).when(F.col("_groups").isNull(), F.col("_inside")).otherwise(join(F.col("_inside"), F.col("_groups")))
+    return inside.withColumn("before", both).drop("_group", "_inside", "_groups")
+
+
+def delayed_calls(calls: DataFrame, service: str, seconds: Column, event: str, period: int, calls_allowed: int, burst: int = 0) -> DataFrame:
+    """When each call starts (``start_second``) and how long it has waited, if calls wait for their turn and are recorded when they start.
+
+    Calls are taken by second, then by ``event``. With m = ``calls_allowed`` + ``burst``, call i starts at its second or, if that is later, one
+    period after call i - m has started. So calls i, i + m, i + 2m, ... are a chain, and the k-th of a chain starts at
+    k * period + the largest (second - k * period) among its first k: a running maximum. Numbers and maxima are taken inside
+    blocks of a service's calls of one period and carried over blocks, so no task sees the history of a service, only the calls of
+    a period. Calls without a second start never (null); a null service is one of its own.
+    """
+    most = calls_allowed + burst
+    if most < 1:
+        raise ValueError("no call is ever allowed")
+    named = calls.withColumns({"_key": F.struct(service), "_s": seconds}).withColumn("_block", F.floor(F.col("_s") / period))
+    known = named.filter("_s IS NOT NULL")
+    add, larger = (lambda x, y: x + y), F.greatest
+    sizes = carried(known.groupBy("_key", "_block").agg(F.count("*").alias("_n")), ["_key"], "_block", "_n", F.sum, add).select("_key", "_block", "before")
+    turn = F.row_number().over(Window.partitionBy("_key", "_block").orderBy("_s", event)) - 1
+    placed = known.withColumn("_turn", turn).join(sizes, ["_key", "_block"]).withColumn("_turn", F.col("_turn") + F.coalesce("before", F.lit(0))).drop("before")
+    linked = placed.withColumns({"_chain": F.pmod("_turn", F.lit(most)), "_link": F.floor(F.col("_turn") / most)}).withColumn("_free", F.col("_s") - F.col("_link") * period)
+    linked = shared.stored(linked, "calls")
+    tops = carried(linked.groupBy("_key", "_block", "_chain").agg(F.max("_free").alias("_top")), ["_key", "_chain"], "_block", "_top", F.max, larger).select("_key", "_block", "_chain", "before")
+    own = F.max("_free").over(Window.partitionBy("_key", "_block", "_chain").orderBy("_link").rowsBetween(Window.unboundedPreceding, 0))
+    rows = linked.withColumn("_own", own).join(tops, ["_key", "_block", "_chain"])
+    start = F.col("_link") * period + F.greatest("_own", "before")
+    done = rows.select(*calls.columns, start.alias("start_second"), (start - F.col("_s")).alias("waited"))
+    never = named.filter("_s IS NULL").select(*calls.columns, F.lit(None).cast("long").alias("start_second"), F.lit(None).cast("long").alias("waited"))
+    return done.union(never)
+
+
 def phase_summary(phases: list[DataFrame]) -> DataFrame:
     """Results of several phases as one table; columns that a phase lacks are null."""
     out = phases[0]

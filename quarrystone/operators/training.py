@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-import functools
+import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarrystone.functions.content import content_text, render_messages
+from quarrystone import shared
+from quarrystone.functions.content import content_text, reference_text
 from quarrystone.schemas import DPO_METADATA, SFT_METADATA
 
 CONTEXT_ROLES = ("system", "developer")
@@ -32,9 +36,8 @@ def _text(rows: DataFrame, name: str) -> Column:
 def dereference(refs: DataFrame, files: DataFrame, folders: list[str], strict: bool = True) -> DataFrame:
     """``refs(ref)`` plus ``value``, from the first existing file among the ref under each folder.
 
-    ``files(path, content)`` is the set of referenced texts. JSON objects give their content, else their
-    messages without the assistant's, else their prompt, else themselves. A miss fails with all paths tried
-    when ``strict``, else is null.
+    ``files(path, content)`` is the set of referenced texts; JSON files give what ``reference_text`` says. A miss fails with all
+    paths tried when ``strict``, else is null.
     """
     absolute = F.col("ref").startswith("/")
     tried = F.when(absolute, F.array("ref")).otherwise(F.array(*(F.concat(F.lit(f.rstrip("/") + "/"), F.col("ref")) for f in folders)))
@@ -42,11 +45,8 @@ def dereference(refs: DataFrame, files: DataFrame, folders: list[str], strict: b
     found = wanted.select("ref", F.posexplode("tried").alias("rank", "path")).join(files, "path")
     best = found.groupBy("ref").agg(F.min_by(F.struct("path", "content"), "rank").alias("best"))
     rows = wanted.join(best, "ref", "left")
-    parsed = F.when(F.lower("best.path").rlike(r"\.jsonl?$"), F.try_parse_json("best.content"))
-    messages = F.from_json(F.to_json(F.try_variant_get(parsed, "$.messages", "variant")), "array<struct<role:string,content:string>>")
-    # content_text of a null is empty; only paths that exist in the document count.
-    has = lambda path: F.try_variant_get(parsed, path, "variant").isNotNull()
-    value = F.when(has("$.content"), content_text(F.to_json(F.try_variant_get(parsed, "$.content", "variant")))).when(messages.isNotNull(), render_messages(messages, include_assistant=False)).when(has("$.prompt"), content_text(F.to_json(F.try_variant_get(parsed, "$.prompt", "variant")))).when(parsed.isNotNull(), F.to_json(parsed)).otherwise(F.col("best.content"))
+    is_json = F.lower("best.path").rlike(r"\.jsonl?$")
+    value = F.coalesce(reference_text(F.when(is_json, F.col("best.content"))), F.col("best.content"))
     if strict:
         missing = F.raise_error(F.concat(F.lit("no file for "), F.col("ref"), F.lit("; tried "), F.array_join("tried", ", ")))
         value = F.when(F.col("best").isNull(), missing).otherwise(value)
@@ -157,39 +157,67 @@ def exact_dedup(documents: DataFrame, text: str = "text", key: str = "doc_id") -
     return documents.groupBy(F.sha2(F.col(text), 256).alias("text_sha256")).agg(F.min(key).alias(key), F.count("*").alias("copies"))
 
 
-def _window_keys(words: int) -> Column:
-    """Keys of all windows of so many word hashes; a text that is shorter gives itself."""
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("_w") - words + 1))
-    return F.transform(starts, lambda start: F.xxhash64(F.lit(words), F.slice("_w", start, words)))
+ANCHOR = 64
+SLICE_BYTES = 32 << 20
+SLICES_A_PASS = 4
+_AUTOMATA: dict[str, tuple] = {}
 
 
-def _word_hashes(text: Column) -> Column:
-    """Hashes of the runs of letters and digits; the first and the last may be empty."""
-    return F.transform(F.split(text, r"[^\p{L}\p{N}]+", -1), lambda w: F.xxhash64(w))
+def _automaton(name: str, texts: list[str]) -> tuple:
+    """An automaton over the first ``ANCHOR`` characters of ``texts``; for each anchor the lengths and the set of its texts. Kept for the worker's next tasks."""
+    import ahocorasick
 
+    if name not in _AUTOMATA:
+        groups: dict[str, set[str]] = {}
+        for text in texts:
+            groups.setdefault(text[:ANCHOR], set()).add(text)
+        automaton = ahocorasick.Automaton()
+        for anchor, whole in groups.items():
+            automaton.add_word(anchor, (len(anchor), sorted({len(t) for t in whole}), whole))
+        automaton.make_automaton()
+        if len(_AUTOMATA) >= SLICES_A_PASS:
+            _AUTOMATA.clear()
+        _AUTOMATA[name] = (automaton,)
+    return _AUTOMATA[name]
 
-def holdout_exclusion(documents: DataFrame, held: DataFrame, words: int = 8) -> DataFrame:
-    """Documents that hold none of the held-out texts, whole and character for character.
 
-    Candidates share a held-out text's first ``words`` inner words as a shingle. The first and the last run of a text
-    are left out, since a document may glue other characters to them. The held texts (an evaluation set) are the small
-    side; only candidates are searched in full. Texts without an inner word are looked for in every document.
+def _without(name: str, texts: Broadcast, column: str):
+    def holds(automaton, text: str) -> bool:
+        for last, (size, lengths, whole) in automaton.iter(text):
+            begin = last - size + 1
+            if any(text[begin : begin + n] in whole for n in lengths if begin + n <= len(text)):
+                return True
+        return False
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (automaton,) = _automaton(name, texts.value)
+        for batch in batches:
+            given = batch.column(batch.schema.get_field_index(column))
+            yield batch.filter(pa.array([(t := x.as_py()) is None or not holds(automaton, t) for x in given], pa.bool_()))
+
+    return run
+
+
+def holdout_exclusion(documents: DataFrame, held: DataFrame, identities: list[list[str]] = [], text: str = "text") -> DataFrame:  # noqa: B006
+    """Documents that hold none of the held-out texts, whole and character for character, and share none of their ``identities``.
+
+    The held texts (an evaluation set) become automata, which run over the documents where they lie: no window of the corpus is
+    shuffled and no two texts are joined. Their bytes are counted first and dealt into slices of some ``SLICE_BYTES``, of which a task holds one automaton
+    each; more than ``SLICES_A_PASS`` slices take further passes over what is left, so a held set of any size is looked for whole. An identity is a list of
+    columns, such as a task's; documents with the same values as a held row go, nulls match nothing. Null texts stay.
     """
-    held = held.select(F.col("text").alias("_gold")).filter(F.col("_gold") != "").distinct()
-    hashed = held.withColumn("_w", _word_hashes(F.col("_gold"))).withColumn("_w", F.slice("_w", 2, F.greatest(F.lit(0), F.size("_w") - 2)))
-    size = F.least(F.lit(words), F.size("_w"))
-    gold = hashed.select("_gold", F.xxhash64(size, F.slice("_w", 1, words)).alias("_key"), size.alias("_n"))
-    # Texts shorter than ``words`` words are looked for by their own length.
-    sizes = [r["_n"] for r in gold.select("_n").distinct().orderBy("_n").limit(words + 1).collect()]
-    holds = F.col("text").contains(F.col("_gold"))
-    # Texts without an inner word (0) are looked for everywhere; windows of all other lengths come from one scan, without the text.
-    found = [documents.join(gold.filter("_n = 0"), holds).select("doc_id")] if 0 in sizes else []
-    if lengths := [n for n in sizes if n]:
-        tokens = documents.select("doc_id", _word_hashes(F.col("text")).alias("_w"))
-        each = tokens.select("doc_id", F.explode(F.array_distinct(F.concat(*map(_window_keys, lengths)))).alias("_key"))
-        pairs = each.join(gold.filter("_n > 0"), "_key").select("doc_id", "_gold").distinct()
-        found.append(documents.select("doc_id", "text").join(pairs, "doc_id").filter(holds).select("doc_id"))
-    if not found:
-        return documents
-    leaking = functools.reduce(DataFrame.union, found)
-    return documents.join(leaking.distinct(), "doc_id", "left_anti")
+    spark = documents.sparkSession
+    out = documents
+    for columns in identities:
+        out = out.join(held.select(*columns).distinct(), columns, "left_anti")
+    golds = held.select(F.col(text).alias("gold")).filter(F.col("gold") != "").distinct()
+    size = golds.agg(F.sum(F.octet_length("gold"))).first()[0] or 0
+    slices = -(-size // SLICE_BYTES)
+    for number in range(slices):
+        part = golds.filter(F.pmod(F.xxhash64("gold"), F.lit(slices)) == number) if slices > 1 else golds
+        # A slice of bounded bytes.
+        texts = spark.sparkContext.broadcast([r["gold"] for r in part.toLocalIterator()])
+        if number and number % SLICES_A_PASS == 0:
+            out = shared.stored(out, "held")
+        out = out.mapInArrow(_without(uuid.uuid4().hex, texts, text), out.schema)
+    return out

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +13,7 @@ from quarrystone.operators import inventory, links, metrics, ocr, ordering, retr
 from quarrystone.plans import bindings as b
 from quarrystone.sources import files as file_sources
 from quarrystone.sources import registry, sinks
-from quarrystone.streaming import progress
+from quarrystone.streaming import progress, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -194,6 +193,30 @@ def q_rate_limit_wait(s, d):
     return _rates(s, d).select("event_id", "earlier", F.col("wait_seconds").cast("bigint").alias("wait_seconds"))
 
 
+@query
+def q_rate_limit_delays(s, d):
+    """Starts and waits of calls that wait for their turn, one service a user."""
+    rows = runs.delayed_calls(b.progress_events(s, d), "user_id", F.unix_seconds(F.col("ts").cast("timestamp")), "event_id", 8 * b.PERIOD, 1, 1)
+    return rows.select("event_id", "start_second", "waited")
+
+
+@query
+def q_rate_limit_delays_hot(s, d):
+    """The same where all calls are one service's."""
+    calls = b.progress_events(s, d).withColumn("service", F.lit("web"))
+    rows = runs.delayed_calls(calls, "service", F.unix_seconds(F.col("ts").cast("timestamp")), "event_id", b.PERIOD, 3, 1)
+    return rows.select("event_id", "start_second", "waited")
+
+
+@query
+def q_stream_trailing_calls(s, d):
+    """The trailing-window limiter over event files as a stream: every call that the watermark has passed."""
+    events = s.readStream.schema(b.table(s, d, "events").schema).format("parquet").load(f"{d}/events.parquet*")
+    judged = stateful.trailing_calls(events, "event_type", "ts", "event_id", 600, 4, 1, "1 day")
+    rows = progress.run_to_table(judged, ["id"], mode="append")
+    return rows.select(F.col("id").cast("long").alias("event_id"), "earlier", "can_proceed")
+
+
 @query
 def q_generation_rollup(s, d):
     e = b.progress_events(s, d)
@@ -223,6 +246,25 @@ def q_content_ref_lookup(s, d):
     return found.select("conv_id", "turn", F.sha2("value", 256).alias("value_sha256"))
 
 
+@query
+def q_content_ref_json(s, d):
+    """References to JSON files of every kind: content in parts, messages in parts, prompts, lists and other objects."""
+    docs, kind = b.table(s, d, "documents"), F.col("doc_id") % 5
+    refs = b.table(s, d, "conversations").select("conv_id", "turn", F.concat(F.lit("texts/"), (F.col("conv_id") % 400).cast("string"), F.lit(".json")).alias("ref"))
+    part, user = F.struct(F.col("text").alias("text")), F.lit("user")
+    parts = lambda last: F.to_variant_object(F.array(F.to_variant_object(part), last.cast("variant")))
+    said = F.array(F.struct(user.alias("role"), parts(F.lit("q")).alias("content")), F.struct(F.lit("assistant").alias("role"), F.lit("no").cast("variant").alias("content")))
+    file = (
+        F.when(kind == 0, F.to_json(F.struct(parts(F.lit("b")).alias("content"), F.lit("p").alias("prompt"))))
+        .when(kind == 1, F.to_json(F.struct(said.alias("messages"))))
+        .when(kind == 2, F.to_json(F.struct(F.col("text").alias("prompt"))))
+        .when(kind == 3, F.to_json(parts(F.col("lang"))))
+        .otherwise(F.to_json(F.struct(F.lit(1).alias("z"), F.col("lang").alias("a"))))
+    )
+    found = training.dereference(refs, docs.select(F.concat(F.lit("/in/texts/"), F.col("doc_id").cast("string"), F.lit(".json")).alias("path"), file.alias("content")), ["/in"], strict=False)
+    return found.select("conv_id", "turn", F.sha2("value", 256).alias("value_sha256"))
+
+
 @query
 def q_dpo_pairs(s, d):
     rows = b.progress_events(s, d).select("user_id", "event_id", "value", F.when(F.col("status") == "error", "failed").alias("error"))
@@ -245,6 +287,14 @@ def q_holdout_exclusion(s, d):
     return training.holdout_exclusion(b.table(s, d, "documents"), b.table(s, d, "benchmark")).select("doc_id")
 
 
+@query
+def q_holdout_identity(s, d):
+    """Held-out texts and tasks: a document's task is its number and its language."""
+    docs = b.table(s, d, "documents").withColumns({"task": F.floor(F.col("doc_id") / 3), "lang_id": F.col("lang")})
+    held = b.table(s, d, "benchmark").select("text", F.col("item_id").alias("task"), F.when(F.col("item_id") % 2 == 0, "en").when(F.col("item_id") % 3 == 0, "de").alias("lang_id"))
+    return training.holdout_exclusion(docs, held, [["task", "lang_id"]]).select("doc_id")
+
+
 def _base():
     return F.concat(F.lit("http://"), F.try_parse_url(F.col("page_url"), F.lit("HOST")))
 
@@ -509,8 +559,7 @@ def q_stream_status_counts(s, d):
     schema = b.table(s, d, "events").schema
     events = s.readStream.schema(schema).format("parquet").load(f"{d}/events.parquet*")
     status = F.when(kind == "view", "skipped_existing").when(kind == "error", "error").when(kind == "signup", "partial_error").otherwise("ok")
-    name = f"quarry_status_{uuid.uuid4().hex}"
-    return progress.run_to_table(progress.running_counts(events.select(status.alias("status"))), name)
+    return progress.run_to_table(progress.running_counts(events.select(status.alias("status"))), ["status"])
 
 
 @query
@@ -722,4 +771,4 @@ def q_stream_sliding_calls(s, d):
     events = s.readStream.schema(b.table(s, d, "events").schema).format("parquet").load(f"{d}/events.parquet*")
     calls = progress.sliding_calls(events.withColumn("at", F.col("ts").cast("timestamp")), "at", "event_type", "1 hour", "30 minutes")
     counts = calls.select("event_type", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("start"), "calls")
-    return progress.run_to_table(counts, f"quarry_calls_{uuid.uuid4().hex}")
+    return progress.run_to_table(counts, ["event_type", "start"])

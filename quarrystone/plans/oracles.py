@@ -135,6 +135,16 @@ ORACLES: dict[str, str] = {
     "rate_limit_wait": f"""WITH {EVENTS}, s AS (SELECT event_id, user_id, floor(epoch(ts))::BIGINT AS s FROM e),
       w AS (SELECT *, count(*) OVER f - 1 AS earlier, min(s) OVER f AS oldest FROM s WINDOW f AS (PARTITION BY user_id ORDER BY s RANGE BETWEEN 3599 PRECEDING AND CURRENT ROW))
       SELECT event_id, earlier, CASE WHEN earlier < 3 THEN 0 ELSE greatest(0, oldest + 3600 - s) END::BIGINT AS wait_seconds FROM w""",
+    "rate_limit_delays": """WITH RECURSIVE c AS (SELECT event_id, user_id AS k, floor(epoch(ts))::BIGINT AS s, row_number() OVER (PARTITION BY user_id ORDER BY floor(epoch(ts)), event_id) - 1 AS i FROM events),
+      r AS (SELECT event_id, k, s, i, s AS start_second FROM c WHERE i < 2
+        UNION ALL SELECT c.event_id, c.k, c.s, c.i, greatest(c.s, r.start_second + 28800) FROM r JOIN c ON c.k = r.k AND c.i = r.i + 2)
+      SELECT event_id, start_second, start_second - s AS waited FROM r""",
+    "rate_limit_delays_hot": """WITH RECURSIVE c AS (SELECT event_id, 0 AS k, floor(epoch(ts))::BIGINT AS s, row_number() OVER (PARTITION BY 0 ORDER BY floor(epoch(ts)), event_id) - 1 AS i FROM events),
+      r AS (SELECT event_id, k, s, i, s AS start_second FROM c WHERE i < 4
+        UNION ALL SELECT c.event_id, c.k, c.s, c.i, greatest(c.s, r.start_second + 3600) FROM r JOIN c ON c.k = r.k AND c.i = r.i + 4)
+      SELECT event_id, start_second, start_second - s AS waited FROM r""",
+    "stream_trailing_calls": """SELECT event_id, earlier, earlier < 5 AS can_proceed FROM (SELECT event_id, ts, count(*) OVER (PARTITION BY event_type ORDER BY floor(epoch(ts))::BIGINT RANGE BETWEEN 599 PRECEDING AND CURRENT ROW) - 1 AS earlier FROM events)
+      WHERE floor(epoch(ts)) + 1 <= (SELECT floor(epoch_ms(max(ts)) / 1000.0) FROM events) - 86400""",
     "generation_rollup": f"""WITH {EVENTS}, r AS (SELECT user_id, event_id, client_elapsed_ms + 100 AS total_ms, client_elapsed_ms AS decode_ms, CASE WHEN event_id % 4 <> 0 THEN event_id % 97 END AS ttft,
         CASE WHEN user_id % 3 <> 0 OR event_id % 5 <> 0 THEN event_id % 301 END AS tokens, CASE WHEN user_id % 2 = 0 OR event_id % 2 = 0 THEN 'tokens' ELSE 'chunks' END AS units FROM e),
       a AS (SELECT user_id, count(*) AS request_count, sum(total_ms)::BIGINT AS total_ms, sum(decode_ms)::BIGINT AS decode_ms, arg_min(ttft, event_id) FILTER (WHERE ttft IS NOT NULL) AS ttft,
@@ -148,6 +158,9 @@ ORACLES: dict[str, str] = {
       SELECT *, CASE WHEN answer = '' THEN 'no assistant answer' WHEN context = '' AND question = '' THEN 'no prompt content' END AS error FROM m""",
     "rendered_prompts": "SELECT conv_id::VARCHAR AS record_id, coalesce(string_agg(role || ': ' || text, chr(10) || chr(10) ORDER BY turn) FILTER (WHERE text <> '' AND role <> 'assistant'), '') AS prompt FROM conversations GROUP BY 1",
     "content_ref_lookup": "SELECT conv_id, turn, sha256(d.text) AS value_sha256 FROM conversations c LEFT JOIN documents d ON d.doc_id = c.conv_id % 400",
+    "content_ref_json": """WITH f AS (SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN concat_ws(chr(10), nullif(text, ''), 'b') WHEN 1 THEN 'user: ' || concat_ws(chr(10), nullif(text, ''), 'q') WHEN 2 THEN text
+        WHEN 3 THEN concat_ws(chr(10), nullif(text, ''), lang) ELSE '{"a": "' || lang || '", "z": 1}' END AS value FROM documents)
+      SELECT conv_id, turn, sha256(value) AS value_sha256 FROM conversations LEFT JOIN f ON doc_id = conv_id % 400""",
     "dpo_pairs": f"""WITH {EVENTS}, u AS (SELECT user_id, value AS score, event_id AS item FROM e WHERE status <> 'error'),
       r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score, item) AS up, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item DESC) AS down, count(*) OVER (PARTITION BY user_id) AS candidates FROM u)
       SELECT user_id, max(item) FILTER (WHERE down = 1) AS chosen, max(item) FILTER (WHERE up = 1) AS rejected, max(score) AS chosen_score, min(score) AS rejected_score, max(candidates) AS candidates FROM r GROUP BY 1 HAVING max(score) - min(score) > 1.0""",
@@ -155,6 +168,8 @@ ORACLES: dict[str, str] = {
       'yes' AS chosen, 'no' AS rejected, false AS prompt_is_list, false AS chosen_is_list, false AS rejected_is_list FROM conversations GROUP BY 1, 2""",
     "group_advantage": f"WITH {EVENTS} SELECT event_id, user_id, round((value - avg(value) OVER w) / (stddev_pop(value) OVER w + 1e-6), 6) AS advantage FROM e WINDOW w AS (PARTITION BY user_id)",
     "holdout_exclusion": "SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM benchmark b WHERE b.text <> '' AND contains(d.text, b.text))",
+    "holdout_identity": """SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM benchmark b WHERE b.text <> '' AND contains(d.text, b.text))
+      AND NOT EXISTS (SELECT 1 FROM benchmark b WHERE d.doc_id // 3 = b.item_id AND d.lang = CASE WHEN b.item_id % 2 = 0 THEN 'en' WHEN b.item_id % 3 = 0 THEN 'de' END)""",
     "links_seen_first": f"""WITH {LINKS}, r AS (SELECT *, row_number() OVER (PARTITION BY page_url, url ORDER BY pos) AS turn FROM resolved WHERE NOT contains(lower(href), 'the,'))
       SELECT page_url, pos, url, title FROM r WHERE turn = 1 AND regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) = regexp_extract(base, '^[a-z]+://([^/?#]*)', 1) AND length(title) >= 3""",
     "links_title_first": f"""WITH {LINKS}, r AS (SELECT *, row_number() OVER (PARTITION BY page_url, url ORDER BY pos) AS turn FROM resolved WHERE regexp_matches(href, '^/[a-z]+') AND length(title) >= 3)

@@ -1,29 +1,83 @@
-"""File inventories without reading contents."""
+"""File inventories, digests and probes."""
 
 from __future__ import annotations
 
+import hashlib
+import itertools
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarrystone import shared
 from quarrystone.functions import scalars
+from quarrystone.sources import storage
 
 
-def list_files(spark: SparkSession, root: str, suffix: str = "pdf", any_case: bool = True) -> DataFrame:
-    """(path, rel_path, filename, size_bytes, modified) of the files that aren't empty below ``root``, recursively."""
-    glob = "".join(f"[{c.lower()}{c.upper()}]" if any_case and c.isalpha() else c for c in suffix)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{glob}").option("recursiveFileLookup", True).load(root)
-    base = root.rstrip("/").split("://")[-1].lstrip("/")
-    rel = F.regexp_replace(F.col("path"), f"^[a-z]*:/*{base.replace('.', '[.]')}/", "")
-    return files.select("path", rel.alias("rel_path"), F.element_at(F.split("path", "/"), -1).alias("filename"), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"))
+ENTRY = "path string, folder boolean, size_bytes long, mtime_ns long"
+
 
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for uri in batch.column(0).to_pylist():
+            found = storage.entries(uri)
+            while some := list(itertools.islice(found, 10_000)):
+                columns = zip(*some)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.bool_(), pa.int64(), pa.int64()))], ["path", "folder", "size_bytes", "mtime_ns"])
 
-def file_hashes(spark: SparkSession, root: str, suffix: str = "*") -> DataFrame:
-    """(path, size_bytes, sha256, md5) of the files below ``root``, each read once by one task, which holds it whole.
 
-    The reader refuses files beyond 2 GB by name rather than cutting them, and leaves out empty files, as ``list_files`` does.
+def walk(spark: SparkSession, root: str) -> DataFrame:
+    """(path, folder, size_bytes, mtime_ns) of all that lies below ``root``, empty files and hidden ones too.
+
+    A round lists the folders that the round before has found, one task a few folders, until none is new; what a round finds is
+    written, so neither the driver nor a plan holds the tree. Linked folders aren't followed.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", suffix).option("recursiveFileLookup", True).load(root)
-    return files.select("path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"), F.md5("content").alias("md5"))
+    system, base, ahead = storage.located(root)
+    if system.get_file_info(base).type != fs.FileType.Directory:
+        raise FileNotFoundError(f"no folder at {root}")
+    into, turn = shared.folder(spark, "walk"), 0
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folders = spark.createDataFrame([(ahead + base,)], "path string")
+    while True:
+        found = shared.stored(folders.repartition(tasks, "path").mapInArrow(_listed, ENTRY), "walk", f"{into}/turn={turn}")
+        folders, turn = found.filter("folder").select("path"), turn + 1
+        if folders.isEmpty():
+            return spark.read.schema(ENTRY + ", turn int").parquet(into).drop("turn")
+
+
+def list_files(spark: SparkSession, root: str, suffix: str = "pdf", any_case: bool = True) -> DataFrame:
+    """(path, rel_path, filename, size_bytes, modified, mtime_ns) of the files below ``root`` with a suffix (none: all), recursively."""
+    _, base, ahead = storage.located(root)
+    files = walk(spark, root).filter("NOT folder")
+    name = F.substring_index("path", "/", -1)
+    if suffix:
+        files = files.filter(F.lower(name).endswith(f".{suffix.lower()}") if any_case else name.endswith(f".{suffix}"))
+    rel = F.substr("path", F.lit(len((ahead + base).rstrip("/")) + 2))
+    return files.select("path", rel.alias("rel_path"), name.alias("filename"), "size_bytes", F.timestamp_micros(F.expr("mtime_ns div 1000")).alias("modified"), "mtime_ns")
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        for path in batch.column(0).to_pylist():
+            size, sha, md = 0, hashlib.sha256(), hashlib.md5(usedforsecurity=False)
+            for block in storage.chunks(path):
+                size += len(block)
+                sha.update(block)
+                md.update(block)
+            rows.append((path, size, sha.hexdigest(), md.hexdigest()))
+        columns = list(zip(*rows)) if rows else [[]] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.string(), pa.string()))], ["path", "size_bytes", "sha256", "md5"])
+
+
+def file_hashes(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """(path, size_bytes, sha256, md5) of the files below ``root`` whose names match, each read once, in blocks of a few megabytes, whatever its size."""
+    files = matching_any(list_files(spark, root, ""), [pattern], "filename").select("path")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return files.repartition(tasks, "path").mapInArrow(_digests, "path string, size_bytes long, sha256 string, md5 string")
 
 
 def file_manifest(spark: SparkSession, roots: list[str], suffix: str = "pdf") -> DataFrame:
@@ -35,12 +89,28 @@ def file_manifest(spark: SparkSession, roots: list[str], suffix: str = "pdf") ->
     return out.orderBy("source_root", "path")
 
 
+def shell_regex(pattern: str) -> str:
+    """A shell pattern as a regular expression: ``*`` (also across slashes), ``?``, ``[seq]`` and ``[!seq]``; a bracket that isn't closed is itself."""
+    out, i = [], 0
+    while i < len(pattern):
+        c, i = pattern[i], i + 1
+        close = pattern.find("]", i + 1 + (pattern[i : i + 1] == "!")) if c == "[" else -1
+        if c in "*?":
+            out.append(".*" if c == "*" else ".")
+        elif close > 0:
+            inside = pattern[i:close]
+            inside, i = ("^" if inside[0] == "!" else "") + re.sub(r"([\\\[\]^&~])", r"\\\1", inside.removeprefix("!")), close + 1
+            out.append(f"[{inside}]")
+        else:
+            out.append(re.escape(c))
+    return f"(?s)^(?:{''.join(out)})\\z"
+
+
 def matching_any(files: DataFrame, patterns: list[str], column: str = "path") -> DataFrame:
-    """Files that match one of shell patterns, whose ``*`` also crosses slashes."""
-    regexes = ["^" + "".join(".*" if c == "*" else "." if c == "?" else f"\\Q{c}\\E" for c in p) + "$" for p in patterns]
+    """Files that match one of shell patterns, case by case."""
     hit = F.lit(False)
-    for regex in regexes:
-        hit = hit | F.col(column).rlike(regex)
+    for pattern in patterns:
+        hit = hit | F.col(column).rlike(shell_regex(pattern))
     return files.filter(hit)
 
 

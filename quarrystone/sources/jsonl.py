@@ -2,23 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def json_lines(spark: SparkSession, path: str, numbered: bool = True) -> DataFrame:
-    """(path, line, value, parsed): one row per non-blank line, parsed to VARIANT or null.
+def numbered_lines(spark: SparkSession, path: str, fault: Column | None = None) -> DataFrame:
+    """(path, line, value) of every line, counted from 1 in its file, however many tasks read it; with ``fault`` (a text about
+    ``value``, or null) also that of the file's first faulty line, as (line, text).
 
-    To number lines each file is read whole; files too large for that are split where not ``numbered``, and
-    ``line`` is null.
+    Two scans: one counts the lines of each byte range of a file (one row a range), the other numbers them from what stands
+    ahead of their range. Lines meet the counts by a join on few rows and aren't shuffled for it.
     """
-    where = F.col("_metadata.file_path").alias("path")
-    if numbered:
-        lines = spark.read.text(path, wholetext=True).select(where, F.posexplode(F.split("value", "\r?\n")).alias("at", "value"))
-    else:
-        lines = spark.read.text(path).select(where, F.lit(None).cast("int").alias("at"), "value")
-    return lines.filter(F.col("value").rlike(r"\S")).select("path", (F.col("at") + 1).alias("line"), "value", F.try_parse_json("value").alias("parsed"))
+    # The id runs on by one inside a range, whichever ranges share a task.
+    at = (F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("begin"), F.monotonically_increasing_id().alias("id"))
+    text = spark.read.text(path)
+    fault = F.lit(None).cast("string") if fault is None else fault
+    first = F.min(F.when(F.col("fault").isNotNull(), F.struct("id", "fault"))).alias("worst")
+    ranges = text.select(*at, fault.alias("fault")).groupBy("path", "begin").agg(F.min("id").alias("first"), F.count("*").alias("n"), first)
+    file = Window.partitionBy("path").orderBy("begin")
+    ahead = F.coalesce(F.sum("n").over(file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = ranges.withColumn("shift", ahead - F.col("first") + 1)
+    worst = F.when(F.col("worst").isNotNull(), F.struct((F.col("worst.id") + F.col("shift")).alias("line"), F.col("worst.fault").alias("text")))
+    ranges = ranges.select("path", "begin", "shift", F.min(worst).over(Window.partitionBy("path")).alias("fault"))
+    rows = text.select(*at, "value").join(ranges, ["path", "begin"])
+    return rows.select("path", (F.col("id") + F.col("shift")).alias("line"), "value", "fault")
+
+
+def json_lines(spark: SparkSession, path: str, numbered: bool = True) -> DataFrame:
+    """(path, line, value, parsed): one row per non-blank line, parsed to VARIANT or null. Where not ``numbered`` line is null and the file is read once."""
+    lines = numbered_lines(spark, path).drop("fault") if numbered else spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.lit(None).cast("long").alias("line"), "value")
+    return lines.filter(F.col("value").rlike(r"\S")).withColumn("parsed", F.try_parse_json("value"))
 
 
 def _is_object(c):
@@ -26,14 +40,18 @@ def _is_object(c):
 
 
 def strict_jsonl(spark: SparkSession, path: str, objects_only: bool = True, numbered: bool = True) -> DataFrame:
-    """As ``json_lines``; a bad line, or a value that isn't an object, fails with path and line."""
-    rows = json_lines(spark, path, numbered)
-    where = F.concat(F.col("path"), F.lit(":"), F.coalesce(F.col("line").cast("string"), F.col("value")))
-    good = F.col("parsed").isNotNull()
-    checked = F.when(~good, F.raise_error(F.concat(F.lit("invalid JSON at "), where)))
+    """As ``json_lines``; a bad line, or a value that isn't an object, fails: ``numbered``, with the path and number of its file's first one,
+    else with its own text."""
+    parsed = F.try_parse_json("value")
+    fault = F.when(~F.col("value").rlike(r"\S"), None).when(parsed.isNull(), "invalid JSON at ")
     if objects_only:
-        checked = checked.when(~_is_object(F.col("parsed")), F.raise_error(F.concat(F.lit("not a JSON object at "), where)))
-    return rows.withColumn("parsed", checked.otherwise(F.col("parsed")))
+        fault = fault.when(~_is_object(parsed), "not a JSON object at ")
+    if numbered:
+        rows = numbered_lines(spark, path, fault).filter(F.col("value").rlike(r"\S"))
+        fails = F.when(F.col("fault").isNotNull(), F.raise_error(F.concat(F.col("fault.text"), F.col("path"), F.lit(":"), F.col("fault.line").cast("string"))))
+        return rows.withColumn("parsed", fails.otherwise(parsed)).drop("fault")
+    fails = F.when(fault.isNotNull(), F.raise_error(F.concat(fault, F.col("path"), F.lit(":"), F.col("value"))))
+    return json_lines(spark, path, False).withColumn("parsed", fails.otherwise(F.col("parsed")))
 
 
 def tolerant_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:

@@ -96,7 +96,7 @@ def test_stream_tail_counts_and_lands_once(spark, tmp_path):
     folder.mkdir()
     (folder / "one.json").write_text('{"status": "ok", "rel_path": "a"}\nnot json\n{"status": "error", "rel_path": "b"}\n{"status": "ok", "rel_path": "a"}\n')
     events = progress.tail_events(spark, str(folder))
-    counts = {r.status: r.n for r in progress.run_to_table(progress.running_counts(events.filter("rel_path IS NOT NULL")), "quarry_test_counts").collect()}
+    counts = {r.status: r.n for r in progress.run_to_table(progress.running_counts(events.filter("rel_path IS NOT NULL")), ["status"]).collect()}
     assert counts == {"ok": 2, "error": 1}
     for name in ("two.json", "three.json"):
         progress.land_once(progress.tail_events(spark, str(folder)).filter("rel_path IS NOT NULL"), str(tmp_path / "landed"), str(tmp_path / "checkpoint"), ["rel_path"]).awaitTermination()

@@ -205,7 +205,7 @@ def test_file_hashes(spark, tmp_path):
     (tmp_path / "y.txt").write_bytes(b"y")
     (tmp_path / "empty.txt").write_bytes(b"")
     got = {r.path.split("/")[-1]: (r.size_bytes, r.sha256, r.md5) for r in files.file_hashes(spark, str(tmp_path)).collect()}
-    assert got == {n: (len(c), hashlib.sha256(c).hexdigest(), hashlib.md5(c).hexdigest()) for n, c in (("x.pdf", b"abc" * 1000), ("y.txt", b"y"))}
+    assert got == {n: (len(c), hashlib.sha256(c).hexdigest(), hashlib.md5(c).hexdigest()) for n, c in (("x.pdf", b"abc" * 1000), ("y.txt", b"y"), ("empty.txt", b""))}
     assert [r.path.split("/")[-1] for r in files.file_hashes(spark, str(tmp_path), "*.pdf").collect()] == ["x.pdf"]
 
 
