@@ -118,15 +118,15 @@ def delayed_calls(calls: DataFrame, service: str, seconds: Column, event: str, p
     named = calls.withColumns({"_key": F.struct(service), "_s": seconds}).withColumn("_block", F.floor(F.col("_s") / period))
     known = named.filter("_s IS NOT NULL")
     add, larger = (lambda x, y: x + y), F.greatest
-    sizes = carried(known.groupBy("_key", "_block").agg(F.count("*").alias("_n")), ["_key"], "_block", "_n", F.sum, add).select("_key", "_block", "before")
+    sizes = carried(known.groupBy("_key", "_block").agg(F.count("*").alias("_n")), ["_key"], "_block", "_n", F.sum, add).select("_key", "_block", F.col("before").alias("_before"))
     turn = F.row_number().over(Window.partitionBy("_key", "_block").orderBy("_s", event)) - 1
-    placed = known.withColumn("_turn", turn).join(sizes, ["_key", "_block"]).withColumn("_turn", F.col("_turn") + F.coalesce("before", F.lit(0))).drop("before")
+    placed = known.withColumn("_turn", turn).join(sizes, ["_key", "_block"]).withColumn("_turn", F.col("_turn") + F.coalesce("_before", F.lit(0))).drop("_before")
     linked = placed.withColumns({"_chain": F.pmod("_turn", F.lit(most)), "_link": F.floor(F.col("_turn") / most)}).withColumn("_free", F.col("_s") - F.col("_link") * period)
     linked = shared.stored(linked, "calls")
-    tops = carried(linked.groupBy("_key", "_block", "_chain").agg(F.max("_free").alias("_top")), ["_key", "_chain"], "_block", "_top", F.max, larger).select("_key", "_block", "_chain", "before")
+    tops = carried(linked.groupBy("_key", "_block", "_chain").agg(F.max("_free").alias("_top")), ["_key", "_chain"], "_block", "_top", F.max, larger).select("_key", "_block", "_chain", F.col("before").alias("_before"))
     own = F.max("_free").over(Window.partitionBy("_key", "_block", "_chain").orderBy("_link").rowsBetween(Window.unboundedPreceding, 0))
     rows = linked.withColumn("_own", own).join(tops, ["_key", "_block", "_chain"])
-    start = F.col("_link") * period + F.greatest("_own", "before")
+    start = F.col("_link") * period + F.greatest("_own", "_before")
     done = rows.select(*calls.columns, start.alias("start_second"), (start - F.col("_s")).alias("waited"))
     never = named.filter("_s IS NULL").select(*calls.columns, F.lit(None).cast("long").alias("start_second"), F.lit(None).cast("long").alias("waited"))
     return done.union(never)

@@ -91,7 +91,7 @@ def _token_event(line: str) -> tuple[str, int | None] | None:
 
 
 class TokenFold(StatefulProcessor):
-    """A reply so far and the lines that came ahead of their turn. ``[DONE]`` in its turn gives the row; ``timeout`` seconds without a line give what there is."""
+    """A reply so far and the lines that came ahead of their turn. ``[DONE]`` in its turn gives the row; ``timeout`` seconds without a line give what there is. Timers go by the watermark."""
 
     def __init__(self, timeout: int, first: int) -> None:
         self.timeout, self.first = timeout, first
@@ -121,8 +121,8 @@ class TokenFold(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         reply = list(self.reply.get()) if self.reply.exists() else [self.first, False, None, None, None, None]
-        given = not reply[1]
-        ahead = {row["seq"]: (row["ms"], row["line"]) for row in rows if row["seq"] >= reply[0]} if given else {}
+        given, came = not reply[1], list(rows)
+        ahead = {row["seq"]: (row["ms"], row["line"]) for row in came if row["seq"] >= reply[0]} if given else {}
         parts: list = []
         while not reply[1]:
             turn = reply[0]
@@ -142,7 +142,7 @@ class TokenFold(StatefulProcessor):
                 self.early.updateValue((seq,), value)
         if reply[5] is not None:
             self.handle.deleteTimer(reply[5])
-        reply[5] = timerValues.getCurrentProcessingTimeInMs() + 1000 * self.timeout
+        reply[5] = max(reply[5] or 0, timerValues.getCurrentWatermarkInMs() + 1, *(row["arrived"] + 1000 * self.timeout for row in came))
         self.handle.registerTimer(reply[5])
         self.reply.update(tuple(reply))
         if given and reply[1]:
@@ -168,12 +168,15 @@ class TokenFold(StatefulProcessor):
         pass
 
 
-def token_fold(lines: DataFrame, timeout: int = 600, first: int = 0) -> DataFrame:
-    """``event_stream_fold`` of a stream of ``(request_id, seq, ms, line)``, whatever the order in which lines arrive.
+def token_fold(lines: DataFrame, time: str, timeout: int = 600, late: str = "10 minutes", first: int = 0) -> DataFrame:
+    """``event_stream_fold`` of a stream of ``(request_id, seq, ms, line)`` with the ``time`` at which each line came, whatever their order.
 
     Numbers run from ``first`` without a gap; a line ahead of its turn waits until the gap is closed. A reply comes out at its ``[DONE]``, with
-    ``complete`` true; without one for ``timeout`` seconds with what has come. Lines behind the end are skipped, for as long.
+    ``complete`` true; without a line for ``timeout`` seconds of the watermark (``late`` behind the latest time) with what has come. Lines behind
+    the end are skipped, for as long.
     """
     _keyed_state(lines.sparkSession)
-    rows = lines.select(F.col("request_id").cast("string").alias("request_id"), F.col("seq").cast("long").alias("seq"), F.col("ms").cast("long").alias("ms"), "line")
-    return rows.groupBy("request_id").transformWithState(TokenFold(timeout, first), "request_id string, text string, first_token_ms long, decode_ms long, completion_tokens long, complete boolean", "append", "ProcessingTime")
+    at = F.col(time).cast("timestamp").alias("at")
+    rows = lines.select(F.col("request_id").cast("string").alias("request_id"), F.col("seq").cast("long").alias("seq"), F.col("ms").cast("long").alias("ms"), "line", at, F.unix_millis(at).alias("arrived"))
+    rows = rows.filter("at IS NOT NULL AND seq IS NOT NULL").withWatermark("at", late)
+    return rows.groupBy("request_id").transformWithState(TokenFold(timeout, first), "request_id string, text string, first_token_ms long, decode_ms long, completion_tokens long, complete boolean", "append", "EventTime")
