@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from typing import Any
 
 import pandas as pd
@@ -40,6 +41,12 @@ def canonical_json(values: pd.Series) -> pd.Series:
     return values.map(one)
 
 
+@F.pandas_udf(StringType())
+def ascii_json(values: pd.Series) -> pd.Series:
+    """JSON text with everything beyond ASCII as escapes."""
+    return values.map(lambda raw: raw if raw is None or raw.isascii() else re.sub(r"[^\x00-\x7f]+", lambda m: json.dumps(m.group())[1:-1], raw))
+
+
 @F.pandas_udf(StringType())
 def content_text(values: pd.Series) -> pd.Series:
     """The text of a JSON-encoded content value: null is empty, a list's parts are joined by line

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarrystone import shared
 from quarrystone.functions import scalars
 from quarrystone.operators import ordering
 
@@ -147,15 +148,20 @@ def pagination(template: str, most: int, spark) -> DataFrame:
 def follow_next(edges: DataFrame, starts: DataFrame, most: int) -> DataFrame:
     """(start, url, step) along next links until one repeats, is missing, or ``most`` pages are reached.
 
-    A step joins all chains at once, so the number of joins is the cap on pages, not on chains.
+    A step joins all chains at once and is written, so a plan has one join whatever the cap, and no step runs once no chain goes on.
     """
-    now = starts.select(F.col("url").alias("start"), "url", F.lit(1).alias("step"), F.array("url").alias("seen"))
-    out = now
+    spark = starts.sparkSession
+    into = shared.folder(spark, "chains")
+    known = edges.filter(F.col("next_url").isNotNull()).select("url", "next_url")
+    now = shared.stored(starts.select(F.col("url").alias("start"), "url", F.lit(1).alias("step"), F.array("url").alias("seen")), "chains", f"{into}/part=1")
+    schema = now.schema
     for step in range(2, most + 1):
-        now = now.join(edges.select("url", "next_url"), "url").filter(F.col("next_url").isNotNull() & ~F.array_contains("seen", F.col("next_url")))
+        now = now.join(known, "url").filter(~F.array_contains("seen", F.col("next_url")))
         now = now.select("start", F.col("next_url").alias("url"), F.lit(step).alias("step"), F.concat("seen", F.array("next_url")).alias("seen"))
-        out = out.unionByName(now)
-    return out.drop("seen")
+        now = shared.stored(now, "chains", f"{into}/part={step}")
+        if now.isEmpty():
+            break
+    return spark.read.schema(schema).parquet(f"{into}/part=*").drop("seen")
 
 
 def section_bodies(headings: DataFrame, bodies: DataFrame) -> DataFrame:

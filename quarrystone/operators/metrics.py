@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarrystone import shared
+
 EPSILON = 1e-6
 BINS = 10
 
@@ -77,7 +79,8 @@ def survival_at_k(divergence: DataFrame, ks: list[int]) -> DataFrame:
 def group_advantage(rows: DataFrame, group: str, reward: str) -> DataFrame:
     """Reward against its group's mean in population deviations; the raw reward stays. Group sums are
     joined back, so a group of any size is spread over tasks."""
-    stats = rows.groupBy(group).agg(F.avg(reward).alias("_mean"), F.stddev_pop(reward).alias("_std"))
+    # Written, so that the join is of plain exchanges and the rows of a large group can be split.
+    stats = shared.stored(rows.groupBy(group).agg(F.avg(reward).alias("_mean"), F.stddev_pop(reward).alias("_std")), "groups")
     return rows.join(stats, group).withColumn("advantage", (F.col(reward) - F.col("_mean")) / (F.col("_std") + EPSILON)).drop("_mean", "_std")
 
 
@@ -125,6 +128,30 @@ def split_counts(rows: DataFrame, split: str, label: str) -> DataFrame:
     return rows.groupBy(split).agg(F.count("*").alias("n"), F.count_distinct(label).alias("labels"))
 
 
+def item_sketches(rows: DataFrame, dataset: str, item: str, lg_entries: int = 14) -> DataFrame:
+    """(dataset, sketch): a mergeable sketch of each dataset's distinct items, exact up to 2**``lg_entries`` of them."""
+    return rows.filter(F.col(item).isNotNull()).groupBy(F.col(dataset).alias("dataset")).agg(F.theta_sketch_agg(item, lg_entries).alias("sketch"))
+
+
+def merged_sketches(parts: DataFrame, lg_entries: int = 14) -> DataFrame:
+    """Sketches of parts of datasets as one a dataset."""
+    return parts.groupBy("dataset").agg(F.theta_union_agg("sketch", lg_entries).alias("sketch"))
+
+
+def duplication_risk(sketches: DataFrame) -> DataFrame:
+    """For every two datasets the estimated distinct items of each and of both, and the share of the smaller one that the other has too.
+
+    Rows are read once, into one sketch a dataset; pairs are made of sketches only, of which there are as many as datasets (a registry's tens).
+    A sketch of more than m = 2**lg_entries items keeps the m least hashes: its count has a relative standard error of 1 / sqrt(m), and that of
+    an overlap is larger by the square root of the union's size over the overlap's.
+    """
+    one = sketches.select(F.col("dataset").alias("a"), F.col("sketch").alias("x"))
+    other = sketches.select(F.col("dataset").alias("b"), F.col("sketch").alias("y"))
+    size = lambda c: F.theta_sketch_estimate(c)
+    pairs = one.join(other, F.col("a") < F.col("b")).select("a", "b", size("x").alias("items_a"), size("y").alias("items_b"), size(F.theta_intersection("x", "y")).alias("shared"))
+    return pairs.withColumn("risk", F.col("shared") / F.greatest(F.lit(1), F.least("items_a", "items_b")))
+
+
 def minimum_quality(rows: DataFrame, checks: list[str]) -> DataFrame:
     """``admissible``: all checks hold; a null check doesn't."""
     return rows.withColumn("admissible", F.forall(F.array(*(F.coalesce(F.col(c), F.lit(False)) for c in checks)), lambda x: x))

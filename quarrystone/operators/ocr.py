@@ -165,11 +165,15 @@ def generation_rollup(results: DataFrame, group: list[str], position: str) -> Da
     )
 
 
+def _merged(out: Column, later: Column) -> Column:
+    return F.map_zip_with(out, later, lambda k, old, new: F.when(F.map_contains_key(later, k), new).otherwise(old))
+
+
 def merged_totals(*maps: Column) -> Column:
-    """Maps merged in order, later keys winning, whatever the session's policy for repeated keys; null maps are left out."""
+    """Maps merged in order, later keys winning, a null value too, whatever the session's policy for repeated keys; null maps are left out."""
     out = maps[0]
     for later in maps[1:]:
-        out = F.coalesce(F.map_zip_with(out, later, lambda _, old, new: F.coalesce(new, old)), out, later)
+        out = F.coalesce(_merged(out, later), out, later)
     return out
 
 

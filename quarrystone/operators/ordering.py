@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 SHARD_ROWS = 250_000
 DRAWN = 16
+STRIDE = 64
 
 
 def path_ordinal(files: DataFrame, path: str = "rel_path", depth: int = 3, name: str = "ordinal", shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -23,8 +24,13 @@ def path_ordinal(files: DataFrame, path: str = "rel_path", depth: int = 3, name:
     drawn = placed.filter(F.pmod(F.xxhash64(path), F.lit(max(1, shard_rows // DRAWN))) == 0)
     sample = drawn.groupBy("_shard").agg(F.sort_array(F.collect_list(parts)).alias("_drawn")).filter(F.size("_drawn") > DRAWN)
     every = F.sequence(F.lit(DRAWN + 1), F.size("_drawn"), F.lit(DRAWN))
-    cuts = sample.select("_shard", F.transform(every, lambda i: F.element_at("_drawn", i)).alias("_cuts"))
-    passed = F.size(F.filter(F.coalesce("_cuts", F.array().cast("array<array<string>>")), lambda cut: cut <= parts))
+    cuts = sample.select("_shard", F.transform(every, lambda i: F.element_at("_drawn", i)).alias("_all"))
+    # In two steps: among every ``STRIDE``-th cut, then among those behind the last one passed.
+    groups = F.transform(F.sequence(F.lit(1), F.size("_all"), F.lit(STRIDE)), lambda i: F.slice("_all", i, STRIDE))
+    cuts = cuts.select("_shard", groups.alias("_cuts"))
+    before = lambda some: F.size(F.filter(some, lambda cut: cut <= parts))
+    group = before(F.transform("_cuts", lambda g: g[0]))
+    passed = F.when(F.col("_cuts").isNull() | (group == 0), F.lit(0)).otherwise((group - 1) * STRIDE + before(F.element_at("_cuts", group)))
     shard = placed.join(cuts, "_shard", "left").withColumn("_range", passed).drop("_cuts")
     sizes = shard.groupBy("_shard", "_range").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_shard", "_range").rowsBetween(Window.unboundedPreceding, -1)

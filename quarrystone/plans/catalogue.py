@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quarrystone.functions import html, scalars
 from quarrystone.functions.content import content_text, render_messages
-from quarrystone.operators import inventory, links, metrics, ocr, ordering, retrieval, runs, training
+from quarrystone.operators import inventory, links, metrics, ocr, ordering, retrieval, runs, search, training
 from quarrystone.plans import bindings as b
 from quarrystone.sources import files as file_sources
 from quarrystone.sources import registry, sinks
@@ -518,7 +518,7 @@ def q_offset_limit(s, d):
 @query
 def q_pagination_chain(s, d):
     pages = b.table(s, d, "pages").select("page_id", "url")
-    nexts = pages.select(((F.col("page_id") + 200) % 250).alias("page_id"), F.col("url").alias("next_url"))
+    nexts = pages.select(((F.col("page_id") + 7) % pages.count()).alias("page_id"), F.col("url").alias("next_url"))
     edges = pages.join(nexts, "page_id").select("url", "next_url")
     return links.follow_next(edges, pages.select("url"), 6)
 
@@ -539,6 +539,27 @@ def q_inverted_index(s, d):
     return runs.inverted_index(b.table(s, d, "documents").select("doc_id", "text"))
 
 
+@query
+def q_search_phrase(s, d):
+    """A phrase in all texts, with its occurrences and the first one's place."""
+    return search.phrase(search.build(b.table(s, d, "documents")), "of the")
+
+
+@query
+def q_search_topk(s, d):
+    """The best twenty texts for some words."""
+    return search.top(search.build(b.table(s, d, "documents")), "The, of the: and de (unseenword)", 20)
+
+
+@query
+def q_duplication_risk(s, d):
+    """Texts that two sources share, from one sketch a source merged of parts."""
+    rows = b.table(s, d, "documents").select(F.concat_ws("/", "source", (F.col("doc_id") % 3).cast("string")).alias("part"), "text")
+    parts = metrics.item_sketches(rows, "part", "text").withColumn("dataset", F.substring_index("dataset", "/", 1))
+    risks = metrics.duplication_risk(metrics.merged_sketches(parts))
+    return risks.select("a", "b", F.round("items_a").cast("long").alias("items_a"), F.round("items_b").cast("long").alias("items_b"), F.round("shared").cast("long").alias("shared"), F.round("risk", 6).alias("risk"))
+
+
 @query
 def q_evidence_pages(s, d):
     findings = b.files(s, d).filter("page_count > 1").select(F.col("doc_id").alias("pdf_id"), F.array(F.lit(1), F.col("page_count")).alias("evidence_pages"))

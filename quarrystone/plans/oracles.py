@@ -229,7 +229,7 @@ ORACLES: dict[str, str] = {
     "seeded_sample": "SELECT doc_id FROM documents ORDER BY md5('7/' || doc_id), doc_id LIMIT 20",
     "link_hosts": f"WITH {LINKS}, h AS (SELECT regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host, regexp_extract(base, '^[a-z]+://([^/?#]*)', 1) AS own FROM resolved) SELECT host, host = own AS same, count(*) AS n FROM h GROUP BY 1, 2",
     "offset_limit": "SELECT doc_id, n_chars FROM documents ORDER BY doc_id LIMIT 20 OFFSET 30",
-    "pagination_chain": """WITH RECURSIVE edges AS (SELECT a.url, b.url AS next_url FROM pages a JOIN pages b ON a.page_id = (b.page_id + 200) % 250),
+    "pagination_chain": """WITH RECURSIVE edges AS (SELECT a.url, b.url AS next_url FROM pages a JOIN pages b ON a.page_id = (b.page_id + 7) % (SELECT count(*) FROM pages)),
       c AS (SELECT url AS start, url, 1 AS step, [url] AS seen FROM pages
         UNION ALL SELECT start, next_url, step + 1, list_append(seen, next_url) FROM c JOIN edges USING (url) WHERE step < 6 AND NOT list_contains(seen, next_url))
       SELECT start, url, step FROM c""",
@@ -238,6 +238,17 @@ ORACLES: dict[str, str] = {
       SELECT doc_id, severity, count(*) AS n FROM t GROUP BY 1, 2""",
     "inverted_index": r"""WITH t AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) AS term FROM documents)
       SELECT term, count(DISTINCT doc_id) AS documents, count(*) AS occurrences FROM t WHERE term <> '' GROUP BY 1""",
+    "search_phrase": r"""WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda t: t <> '') AS w FROM documents), p AS (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM t)
+      SELECT doc_id, count(*) AS occurrences, min(i) - 1 AS first FROM p WHERE w[i] = 'of' AND w[i + 1] = 'the' GROUP BY 1""",
+    "search_topk": r"""WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda t: t <> '') AS w FROM documents), n AS (SELECT count(*) AS n, avg(len(w)) AS mean FROM t),
+      f AS (SELECT doc_id, len(w) AS length, term, len(list_filter(w, lambda x: x = term)) AS tf FROM t, (VALUES ('the'), ('of'), ('and'), ('de'), ('unseenword')) q(term)),
+      df AS (SELECT term, count(*) AS df FROM f WHERE tf > 0 GROUP BY 1),
+      s AS (SELECT doc_id, round(sum(ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * length / mean))), 6) AS score FROM f JOIN df USING (term), n WHERE tf > 0 GROUP BY 1)
+      SELECT row_number() OVER (ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM s QUALIFY rank <= 20""",
+    "duplication_risk": """WITH t AS (SELECT DISTINCT source, text FROM documents WHERE text IS NOT NULL), n AS (SELECT source, count(*) AS items FROM t GROUP BY 1),
+      s AS (SELECT x.source AS a, y.source AS b, count(*) AS shared FROM t x JOIN t y ON x.text = y.text AND x.source < y.source GROUP BY 1, 2)
+      SELECT p.source AS a, q.source AS b, p.items AS items_a, q.items AS items_b, coalesce(shared, 0) AS shared, round(coalesce(shared, 0) / least(p.items, q.items)::DOUBLE, 6) AS risk
+      FROM n p JOIN n q ON p.source < q.source LEFT JOIN s ON a = p.source AND b = q.source""",
     "evidence_pages": f"""WITH {FILES}, {PAGES}, f AS (SELECT doc_id AS pdf_id, unnest([1, page_count]) AS page_number FROM files WHERE page_count > 1)
       SELECT pdf_id, count(*) AS pages, sum(length(text))::BIGINT AS chars FROM f JOIN store ON pdf_id = doc_id AND f.page_number = store.page_number GROUP BY 1""",
     "distances": """WITH x AS (SELECT l_returnflag, l_extendedprice AS a, l_extendedprice * (1 - l_discount) AS b FROM lineitem)
@@ -309,7 +320,7 @@ ORACLES: dict[str, str] = {
     "dataset_card": f"""WITH {FILES}, t AS (SELECT count(*) AS file_count, sum(size_bytes)::BIGINT AS total FROM files), u AS (SELECT file_count, {SIZE.format('total')} AS total_size FROM t)
       SELECT file_count, total_size, array_to_string(['---', 'license: other', 'tags:', '- smart-contracts', '- security', '- audits', '- vulnerability-detection', '---', '', '# Audits', '', 'All reports.', '', '## Contents', '',
         '- Files: ' || file_count, '- Total size: ' || total_size, '- Local source root: `/audits`', '- Upload include pattern: `**/*.pdf`', '- Manifest: `manifest.csv`', '- Generated: 2024-05-06 07:08:09 UTC', '', '## Notes', '',
-        'This dataset card was generated from the local crawler output. Confirm licensing and redistribution terms for the original sources before making the dataset public.', ''], chr(10)) AS card FROM u""",
+        'Made from a local crawl. Check the licences of the original sources before sharing these files.', ''], chr(10)) AS card FROM u""",
     "stream_sliding_calls": """WITH w AS (SELECT event_type, time_bucket(INTERVAL 30 MINUTE, ts) - h * INTERVAL 30 MINUTE AS start FROM events, (VALUES (0), (1)) v(h))
       SELECT event_type, strftime(start, '%Y-%m-%d %H:%M:%S') AS start, count(*) AS calls FROM w GROUP BY 1, 2""",
 }

@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from quarrystone import shared
 from quarrystone.functions import scalars
+from quarrystone.functions.content import ascii_json
 
 
 def replace_directory(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
@@ -32,10 +34,16 @@ def replace_directory(spark: SparkSession, path: str, write: Callable[[str], Non
         system.delete(aside, True)
 
 
-def write_jsonl(rows: DataFrame, path: str, partition_by: str | None = None, keep_nulls: bool = False) -> int:
-    """Rows as JSON lines with sorted keys; the number written. Replaces ``path`` once all is written."""
+def write_jsonl(rows: DataFrame, path: str, partition_by: str | None = None, keep_nulls: bool = False, ascii_only: bool = False) -> int:
+    """Rows as JSON lines with sorted keys; the number written. Replaces ``path`` once all is written. ``ascii_only`` writes other characters as escapes."""
     seen = Observation()
     ordered = rows.select(*sorted(rows.columns)).observe(seen, F.count("*").alias("n"))
+    if ascii_only:
+        kept = [c for c in ordered.columns if c != partition_by]
+        line = ascii_json(F.to_json(F.struct(*kept), {"ignoreNullFields": str(not keep_nulls).lower()})).alias("value")
+        writer = ordered.select(line, *([partition_by] if partition_by else [])).write
+        replace_directory(rows.sparkSession, path, (writer.partitionBy(partition_by) if partition_by else writer).text)
+        return seen.get["n"]
     writer = ordered.write.option("ignoreNullFields", not keep_nulls)
     replace_directory(rows.sparkSession, path, (writer.partitionBy(partition_by) if partition_by else writer).json)
     return seen.get["n"]
@@ -58,7 +66,7 @@ def write_manifest(files: DataFrame, path: str) -> None:
 # The front matter and the closing note of a dataset card.
 CARD_LICENSE = "other"
 CARD_TAGS = ("smart-contracts", "security", "audits", "vulnerability-detection")
-CARD_NOTE = "This dataset card was generated from the local crawler output. Confirm licensing and redistribution terms for the original sources before making the dataset public."
+CARD_NOTE = "Made from a local crawl. Check the licences of the original sources before sharing these files."
 
 
 def dataset_card(files: DataFrame, title: str = "", description: str = "", source_root: str = "", pattern: str = "**/*.pdf", at: str | None = None) -> DataFrame:
@@ -73,10 +81,14 @@ def dataset_card(files: DataFrame, title: str = "", description: str = "", sourc
     return counted.withColumn("card", card)
 
 
-def envelope(items: DataFrame, source: str = "source") -> DataFrame:
-    """One document a source: its count and items. A source's items become one value, as a report is."""
+def envelope(items: DataFrame, source: str = "source", most: int = 10_000) -> DataFrame:
+    """Documents of a source: its count, the document's number among its ``parts``, and items. A source has one document up to ``most`` items; more
+    are dealt by hash into as many as needed, so a value never holds a whole large source."""
     fields = [c for c in items.columns if c != source]
-    return items.groupBy(source).agg(F.count("*").alias("count"), F.sort_array(F.collect_list(F.struct(*fields))).alias("items"))
+    # Written, so that the join is of plain exchanges and a large source's rows can be split.
+    sizes = shared.stored(items.groupBy(F.struct(source).alias("_of")).agg(F.count("*").alias("count")).withColumn("parts", F.ceil(F.col("count") / most)), "sizes")
+    dealt = items.withColumn("_of", F.struct(source)).join(sizes, "_of").withColumn("part", F.pmod(F.xxhash64(*fields), F.col("parts")))
+    return dealt.groupBy(source, "count", "parts", "part").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("items"))
 
 
 def landing_names(pages: DataFrame, prefix: str = "") -> DataFrame:
