@@ -3,9 +3,9 @@
 Vectors are compared when labels are equal and not null (and dimensions equal). A vector that is null,
 zero, or holds null or non-finite components links with nothing. Rows equal in label and vector (128-bit hash) are one
 class with a count and a number of its own, so a vec_id that repeats with other vectors or labels joins nothing.
-Groups of a label up to ``CELL_ROWS`` classes are one cell. Larger ones are cut into cells fitted on a bounded sample
-(``PER_CELL`` vectors a cell, ``TOTAL_CELLS`` cells in all, so some 20,000 vectors on the driver), but
-every vector is indexed: it lives in the
+The vectors of each label, however few, are cut into cells: one for every ``CELL_ROWS`` classes, ``LEAST_CELLS`` at least and ``CELLS`` at most, by
+spherical k-means in the tasks on a sample bounded by the number of cells (about ``PER_CELL`` vectors each). Every vector is indexed: centroids
+travel to their label's vectors, dealt in shares of ``SHARE`` rows, and a vector lives in the
 cell of its most similar centroid c and also visits each later cell c' with v.(c - c') <= d |c - c'|, where d is
 the chord of the threshold angle. Two vectors within that chord always meet in the later of their cells, so no
 link is lost. A cell is compared in blocks of about ``BLOCK`` rows, every two blocks once, visitors only with those that
@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,11 +32,11 @@ from pyspark.sql import types as T
 from quarrystone.llm import graph, staging
 
 THRESHOLD = 0.98
-FITTED = 256
-CELLS = 64
-TOTAL_CELLS = 1024
+CELLS = 1024
+LEAST_CELLS = 2
 CELL_ROWS = 8192
 PER_CELL = 20
+SHARE = 65536
 BLOCK = 8192
 TILE = 1024
 ROUNDS = 12
@@ -65,67 +66,99 @@ def _valid(vector):
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
-
-
-def _fit(classes: DataFrame) -> dict[tuple, np.ndarray]:
-    """Centroids of the largest groups, from a bounded sample chosen by hash."""
-    sizes = classes.groupBy("label", "dim").count().filter(F.col("count") > CELL_ROWS).orderBy(F.desc("count"), "label", "dim").limit(FITTED).collect()
-    if not sizes:
-        return {}
-    most = min(CELLS, max(2, TOTAL_CELLS // len(sizes)))
-    cells = {(r["label"], r["dim"]): (min(most, -(-r["count"] // CELL_ROWS)), r["count"]) for r in sizes}
-    shares = [(*g, min(1.0, 1.2 * PER_CELL * k / n)) for g, (k, n) in cells.items()]
-    # FITTED rows at most.
-    share = F.broadcast(classes.sparkSession.createDataFrame(shares, "label string, dim int, share double"))
-    drawn = classes.join(share, ["label", "dim"]).filter(F.pmod("one", F.lit(1 << 20)) < F.col("share") * (1 << 20))
-    sample: dict[tuple, list] = {}
-    for row in drawn.select("label", "dim", "embedding").limit(PER_CELL * sum(k for k, _ in cells.values())).toLocalIterator():
-        sample.setdefault((row["label"], row["dim"]), []).append(row["embedding"])
-    out = {}
-    for group, rows in sorted(sample.items()):
-        unit = np.array(rows, np.float64)
-        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-        out[group] = spherical_kmeans(unit, cells[group][0])
-    return out
-
-
-def _place(centroids: dict[tuple, np.ndarray], threshold: float):
-    """Rows of label, dim, class, n and embedding, with the cell that each lives in and those that it visits."""
+    """Rows in double, each scaled by a power of two so that no norm passes the range of doubles."""
+    rows = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, initial=0))[1][:, None])
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.RecordBatch]]:
+    """(key, rows) of the runs of equal keys in the first column."""
+    for batch in batches:
+        keys = np.array(batch.column(0).to_pylist(), object)
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for i, j in zip(cuts, cuts[1:]):
+            if i < j:
+                yield keys[i], batch.slice(i, j - i)
+
+
+def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Centroids (label, dim, cell, embedding) of each label's drawn rows (key, label, dim, k, embedding), sorted by key."""
+    key, held = None, []
+
+    def give() -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        unit = _matrix(rows.column(4))
+        centroids = spherical_kmeans(unit / np.linalg.norm(unit, axis=1, keepdims=True), rows.column(3)[0].as_py())
+        n, kind = len(centroids), rows.schema.field(4).type
+        return pa.RecordBatch.from_arrays([rows.column(1).slice(0, 1).take(pa.array([0] * n)), rows.column(2).take(pa.array([0] * n)), pa.array(range(n), pa.int64()), pa.array(centroids.tolist(), kind)], ["label", "dim", "cell", "embedding"])
+
+    for now, run in _runs(batches):
+        if now != key and held:
+            yield give()
+            held = []
+        key = now
+        held.append(run)
+    if held:
+        yield give()
+
+
+def _place(threshold: float):
+    """Rows (key, class, n, label, dim, embedding), centroids first (n is null, class is the cell), to the cell that each lives in and those that it visits."""
     chord = math.sqrt(2 - 2 * threshold) + 1e-9
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            label, dim = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            rows, cells, homes = [], [], []
-            groups: dict[tuple, list[int]] = {}
-            for i, g in enumerate(zip(label, dim)):
-                groups.setdefault(g, []).append(i)
-            for g, at in groups.items():
-                at = np.array(at)
-                if g not in centroids:
-                    rows.append(at)
-                    cells.append(np.zeros(len(at), np.int32))
-                    homes.append(np.ones(len(at), bool))
-                    continue
-                c = centroids[g]
-                v = _matrix(batch.column(4).take(pa.array(at)))
+        key, centroids = None, []
+        for now, rows in _runs(batches):
+            if now != key:
+                key, centroids = now, []
+            fitted = rows.column(2).is_null()
+            some = rows.filter(fitted)
+            if len(some):
+                centroids += list(zip(some.column(1).to_pylist(), some.column(5).to_pylist()))
+            rows = rows.filter(pa.compute.invert(fitted))
+            if not len(rows):
+                continue
+            if centroids:
+                c = np.array([v for _, v in sorted(centroids)], np.float64)
+                v = _matrix(rows.column(5))
                 v /= np.linalg.norm(v, axis=1, keepdims=True)
                 near = v @ c.T
                 home = np.argmax(near, axis=1)
-                apart = np.sqrt(np.maximum(0, 2 - 2 * (c @ c.T)))
+                norm = (c * c).sum(axis=1)
+                apart = np.sqrt(np.maximum(0, norm[:, None] + norm[None, :] - 2 * (c @ c.T)))
                 visit = near[np.arange(len(v)), home][:, None] - near <= chord * apart[home] + 1e-9
-                i, cell = np.nonzero(visit & (np.arange(len(c)) >= home[:, None]))
-                rows.append(at[i])
-                cells.append(cell.astype(np.int32))
-                homes.append(home[i] == cell)
-            if rows:
-                some = batch.take(pa.array(np.concatenate(rows)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells), pa.int32()), pa.array(np.concatenate(homes)), *some.columns], ["cell", "home", *batch.schema.names])
+                at, cell = np.nonzero(visit & (np.arange(len(c)) >= home[:, None]))
+                lives = home[at] == cell
+            else:
+                at, cell, lives = np.arange(len(rows)), np.zeros(len(rows)), np.ones(len(rows), bool)
+            for i in range(0, len(at), 4096):
+                part = rows.take(pa.array(at[i : i + 4096]))
+                columns = [pa.array(cell[i : i + 4096].astype(np.int32)), pa.array(lives[i : i + 4096]), *(part.column(x) for x in (3, 4, 1, 2, 5))]
+                yield pa.RecordBatch.from_arrays(columns, ["cell", "home", "label", "dim", "class", "n", "embedding"])
 
     return run
 
 
+def _placed(classes: DataFrame, threshold: float) -> DataFrame:
+    """(cell, home, label, dim, class, n, embedding) of every class in the cells that it lives in and visits."""
+    tasks, group = staging.shuffle_partitions(classes.sparkSession), ["label", "dim"]
+    sizes = classes.groupBy(*group).agg(F.count("*").alias("size")).withColumn("k", F.greatest(F.lit(LEAST_CELLS), F.least(F.lit(CELLS), F.ceil(F.col("size") / CELL_ROWS))).cast("int"))
+    # Staged, so that joins are of plain exchanges and the rows of a large label can be split.
+    sizes = staging.staged(sizes.withColumn("shares", F.ceil(F.col("size") / SHARE)), "sizes")
+    named = lambda *more: F.concat_ws("/", *group, *more).alias("key")
+    share = F.least(F.lit(1.0), 1.2 * PER_CELL * F.col("k") / F.col("size"))
+    drawn = classes.join(sizes, group).filter(F.pmod("one", F.lit(1 << 20)) < share * (1 << 20))
+    drawn = drawn.select(named(), *group, "k", "embedding", "one", "class").repartition(tasks, "key").sortWithinPartitions("key", "one", "class").drop("one", "class")
+    kind = classes.schema["embedding"].dataType
+    fitted = staging.staged(drawn.mapInArrow(_fit, T.StructType([classes.schema["label"], classes.schema["dim"], T.StructField("cell", T.LongType()), T.StructField("embedding", kind)])), "centroids")
+    centroids = fitted.join(sizes, group).withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)))
+    centroids = centroids.select(named("share"), F.col("cell").alias("class"), F.lit(None).cast("long").alias("n"), *group, "embedding")
+    vectors = classes.join(sizes, group).select(named(F.pmod(F.xxhash64("class"), F.col("shares"))), "class", "n", *group, "embedding")
+    dealt = vectors.union(centroids).repartition(tasks, "key").sortWithinPartitions("key", F.asc_nulls_first("n"))
+    fields = [T.StructField("cell", T.IntegerType()), T.StructField("home", T.BooleanType()), *(classes.schema[c] for c in ("label", "dim", "class", "n", "embedding"))]
+    return staging.staged(dealt.mapInArrow(_place(threshold), T.StructType(fields)), "cells")
+
+
 def _least(nodes: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The least index that each of ``nodes`` indices reaches over the edges (a, b)."""
     low = np.arange(nodes)
@@ -238,10 +271,7 @@ def embedding_components(vectors: DataFrame, threshold: float = THRESHOLD) -> Da
     numbered = grouped.filter(F.col("least").isNotNull()).select("label", F.size("embedding").alias("dim"), F.monotonically_increasing_id().alias("class"), "n", "embedding", "least", *key)
     classes = staging.staged(numbered, "classes")
 
-    plain = classes.select("label", "dim", "class", "n", "embedding")
-    centroids = _fit(classes)
-    placed = plain.mapInArrow(_place(centroids, threshold), T.StructType([T.StructField("cell", T.IntegerType()), T.StructField("home", T.BooleanType()), *plain.schema.fields])) if centroids else plain.withColumns({"cell": F.lit(0), "home": F.lit(True)})
-    met = _block_pairs(staging.staged(placed, "cells") if centroids else placed).repartition(staging.shuffle_partitions(spark), "key").sortWithinPartitions("key")
+    met = _block_pairs(_placed(classes, threshold)).repartition(staging.shuffle_partitions(spark), "key").sortWithinPartitions("key")
     found = staging.staged(met.mapInArrow(_compare(threshold), "a long, b long, links long"), "links")
 
     links = found.groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links"))

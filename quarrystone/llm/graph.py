@@ -36,8 +36,8 @@ def components(edges: DataFrame) -> DataFrame:
     for later in maps[1:]:
         step = later.select(F.col("node").alias("root"), F.col("up").alias("next"))
         moved = roots.join(step, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
-        roots = moved.union(later.select("node", F.col("up").alias("root")).join(roots.select("node"), "node", "left_anti"))
-    roots = staging.staged(roots, "roots")
+        # Staged: it is named twice a round.
+        roots = staging.staged(moved.union(later.select("node", F.col("up").alias("root")).join(roots.select("node"), "node", "left_anti")), "roots")
     tops = roots.select(F.col("root").alias("node")).distinct()
     return roots.union(tops.select("node", F.col("node").alias("root")))
 

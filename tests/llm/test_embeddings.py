@@ -97,3 +97,23 @@ def test_spherical_kmeans_finds_directions():
     v /= np.linalg.norm(v, axis=1, keepdims=True)
     c = e.spherical_kmeans(v, 4)
     assert np.allclose(np.linalg.norm(c, axis=1), 1) and np.allclose(np.sort((c @ axes.T).max(axis=0)), 1, atol=0.02)
+
+
+def test_small_labels_go_through_cells(spark, monkeypatch):
+    """Every label is cut into cells, those of a few vectors too, and a pair that lies across two cells is found."""
+    placed = []
+    plain = e._placed
+    monkeypatch.setattr(e, "_placed", lambda *a: placed.append(plain(*a)) or placed[-1])
+    rng = np.random.default_rng(11)
+    rows = [(i, (np.array([np.cos(a := 0.004 * i), np.sin(a), 0.0, 0.0]) + 0.001 * rng.normal(size=4)).tolist(), i // 200) for i in range(300)] + [(999, [1.0, 2.0, 3.0, 4.0], 7)]
+    got = e.embedding_components(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA.replace("float", "double")).repartition(3)).collect()
+    links, comps = expected(rows)
+    assert {r.vec_id: r.n_links for r in got} == links and {r.vec_id: r.component_id for r in got} == comps
+    cells = {r["label"]: r["cells"] for r in placed[0].filter("home").groupBy("label").agg(e.F.count_distinct("cell").alias("cells")).collect()}
+    assert cells == {"0": 2, "1": 2, "7": 1} and placed[0].filter("NOT home").count() > 0
+
+
+def test_components_of_any_magnitude(spark):
+    rows = [(1, [1e300, 1e300], 0), (2, [1e-300, 1.01e-300], 0), (3, [3.0, -3.0], 0), (4, [-1e308, 1e308], 0), (5, [1e308, -1.1e308], 0), (6, [5e-324, 0.0], 0), (7, [2.0, 0.1], 0)]
+    got = e.embedding_components(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA.replace("float", "double"))).collect()
+    assert sorted((r.vec_id, r.component_id) for r in got) == [(1, 1), (2, 1), (3, 3), (4, 4), (5, 3), (6, 6), (7, 6)]
