@@ -634,6 +634,70 @@ def q_article_links(s, d):
     return links.article_links(b.site_links(s, d), _base()).select("page_url", "pos", "url", "title")
 
 
+@query
+def q_post_links(s, d):
+    """Blocks' links titled by headings of a post's class, which every other block has."""
+    rows = b.site_links(s, d).withColumn("heading_class", F.when(F.col("block") % 2 == 0, "entry-title large"))
+    return links.post_links(rows, _base()).select("page_url", "pos", "url", "title")
+
+
+@query
+def q_swc_entries(s, d):
+    """Weakness entries by title or address, and known ones whose address is new."""
+    at = F.col("pos")
+    text = F.when(at % 4 == 0, F.concat(F.lit("swc "), (at + 100).cast("string"))).otherwise(F.col("text"))
+    href = F.when(at % 4 == 1, F.concat(F.lit("/docs/SWC-"), at.cast("string"))).otherwise(F.concat(F.lit("/docs/"), (at % 9).cast("string")))
+    known = b.table(s, d, "nation").select(F.concat(F.lit("SWC-"), F.col("n_nationkey").cast("string")).alias("swc_id"), F.col("n_name").alias("title"), F.concat(F.lit("https://known/"), F.col("n_nationkey").cast("string")).alias("url"))
+    return links.swc_entries(b.site_links(s, d).withColumns({"text": text, "href": href}), _base(), known)
+
+
+@query
+def q_top_entries(s, d):
+    """Numbered entries of links, and headings that no link names."""
+    at = F.col("pos")
+    text = F.when(at % 3 == 0, F.concat(F.lit("SC"), (at % 12).cast("string"), F.lit(" thing"))).otherwise(F.col("text"))
+    href = F.when(at % 5 == 0, F.concat(F.lit("/top/sc"), at.cast("string"))).otherwise(F.concat(F.lit("/docs/"), (at % 9).cast("string")))
+    sections = b.table(s, d, "pages").select(F.col("url").alias("page_url"), F.concat(F.lit("s"), F.col("page_id").cast("string")).alias("section_id"), F.when(F.col("page_id") % 4 != 0, "Heading").otherwise("").alias("title"))
+    return links.top_entries(b.site_links(s, d).withColumns({"text": text, "href": href}), sections, _base())
+
+
+@query
+def q_section_bodies(s, d):
+    """Headings and the sections that their ids name, one in three without one."""
+    pages = b.table(s, d, "pages").select(F.col("url").alias("page_url"), F.explode(F.sequence(F.lit(0), (F.col("page_id") % 4).cast("int"))).alias("i"), "page_id", F.length("html").alias("body"))
+    headings = pages.select("page_url", F.concat(F.lit("s"), F.col("i").cast("string")).alias("section_id"), F.concat(F.lit("t"), F.col("page_id").cast("string")).alias("title"))
+    bodies = pages.filter((F.col("page_id") + F.col("i")) % 3 != 0).select("page_url", F.concat(F.lit("s"), F.col("i").cast("string")).alias("section_id"), "body")
+    return links.section_bodies(headings, bodies)
+
+
+@query
+def q_response_complete(s, d):
+    """Which recorded responses are whole: without an id, without a source, empty, cut off and whole ones."""
+    kind, doc = F.col("doc_id") % 6, F.col("doc_id").cast("string")
+    whole = F.to_json(F.struct(doc.alias("id"), F.struct(F.col("lang")).alias("source"), "text"))
+    value = F.when(kind == 0, F.to_json(F.struct(F.lit("").alias("id"), F.struct(F.col("lang")).alias("source")))).when(kind == 1, F.to_json(F.struct(doc.alias("id")))).when(kind == 2, F.concat(F.lit('{"id":"'), doc, F.lit('","source":{}}'))).when(kind == 3, F.expr("left(" + "concat('{\"id\":\"', doc_id, '\",\"source\":{\"a\":1}')" + ", 99)")).otherwise(whole)
+    return b.table(s, d, "documents").select("doc_id", ocr.response_complete(value).alias("complete"))
+
+
+@query
+def q_file_kinds(s, d):
+    """Suffixes of every kind to what the extraction service is told of them."""
+    suffix = F.element_at(F.array(*map(F.lit, (".pdf", ".PDF", ".png", ".jpg", ".jpeg", ".webp"))), (F.col("doc_id") % 6 + 1).cast("int"))
+    path = F.concat(F.lit("a/b.c/"), F.col("doc_id").cast("string"), suffix)
+    return b.table(s, d, "documents").select(path.alias("path"), scalars.ocr_kind(path).alias("kind"), scalars.mime_type(path).alias("mime"))
+
+
+@query
+def q_budget_lines(s, d):
+    return runs.budget_table(b.phases(s, d), 6.2496)
+
+
+@query
+def q_source_json(s, d):
+    rows = b.registry_sources(s, d).withColumn("category", F.when(F.col("position") % 5 != 0, F.col("category")))
+    return registry.source_json(rows)
+
+
 @query
 def q_generic_articles(s, d):
     return links.generic_articles(b.site_links(s, d), _base()).select("page_url", "pos", "url", "title")

@@ -274,6 +274,25 @@ ORACLES: dict[str, str] = {
       kept AS (SELECT page_url, pos, url, title FROM (SELECT *, row_number() OVER (PARTITION BY page_url, url ORDER BY pos) AS place FROM one WHERE turn = 1 AND length(title) >= 4) WHERE place = 1),
       plain AS (SELECT page_url, pos, url, title FROM (SELECT *, row_number() OVER (PARTITION BY page_url, url ORDER BY pos) AS turn FROM here) WHERE turn = 1 AND length(title) >= 4)
       SELECT * FROM kept UNION ALL SELECT * FROM plain WHERE page_url NOT IN (SELECT page_url FROM kept)""",
+    "post_links": f"""WITH {SITE}, one AS (SELECT page_url, pos, url, CASE WHEN block % 2 = 0 THEN coalesce(nullif(heading, ''), title) ELSE title END AS title, row_number() OVER (PARTITION BY page_url, block ORDER BY pos) AS turn FROM here WHERE block IS NOT NULL),
+      kept AS (SELECT page_url, pos, url, title FROM (SELECT *, row_number() OVER (PARTITION BY page_url, url ORDER BY pos) AS place FROM one WHERE turn = 1 AND length(title) >= 6) WHERE place = 1),
+      plain AS (SELECT page_url, pos, url, title FROM (SELECT *, row_number() OVER (PARTITION BY page_url, url ORDER BY pos) AS turn FROM here) WHERE turn = 1 AND length(title) >= 6)
+      SELECT * FROM kept UNION ALL SELECT * FROM plain WHERE page_url NOT IN (SELECT page_url FROM kept)""",
+    "swc_entries": f"""WITH {SITE}, x AS (SELECT page_url, pos, base || CASE WHEN pos % 4 = 1 THEN '/docs/SWC-' || pos ELSE '/docs/' || pos % 9 END AS url, CASE WHEN pos % 4 = 0 THEN 'swc ' || (pos + 100) ELSE title END AS title,
+        CASE pos % 4 WHEN 0 THEN 'SWC-' || (pos + 100) WHEN 1 THEN 'SWC-' || pos END AS swc_id FROM here),
+      f AS (SELECT swc_id, title, url FROM (SELECT *, row_number() OVER (PARTITION BY page_url, url ORDER BY pos) AS turn FROM x WHERE swc_id IS NOT NULL) WHERE turn = 1)
+      SELECT * FROM f UNION ALL SELECT 'SWC-' || n_nationkey, n_name, 'https://known/' || n_nationkey FROM nation WHERE 'https://known/' || n_nationkey NOT IN (SELECT url FROM f)""",
+    "top_entries": f"""WITH {SITE}, x AS (SELECT page_url, pos, CASE WHEN pos % 5 = 0 THEN '/top/sc' || pos ELSE '/docs/' || pos % 9 END AS href, base, CASE WHEN pos % 3 = 0 THEN 'SC' || pos % 12 || ' thing' ELSE title END AS title,
+        CASE WHEN pos % 3 = 0 THEN 'SC' || CASE WHEN pos % 12 < 10 THEN '0' ELSE '' END || pos % 12 END AS sc_id FROM here),
+      f AS (SELECT sc_id, title, base || href AS url FROM (SELECT *, row_number() OVER (PARTITION BY page_url, base || href ORDER BY pos) AS turn FROM x WHERE title <> '' AND (sc_id IS NOT NULL OR pos % 5 = 0)) WHERE turn = 1)
+      SELECT * FROM f UNION ALL SELECT NULL, 'Heading', url || '#s' || page_id FROM pages WHERE page_id % 4 <> 0 AND url || '#s' || page_id NOT IN (SELECT url FROM f)""",
+    "section_bodies": """SELECT url AS page_url, 's' || i AS section_id, 't' || page_id AS title, length(html)::INT AS body FROM (SELECT *, unnest(range(0, page_id % 4 + 1)) AS i FROM pages) WHERE (page_id + i) % 3 <> 0""",
+    "response_complete": "SELECT doc_id, doc_id % 6 > 3 AS complete FROM documents",
+    "file_kinds": """WITH k AS (SELECT doc_id, (['.pdf', '.PDF', '.png', '.jpg', '.jpeg', '.webp'])[doc_id % 6 + 1] AS suffix FROM documents)
+      SELECT 'a/b.c/' || doc_id || suffix AS path, CASE WHEN lower(suffix) = '.pdf' THEN 'pdf' ELSE 'image' END AS kind,
+        CASE lower(suffix) WHEN '.pdf' THEN 'application/pdf' WHEN '.png' THEN 'image/png' WHEN '.webp' THEN 'image/webp' ELSE 'image/jpeg' END AS mime FROM k""",
+    "budget_lines": f"""WITH {PHASES} SELECT name, format('{{:<28s}} {{:4d}} x {{:8.2f}} h = {{:10.2f}} h  ${{:12.2f}}', name, gpu_count, hours, gpu_count * hours, gpu_count * hours * 6.2496::DOUBLE) AS line FROM phases""",
+    "source_json": f"""WITH {PARTS} SELECT name, source_type, '{{"name":"' || name || '","source_type":"' || source_type || CASE WHEN position % 5 <> 0 THEN '","category":"' || category ELSE '' END || '","priority":"' || priority || '","position":' || position || '}}' AS source FROM parts""",
     "generic_articles": f"""WITH {SITE}, k AS (SELECT *, CASE WHEN block IS NOT NULL AND under = 'h2' THEN 0 WHEN block IS NOT NULL AND under = 'h1' THEN 1 WHEN under IS NOT NULL THEN 2 WHEN block IS NOT NULL THEN 3 END AS rank FROM here WHERE length(title) >= 3),
       r AS (SELECT *, row_number() OVER (PARTITION BY page_url, href ORDER BY rank, pos) AS turn FROM k WHERE rank IS NOT NULL) SELECT page_url, pos, url, title FROM r WHERE turn = 1""",
     "link_details": f"""WITH {SITE}, r AS (SELECT *, row_number() OVER (PARTITION BY page_url, url ORDER BY pos) AS turn FROM here WHERE title <> '' AND starts_with(href, '/reports/'))

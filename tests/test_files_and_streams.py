@@ -8,7 +8,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from quarrystone.sources import files, jsonl, storage, tail
+from quarrystone.sources import files, jsonl, scrapers, storage, tail
 from quarrystone.streaming import progress
 
 
@@ -164,3 +164,34 @@ def test_line_numbers_over_many_splits(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+class Audits(scrapers.Scraper):
+    """A user's scraper: an item a heading."""
+
+    @classmethod
+    def name(cls):
+        return "audits_of_a_site"
+
+    def items(self, uri, raw):
+        assert b"never open this" not in raw
+        for title in raw.decode().split("\n"):
+            if title:
+                yield {"title": title, "url": f"https://a/{title}", "pdf_links": [title], "source": "site"}
+
+
+def test_a_users_scraper_runs_by_name(spark, tmp_path):
+    for name, text in {"a/1.html": "x\ny", "a/2.html": "z", "b/c/3.HTML": "w", "b/4.txt": "never open this", "0.html": "r", "shut/5.html": "never open this"}.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text)
+    assert scrapers.register(spark, Audits) == "audits_of_a_site"
+    rows = spark.read.format("audits_of_a_site").option("path", str(tmp_path)).load()
+    with pytest.raises(Exception, match="AssertionError"):
+        rows.collect()
+    some = scrapers.scraped(spark, Audits, str(tmp_path), folders=["a", "b/c", "", "none"])
+    assert some.rdd.getNumPartitions() == 3
+    assert sorted((r.folder, r.file, r.title, r.pdf_links) for r in some.collect()) == [("", "0.html", "r", ["r"]), ("a", "1.html", "x", ["x"]), ("a", "1.html", "y", ["y"]), ("a", "2.html", "z", ["z"]), ("b/c", "3.HTML", "w", ["w"])]
+    assert some.filter("folder = 'a'").count() == 3 and some.count() == 5 and some.filter("folder = 'b/c'").count() == 1
+    assert [r.title for r in scrapers.scraped(spark, Audits, str(tmp_path), ["a"], ["2.html"]).collect()] == ["z"]
+    assert scrapers.scraped(spark, Audits, str(tmp_path), []).count() == 0
+    assert [r.title for r in scrapers.scraped(spark, scrapers.Scraper, str(tmp_path), ["a"]).select("title").collect()] == [None, None]
