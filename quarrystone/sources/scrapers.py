@@ -67,7 +67,9 @@ class _Reader(DataSourceReader):
             queue += [e[0] for e in storage.entries(uri) if e[1]]
         return [Folder(uri) for uri in sorted(found) if "folder" not in self.wanted or self._below(uri) in self.wanted["folder"]]
 
-    def read(self, partition: Folder) -> Iterator[tuple]:
+    def read(self, partition: Folder | None) -> Iterator[tuple]:
+        if partition is None:  # no folder at all
+            return
         for uri, is_folder, _, _ in sorted(storage.entries(partition.uri)):
             name = uri.rsplit("/", 1)[-1]
             if is_folder or not name.lower().endswith(self.suffix) or name not in self.wanted.get("file", {name}):

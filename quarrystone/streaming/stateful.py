@@ -21,14 +21,14 @@ def _keyed_state(spark: SparkSession) -> None:
 
 class TrailingCalls(StatefulProcessor):
     """Calls by second, and the calls of seconds that aren't complete yet. A second's timer goes off when the watermark has passed it, in order of
-    time: then all of its calls are known. Seconds leave one period later, by the same timers, so a silent service keeps nothing."""
+    time: then all of its calls are known. Seconds leave with the first timer a period later, of which each period of calls has one of its own, so a silent service keeps nothing."""
 
     def __init__(self, period: int, most: int) -> None:
         self.period, self.most = period, most
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.calls = handle.getMapState("calls", "second long", "n long")
+        self.calls = handle.getValueState("calls", "seconds array<long>, counts array<long>")
         self.waiting = handle.getMapState("waiting", "second long", "ids array<string>")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
@@ -36,27 +36,27 @@ class TrailingCalls(StatefulProcessor):
         for row in rows:
             new.setdefault(row["second"], []).append(row["id"])
         for second, ids in new.items():
-            held = self.waiting.getValue((second,)) if self.waiting.containsKey((second,)) else None
+            held = self.waiting.getValue((second,))
             self.waiting.updateValue((second,), ((list(held[0]) if held else []) + ids,))
             self.handle.registerTimer((second + 1) * 1000)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = expiredTimerInfo.getExpiryTimeInMs() // 1000 - 1
-        ids = []
-        if self.waiting.containsKey((now,)):
-            ids = list(self.waiting.getValue((now,))[0])
+        held = self.calls.get() or ([], [])
+        calls = [(second, n) for second, n in zip(*held) if second > now - self.period]
+        held = self.waiting.getValue((now,))
+        ids = list(held[0]) if held else []
+        if ids:
             self.waiting.removeKey((now,))
-            self.calls.updateValue((now,), (len(ids),))
-            self.handle.registerTimer((now + self.period + 1) * 1000)
-        earlier, gone = -1, []
-        for (second,), (n,) in self.calls.iterator():
-            if second <= now - self.period:
-                gone.append(second)
-            else:
-                earlier += n
-        for second in gone:
-            self.calls.removeKey((second,))
+            calls.append((now, len(ids)))
+            # One timer a period clears what a silent service leaves.
+            self.handle.registerTimer((now // self.period + 2) * self.period * 1000 + 1000)
+        if calls:
+            self.calls.update(([second for second, _ in calls], [n for _, n in calls]))
+        else:
+            self.calls.clear()
+        earlier = sum(n for _, n in calls) - 1
         for i in ids:
             yield Row(service=key[0], second=now, id=i, earlier=earlier, can_proceed=earlier < self.most)
 
