@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarrystone import shared
 from quarrystone.functions import html, scalars
 from quarrystone.functions.content import content_text, render_messages
 from quarrystone.operators import inventory, links, metrics, ocr, ordering, retrieval, runs, search, training
 from quarrystone.plans import bindings as b
+from quarrystone.sources import dumps, registry, sinks
 from quarrystone.sources import files as file_sources
-from quarrystone.sources import registry, sinks
 from quarrystone.streaming import progress, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -857,3 +858,12 @@ def q_stream_sliding_calls(s, d):
     calls = progress.sliding_calls(events.withColumn("at", F.col("ts").cast("timestamp")), "at", "event_type", "1 hour", "30 minutes")
     counts = calls.select("event_type", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("start"), "calls")
     return progress.run_to_table(counts, ["event_type", "start"])
+
+
+@query
+def q_sql_dump(s, d):
+    """Documents written as a SQL dump and read back from it."""
+    docs = b.table(s, d, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    path = shared.folder(s, "sql")
+    dumps.dump_statements(docs, "documents").write.text(path)
+    return dumps.dump_table(dumps.sql_dump(s, path, names=r"^part-"), "documents", docs.schema)
