@@ -1,14 +1,15 @@
 """Operator 1, PII surrogates: keyed, type-consistent replacements with global collision checks.
 
-Entities: e-mail addresses, telephone numbers, IPv4 addresses, payment cards, US social security numbers,
-IBANs, vendor tokens and assigned secrets, and titled person names. An entity's normal form (an address in
+Entities: e-mail addresses, telephone numbers, IPv4 and IPv6 addresses, payment cards, US social security numbers,
+IBANs, vendor tokens, web tokens, private keys and assigned secrets, and titled person names. Numbers without a layout of their own
+(nine digits, national telephone numbers) count behind a word that names them; names without a title only where the text has them with one. An entity's normal form (an address in
 lower case, a number's digits, a name without its title's case) is what corefers: every mention of one normal form in
 the corpus gets one surrogate, rendered in that mention's own layout. Surrogates come from HMAC-SHA256 of
 key, kind, normal form and attempt, so they need the key to be undone or linked, and keep
 
 * layout: punctuation, spacing, letter case, hexadecimal or alphanumeric alphabet, length (addresses, names, tokens and
   secrets get longer by one character or syllable for every eight attempts that clash);
-* validity: Luhn digits of cards, check digits of IBANs, octet ranges, never-issued social security areas,
+* validity: Luhn digits of cards, check digits of IBANs, octet ranges, IPv6 addresses of the range for documentation, never-issued social security areas,
   reserved mail domains;
 * gender and script of names, both read from the title and the given name.
 
@@ -37,6 +38,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 import hmac
+import ipaddress
 import re
 import secrets
 import warnings
@@ -70,23 +72,29 @@ SYLLABLES = {
 ENDINGS = {"latin": {"f": "", "m": "", "n": ""}, "cyrillic": {"f": "ова", "m": "ов", "n": "енко"}, "greek": {"f": "ίδου", "m": "ίδης", "n": "άκη"}}
 # Titles that name a gender.
 TITLES = {
-    "f": "Mrs Ms Frau Mme Madame Mlle Señora Señorita Sra Srta Госпожа Κυρία",
-    "m": "Mr Mister Herr Monsieur Señor Sr Господин Κύριος",
-    "n": "Dr Prof Professor",
+    "f": "Mrs Ms Miss Frau Mme Madame Mlle Señora Señorita Sra Srta Doña señora señorita doña Госпожа госпожа Г-жа г-жа Κυρία κυρία MRS MME FRAU",
+    "m": "Mr Mister Herr Herrn Monsieur Señor Sr Don señor don Господин господин Г-н г-н Κύριος κύριος MR HERR",
+    "n": "Dr Prof Professor PROF",
 }
 _GENDER = {t: g for g, names in TITLES.items() for t in names.split()}
 _NAMED = {n.lower(): g for by in GIVEN.values() for g, names in by.items() for n in names.split()}
+#: Letters and digits of alphabets whose words stand apart.
+_LETTER = "A-Za-zÀ-ÖØ-öø-ɏͰ-ӿ"
 _WORD = r"[^\W\d_](?:[^\W\d_]|['’-](?=[^\W\d_]))*(?!\w)"
 
 #: Patterns in order of precedence, each with the characters a text must hold for it to be tried.
 PATTERNS = [
-    ("email", "@", re.compile(r"(?<![\w.+-])[A-Za-z0-9][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")),
-    ("token", None, re.compile(r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35})(?![A-Za-z0-9])")),
+    ("email", "@", re.compile(rf"(?<![\w.+-])[{_LETTER}0-9][\w.+-]*@[{_LETTER}0-9-]+(?:\.[{_LETTER}0-9-]+)*\.[{_LETTER}]{{2,}}")),
+    ("secret", None, re.compile(r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----([A-Za-z0-9+/=\s]{16,})-----END ")),
+    ("token", None, re.compile(r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]{8,}(?:\.[A-Za-z0-9_-]{8,}){2})(?![A-Za-z0-9])")),
     ("secret", "=:", re.compile(r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s*[=:]\s*[\"']?((?=[^\s\"']*\d)[^\s\"',;]{7,}[A-Za-z0-9])")),
     ("iban", None, re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")),
     ("card", None, re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,}(?![\w-])")),
     ("phone", None, re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])|(?<![\w.])\+\d{1,3}(?:[ .-]?\(?\d{2,5}\)?){2,5}(?![\w-])")),
+    ("phone", None, re.compile(r"(?i)\b(?:tel|telefon|telephone|phone|mobile|fax)\b\.?\s?:?\s?(0\d{1,4}[ /-]\d{5,8})(?![\w-])")),
     ("ssn", "-", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")),
+    ("ssn", None, re.compile(r"(?i)\b(?:ssn|social security(?: number| no\.?)?)\s?[:#]?\s?(\d{9})(?![\w-])")),
+    ("ip6", ":", re.compile(r"(?<![\w:.])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![\w:]|\.\d)")),
     ("ip", ".", re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)")),
     ("name", None, re.compile(rf"\b(?:{'|'.join(sorted(_GENDER, key=len, reverse=True))})\b\.? +({_WORD}(?: +{_WORD}){{0,2}})")),
 ]
@@ -118,6 +126,15 @@ def _normal(kind: str, surface: str, match: re.Match) -> str | None:
     if kind == "ip":
         parts = surface.split(".")
         return ".".join(str(int(p)) for p in parts) if all(int(p) < 256 for p in parts) else None
+    if kind == "ip6":
+        try:
+            address = ipaddress.IPv6Address(surface)
+        except ValueError:
+            return None
+        # Names that are joined by two colons may read as short addresses.
+        groups = [g for g in surface.split(":") if g]
+        sure = _DIGIT.search(surface) and (len(groups) > 2 or len(groups[0]) == 4 and _DIGIT.search(groups[0]))
+        return address.compressed if sure else None
     if kind in ("card", "phone", "ssn"):
         digits = "".join(_DIGIT.findall(surface))
         if kind == "card":
@@ -137,7 +154,8 @@ def _normal(kind: str, surface: str, match: re.Match) -> str | None:
             if not w[0].isupper() or _script(w.lower()) != _script(surface.lower()):
                 break
             words.append(w)
-        if not words:
+        # A title in capitals may be an abbreviation, unless the name is in capitals too.
+        if not words or (title.isupper() and not words[0].isupper()):
             return None
         gender = _GENDER[title]
         if gender == "n" and len(words) > 1:
@@ -230,7 +248,7 @@ def detect(text: str | None) -> list[tuple[int, int, str, str]]:
     digits, titled = _DIGIT.search(text), _TITLED.search(text)
     found = []
     for rank, (kind, needs, pattern) in enumerate(PATTERNS):
-        if (needs and not any(c in text for c in needs)) or (not digits and kind not in ("email", "name")) or (kind == "name" and not titled):
+        if (needs and not any(c in text for c in needs)) or (not digits and kind not in ("email", "name", "secret")) or (kind == "name" and not titled):
             continue
         found += [(begin, rank, end, kind, norm) for begin, end, norm in _found(kind, pattern, text)]
     out = _disjoint((begin, end, kind, norm) for begin, _, end, kind, norm in sorted(found))
@@ -330,10 +348,13 @@ def surrogate(key: str, kind: str, norm: str, attempt: int = 0) -> str:
         local, domain = norm.rsplit("@", 1)
         host = _Stream(key, "domain", domain, 0)
         name = "".join(host.like("a") for _ in range(8))
-        return "".join(s.like(c) for c in local + "a" * wider) + f"@{name}.example.{('com', 'net', 'org')[host.below(3)]}"
+        return "".join(s.like(c if c.isascii() else "a") for c in local + "a" * wider) + f"@{name}.example.{('com', 'net', 'org')[host.below(3)]}"
     if kind == "ip":
         first = 1 + s.below(222)
         return ".".join([*map(str, (first + (first >= 127), s.below(256), s.below(256), 1 + s.below(254))), *more])
+    if kind == "ip6":
+        # Of the range that is reserved for documentation.
+        return ipaddress.IPv6Address("2001:db8:" + ":".join(f"{1 + s.below(65535):x}" for _ in range(6))).compressed
     if kind == "card":
         body = norm[0] + "".join(str(s.below(10)) for _ in norm[2:]) + more
         valid = luhn(norm) == 0
@@ -350,7 +371,7 @@ def surrogate(key: str, kind: str, norm: str, attempt: int = 0) -> str:
         body = "".join(s.like(c) for c in norm[4:]) + more
         return f"{norm[:2]}{98 - iban_rest(norm[:2] + '00' + body):02d}{body}"
     if kind == "token":
-        head = re.match(r"AKIA|gh._|sk-|xox.-|AIza", norm).end()
+        head = re.match(r"AKIA|gh._|sk-|xox.-|AIza|eyJ", norm).end()
         return norm[:head] + "".join(s.like(c) for c in norm[head:] + "a" * wider)
     if kind == "name":
         gender, words, name = norm.split("|")
@@ -388,7 +409,7 @@ def render(kind: str, surface: str, new: str) -> str:
         gaps = re.findall(r"\s+", surface)
         shaped = [w.upper() if upper else w[0].upper() + w[1:] for w in words]
         return "".join(a + b for a, b in zip(shaped, [*gaps, ""]))
-    if kind == "email" and surface.isupper():
+    if kind in ("email", "ip6") and surface.isupper():
         return new.upper()
     return new
 

@@ -167,3 +167,56 @@ def lloyd(vectors, k=8, dim=64, rounds=10):
             own.setdefault(near(v)[1], []).append(v)
         cents = [[sum(x) // len(own[j]) for x in zip(*own[j])] if j in own else c for j, c in enumerate(cents)]
     return {i: near(v)[::-1] for i, v in ok.items()}, cents
+
+
+def _bare(word, ends=".,;:!?()[]\"'"):
+    return word.strip(ends)
+
+
+def _luhn(digits):
+    doubled = [int(d) * 2 if i % 2 else int(d) for i, d in enumerate(digits[::-1])]
+    return sum(d // 10 + d % 10 for d in doubled) % 10 == 0
+
+
+def _iban(text):
+    moved = text[4:] + text[:4]
+    return int("".join(c if c.isdigit() else str(ord(c) - 55) for c in moved)) % 97 == 1
+
+
+def personal(text):
+    """(kind, normal form) of what a reader finds word by word: addresses, social security numbers, cards, IBANs and names behind Mrs, Mr, Frau, Herr, Mme."""
+    found, tokens = set(), (text or "").split()
+    for i, token in enumerate(tokens):
+        word = _bare(token)
+        local, _, domain = word.partition("@")
+        if local and "." in domain and domain.rsplit(".", 1)[1].isalpha() and local[0].isalnum():
+            found.add(("email", word.lower()))
+        parts = word.split(".")
+        if len(parts) == 4 and all(p.isdigit() and int(p) < 256 for p in parts):
+            found.add(("ip", ".".join(str(int(p)) for p in parts)))
+        dashed = word.split("-")
+        if [len(p) for p in dashed] == [3, 2, 4] and "".join(dashed).isdigit():
+            found.add(("ssn", "".join(dashed)))
+        if len(word) == 16 and word.isdigit() and _luhn(word):
+            found.add(("card", word))
+        four = [_bare(t) for t in tokens[i : i + 4]]
+        if [len(p) for p in four] == [4] * 4 and "".join(four).isdigit() and _luhn("".join(four)):
+            found.add(("card", "".join(four)))
+        if [len(p) for p in dashed] == [4] * 4 and "".join(dashed).isdigit() and _luhn("".join(dashed)):
+            found.add(("card", "".join(dashed)))
+        if word[:2].isupper() and word[:2].isalpha() and word[2:4].isdigit():
+            for j in range(i + 1, min(i + 10, len(tokens)) + 1):
+                joined = "".join(_bare(t) for t in tokens[i:j])
+                if 15 <= len(joined) <= 34 and joined.isalnum() and joined.isupper() and _iban(joined):
+                    found.add(("iban", joined))
+        if word in ("Mrs", "Mr", "Frau", "Herr", "Mme") and token.rstrip(".").endswith(word):
+            names = []
+            for t in tokens[i + 1 : i + 4]:
+                if not t[0].isupper() or not _bare(t).isalpha():
+                    break
+                names.append(_bare(t))
+                if t != _bare(t):
+                    break
+            if names:
+                found.add(("name", " ".join(names).lower()))
+    return found
