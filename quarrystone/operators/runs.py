@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -141,13 +142,71 @@ def phase_summary(phases: list[DataFrame]) -> DataFrame:
 
 
 def scored_matches(reports: DataFrame, repositories: DataFrame, key: str, evidence: dict[str, Column]) -> DataFrame:
-    """The best repository of each report on a shared key, by weighted evidence, with a confidence class."""
+    """The best repository of each report on a shared key, by weighted evidence, with a confidence class.
+
+    Evidence is any condition on a pair, so all pairs of a key are made: for keys of few repositories. ``best_matches`` makes none.
+    """
     score = F.lit(0.0)
     for condition in evidence.values():
         score = score + F.when(condition, 1.0 / len(evidence)).otherwise(0.0)
     rows = reports.join(repositories, key).withColumn("score", score)
     best = rows.withColumn("_turn", F.row_number().over(Window.partitionBy("pdf_id").orderBy(F.desc("score"), "repo_id"))).filter("_turn = 1").drop("_turn")
-    return best.withColumn("confidence", F.when(F.col("score") >= 0.99, "exact").when(F.col("score") >= 0.5, "probable").otherwise("weak"))
+    return best.withColumn("confidence", confidence(F.col("score")))
+
+
+def confidence(score: Column) -> Column:
+    return F.when(score >= 0.99, "exact").when(score >= 0.5, "probable").otherwise("weak")
+
+
+def best_matches(reports: DataFrame, repositories: DataFrame, key: str, same: dict[str, tuple[Column, Column]], near: dict[str, tuple[Column, Column, int]] | None = None) -> DataFrame:
+    """(pdf_id, repo_id, score, confidence): the best repository of each report on a shared key, without a pair of both being made.
+
+    Evidence is what a report and a repository have the ``same`` of (two columns of one type; null agrees with nothing), and for at most one
+    name two whole numbers ``near`` each other, less than so much apart. The score is the share of evidence that agrees; of equal scores the smallest
+    repo_id wins. For each subset of evidence the smallest repo_id is aggregated by the values of that subset, so a report meets one
+    row a subset, however many repositories share its key. Near numbers meet in dyadic intervals: a repository stands in one
+    interval a level, a report asks for the few that make up its range. Reports whose key no repository has, or is null, have no row; those of one pdf_id are one.
+    """
+    if len(near or {}) > 1:
+        raise ValueError("one near number at most")
+    subsets = [s for k in range(len(same) + 1) for s in itertools.combinations(same, k)]
+    # Named this way, since aliases inside of conditions are lost.
+    named = lambda **fields: F.named_struct(*(c for name, v in fields.items() for c in (F.lit(name), v)))
+    node = lambda level, prefix: named(level=F.lit(level), prefix=prefix)
+    whole = F.array(node(-1, F.lit(0).cast("long")))
+    held, asked = whole, whole
+    shifted = lambda number, level: F.call_function("shiftright", number, level)
+    for mine, theirs, width in (near or {}).values():
+        there, low, high = theirs.cast("long"), mine.cast("long") - width + 1, mine.cast("long") + width
+        levels = F.sequence(F.lit(0), F.lit((2 * width).bit_length()))
+        held = F.when(there.isNull(), whole).otherwise(F.concat(whole, F.transform(levels, lambda level: node(level, shifted(there, level)))))
+
+        # What is left of [low, high) at a level: odd ends are intervals of their own, the rest goes a level up.
+        first, end = (lambda level: -shifted(-low, level)), (lambda level: shifted(high, level))
+        left = F.filter(levels, lambda level: (first(level) < end(level)) & (F.abs(first(level) % 2) == 1))
+        right = F.filter(levels, lambda level: (first(level) < end(level)) & (F.abs(end(level) % 2) == 1))
+        ends = F.concat(whole, F.transform(left, lambda level: node(level, first(level))), F.transform(right, lambda level: node(level, end(level) - 1)))
+        asked = F.when(low.isNull(), whole).otherwise(ends)
+
+    def spread(rows: DataFrame, side: int, nodes: Column, *kept: str) -> DataFrame:
+        choices = []
+        for subset in subsets:
+            known, values = F.lit(True), {}
+            for i, name in enumerate(same):
+                mine = same[name][side]
+                values[f"v{i}"] = F.when(F.lit(name in subset), mine)
+                known = known & (mine.isNotNull() | F.lit(name not in subset))
+            choices.append(F.when(known, named(agree=F.lit(len(subset)), of=F.lit(",".join(subset)), **values)))
+        chosen = rows.select(key, *kept, F.array_compact(F.array(*choices)).alias("_all"), nodes.alias("_nodes"))
+        return chosen.select(key, *kept, "_nodes", F.explode("_all").alias("_values")).select(key, *kept, "_values", F.explode("_nodes").alias("_node"))
+
+    # Written, so that the join is of plain exchanges and the reports of a frequent key can be split.
+    least = shared.stored(spread(repositories, 1, held, "repo_id").groupBy(key, "_values", "_node").agg(F.min("repo_id").alias("repo_id")), "matches")
+    met = spread(reports, 0, asked, "pdf_id").join(least, [key, "_values", "_node"])
+    agreed = F.col("_values.agree") + (F.col("_node.level") >= 0).cast("int")
+    best = met.groupBy("pdf_id").agg(F.min(F.struct((-agreed).alias("rank"), "repo_id")).alias("_best"))
+    score = -F.col("_best.rank") / F.lit(float(max(1, len(same) + len(near or {}))))
+    return best.select("pdf_id", F.col("_best.repo_id").alias("repo_id"), score.alias("score")).withColumn("confidence", confidence(F.col("score")))
 
 
 def findings_with_evidence(findings: DataFrame, pages: DataFrame) -> DataFrame:

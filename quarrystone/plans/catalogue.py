@@ -12,7 +12,7 @@ from quarrystone.functions import html, scalars
 from quarrystone.functions.content import content_text, render_messages
 from quarrystone.operators import inventory, links, metrics, ocr, ordering, retrieval, runs, search, training
 from quarrystone.plans import bindings as b
-from quarrystone.sources import dumps, registry, sinks
+from quarrystone.sources import dumps, pdf, registry, sinks
 from quarrystone.sources import files as file_sources
 from quarrystone.streaming import progress, stateful
 
@@ -755,8 +755,10 @@ def q_minimum_quality(s, d):
 def q_scored_matches(s, d):
     reports = b.table(s, d, "customer").select(F.col("c_custkey").alias("pdf_id"), F.col("c_nationkey").alias("nation"), "c_acctbal")
     repositories = b.table(s, d, "supplier").select(F.col("s_suppkey").alias("repo_id"), F.col("s_nationkey").alias("nation"), "s_acctbal")
-    evidence = {"rich": F.col("s_acctbal") > 5000, "close": F.abs(F.col("c_acctbal") - F.col("s_acctbal")) < 1000, "even": F.col("repo_id") % 2 == 0}
-    return runs.scored_matches(reports, repositories, "nation", evidence).select("pdf_id", "repo_id", F.round("score", 6).alias("score"), "confidence")
+    cents = lambda c: F.round(F.col(c) * 100).cast("long")
+    same = {"rich": (F.lit(True), F.nullif(F.col("s_acctbal") > 5000, F.lit(False))), "even": (F.lit(True), F.nullif(F.col("repo_id") % 2 == 0, F.lit(False)))}
+    found = runs.best_matches(reports, repositories, "nation", same, {"close": (cents("c_acctbal"), cents("s_acctbal"), 100_000)})
+    return found.select("pdf_id", "repo_id", F.round("score", 6).alias("score"), "confidence")
 
 
 @query
@@ -867,3 +869,24 @@ def q_sql_dump(s, d):
     path = shared.folder(s, "sql")
     dumps.dump_statements(docs, "documents").write.text(path)
     return dumps.dump_table(dumps.sql_dump(s, path, names=r"^part-"), "documents", docs.schema)
+
+
+@query
+def q_pdf_pages(s, d):
+    """Documents laid out as PDFs of 1,800 characters a page, some with wrong offsets, a few that are none, and the counts read from them."""
+    text = F.coalesce("text", F.lit(""))
+    pages = F.greatest(F.lit(1), F.ceil(F.length(text) / 1800)).cast("int")
+    page = lambda i: F.concat(i + 2, F.lit(" 0 obj\n<< /Type /Page /Parent 2 0 R /Text <"), F.hex(F.encode(F.substr(text, (i - 1) * 1800 + 1, F.lit(1800)), "utf-8")), F.lit("> >>\nendobj\n"))
+    kids = F.array_join(F.transform(F.sequence(F.lit(1), pages), lambda i: F.concat(i + 2, F.lit(" 0 R"))), " ")
+    tree = F.concat(F.lit("2 0 obj\n<< /Type /Pages /Kids ["), kids, F.lit("] /Count "), pages, F.lit(" >>\nendobj\n"))
+    objects = F.concat(F.array(F.lit("1 0 obj\n<< /Type /Catalog /Pages 2 0 R >>\nendobj\n"), tree), F.transform(F.sequence(F.lit(1), pages), page))
+    header = "%PDF-1.4\n"
+    rows = b.table(s, d, "documents").select("doc_id", objects.alias("objects"))
+    places = F.aggregate("objects", F.array(F.lit(len(header))), lambda seen, o: F.concat(seen, F.array(F.element_at(seen, -1) + F.length(o))))
+    rows = rows.withColumn("places", places)
+    lines = F.array_join(F.transform(F.slice("places", 1, F.size("objects")), lambda o: F.concat(F.lpad(o.cast("string"), 10, "0"), F.lit(" 00000 n \n"))), "")
+    wrong = F.when(F.col("doc_id") % 3 == 0, 7).otherwise(0)
+    table = F.concat(F.lit("xref\n0 "), F.size("objects") + 1, F.lit("\n0000000000 65535 f \n"), lines, F.lit("trailer\n<< /Size "), F.size("objects") + 1, F.lit(" /Root 1 0 R >>\n"))
+    whole = F.concat(F.lit(header), F.array_join("objects", ""), table, F.lit("startxref\n"), F.element_at("places", -1) + wrong, F.lit("\n%%EOF\n"))
+    made = rows.select("doc_id", F.when(F.col("doc_id") % 97 == 0, F.lit("<html>")).otherwise(whole).cast("binary").alias("content"))
+    return pdf.page_counts(made, "content").select("doc_id", "page_count", "page_count_error")

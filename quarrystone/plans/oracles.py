@@ -314,6 +314,8 @@ ORACLES: dict[str, str] = {
     "scored_matches": """WITH m AS (SELECT c_custkey AS pdf_id, s_suppkey AS repo_id, (s_acctbal > 5000)::INT + (abs(c_acctbal - s_acctbal) < 1000)::INT + (s_suppkey % 2 = 0)::INT AS n FROM customer JOIN supplier ON c_nationkey = s_nationkey),
       r AS (SELECT *, row_number() OVER (PARTITION BY pdf_id ORDER BY n DESC, repo_id) AS turn FROM m)
       SELECT pdf_id, repo_id, round(n / 3.0::DOUBLE, 6) AS score, CASE n WHEN 3 THEN 'exact' WHEN 2 THEN 'probable' ELSE 'weak' END AS confidence FROM r WHERE turn = 1""",
+    "pdf_pages": """SELECT doc_id, CASE WHEN doc_id % 97 <> 0 THEN greatest(1, ceil(length(coalesce(text, '')) / 1800.0))::INT END AS page_count,
+      CASE WHEN doc_id % 97 = 0 THEN 'no PDF header' END AS page_count_error FROM documents""",
     "sql_dump": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "finding_candidates": "SELECT l_orderkey AS pdf_id, l_suppkey % 3 AS match_id, count(*) AS findings, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS severities FROM lineitem GROUP BY 1, 2",
     "normalized_records": """WITH r AS (SELECT p_brand AS source, 'vulnerability' AS type, 'SWC-' || p_size AS swc_id, NULL::VARCHAR AS cwe_id, lower(upper(p_type)) AS severity, trim(p_name) AS title, NULL::VARCHAR AS description,

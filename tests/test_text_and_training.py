@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,6 +164,32 @@ def test_matches_and_names(spark):
     assert [r.pdf_id for r in ocr.checksum_mismatches(pages, records).collect()] == ["q"]
 
 
+def test_best_matches_make_no_pairs(spark):
+    """Against all pairs, with ties, nulls on all sides, ends of ranges and negative numbers."""
+    draw = random.Random(5)
+    some = lambda *xs: draw.choice(xs)
+    reports = [(some(f"p{i}", f"p{i}", "p0", None), some("hot", "hot", "k", "none", None), some("a", "b", None), some(True, None), some(None, draw.randint(-40, 40))) for i in range(150)]
+    repos = [(f"r{i:03d}", some("hot", "hot", "k", "other", None), some("a", "b", None), some(True, None), some(None, draw.randint(-40, 40))) for i in range(60)]
+    mine = spark.createDataFrame(reports, "pdf_id string, key string, name string, flag boolean, size int")
+    theirs = spark.createDataFrame(repos, "repo_id string, key string, repo_name string, repo_flag boolean, repo_size int")
+    same = {"name": (F.col("name"), F.col("repo_name")), "flag": (F.col("flag"), F.col("repo_flag"))}
+    for width in (None, 1, 2, 7, 16, 33):
+        expected = {}
+        for pdf, key, name, flag, size in reports:
+            for repo, other, repo_name, repo_flag, repo_size in repos:
+                if key is not None and key == other:
+                    n = (name is not None and name == repo_name) + (flag is not None and flag == repo_flag)
+                    n += width is not None and None not in (size, repo_size) and abs(size - repo_size) < width
+                    expected[pdf] = min(expected.get(pdf, (1, "")), (-n, repo))
+        found = runs.best_matches(mine, theirs, "key", same, {"size": (F.col("size"), F.col("repo_size"), width)} if width else None)
+        total = 3 if width else 2
+        assert {(r.pdf_id, r.repo_id, round(r.score * total)) for r in found.collect()} == {(p, r, -n) for p, (n, r) in expected.items()}
+    assert "NestedLoop" not in found._jdf.queryExecution().toString()
+    assert runs.best_matches(mine, theirs.limit(0), "key", same).count() == runs.best_matches(mine.limit(0), theirs, "key", same).count() == 0
+    with pytest.raises(ValueError, match="one near"):
+        runs.best_matches(mine, theirs, "key", same, {n: (F.col("size"), F.col("repo_size"), 3) for n in "ab"})
+
+
 def test_holdout_by_whole_text(spark):
     held = spark.createDataFrame([("one two three",), ("a b c d e f g h i j",), ("",), (None,)], "text string")
     docs = [(1, "zero one two three four"), (2, "one two\nthree"), (3, "x a b c d e f g h i j y"), (4, "a b c d e f g h i"), (5, None), (6, ""), (7, "one two three")]
