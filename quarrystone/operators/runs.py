@@ -188,23 +188,37 @@ def best_matches(reports: DataFrame, repositories: DataFrame, key: str, same: di
         ends = F.concat(whole, F.transform(left, lambda level: node(level, first(level))), F.transform(right, lambda level: node(level, end(level) - 1)))
         asked = F.when(low.isNull(), whole).otherwise(ends)
 
+    values = [f"_v{i}" for i in range(len(same))]
+    tasks = int(reports.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
     def spread(rows: DataFrame, side: int, nodes: Column, *kept: str) -> DataFrame:
         choices = []
-        for subset in subsets:
-            known, values = F.lit(True), {}
-            for i, name in enumerate(same):
-                mine = same[name][side]
-                values[f"v{i}"] = F.when(F.lit(name in subset), mine)
-                known = known & (mine.isNotNull() | F.lit(name not in subset))
-            choices.append(F.when(known, named(agree=F.lit(len(subset)), of=F.lit(",".join(subset)), **values)))
-        chosen = rows.select(key, *kept, F.array_compact(F.array(*choices)).alias("_all"), nodes.alias("_nodes"))
-        return chosen.select(key, *kept, "_nodes", F.explode("_all").alias("_values")).select(key, *kept, "_values", F.explode("_nodes").alias("_node"))
-
-    # Written, so that the join is of plain exchanges and the reports of a frequent key can be split.
-    least = shared.stored(spread(repositories, 1, held, "repo_id").groupBy(key, "_values", "_node").agg(F.min("repo_id").alias("repo_id")), "matches")
-    met = spread(reports, 0, asked, "pdf_id").join(least, [key, "_values", "_node"])
-    agreed = F.col("_values.agree") + (F.col("_node.level") >= 0).cast("int")
-    best = met.groupBy("pdf_id").agg(F.min(F.struct((-agreed).alias("rank"), "repo_id")).alias("_best"))
+        for at, subset in enumerate(subsets):
+            known, chosen = F.lit(True), {}
+            for v, name in zip(values, same):
+                chosen[v] = F.when(F.lit(name in subset), same[name][side])
+                known = known & (same[name][side].isNotNull() | F.lit(name not in subset))
+            choices.append(F.when(known, named(_of=F.lit(at), **chosen)))
+        # Dealt by their ids first, while they are narrow: what follows makes tens of rows of one.
+        both = rows.repartition(tasks, *kept).select(key, *kept, F.array_compact(F.array(*choices)).alias("_all"), nodes.alias("_nodes"))
+        flat = both.select(key, *kept, "_nodes", F.inline("_all"))
+        return flat.select(key, *kept, "_of", *values, F.inline("_nodes"))
+
+    # Plain columns and minima of single values, which are hashed, not sorted. Written, so that the join is of plain exchanges
+    # and the reports of a frequent key can be split.
+    least = spread(repositories, 1, held, "repo_id").groupBy(key, "_of", *values, "level", "prefix").agg(F.min("repo_id").alias("repo_id"))
+    least = shared.stored(least, "matches").select("repo_id", *(F.col(c).alias(f"_their{c}") for c in (key, "_of", *values, "level", "prefix")))
+    mine = spread(reports, 0, asked, "pdf_id")
+    meet = F.lit(True)
+    for c in (key, "_of", "level", "prefix"):
+        meet = meet & (mine[c] == least[f"_their{c}"])
+    for v in values:
+        meet = meet & mine[v].eqNullSafe(least[f"_their{v}"])
+    sizes = F.array(*(F.lit(len(subset)) for subset in subsets))
+    agreed = F.get(sizes, mine["_of"]) + (mine["level"] >= 0).cast("int")
+    met = mine.join(least, meet).select("pdf_id", (-agreed).alias("rank"), "repo_id")
+    ranks = met.groupBy("pdf_id", "rank").agg(F.min("repo_id").alias("repo_id"))
+    best = ranks.groupBy("pdf_id").agg(F.min(F.struct("rank", "repo_id")).alias("_best"))
     score = -F.col("_best.rank") / F.lit(float(max(1, len(same) + len(near or {}))))
     return best.select("pdf_id", F.col("_best.repo_id").alias("repo_id"), score.alias("score")).withColumn("confidence", confidence(F.col("score")))
 
