@@ -141,6 +141,24 @@ def phase_summary(phases: list[DataFrame]) -> DataFrame:
     return out
 
 
+# Ecosystems that the first version takes.
+ECOSYSTEMS = ("evm", "solidity")
+
+
+def eligibility(findings: DataFrame) -> DataFrame:
+    """``eligibility`` of findings (``ecosystem``, ``is_loss_of_funds``): ``eligible``, ``other ecosystem``, ``no loss of funds``, or ``review`` where one of both is
+    unknown and nothing speaks against it. A severity decides nothing, since firms rate differently. Every finding stays."""
+    ecosystem, loss = F.lower(scalars.stripped(F.col("ecosystem"))), F.col("is_loss_of_funds")
+    known = F.nullif(ecosystem, F.lit(""))
+    state = F.when(~known.isin(*ECOSYSTEMS), "other ecosystem").when(~loss, "no loss of funds").when(known.isNull() | loss.isNull(), "review").otherwise("eligible")
+    return findings.withColumn("eligibility", state)
+
+
+def eligible_findings(findings: DataFrame) -> DataFrame:
+    """Findings that may become tasks; all others stay in the inventory."""
+    return eligibility(findings).filter("eligibility = 'eligible'").drop("eligibility")
+
+
 def scored_matches(reports: DataFrame, repositories: DataFrame, key: str, evidence: dict[str, Column]) -> DataFrame:
     """The best repository of each report on a shared key, by weighted evidence, with a confidence class.
 

@@ -890,3 +890,19 @@ def q_pdf_pages(s, d):
     whole = F.concat(F.lit(header), F.array_join("objects", ""), table, F.lit("startxref\n"), F.element_at("places", -1) + wrong, F.lit("\n%%EOF\n"))
     made = rows.select("doc_id", F.when(F.col("doc_id") % 97 == 0, F.lit("<html>")).otherwise(whole).cast("binary").alias("content"))
     return pdf.page_counts(made, "content").select("doc_id", "page_count", "page_count_error")
+
+
+@query
+def q_pdf_landing(s, d):
+    url, of = F.col("url"), F.col("page_id") % 4
+    bare = F.substring_index(F.substring_index(url, "#", 1), "?", 1)
+    links = b.table(s, d, "pages").select("page_id", F.when(of == 0, F.concat(url, F.lit(".PDF"))).when(of == 1, F.concat(bare, F.lit(".pdf"))).otherwise(url).alias("url"), F.when(of == 2, "Application/PDF").otherwise("text/html").alias("kind"))
+    return sinks.pdf_names(links, content_type="kind").select("page_id", "is_pdf", "pdf_name")
+
+
+@query
+def q_finding_eligibility(s, d):
+    of = F.col("doc_id") % 4
+    platform = F.when(of == 0, " EVM").when(of == 1, "Solidity").when(of == 2, "move")
+    findings = b.table(s, d, "documents").select("doc_id", platform.alias("ecosystem"), F.contains("text", F.lit("ther")).alias("is_loss_of_funds"), F.lit("high").alias("severity"))
+    return runs.eligibility(findings).select("doc_id", "eligibility")

@@ -314,6 +314,10 @@ ORACLES: dict[str, str] = {
     "scored_matches": """WITH m AS (SELECT c_custkey AS pdf_id, s_suppkey AS repo_id, (s_acctbal > 5000)::INT + (abs(c_acctbal - s_acctbal) < 1000)::INT + (s_suppkey % 2 = 0)::INT AS n FROM customer JOIN supplier ON c_nationkey = s_nationkey),
       r AS (SELECT *, row_number() OVER (PARTITION BY pdf_id ORDER BY n DESC, repo_id) AS turn FROM m)
       SELECT pdf_id, repo_id, round(n / 3.0::DOUBLE, 6) AS score, CASE n WHEN 3 THEN 'exact' WHEN 2 THEN 'probable' ELSE 'weak' END AS confidence FROM r WHERE turn = 1""",
+    "pdf_landing": r"""WITH l AS (SELECT page_id, CASE page_id % 4 WHEN 0 THEN url || '.PDF' WHEN 1 THEN split_part(split_part(url, '#', 1), '?', 1) || '.pdf' ELSE url END AS url, page_id % 4 = 2 AS served FROM pages),
+      n AS (SELECT *, url IS NOT NULL AND (served OR lower(url) LIKE '%.pdf') AS is_pdf, regexp_extract(regexp_extract(url, '^[^:/?#]+://[^/?#]*([^?#]*)', 1), '([^/]*)/*$', 1) AS name FROM l)
+      SELECT page_id, is_pdf, CASE WHEN is_pdf THEN CASE WHEN lower(name) LIKE '%.pdf' THEN left(trim(regexp_replace(name, '[<>:"/\\|?*]', '_', 'g'), '. '), 255) ELSE 'document_' || left(md5(url), 12) || '.pdf' END END AS pdf_name FROM n""",
+    "finding_eligibility": """SELECT doc_id, CASE WHEN doc_id % 4 = 2 THEN 'other ecosystem' WHEN NOT contains(text, 'ther') THEN 'no loss of funds' WHEN doc_id % 4 = 3 OR text IS NULL THEN 'review' ELSE 'eligible' END AS eligibility FROM documents""",
     "pdf_pages": """SELECT doc_id, CASE WHEN doc_id % 97 <> 0 THEN greatest(1, ceil(length(coalesce(text, '')) / 1800.0))::INT END AS page_count,
       CASE WHEN doc_id % 97 = 0 THEN 'no PDF header' END AS page_count_error FROM documents""",
     "sql_dump": "SELECT doc_id, text, lang, source, n_chars FROM documents",

@@ -96,7 +96,16 @@ def landing_names(pages: DataFrame, prefix: str = "") -> DataFrame:
     return pages.withColumn("landing_name", F.concat(F.lit(f"{prefix}_" if prefix else ""), scalars.short_md5(F.col("url")), F.lit(".html")))
 
 
-def pdf_names(links: DataFrame, url: str = "url") -> DataFrame:
-    """The landing name of a PDF: the URL's last path part if it ends in .pdf, else a digest."""
-    last = F.element_at(F.split(F.coalesce(F.try_parse_url(F.col(url), F.lit("PATH")), F.lit("")), "/"), -1)
-    return links.withColumn("pdf_name", F.when(F.lower(last).endswith(".pdf"), scalars.sanitize_filename(last)).otherwise(F.concat(scalars.short_md5(F.col(url)), F.lit(".pdf"))))
+def pdf_names(links: DataFrame, url: str = "url", content_type: str | None = None) -> DataFrame:
+    """``is_pdf`` and ``pdf_name``, the landing name (null where it is none).
+
+    A PDF is what is served as one (``content_type``, a column of headers) or whose whole URL ends in .pdf. The name is the last part of the URL's path if
+    that ends in .pdf, else a digest of the URL. Null URLs are none.
+    """
+    address = F.col(url)
+    served = F.contains(F.lower(content_type), F.lit("pdf")) if content_type else F.lit(False)
+    path = F.regexp_replace(F.regexp_extract(address, r"^[^:/?#]+://[^/?#]*([^?#]*)", 1), r";[^/;]*$", "")
+    last = F.regexp_extract(path, r"([^/]*)/*$", 1)
+    name = F.when(F.lower(last).endswith(".pdf"), last).otherwise(F.concat(F.lit("document_"), scalars.short_md5(address), F.lit(".pdf")))
+    rows = links.withColumn("is_pdf", address.isNotNull() & (F.coalesce(served, F.lit(False)) | F.lower(address).endswith(".pdf")))
+    return rows.withColumn("pdf_name", F.when(F.col("is_pdf"), scalars.sanitize_filename(name)))

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -164,6 +165,29 @@ def test_matches_and_names(spark):
     assert [r.pdf_id for r in ocr.checksum_mismatches(pages, records).collect()] == ["q"]
 
 
+def test_pdf_landing_names(spark):
+    rows = [
+        ("https://x.org/a/One%20Two.PDF?x=1", "text/html", False, None), ("https://x.org/a/B.Pdf", None, True, "B.Pdf"), ("https://x.org/a/b.pdf/", "application/pdf", True, "b.pdf"),
+        ("https://x.org/a/b.pdf;v=1?q=2", "Application/PDF; charset=x", True, "b.pdf"), ("https://x.org/a|b*.pdf", None, True, "a_b_.pdf"), ("https://x.org/get?f=r.pdf", None, True, "document_"),
+        ("https://x.org", "application/pdf", True, "document_"), ("ü b.pdf", None, True, "document_"), ("", "application/pdf", True, "document_"), (None, "application/pdf", False, None),
+    ]
+    frame = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "url string, kind string, wanted boolean, name string, i int")
+    for r in sinks.pdf_names(frame, content_type="kind").collect():
+        assert r.is_pdf == r.wanted, r
+        if r.name == "document_":
+            assert r.pdf_name == f"document_{hashlib.md5(r.url.encode()).hexdigest()[:12]}.pdf"
+        else:
+            assert r.pdf_name == r.name, r
+    assert [r.is_pdf for r in sinks.pdf_names(frame).orderBy("i").collect()] == [False, True, False, False, True, True, False, True, False, False]
+
+
+def test_eligibility(spark):
+    rows = [("evm", True, "low"), (" Solidity ", True, None), ("move", True, "high"), ("move", None, "high"), ("evm", False, "high"), (None, False, "high"), (None, True, "high"), ("evm", None, "high"), ("", True, "high")]
+    frame = spark.createDataFrame(rows, "ecosystem string, is_loss_of_funds boolean, severity string")
+    assert [r.eligibility for r in runs.eligibility(frame).collect()] == ["eligible", "eligible", "other ecosystem", "other ecosystem", "no loss of funds", "no loss of funds", "review", "review", "review"]
+    assert [r.severity for r in runs.eligible_findings(frame).collect()] == ["low", None] and runs.eligibility(frame.limit(0)).count() == 0
+
+
 def test_best_matches_make_no_pairs(spark):
     """Against all pairs, with ties, nulls on all sides, ends of ranges and negative numbers."""
     draw = random.Random(5)
