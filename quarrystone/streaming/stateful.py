@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
 import json
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -10,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+WAITING_ROWS = 10_000
+BLOCK_PERIODS = 8
 
 
 def _keyed_state(spark: SparkSession) -> None:
@@ -20,45 +25,58 @@ def _keyed_state(spark: SparkSession) -> None:
 
 
 class TrailingCalls(StatefulProcessor):
-    """Calls by second, and the calls of seconds that aren't complete yet. A second's timer goes off when the watermark has passed it, in order of
-    time: then all of its calls are known. Seconds leave with the first timer a period later, of which each period of calls has one of its own, so a silent service keeps nothing."""
+    """The calls of one service in one block of ``BLOCK_PERIODS`` periods: calls by second, with those of the period before, and the calls that aren't
+    judged yet. A timer judges every second that the watermark has passed, since then all of its calls are known, and sets the next one, so a block
+    has a few timers however many seconds it has. What there is leaves when the watermark passes the block's end."""
 
     def __init__(self, period: int, most: int) -> None:
-        self.period, self.most = period, most
+        self.period, self.most, self.block = period, most, BLOCK_PERIODS * period
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.calls = handle.getValueState("calls", "seconds array<long>, counts array<long>")
-        self.waiting = handle.getMapState("waiting", "second long", "ids array<string>")
+        self.waiting = handle.getListState("waiting", "second long, id string")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        new: dict[int, list] = {}
+        held = self.calls.get() or ([], [])
+        counts = Counter(dict(zip(*held)))
+        own: list[tuple] = []
+        first = None
         for row in rows:
-            new.setdefault(row["second"], []).append(row["id"])
-        for second, ids in new.items():
-            held = self.waiting.getValue((second,))
-            self.waiting.updateValue((second,), ((list(held[0]) if held else []) + ids,))
-            self.handle.registerTimer((second + 1) * 1000)
+            second = row["second"]
+            counts[second] += 1
+            if row["own"]:
+                first = second if first is None else min(first, second)
+                own.append((second, row["id"]))
+            if len(own) >= WAITING_ROWS:
+                self.waiting.appendList(own)
+                own = []
+        if own:
+            self.waiting.appendList(own)
+        if first is not None:
+            self.handle.registerTimer((first + 1) * 1000)
+        self.calls.update((list(counts.keys()), list(counts.values())))
+        self.handle.registerTimer((key[1] + 1) * self.block * 1000)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs() // 1000 - 1
-        held = self.calls.get() or ([], [])
-        calls = [(second, n) for second, n in zip(*held) if second > now - self.period]
-        held = self.waiting.getValue((now,))
-        ids = list(held[0]) if held else []
-        if ids:
-            self.waiting.removeKey((now,))
-            calls.append((now, len(ids)))
-            # One timer a period clears what a silent service leaves.
-            self.handle.registerTimer((now // self.period + 2) * self.period * 1000 + 1000)
-        if calls:
-            self.calls.update(([second for second, _ in calls], [n for _, n in calls]))
-        else:
+        watermark = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        ended = (key[1] + 1) * self.block * 1000 <= watermark
+        waiting = list(self.waiting.get()) if self.waiting.exists() else []
+        due = [call for call in waiting if (call[0] + 1) * 1000 <= watermark]
+        left = [tuple(call) for call in waiting if (call[0] + 1) * 1000 > watermark]
+        seconds, counts = zip(*sorted(zip(*(self.calls.get() or ([], []))))) if due else ((), ())
+        if ended:
             self.calls.clear()
-        earlier = sum(n for _, n in calls) - 1
-        for i in ids:
-            yield Row(service=key[0], second=now, id=i, earlier=earlier, can_proceed=earlier < self.most)
+            self.waiting.clear()
+        elif due:
+            self.waiting.put(left) if left else self.waiting.clear()
+        if left:
+            self.handle.registerTimer((min(second for second, _ in left) + 1) * 1000)
+        upto = [0, *itertools.accumulate(counts)]
+        for second, id_ in due:
+            earlier = upto[bisect_right(seconds, second)] - upto[bisect_right(seconds, second - self.period)] - 1
+            yield Row(service=key[0], second=second, id=id_, earlier=earlier, can_proceed=earlier < self.most)
 
     def close(self) -> None:
         pass
@@ -67,13 +85,19 @@ class TrailingCalls(StatefulProcessor):
 def trailing_calls(events: DataFrame, service: str, time: str, event: str, period: int, calls_allowed: int, burst: int = 0, late: str = "10 minutes") -> DataFrame:
     """(service, second, id, earlier, can_proceed) of every call of a stream: what ``runs.rate_limited`` says of it in a batch.
 
-    A call is judged once the watermark, ``late`` behind the latest time, has passed its second; later ones are dropped. State is one
-    number a service and second of the trailing period, and the ids that wait.
+    A call is judged once the watermark, ``late`` behind the latest time, has passed its second; later ones are dropped. A service's time is cut
+    into blocks of ``BLOCK_PERIODS`` periods, which are groups of their own: a call goes to its block, in the block's last period to the next one too, to be
+    counted there, so a busy service is dealt over tasks. State is one number a second of the blocks that the watermark hasn't passed, and the ids that wait.
     """
     _keyed_state(events.sparkSession)
     at = F.col(time).cast("timestamp")
-    rows = events.select(F.col(service).cast("string").alias("service"), at.alias("at"), F.unix_seconds(at).alias("second"), F.col(event).cast("string").alias("id")).filter("at IS NOT NULL").withWatermark("at", late)
-    return rows.groupBy("service").transformWithState(TrailingCalls(period, calls_allowed + burst), "service string, second long, id string, earlier long, can_proceed boolean", "append", "EventTime")
+    rows = events.select(F.col(service).cast("string").alias("service"), at.alias("at"), F.unix_seconds(at).alias("second"), F.col(event).cast("string").alias("id")).filter("at IS NOT NULL")
+    seconds = BLOCK_PERIODS * period
+    block = F.floor(F.col("second") / seconds).cast("long")
+    ahead = F.when(F.pmod("second", F.lit(seconds)) >= seconds - period, F.struct((block + 1).alias("block"), F.lit(False).alias("own")))
+    both = F.array_compact(F.array(F.struct(block.alias("block"), F.lit(True).alias("own")), ahead))
+    rows = rows.select("service", "at", "second", "id", F.inline(both)).withWatermark("at", late)
+    return rows.groupBy("service", "block").transformWithState(TrailingCalls(period, calls_allowed + burst), "service string, second long, id string, earlier long, can_proceed boolean", "append", "EventTime")
 
 
 def _token_event(line: str) -> tuple[str, int | None] | None:

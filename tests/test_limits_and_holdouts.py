@@ -76,6 +76,23 @@ def test_trailing_calls_equal_the_batch_operator_and_leave_no_state(spark, tmp_p
     assert state.count() <= 2 and state.filter("key.service <> 'z'").count() == 0
 
 
+def test_trailing_calls_of_one_service_are_many_groups(spark, tmp_path):
+    rng = random.Random(11)
+    rows = [(i, "a", 1_700_000_000 + rng.randint(0, 5000)) for i in range(400)]
+    judged = []
+    for batch in (rows, [(1000, "a", 1_700_000_000 + 5060)], [(1001, "a", 1_700_000_000 + 20_000)]):
+        spark.createDataFrame(batch, "id long, service string, second long").write.mode("append").json(str(tmp_path / "in"))
+        events = spark.readStream.schema("id long, service string, second long").json(str(tmp_path / "in")).withColumn("at", F.timestamp_seconds("second"))
+        judged += _run(stateful.trailing_calls(events, "service", "at", "id", 60, 3, 1, "1 hour"), tmp_path / "checkpoint")[0]
+        if len(batch) > 1:
+            # Calls up to the watermark, and no others, are judged; the rest wait in more than one group.
+            assert {int(r.id) for r in judged} == {i for i, _, second in rows if second + 1 <= max(r[2] for r in rows) - 3600}
+            state = spark.read.format("statestore").option("path", str(tmp_path / "checkpoint")).option("stateVarName", "calls").load()
+            assert state.select("key").distinct().count() > 1
+    want = runs.rate_limited(spark.createDataFrame(rows, "id long, service string, second long"), "service", F.col("second"), 60, 3, 1)
+    assert sorted((int(r.id), r.earlier, r.can_proceed) for r in judged if int(r.id) < 1000) == sorted((r.id, r.earlier, r.can_proceed) for r in want.collect())
+
+
 def _stream(request, n, rng, done=True):
     lines = []
     for i in range(n):
