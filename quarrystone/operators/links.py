@@ -164,6 +164,7 @@ def follow_next(edges: DataFrame, starts: DataFrame, most: int) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{into}/part=*").drop("seen")
 
 
-def section_bodies(headings: DataFrame, bodies: DataFrame) -> DataFrame:
-    """Headings with the text of the section their id names; headings without one are dropped."""
-    return headings.join(bodies.select("page_url", "section_id", "body"), ["page_url", "section_id"])
+def section_bodies(headings: DataFrame, bodies: DataFrame, page: list[str] = ["page_url"]) -> DataFrame:  # noqa: B006
+    """Headings with the text of the section their id names; headings without one are dropped. ``page`` are the columns that tell pages apart: an
+    address alone doesn't where it was fetched twice."""
+    return headings.join(bodies.select(*page, "section_id", "body"), [*page, "section_id"])
