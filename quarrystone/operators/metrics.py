@@ -152,6 +152,25 @@ def duplication_risk(sketches: DataFrame) -> DataFrame:
     return pairs.withColumn("risk", F.col("shared") / F.greatest(F.lit(1), F.least("items_a", "items_b")))
 
 
+def shared_items(rows: DataFrame, dataset: str, item: str) -> DataFrame:
+    """What ``duplication_risk`` estimates, counted: for every two datasets the distinct items of each and of both, and the share of the smaller one.
+
+    Items are dealt by digest and meet as the set of datasets that hold them; sets are counted before they are made pairs, so an item with
+    many copies is one row a dataset. Null items, and those of no dataset, don't count.
+    """
+    there = rows.filter(F.col(item).isNotNull() & F.col(dataset).isNotNull())
+    once = there.select(F.col(dataset).alias("dataset"), F.sha2(F.col(item).cast("string"), 256).alias("item")).distinct()
+    # One entry a dataset.
+    held = once.groupBy("item").agg(F.sort_array(F.collect_list("dataset")).alias("datasets")).groupBy("datasets").agg(F.count("*").alias("n"))
+    held = shared.stored(held, "held")
+    sizes = held.select(F.explode("datasets").alias("dataset"), "n").groupBy("dataset").agg(F.sum("n").alias("items"))
+    firsts = held.filter(F.size("datasets") > 1).select(F.posexplode("datasets").alias("i", "a"), "datasets", "n")
+    both = firsts.select("a", F.explode(F.slice("datasets", F.col("i") + 2, F.size("datasets"))).alias("b"), "n").groupBy("a", "b").agg(F.sum("n").alias("shared"))
+    one, other = sizes.select(F.col("dataset").alias("a"), F.col("items").alias("items_a")), sizes.select(F.col("dataset").alias("b"), F.col("items").alias("items_b"))
+    pairs = one.join(other, F.col("a") < F.col("b")).join(both, ["a", "b"], "left").withColumn("shared", F.coalesce("shared", F.lit(0).cast("long")))
+    return pairs.select("a", "b", "items_a", "items_b", "shared", (F.col("shared") / F.least("items_a", "items_b")).alias("risk"))
+
+
 def minimum_quality(rows: DataFrame, checks: list[str]) -> DataFrame:
     """``admissible``: all checks hold; a null check doesn't."""
     return rows.withColumn("admissible", F.forall(F.array(*(F.coalesce(F.col(c), F.lit(False)) for c in checks)), lambda x: x))

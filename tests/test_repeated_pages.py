@@ -25,3 +25,12 @@ def test_sections_of_two_pages_of_one_address_stay_apart(spark, folder):
     d = folder(pages=([(5, "http://a/x", "12345"), (9, "http://a/x", "123")], PAGES))
     got = sorted(tuple(r) for r in catalogue.QUERIES["section_bodies"](spark, d).collect())
     assert got == [("http://a/x", "s0", "t5", 5), ("http://a/x", "s1", "t9", 3)]
+
+
+def test_shared_texts_are_counted(spark, folder):
+    rows = [(i, "one", f"t{i}") for i in range(40_000)] + [(50_000 + i, "two", f"t{i * 7}") for i in range(9_000)]
+    rows += [(70_000 + i, "three", text) for i, text in enumerate(["t0", "t0", "", None])] + [(80_000, None, "t0")]
+    d = folder(documents=(rows, "doc_id long, source string, text string"))
+    got = sorted(tuple(r) for r in catalogue.QUERIES["duplication_risk"](spark, d).collect())
+    shared = len(range(0, 40_000, 7))
+    assert got == [("one", "three", 40_000, 2, 1, 0.5), ("one", "two", 40_000, 9_000, shared, round(shared / 9_000, 6)), ("three", "two", 2, 9_000, 1, 0.5)]
