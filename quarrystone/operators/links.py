@@ -1,4 +1,4 @@
-"""Link filters over ``links(page_url, pos, href, text, ...)`` rows, as sites need them."""
+"""Link filters over ``links(page_url, pos, href, text, ...)`` rows, as sites need them. Where pages repeat an address, ``page_id`` tells them apart."""
 
 from __future__ import annotations
 
@@ -26,6 +26,13 @@ def resolved(links: DataFrame, base: Column) -> DataFrame:
     return links.filter(follow).withColumn("url", scalars.join_root(base, F.col("href"))).withColumn("title", scalars.stripped(F.coalesce("text", F.lit(""))))
 
 
+def _places(rows: DataFrame) -> list[str]:
+    """The order of an address's links: by place, then by page. Without a ``page_id``, links of one place go by what they are, so that no run gives another."""
+    if "page_id" in rows.columns:
+        return ["pos", "page_id"]
+    return ["pos", *(c for c, kind in rows.dtypes if c != "pos" and not kind.startswith(("map", "variant")))]
+
+
 def _any(c: Column, words: list[str]) -> Column:
     out = F.lit(False)
     for w in words:
@@ -41,14 +48,14 @@ def seen_first(links: DataFrame, base: Column, include: list[str] = [], exclude:
     if include:
         rows = rows.filter(_any(low, include))
     rows = rows.filter(~_any(low, exclude))
-    first = ordering.keep_first(rows, ["page_url", "url"], ["pos"])
+    first = ordering.keep_first(rows, ["page_url", "url"], _places(rows))
     return first.filter(scalars.same_host(F.col("url"), base) & (F.length("title") >= least_title))
 
 
 def title_first(links: DataFrame, base: Column, keep: Column, least_title: int = 1) -> DataFrame:
     """Links without a title are dropped before URLs are de-duplicated."""
     rows = resolved(links, base).filter(keep & (F.length("title") >= least_title))
-    return ordering.keep_first(rows, ["page_url", "url"], ["pos"])
+    return ordering.keep_first(rows, ["page_url", "url"], _places(rows))
 
 
 def report_links(links: DataFrame, base: Column) -> DataFrame:
@@ -66,7 +73,7 @@ def contest_links(links: DataFrame, base: Column, with_short: bool = False) -> D
 
 def finding_links(links: DataFrame, base: Column, most: int = 100) -> DataFrame:
     rows = title_first(links, base, _any(F.lower("href"), list(FINDING_WORDS)), 3)
-    return ordering.first_n(rows, ["page_url"], ["pos"], most)
+    return ordering.first_n(rows, ["page_url"], _places(rows), most)
 
 
 def block_links(links: DataFrame, base: Column, drop: Column, least_title: int, heading_class: str | None = None) -> DataFrame:
@@ -76,8 +83,8 @@ def block_links(links: DataFrame, base: Column, drop: Column, least_title: int,
     heading = F.nullif("heading", F.lit(""))
     if heading_class:
         heading = F.when(F.col("heading_class").rlike(heading_class), heading)
-    rows = ordering.keep_first(rows.withColumn("title", F.coalesce(heading, F.col("title"))), ["page_url", "block"], ["pos"])
-    rows = ordering.keep_first(rows.filter(~drop & (F.length("title") >= least_title)), ["page_url", "url"], ["pos"])
+    rows = ordering.keep_first(rows.withColumn("title", F.coalesce(heading, F.col("title"))), ["page_url", "block"], _places(rows))
+    rows = ordering.keep_first(rows.filter(~drop & (F.length("title") >= least_title)), ["page_url", "url"], _places(rows))
     rest = seen_first(links, base, least_title=least_title).join(rows.select("page_url").distinct(), "page_url", "left_anti")
     return rows.unionByName(rest.select(rows.columns))
 
@@ -102,7 +109,7 @@ def generic_articles(links: DataFrame, base: Column) -> DataFrame:
     inside = F.col("block").isNotNull()
     rank = F.when(inside & (F.col("under") == "h2"), 0).when(inside & (F.col("under") == "h1"), 1).when(F.col("under").isin("h1", "h2"), 2).when(inside, 3)
     rows = resolved(links, base).filter((F.length("title") >= 3) & scalars.same_host(F.col("url"), base)).withColumn("rank", rank)
-    return ordering.keep_first(rows.filter(F.col("rank").isNotNull()), ["page_url", "href"], ["rank", "pos"]).drop("rank")
+    return ordering.keep_first(rows.filter(F.col("rank").isNotNull()), ["page_url", "href"], ["rank", *_places(rows)]).drop("rank")
 
 
 def documentation_links(links: DataFrame, base: Column, patterns: list[str]) -> DataFrame:
@@ -113,7 +120,7 @@ def documentation_links(links: DataFrame, base: Column, patterns: list[str]) ->
 def swc_entries(links: DataFrame, base: Column, known: DataFrame | None = None) -> DataFrame:
     """Weakness entries with a normalised id, and rows of a table whose URL is new."""
     rows = resolved(links, base).withColumn("swc_id", scalars.swc_id(F.col("title"), F.col("href"))).filter(F.col("swc_id").isNotNull())
-    rows = ordering.keep_first(rows, ["page_url", "url"], ["pos"]).select("swc_id", "title", "url")
+    rows = ordering.keep_first(rows, ["page_url", "url"], _places(rows)).select("swc_id", "title", "url")
     return rows if known is None else rows.unionByName(known.select("swc_id", "title", "url").join(rows, "url", "left_anti"))
 
 
@@ -122,7 +129,7 @@ def top_entries(links: DataFrame, sections: DataFrame, base: Column) -> DataFram
     (``page_url, section_id, title``) that no link names."""
     rows = resolved(links, base).filter("title <> ''").withColumn("sc_id", scalars.sc_id(F.col("title")))
     rows = rows.filter(F.col("sc_id").isNotNull() | F.col("href").rlike(r"(?i)SC\d+"))
-    linked = ordering.keep_first(rows, ["page_url", "url"], ["pos"]).select("sc_id", "title", "url")
+    linked = ordering.keep_first(rows, ["page_url", "url"], _places(rows)).select("sc_id", "title", "url")
     headed = sections.filter("title <> ''").select(F.lit(None).cast("string").alias("sc_id"), "title", F.concat("page_url", F.lit("#"), "section_id").alias("url"))
     return linked.unionByName(headed.join(linked.select("url"), "url", "left_anti"))
 

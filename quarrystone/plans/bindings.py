@@ -63,8 +63,8 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Anchors of every page by pattern, so that SQL can say the same."""
     found = F.regexp_extract_all("html", F.lit(r'<a href="([^"]*)"[^>]*>([^<]*)</a>'), F.lit(0))
-    rows = table(spark, sf_dir, "pages").select(F.col("url").alias("page_url"), F.posexplode(found).alias("pos", "tag"))
-    return rows.select("page_url", "pos", F.regexp_extract("tag", r'href="([^"]*)"', 1).alias("href"), F.regexp_extract("tag", r">([^<]*)<", 1).alias("text"))
+    rows = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("page_url"), F.posexplode(found).alias("pos", "tag"))
+    return rows.select("page_id", "page_url", "pos", F.regexp_extract("tag", r'href="([^"]*)"', 1).alias("href"), F.regexp_extract("tag", r">([^<]*)<", 1).alias("text"))
 
 
 def clone_results(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,6 +134,6 @@ def site_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     heading = F.when(at % 4 != 0, F.concat(F.lit("Heading "), at.cast("string")))
     return links(spark, sf_dir).select(
-        "page_url", "pos", href.alias("href"), F.when(at % 5 != 0, F.col("text")).otherwise("").alias("text"), F.when(at % 7 != 6, F.floor(at / 3)).alias("block"),
+        "page_id", "page_url", "pos", href.alias("href"), F.when(at % 5 != 0, F.col("text")).otherwise("").alias("text"), F.when(at % 7 != 6, F.floor(at / 3)).alias("block"),
         heading.alias("heading"), F.lit(None).cast("string").alias("heading_class"), F.when(at % 3 == 0, "h1").when(at % 3 == 1, "h2").alias("under"),
     )

@@ -40,3 +40,17 @@ def test_shared_texts_are_counted(spark, folder):
     got = sorted(tuple(r) for r in catalogue.QUERIES["duplication_risk"](spark, d).collect())
     shared = len(range(0, 40_000, 7))
     assert got == [("one", "three", 40_000, 2, 1, 0.5), ("one", "two", 40_000, 9_000, shared, round(shared / 9_000, 6)), ("three", "two", 2, 9_000, 1, 0.5)]
+
+
+@pytest.mark.parametrize("name", ["contest_links", "contest_links_short", "bounty_links", "generic_articles", "post_links", "swc_entries"])
+def test_links_of_pages_of_one_address_go_by_place_then_page(spark, folder, name):
+    def page(word):
+        return "".join(f'<a href="/x{i}">{word} title {i}</a>' for i in range(12))
+
+    nations = ([(30, "known")], "n_nationkey int, n_name string")
+    pages = [(1, "http://a/x", page("early")), (2, "http://a/x", page("late"))]
+    d = folder(pages=(pages, PAGES), nation=nations)
+    first = sorted(map(str, catalogue.QUERIES[name](spark, d).collect()))
+    spark.createDataFrame(pages[::-1], PAGES).coalesce(1).write.mode("overwrite").parquet(f"{d}/pages.parquet")
+    again = sorted(map(str, catalogue.QUERIES[name](spark, d).collect()))
+    assert first == again and "early" in str(first) and "late" not in str(first)
