@@ -1,8 +1,10 @@
 """Tables whose pages repeat an address, and sources too large for a sketch or one document."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from quarrystone.functions import html
 from quarrystone.plans import catalogue
 
 
@@ -54,3 +56,15 @@ def test_links_of_pages_of_one_address_go_by_place_then_page(spark, folder, name
     spark.createDataFrame(pages[::-1], PAGES).coalesce(1).write.mode("overwrite").parquet(f"{d}/pages.parquet")
     again = sorted(map(str, catalogue.QUERIES[name](spark, d).collect()))
     assert first == again and "early" in str(first) and "late" not in str(first)
+
+
+def test_page_batches_are_read_in_slices():
+    pages = pa.RecordBatch.from_pydict({"page_id": list(range(700)), "html": [None, "x" * (html.SLICE_CHARS // 2), *["<p>a</p>"] * 698]})
+    some = list(html.slices(pages, "html"))
+    assert [r["page_id"] for s in some for r in s.to_pylist()] == list(range(700)) and max(s.num_rows for s in some) <= html.SLICE_PAGES
+    wide = pa.RecordBatch.from_pydict({"html": ["x" * (html.SLICE_CHARS // 2)] * 5})
+    assert [s.num_rows for s in html.slices(wide, "html")] == [2, 2, 1] and list(html.slices(wide.slice(0, 0), "html")) == []
+    root = html.parse("<div><a href=x>b</a></div>")
+    div = root.children[0]
+    root.unlink()
+    assert div.parent is None and div.children == []
