@@ -5,7 +5,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -82,32 +82,36 @@ def chunk_count(records: DataFrame, target_pages: int = 2500, max_pdfs: int = 30
 def pack_chunks(records: DataFrame, chunks: int, max_pdfs: int = 300, per: str | None = None) -> DataFrame:
     """``records`` with chunk_id by greedy packing, largest first, into the least loaded chunk that has room.
 
-    Every placement rests on those before it, so one task packs a group's four narrow columns (a file
-    inventory's size); ``per`` packs each of its values apart (another result) when an inventory outgrows that.
+    Every placement rests on those before it, so one task packs a group, as its four narrow columns come in order of size; it holds the chunks
+    with room only. ``per`` packs each of its values apart (another result); groups are dealt over tasks, many small ones to one.
     """
     group = F.col(per) if per else F.lit("")
-    thin = records.select(group.cast("string").alias("_group"), "rel_path", F.col("size_bytes").cast("bigint"), F.col("page_count").cast("double"))
+    thin = records.select(group.cast("string").alias("_group"), "rel_path", F.coalesce(F.col("size_bytes").cast("bigint"), F.lit(0)).alias("_size"), F.col("page_count").cast("double").alias("_pages"))
 
-    def place(pdf: pd.DataFrame) -> pd.DataFrame:
-        pages = pdf["page_count"].fillna(0)
-        sizes = pdf["size_bytes"].fillna(0)
-        order = pd.DataFrame({"p": -pages, "s": -sizes, "r": pdf["rel_path"]}).sort_values(["p", "s", "r"], kind="stable").index
-        weight = pdf["page_count"].fillna(1)
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, made = None, 0
         # Load of each chunk with room: pages, files, bytes, number.
-        open_chunks = [(0.0, 0, 0, k) for k in range(chunks)]
-        made, where = chunks, {}
-        for i in order:
-            if open_chunks:
-                load, files, size, k = heapq.heappop(open_chunks)
-            else:
-                load, files, size, k = 0.0, 0, 0, made
-                made += 1
-            where[i] = k
-            if files + 1 < max_pdfs:
-                heapq.heappush(open_chunks, (load + weight[i], files + 1, size + sizes[i], k))
-        return pd.DataFrame({"_group": pdf["_group"], "rel_path": pdf["rel_path"], "_chunk": pd.Series(where)})
-
-    placed = thin.groupBy("_group").applyInPandas(place, "_group string, rel_path string, _chunk long")
+        open_chunks: list[tuple] = []
+        for batch in batches:
+            placed = []
+            for name, size, pages in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3))):
+                if name != now or not made:
+                    now, made = name, chunks
+                    open_chunks = [(0.0, 0, 0, k) for k in range(chunks)]
+                if open_chunks:
+                    load, files, held, k = heapq.heappop(open_chunks)
+                else:
+                    load, files, held, k = 0.0, 0, 0, made
+                    made += 1
+                placed.append(k)
+                if files + 1 < max_pdfs:
+                    heapq.heappush(open_chunks, (load + (1.0 if pages is None else pages), files + 1, held + size, k))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(placed, pa.int64())], ["_group", "rel_path", "_chunk"])
+
+    tasks = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    largest = [F.coalesce("_pages", F.lit(0.0)).desc(), F.col("_size").desc(), "rel_path"]
+    dealt = thin.repartition(tasks, "_group").sortWithinPartitions("_group", *largest)
+    placed = dealt.mapInArrow(place, "_group string, rel_path string, _chunk long")
     prefix = F.concat(F.lit("chunk_"), F.when(F.col("_group") != "", F.concat("_group", F.lit("_"))).otherwise(""))
     named = placed.select(F.col("rel_path"), F.concat(prefix, F.format_string("%04d", F.col("_chunk"))).alias("chunk_id"))
     return records.join(named, "rel_path")

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarrystone.functions import html
+from quarrystone.operators import inventory
 from quarrystone.plans import catalogue
 
 
@@ -68,3 +69,23 @@ def test_page_batches_are_read_in_slices():
     div = root.children[0]
     root.unlink()
     assert div.parent is None and div.children == []
+
+
+def test_many_small_groups_are_packed_in_one_stream(spark):
+    rows = [(f"g{i % 300}", f"f{i:04d}", (i * 37) % 11 or None, (i * 53) % 7 or None) for i in range(1500)]
+    frame = spark.createDataFrame(rows, "g string, rel_path string, size_bytes long, page_count int")
+    packed = inventory.pack_chunks(frame, 2, 2, per="g")
+    want = {}
+    for g in {r[0] for r in rows}:
+        load = [[0.0, 0, 0, 0], [0.0, 0, 0, 1]]
+        for _, path, size, pages in sorted((r for r in rows if r[0] == g), key=lambda r: (-(r[3] or 0), -(r[2] or 0), r[1])):
+            room = [c for c in load if c[1] < 2]
+            if not room:
+                room = [[0.0, 0, 0, len(load)]]
+                load += room
+            best = min(room)
+            want[path] = f"chunk_{g}_{best[3]:04d}"
+            best[0], best[1], best[2] = best[0] + (1 if pages is None else pages), best[1] + 1, best[2] + (size or 0)
+    assert {r.rel_path: r.chunk_id for r in packed.collect()} == want
+    # One call of Python a task, not one a group.
+    assert "InPandas" not in packed._jdf.queryExecution().executedPlan().toString()
