@@ -234,7 +234,8 @@ def best_matches(reports: DataFrame, repositories: DataFrame, key: str, same: di
         meet = meet & mine[v].eqNullSafe(least[f"_their{v}"])
     sizes = F.array(*(F.lit(len(subset)) for subset in subsets))
     agreed = F.get(sizes, mine["_of"]) + (mine["level"] >= 0).cast("int")
-    met = mine.join(least, meet).select("pdf_id", (-agreed).alias("rank"), "repo_id")
+    # Its rows are many times their bytes in files: never sent whole through the driver.
+    met = mine.join(least.hint("merge"), meet).select("pdf_id", (-agreed).alias("rank"), "repo_id")
     ranks = met.groupBy("pdf_id", "rank").agg(F.min("repo_id").alias("repo_id"))
     best = ranks.groupBy("pdf_id").agg(F.min(F.struct("rank", "repo_id")).alias("_best"))
     score = -F.col("_best.rank") / F.lit(float(max(1, len(same) + len(near or {}))))

@@ -89,3 +89,8 @@ def test_many_small_groups_are_packed_in_one_stream(spark):
     assert {r.rel_path: r.chunk_id for r in packed.collect()} == want
     # One call of Python a task, not one a group.
     assert "InPandas" not in packed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_matches_send_no_table_through_the_driver(spark, sf):
+    plan = catalogue.QUERIES["scored_matches"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
