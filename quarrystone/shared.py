@@ -20,8 +20,8 @@ def folder(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(rows: DataFrame, label: str, path: str | None = None) -> DataFrame:
+def stored(rows: DataFrame, label: str, path: str | None = None, compression: str | None = None) -> DataFrame:
     """``rows`` written once and read back: what uses them twice computes them once, and a lost executor repeats nothing above."""
     path = path or folder(rows.sparkSession, label)
-    rows.write.parquet(path)
+    rows.write.parquet(path, compression=compression)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
