@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -176,37 +177,56 @@ def confidence(score: Column) -> Column:
     return F.when(score >= 0.99, "exact").when(score >= 0.5, "probable").otherwise("weak")
 
 
-def best_matches(reports: DataFrame, repositories: DataFrame, key: str, same: dict[str, tuple[Column, Column]], near: dict[str, tuple[Column, Column, int]] | None = None) -> DataFrame:
+# Cells of doubles near each other go so far, and what lies beyond is in the last ones. Doubles there are 1 / 4,096 of a cell apart.
+CELLS = 2.0**40
+
+
+def best_matches(reports: DataFrame, repositories: DataFrame, key: str, same: dict[str, tuple[Column, Column]], near: dict[str, tuple] | None = None) -> DataFrame:
     """(pdf_id, repo_id, score, confidence): the best repository of each report on a shared key, without a pair of both being made.
 
     Evidence is what a report and a repository have the ``same`` of (two columns of one type; null agrees with nothing), and for at most one
-    name two whole numbers ``near`` each other, less than so much apart. The score is the share of evidence that agrees; of equal scores the smallest
+    name two numbers ``near`` each other, less than so much apart: (x, y, width) for whole numbers, or (x, y, width, unit) for what is near where
+    ``abs(x - y) < width`` in doubles. The score is the share of evidence that agrees; of equal scores the smallest
     repo_id wins. For each subset of evidence the smallest repo_id is aggregated by the values of that subset, so a report meets one
     row a subset, however many repositories share its key. Near numbers meet in dyadic intervals: a repository stands in one
-    interval a level, a report asks for the few that make up its range. Reports whose key no repository has, or is null, have no row; those of one pdf_id are one.
+    interval a level, a report asks for the few that make up its range. Doubles stand in cells of one unit, and are compared one by one
+    in the cells at the ends of a range only, so the unit should be about the step of most. Reports whose key no repository has, or is null, have no row; those of one pdf_id are one.
     """
     if len(near or {}) > 1:
         raise ValueError("one near number at most")
     subsets = [s for k in range(len(same) + 1) for s in itertools.combinations(same, k)]
     # Named this way, since aliases inside of conditions are lost.
     named = lambda **fields: F.named_struct(*(c for name, v in fields.items() for c in (F.lit(name), v)))
-    node = lambda level, prefix: named(level=F.lit(level), prefix=prefix)
+    exact = any(len(given) > 3 for given in (near or {}).values())
+    node = lambda level, prefix, number=None: named(level=F.lit(level), prefix=prefix, **({"number": F.lit(number).cast("double")} if exact else {}))
     whole = F.array(node(-1, F.lit(0).cast("long")))
-    held, asked = whole, whole
+    held, asked, bounds, limit = whole, whole, ({}, {}), F.lit(None)
     shifted = lambda number, level: F.call_function("shiftright", number, level)
-    for mine, theirs, width in (near or {}).values():
-        there, low, high = theirs.cast("long"), mine.cast("long") - width + 1, mine.cast("long") + width
-        levels = F.sequence(F.lit(0), F.lit((2 * width).bit_length()))
-        held = F.when(there.isNull(), whole).otherwise(F.concat(whole, F.transform(levels, lambda level: node(level, shifted(there, level)))))
+    for mine, theirs, width, *unit in (near or {}).values():
+        if exact:
+            mine, theirs, limit = mine.cast("double"), theirs.cast("double"), F.lit(float(width))
+            # Of cells the order alone is used: what stands in a later one is larger. The slack is more than rounding takes.
+            cell = lambda x: F.when(x.isNotNull(), F.floor(F.greatest(F.least(x / unit[0] + 0.5, F.lit(CELLS)), F.lit(-CELLS))))
+            slack = unit[0] / 64
+            bounds = ({"_first": cell(mine - width - slack), "_low": cell(mine - width + slack) + 1, "_high": cell(mine + width - slack), "_last": cell(mine + width + slack), "_number": mine}, {"_there": cell(theirs), "_number": theirs})
+            span = math.ceil(2 * width / unit[0]) + 1
+        else:
+            bounds, span = ({"_low": mine.cast("long") - width + 1, "_high": mine.cast("long") + width}, {"_there": theirs.cast("long")}), 2 * width
+        levels = F.sequence(F.lit(0), F.lit(span.bit_length()))
+        number = lambda level: F.when(level == 0, F.col("_number")) if exact else None
+        held = F.when(F.col("_there").isNull(), whole).otherwise(F.concat(whole, F.transform(levels, lambda level: node(level, shifted(F.col("_there"), level), number(level)))))
 
         # What is left of [low, high) at a level: odd ends are intervals of their own, the rest goes a level up.
-        first, end = (lambda level: -shifted(-low, level)), (lambda level: shifted(high, level))
+        first, end = (lambda level: -shifted(-F.col("_low"), level)), (lambda level: shifted(F.col("_high"), level))
         left = F.filter(levels, lambda level: (first(level) < end(level)) & (F.abs(first(level) % 2) == 1))
         right = F.filter(levels, lambda level: (first(level) < end(level)) & (F.abs(end(level) % 2) == 1))
-        ends = F.concat(whole, F.transform(left, lambda level: node(level, first(level))), F.transform(right, lambda level: node(level, end(level) - 1)))
-        asked = F.when(low.isNull(), whole).otherwise(ends)
+        ends = [whole, F.transform(left, lambda level: node(level, first(level))), F.transform(right, lambda level: node(level, end(level) - 1))]
+        if exact:
+            cells = F.array_distinct(F.concat(F.sequence("_first", F.col("_low") - 1), F.sequence("_high", "_last")))
+            ends.append(F.transform(cells, lambda at: node(0, at, F.col("_number"))))
+        asked = F.when(F.col("_low").isNull(), whole).otherwise(F.concat(*ends))
 
-    values = [f"_v{i}" for i in range(len(same))]
+    values, places = [f"_v{i}" for i in range(len(same))], ["level", "prefix", *["number"] * exact]
     tasks = int(reports.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def spread(rows: DataFrame, side: int, nodes: Column, *kept: str) -> DataFrame:
@@ -217,21 +237,24 @@ def best_matches(reports: DataFrame, repositories: DataFrame, key: str, same: di
                 chosen[v] = F.when(F.lit(name in subset), same[name][side])
                 known = known & (same[name][side].isNotNull() | F.lit(name not in subset))
             choices.append(F.when(known, named(_of=F.lit(at), **chosen)))
-        # Dealt by their ids first, while they are narrow: what follows makes tens of rows of one.
-        both = rows.repartition(tasks, *kept).select(key, *kept, F.array_compact(F.array(*choices)).alias("_all"), nodes.alias("_nodes"))
-        flat = both.select(key, *kept, "_nodes", F.inline("_all"))
-        return flat.select(key, *kept, "_of", *values, F.inline("_nodes"))
+        # Dealt by their ids first, while they are narrow: what follows makes tens of rows of one. Both are exploded as they are made:
+        # of columns that hold them a filter is inferred, which makes them once more where the few files are read.
+        flat = rows.withColumns(bounds[side]).repartition(tasks, *kept).select("*", F.explode(nodes).alias("_node"))
+        flat = flat.select(key, *kept, "_node", F.explode(F.array_compact(F.array(*choices))).alias("_value"))
+        return flat.select(key, *kept, *(f"_value.{c}" for c in ("_of", *values)), *(f"_node.{c}" for c in places))
 
     # Plain columns and minima of single values, which are hashed, not sorted. Written, so that the join is of plain exchanges
     # and the reports of a frequent key can be split.
-    least = spread(repositories, 1, held, "repo_id").groupBy(key, "_of", *values, "level", "prefix").agg(F.min("repo_id").alias("repo_id"))
-    least = shared.stored(least, "matches").select("repo_id", *(F.col(c).alias(f"_their{c}") for c in (key, "_of", *values, "level", "prefix")))
+    least = spread(repositories, 1, held, "repo_id").groupBy(key, "_of", *values, *places).agg(F.min("repo_id").alias("repo_id"))
+    least = shared.stored(least, "matches").select("repo_id", *(F.col(c).alias(f"_their{c}") for c in (key, "_of", *values, *places)))
     mine = spread(reports, 0, asked, "pdf_id")
     meet = F.lit(True)
     for c in (key, "_of", "level", "prefix"):
         meet = meet & (mine[c] == least[f"_their{c}"])
     for v in values:
         meet = meet & mine[v].eqNullSafe(least[f"_their{v}"])
+    if exact:
+        meet = meet & (mine["number"].isNull() | (F.abs(mine["number"] - least["_theirnumber"]) < limit))
     sizes = F.array(*(F.lit(len(subset)) for subset in subsets))
     agreed = F.get(sizes, mine["_of"]) + (mine["level"] >= 0).cast("int")
     # Its rows are many times their bytes in files: never sent whole through the driver.

@@ -1,12 +1,16 @@
 """Tables whose pages repeat an address, and sources too large for a sketch or one document."""
 
+import math
+import random
+
+import duckdb
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from quarrystone.functions import html
-from quarrystone.operators import inventory
-from quarrystone.plans import catalogue
+from quarrystone.operators import inventory, runs
+from quarrystone.plans import catalogue, oracles
 
 
 @pytest.fixture
@@ -94,3 +98,37 @@ def test_many_small_groups_are_packed_in_one_stream(spark):
 def test_matches_send_no_table_through_the_driver(spark, sf):
     plan = catalogue.QUERIES["scored_matches"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_balances_are_near_as_doubles_are(spark, folder):
+    """1,000.00 apart in cents, and below that in doubles or not: the query goes by what the SQL says."""
+    balances = [4010.53, 4059.36, 0.01, 5016.4, -999.85, 8765.43, 1000.0, 333.33, 4999.99, 7.1]
+    customers = [(i, 5, b) for i, b in enumerate(balances)]
+    suppliers = [(20 * i + 2 * n, 5, round(b + sign * d, 2)) for i, b in enumerate(balances) for n, (sign, d) in enumerate([(1, 1000), (-1, 1000), (1, 1000.01), (-1, 1000.01), (1, 999.99), (-1, 999.99)])]
+    # One nation a supplier as well, so that a single pair decides.
+    customers += [(1000 + 100 * i + s, 100 + 1000 * i + s, b) for i, b in enumerate(balances) for s, _, _ in suppliers if s // 20 == i]
+    suppliers += [(1000 + s, 100 + 1000 * (s // 20) + s, b) for s, _, b in suppliers]
+    path = folder(customer=(customers, "c_custkey long, c_nationkey int, c_acctbal double"), supplier=(suppliers, "s_suppkey long, s_nationkey int, s_acctbal double"))
+    c = duckdb.connect()
+    for t in ("customer", "supplier"):
+        c.execute(f"CREATE VIEW {t} AS FROM '{path}/{t}.parquet/*.parquet'")
+    want = c.execute(oracles.ORACLES["scored_matches"]).fetchall()
+    assert sorted(map(tuple, catalogue.QUERIES["scored_matches"](spark, path).collect())) == sorted(want)
+
+
+def test_near_doubles_of_any_kind(spark):
+    """Against all pairs: several doubles a cell, ends of ranges, nulls, values that are no numbers, and such as lie beyond the cells."""
+    draw = random.Random(9)
+    odd = [None, math.nan, math.inf, -math.inf, 0.0, -0.0, 1e300, -1e300, 2.0**53, 2.0**53 + 2, 2.0**40 * 0.01, 2.0**40 * 0.01 + 0.005, 1e-300]
+    some = lambda: draw.choice([draw.choice(odd), draw.uniform(-3, 3), round(draw.uniform(-30, 30), 2), draw.randrange(-40, 40) / 10 + draw.choice([0, 1e-12, 0.004])])
+    reports, repos = [(i, draw.choice("ab"), some()) for i in range(250)], [(i, draw.choice("ab"), some()) for i in range(80)]
+    mine, theirs = spark.createDataFrame(reports, "pdf_id long, key string, x double"), spark.createDataFrame(repos, "repo_id long, key string, y double")
+    for width, unit in ((1, 0.01), (0.5, 0.1), (0.001, 0.01), (7.3, 0.01), (3, 2.0)):
+        expected = {}
+        for pdf, key, x in reports:
+            for repo, other, y in repos:
+                if key == other:
+                    n = None not in (x, y) and abs(x - y) < width
+                    expected[pdf] = min(expected.get(pdf, (1, 0)), (-int(n), repo))
+        found = runs.best_matches(mine, theirs, "key", {}, {"near": (F.col("x"), F.col("y"), width, unit)})
+        assert {(r.pdf_id, r.repo_id, int(r.score)) for r in found.collect()} == {(p, r, -n) for p, (n, r) in expected.items()}
